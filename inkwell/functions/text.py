@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -47,6 +48,11 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column | str) -> Column:
     """Trim all white space, not only blanks."""
     return F.btrim(_column(c), F.lit(WHITE_SPACE))
@@ -80,9 +86,12 @@ def preview_slug(title: Column | str) -> Column:
 
 def fold_to_ascii(c: Column | str) -> Column:
     """Latin letters without their accents; other scripts are left alone."""
-    text = _column(c)
-    spelled = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), ASCII_SPELLING.items(), text)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, _FOLD_FROM, _FOLD_TO)).otherwise(text)
+
+    def fold(text: Column) -> Column:
+        spelled = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), ASCII_SPELLING.items(), text)
+        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, _FOLD_FROM, _FOLD_TO)).otherwise(text)
+
+    return bind(_column(c), fold)
 
 
 def _code_point(digits: Column, base: int) -> Column:
@@ -92,10 +101,7 @@ def _code_point(digits: Column, base: int) -> Column:
 
 def unescape_html(c: Column | str) -> Column:
     """Resolve character references; unknown names stay as they are."""
-    text = _column(c)
-    pieces = F.regexp_extract_all(
-        text, F.lit(r"(&#[0-9]{1,6};|&#[xX][0-9a-fA-F]{1,5};|&[a-zA-Z]{2,8};|[^&]+|&)"), F.lit(1)
-    )
+    pattern = F.lit(r"(&#[0-9]{1,6};|&#[xX][0-9a-fA-F]{1,5};|&[a-zA-Z]{2,8};|[^&]+|&)")
     names = F.create_map(*[F.lit(x) for kv in NAMED_REFERENCES.items() for x in kv])
 
     def resolve(piece: Column) -> Column:
@@ -106,7 +112,11 @@ def unescape_html(c: Column | str) -> Column:
             .otherwise(piece)
         )
 
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
+    def join(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, pattern, F.lit(1))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
+
+    return bind(_column(c), join)
 
 
 def slug_base(text: Column | str, max_length: int = 80) -> Column:
@@ -121,13 +131,14 @@ def slug_base(text: Column | str, max_length: int = 80) -> Column:
 
 def title_slug(title: Column | str, max_length: int = 80) -> Column:
     """File slug of a title; titles without a letter or digit (or none at all) are 'untitled'."""
-    return or_default(slug_base(title, max_length), "untitled")
+    return bind(slug_base(title, max_length), lambda slug: or_default(slug, "untitled"))
 
 
 def hashed_slug(title: Column | str, max_length: int = 80) -> Column:
     """Slug with the first six hex digits of the title's MD5, within the same length."""
     text = F.coalesce(_column(title), F.lit(""))
-    return F.concat_ws("-", F.nullif(slug_base(text, max_length - 7), F.lit("")), F.left(F.md5(text), F.lit(6)))
+    base = bind(slug_base(text, max_length - 7), lambda slug: F.nullif(slug, F.lit("")))
+    return F.concat_ws("-", base, F.left(F.md5(text), F.lit(6)))
 
 
 def python_timestamp(c: Column | str) -> Column:

@@ -217,3 +217,552 @@ ORACLES: dict[str, str] = {
         SELECT {stamp('issue_at')} AS issue_at, issue_rank, post_id, title, category, publication_date, rank_score,
                category_rank FROM issue_candidates"""),
 }
+
+# Sources and their administration
+
+SOURCE_COLUMNS = f"""id, rss_feed_url, name, category, quality_rating, status, {stamp('last_checked_at')} AS last_checked_at,
+       {stamp('created_at')} AS created_at, {stamp('updated_at')} AS updated_at"""
+
+piece("catalogue", [], f"""
+    SELECT c_custkey AS id, 'https://blog' || c_custkey || '.example.com/feed' AS rss_feed_url, c_name AS name,
+           c_mktsegment AS category, (1 + c_custkey % 5)::INTEGER AS quality_rating,
+           CASE WHEN c_custkey % 7 = 6 THEN 'inactive' ELSE 'active' END AS status,
+           {AS_OF} - to_days((c_custkey % 6)::INTEGER) AS last_checked_at,
+           {AS_OF} - to_days((c_custkey % 30)::INTEGER) AS created_at,
+           {AS_OF} - to_days((c_custkey % 30)::INTEGER) AS updated_at
+    FROM customer""")
+piece("new_seeds", ["catalogue"], f"""
+    SELECT * FROM catalogue WHERE NOT created_at < {AS_OF}::DATE - 5""")
+piece("requests", [], """
+    SELECT o_orderkey AS request_id, 'https://blog' || o_custkey * 2 || '.example.com/feed' AS rss_feed_url,
+           'Blog ' || o_custkey AS name, o_orderpriority AS category, (o_orderkey % 12)::INTEGER AS quality_rating,
+           CASE WHEN o_orderkey % 13 = 0 THEN 'rss_feed_url must not be empty'
+                WHEN o_orderkey % 17 = 0 THEN 'name must not be empty'
+                WHEN o_orderkey % 19 = 0 THEN 'category must not be empty'
+                WHEN o_orderkey % 12 NOT BETWEEN 1 AND 10
+                    THEN 'quality_rating must be an integer between 1 and 10' END AS broken
+    FROM orders""")
+piece("new_requests", ["requests", "catalogue"], """
+    SELECT * FROM requests AS r
+    WHERE broken IS NULL AND NOT EXISTS (SELECT 1 FROM catalogue AS c WHERE c.rss_feed_url = r.rss_feed_url)
+    QUALIFY row_number() OVER (PARTITION BY rss_feed_url ORDER BY request_id) = 1""")
+piece("status_ids", [], "SELECT DISTINCT o_custkey + 100 AS id FROM orders WHERE o_orderstatus = 'P'")
+piece("changes", [], """
+    SELECT o_custkey + 100 AS id, k,
+           CASE WHEN k % 5 = 1 THEN 'Renamed ' || k END AS new_name,
+           CASE WHEN k % 4 = 0 THEN (k % 12)::INTEGER WHEN k % 4 = 1 THEN 9 END AS new_rating,
+           CASE WHEN k % 5 = 0 THEN 'Empty value for field: name'
+                WHEN k % 4 = 0 AND k % 12 NOT BETWEEN 1 AND 10
+                    THEN 'quality_rating must be an integer between 1 and 10'
+                WHEN k % 5 NOT IN (0, 1) AND k % 4 NOT IN (0, 1) THEN 'No fields provided to update' END AS broken
+    FROM (SELECT o_custkey, max(o_orderkey) AS k FROM orders GROUP BY o_custkey)""")
+
+ORACLES |= {
+    "active_sources": query(["catalogue"], f"SELECT {SOURCE_COLUMNS} FROM catalogue WHERE status = 'active'"),
+    "source_by_id": query(["catalogue"], f"SELECT {SOURCE_COLUMNS} FROM catalogue WHERE id = 42"),
+    "source_seed": query(["new_seeds"], f"""
+        SELECT rss_feed_url, name, category, quality_rating, 'active' AS status, {stamp(AS_OF)} AS created_at
+        FROM new_seeds"""),
+    "source_seed_metrics": query(["catalogue", "new_seeds"], """
+        SELECT inserted, total - inserted AS skipped, total
+        FROM (SELECT (SELECT count(*) FROM new_seeds) AS inserted,
+                     (SELECT count(*) + count(*) FILTER (quality_rating = 3) FROM catalogue) AS total)"""),
+    "add_sources": query(["requests", "new_requests"], """
+        SELECT r.request_id,
+               CASE WHEN r.broken IS NOT NULL THEN 'rejected' WHEN n.request_id IS NOT NULL THEN 'inserted'
+                    ELSE 'skipped' END AS action,
+               CASE WHEN r.broken IS NOT NULL THEN r.broken WHEN n.request_id IS NULL THEN 'duplicate' END AS reason
+        FROM requests AS r LEFT JOIN new_requests AS n ON r.request_id = n.request_id"""),
+    "added_sources": query(["new_requests"], f"""
+        SELECT rss_feed_url, name, category, quality_rating, 'active' AS status, {stamp(AS_OF)} AS updated_at
+        FROM new_requests"""),
+    "deactivate_sources": query(["catalogue", "status_ids"], f"""
+        SELECT {SOURCE_COLUMNS} FROM (
+          SELECT c.* REPLACE (CASE WHEN s.id IS NULL THEN c.status ELSE 'inactive' END AS status,
+                              CASE WHEN s.id IS NULL THEN c.updated_at ELSE {AS_OF} END AS updated_at)
+          FROM catalogue AS c LEFT JOIN status_ids AS s ON c.id = s.id)"""),
+    "activate_sources_outcomes": query(["catalogue", "status_ids"], """
+        SELECT s.id, CASE WHEN c.id IS NULL THEN 'not_found' ELSE 'activated' END AS action
+        FROM status_ids AS s LEFT JOIN catalogue AS c ON c.id = s.id"""),
+    "update_sources": query(["catalogue", "changes"], f"""
+        SELECT {SOURCE_COLUMNS} FROM (
+          SELECT c.* REPLACE (coalesce(h.new_name, c.name) AS name,
+                              coalesce(h.new_rating, c.quality_rating) AS quality_rating,
+                              CASE WHEN h.id IS NULL THEN c.updated_at ELSE {AS_OF} END AS updated_at)
+          FROM catalogue AS c LEFT JOIN (SELECT * FROM changes WHERE broken IS NULL) AS h ON c.id = h.id)"""),
+    "update_sources_outcomes": query(["catalogue", "changes"], """
+        SELECT h.id, CASE WHEN h.broken IS NOT NULL THEN 'rejected' WHEN c.id IS NULL THEN 'not_found'
+                          ELSE 'updated' END AS action, h.broken AS reason
+        FROM changes AS h LEFT JOIN catalogue AS c ON c.id = h.id"""),
+    "touch_last_checked": query(["raw_sources", "entries"], f"""
+        SELECT {SOURCE_COLUMNS} FROM (
+          SELECT * REPLACE (CASE WHEN fetched THEN {AS_OF} ELSE last_checked_at END AS last_checked_at,
+                            CASE WHEN fetched THEN {AS_OF} ELSE updated_at END AS updated_at)
+          FROM (SELECT *, id IN (SELECT source_id FROM entries) OR id % 2 = 0 AS fetched FROM raw_sources))"""),
+}
+
+# Feeds, pages, ingestion
+
+
+def stripped(text: str) -> str:
+    return rf"regexp_replace({text}, '^\s+|\s+$', '', 'g')"
+
+
+def dead_letter(reference: str, stage: str, reason: str) -> str:
+    return (
+        f"{reference} AS post_reference, '{stage}' AS failure_stage, {reason} AS failure_reason, 0::INTEGER AS retry_count, "
+        f"{stamp(AS_OF)} AS created_at, NULL::VARCHAR AS last_retry_at, FALSE AS resolved"
+    )
+
+
+piece("feed_items", ["entries"], """
+    SELECT *, batch % 3 AS kind, batch % 4 = 0 AS damaged,
+           row_number() OVER (PARTITION BY source_id, batch ORDER BY arrival DESC) = 1 AS is_last
+    FROM (SELECT *, arrival // 100 AS batch FROM entries)""")
+piece("feed_documents", ["feed_items", "raw_sources", "entries"], f"""
+    SELECT source_id, batch, kind, damaged,
+           (CASE WHEN NOT damaged THEN count(*) WHEN kind = 2 THEN 0 ELSE count(*) - 1 END)::INTEGER AS entries_found
+    FROM feed_items GROUP BY source_id, batch, kind, damaged
+    UNION ALL
+    SELECT id, 0, NULL, NULL, 0 FROM raw_sources WHERE id % 2 = 0 AND id NOT IN (SELECT source_id FROM entries)""")
+piece("feed_results", ["feed_documents"], f"""
+    SELECT source_id, {AS_OF} - to_hours(batch::INTEGER) AS fetched_at,
+           CASE kind WHEN 0 THEN 'rss' WHEN 1 THEN 'atom' WHEN 2 THEN 'json' END AS format,
+           CASE WHEN kind IS NULL THEN 'missing' WHEN NOT damaged THEN 'ok' WHEN entries_found > 0 THEN 'damaged'
+                ELSE 'failed' END AS feed_status, entries_found
+    FROM feed_documents""")
+piece("listing", ["entries"], """
+    SELECT *, batch * 100 + source_id AS page_id,
+           (row_number() OVER (PARTITION BY source_id, batch ORDER BY arrival) - 1)::INTEGER AS position
+    FROM (SELECT *, arrival // 500 AS batch FROM entries)""")
+piece("valid_entries", ["entries"], "SELECT * FROM entries WHERE author_name IS NOT NULL")
+piece("new_posts", ["valid_entries", "earlier_posts"], """
+    SELECT * FROM (SELECT * FROM valid_entries QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrival) = 1) AS e
+    WHERE NOT EXISTS (SELECT 1 FROM earlier_posts AS p WHERE p.url = e.url)""")
+piece("source_metrics", ["entries", "new_posts"], """
+    SELECT e.source_id, coalesce(n.added, 0) AS success_count, e.valid - coalesce(n.added, 0) AS duplicate_count,
+           e.failure_count
+    FROM (SELECT source_id, count(author_name) AS valid, count(*) - count(author_name) AS failure_count
+          FROM entries GROUP BY source_id) AS e
+    LEFT JOIN (SELECT source_id, count(*) AS added FROM new_posts GROUP BY source_id) AS n USING (source_id)""")
+RECENT = f"(publication_date IS NULL OR publication_date >= {AS_OF} - INTERVAL 7 DAY)"
+
+ORACLES |= {
+    "feed_entries": query(["feed_items"], f"""
+        SELECT source_id, title, body, url, {stamp('publication_date')} AS publication_date, author_name
+        FROM (SELECT source_id, url, publication_date,
+                     CASE WHEN kind = 2 THEN title ELSE {stripped('title')} END AS title,
+                     CASE WHEN kind = 2 THEN body ELSE {stripped('body')} END AS body,
+                     coalesce(CASE WHEN kind = 2 THEN author_name ELSE {stripped('author_name')} END, 'Unknown')
+                         AS author_name
+              FROM feed_items WHERE NOT (damaged AND (kind = 2 OR is_last)))
+        WHERE title <> ''"""),
+    "feed_status": query(["feed_results"], f"""
+        SELECT source_id, {stamp('fetched_at')} AS fetched_at, format, feed_status, entries_found FROM feed_results"""),
+    "feed_failures": query(["feed_results"], f"""
+        SELECT {dead_letter("'https://src' || source_id || '.example.com/feed'", "ingestion",
+                            "CASE feed_status WHEN 'missing' THEN 'Feed fetch failed: no payload' "
+                            "ELSE 'Feed parse failed with no entries' END")}
+        FROM feed_results WHERE feed_status IN ('missing', 'failed')"""),
+    "page_cards": query(["listing"], f"""
+        SELECT page_id, position, {stripped('title')} AS title, {stripped('body')} AS description,
+               coalesce(author_name, '') AS authors, strftime(publication_date, '%Y-%m-%d') AS posted_date,
+               'https://blog.example.com/post/' || md5(url) || '?a=1&b=2' AS link
+        FROM listing"""),
+    "page_entries": query(["listing"], f"""
+        SELECT page_id, position, {stripped('title')} AS title, strftime(publication_date, '%Y-%m-%d') AS posted_date,
+               'https://blog.example.com/post/' || md5(url) AS link
+        FROM listing WHERE arrival % 10 <> 0"""),
+    "page_descriptions": rf"""
+        SELECT page_id, texts[1] AS description
+        FROM (SELECT page_id,
+                     [t FOR t IN [array_to_string([{stripped("replace(replace(replace(n, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")}
+                                                   FOR n IN string_split_regex(split_part(p, '</p>', 1), '<[^>]*>')], '')
+                                  FOR p IN string_split_regex(block, '<p(?:\s[^>]*)?>')[2:]]
+                      IF length(t) >= 40 AND NOT (contains(t, 'Check out the') AND contains(t, 'announcement'))] AS texts
+              FROM (SELECT page_id,
+                           split_part(regexp_extract(html, '(?s)<article(?:\s[^>]*)?>(.*)$', 1), '</article>', 1) AS block
+                    FROM pages))
+        WHERE len(texts) > 0""",
+    "ingest_dedup": query(["new_posts"], f"""
+        SELECT source_id, title, body, url, {stamp('publication_date')} AS publication_date, author_name,
+               {stamp(AS_OF)} AS created_at FROM new_posts"""),
+    "ingest_failures": query(["entries"], f"""
+        SELECT {dead_letter("url", "ingestion",
+                            "'Insert failed for source ' || source_id || ': null value in column author_name'")}
+        FROM entries WHERE author_name IS NULL"""),
+    "ingest_metrics": query(["source_metrics"], "SELECT * FROM source_metrics"),
+    "run_metrics": query(["source_metrics", "raw_sources", "entries"], """
+        SELECT coalesce(sum(success_count), 0)::BIGINT AS total_success,
+               coalesce(sum(duplicate_count), 0)::BIGINT AS total_duplicates,
+               coalesce(sum(failure_count), 0)::BIGINT AS total_failures,
+               count(*) FILTER (fetched) AS sources_processed, count(*) FILTER (NOT fetched) AS sources_failed
+        FROM (SELECT id, id IN (SELECT source_id FROM entries) OR id % 2 = 0 AS fetched
+              FROM raw_sources WHERE status = 'active') AS s
+        LEFT JOIN source_metrics AS m ON s.id = m.source_id"""),
+    "backfill_filter": query(["entries"], f"""
+        SELECT arrival, source_id, title, body, url, {stamp('publication_date')} AS publication_date, author_name,
+               {stamp('created_at')} AS created_at FROM entries WHERE {RECENT}"""),
+    "backfill_counts": query(["entries"], f"""
+        SELECT source_id, count(*) AS total_parsed, count(*) FILTER ({RECENT}) AS kept_count,
+               count(*) FILTER (NOT {RECENT}) AS filtered_count FROM entries GROUP BY source_id"""),
+    "stream_ingest": query(["earlier_posts", "valid_entries"], f"""
+        SELECT source_id, title, url, {stamp('publication_date')} AS publication_date, author_name,
+               {stamp('created_at')} AS created_at FROM earlier_posts
+        UNION ALL
+        SELECT source_id, title, url, {stamp('publication_date')}, author_name, {stamp(AS_OF)}
+        FROM (SELECT * FROM valid_entries WHERE {RECENT}
+              QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrival) = 1)
+        WHERE url NOT IN (SELECT url FROM earlier_posts)"""),
+}
+
+# Newsletters and quality
+
+piece("single_issue", ["candidates"], f"SELECT *, {AS_OF} AS issue_at FROM candidates")
+
+
+def _documents(candidates: str) -> str:
+    return f"""
+        SELECT issue_at::DATE AS issue_date, 'Weekly Knowledge Digest - ' || strftime(issue_at, '%Y-%m-%d') AS title,
+               sum(posts)::BIGINT AS candidate_count, 'newsletter_' || strftime(issue_at, '%Y-%m-%d') || '.md' AS file,
+               '[EDITORIAL INTRO — Please add your intro here before publishing]' || E'\\n\\n---\\n\\n'
+               || string_agg(section, '' ORDER BY category)
+               || '[EDITORIAL COMMENTARY — Add your commentary and closing thoughts here]' AS content
+        FROM (SELECT issue_at, category, count(*) AS posts,
+                     '## ' || category || E'\\n\\n'
+                     || string_agg('### [' || coalesce(nullif(title, ''), 'Untitled') || '](' || url || E')\\n*' || source_name
+                                   || ' · ' || author_name || E'*\\n\\n'
+                                   || coalesce(nullif(summary_text, ''), 'Summary unavailable.') || E'\\n\\n[Read more]('
+                                   || url || E')\\n\\n---\\n\\n', '' ORDER BY rank_score DESC, post_id) AS section
+              FROM {candidates} GROUP BY issue_at, category)
+        GROUP BY issue_at"""
+
+
+def _quality() -> str:
+    from inkwell.operators.expectations import NOT_NULL, UNIQUE
+
+    names = {"mart_newsletter_candidates": "candidates"}
+    rows = [
+        f"""SELECT 'unique' AS "check", '{t}' AS "table", '{c}' AS "column",
+                   (SELECT count(*) FROM (SELECT {c} FROM {names.get(t, t)} WHERE {c} IS NOT NULL GROUP BY {c}
+                                          HAVING count(*) > 1)) AS violations"""
+        for t, columns in UNIQUE.items() for c in columns
+    ]
+    rows += [
+        f"SELECT 'not_null', '{t}', '{c}', (SELECT count(*) FROM {names.get(t, t)} WHERE {c} IS NULL)"
+        for t, columns in NOT_NULL.items() for c in columns
+    ]
+    rows += [
+        """SELECT 'relationships', 'stg_summaries', 'post_id',
+                  (SELECT count(*) FROM stg_summaries WHERE post_id NOT IN (SELECT id FROM raw_posts))""",
+        """SELECT 'relationships', 'mart_posts', 'author_id',
+                  (SELECT count(*) FROM mart_posts WHERE author_id IS NOT NULL
+                   AND author_id NOT IN (SELECT author_id FROM mart_authors))""",
+        """SELECT 'summary_join_integrity', 'mart_posts', 'id',
+                  (SELECT count(*) FROM stg_summaries WHERE post_id NOT IN (SELECT id FROM mart_posts))""",
+        """SELECT 'row_cap', 'mart_newsletter_candidates', '',
+                  (SELECT (count(*) > 20)::INTEGER FROM candidates)""",
+    ]
+    return "SELECT *, violations = 0 AS passed FROM (" + " UNION ALL ".join(rows) + ")"
+
+
+ORACLES |= {
+    "newsletter_document": query(["single_issue"], _documents("single_issue")),
+    "newsletter_documents": query(["issue_candidates"], _documents("issue_candidates")),
+    "quality_report": query(
+        ["candidates", "mart_posts", "mart_authors", "mart_sources", "stg_posts", "stg_authors", "stg_summaries"],
+        _quality(),
+    ),
+    "duplicate_entry_urls": query(["entries"], """
+        SELECT url, count(*) AS occurrences FROM entries GROUP BY url HAVING count(*) > 1"""),
+    "duplicate_author_names": query(["stg_authors"], """
+        SELECT author_name, count(*) AS occurrences FROM stg_authors GROUP BY author_name HAVING count(*) > 1"""),
+    "orphan_summaries": query(["stg_summaries", "mart_posts"], """
+        SELECT id, post_id FROM stg_summaries WHERE post_id NOT IN (SELECT id FROM mart_posts)"""),
+}
+
+# Summaries
+
+piece("answers", [], """
+    SELECT doc_id, doc_id % 12 AS k, text, lang, length(text)::BIGINT AS size
+    FROM labels JOIN documents USING (doc_id)""")
+piece("parsed", ["answers"], """
+    SELECT doc_id AS post_id, reason, CASE WHEN reason IS NULL THEN summary END AS summary_text,
+           CASE WHEN reason IS NULL THEN tag_list END AS tags, CASE WHEN reason IS NULL THEN level END
+               AS difficulty_classification
+    FROM (SELECT doc_id, CASE WHEN k = 6 THEN 's' ELSE text END AS summary,
+                 CASE WHEN k = 6 THEN '1,True,None,x' ELSE 'topic,' || lang END AS tag_list,
+                 CASE WHEN k = 6 THEN 'advanced' ELSE 'beginner' END AS level,
+                 'SummarizationError: ' || CASE
+                   WHEN k = 1 THEN 'Invalid JSON response'
+                   WHEN k = 5 THEN 'Response is not a JSON object'
+                   WHEN k = 2 OR (text = '' AND k NOT IN (3, 4, 6, 7)) THEN 'Missing or invalid ''summary'' field in response'
+                   WHEN k = 3 THEN 'Missing or invalid ''tags'' field in response'
+                   WHEN k = 4 THEN 'Invalid ''difficulty'' value: ''expert''. Expected one of: advanced, beginner, intermediate'
+                   WHEN k = 7 THEN 'Invalid ''difficulty'' value: None. Expected one of: advanced, beginner, intermediate'
+                 END AS reason
+          FROM answers)""")
+piece("todo", ["raw_posts", "raw_summaries"], """
+    SELECT * FROM raw_posts WHERE id NOT IN (SELECT post_id FROM raw_summaries)""")
+piece("described", ["todo"], """
+    SELECT id AS post_id, CASE WHEN title = '' THEN 'ValueError: post has no title' END AS reason, words,
+           CASE WHEN words < 100 THEN 'beginner' WHEN words < 1000 THEN 'intermediate' ELSE 'advanced' END AS level
+    FROM (SELECT *, length(body) - length(replace(body, ' ', '')) + 1 AS words FROM todo)""")
+
+PROMPT = """Analyze this blog post and return the JSON metadata.
+
+Title: ' || title || '
+
+Content:
+' || body"""
+
+ORACLES |= {
+    "unsummarized_posts": query(["todo"], f"""
+        SELECT id, source_id, title, body, url, {stamp('publication_date')} AS publication_date, author_name,
+               {stamp('created_at')} AS created_at FROM todo"""),
+    "post_status": query(["raw_posts", "raw_summaries"], """
+        SELECT e.event_id AS id, CASE WHEN p.id IS NULL THEN 'not_found' WHEN s.post_id IS NOT NULL
+               THEN 'already_summarized' ELSE 'pending' END AS status
+        FROM events AS e LEFT JOIN raw_posts AS p ON e.event_id = p.id
+        LEFT JOIN raw_summaries AS s ON e.event_id = s.post_id"""),
+    "prompts": query(["raw_posts"], f"SELECT id, '{PROMPT} AS prompt FROM raw_posts"),
+    "response_envelopes": query(["answers"], """
+        SELECT doc_id AS post_id, CASE WHEN doc_id % 2 = 0 THEN 'msg-' ELSE 'cmpl-' END || doc_id AS response_id,
+               CASE WHEN doc_id % 2 = 0 THEN 'm1' ELSE 'm2' END AS model,
+               CASE WHEN doc_id % 2 = 0 THEN size ELSE 0 END AS input_tokens,
+               CASE WHEN doc_id % 2 = 0 THEN 7 ELSE 0 END::BIGINT AS output_tokens, TRUE AS same_text
+        FROM answers"""),
+    "summary_parse": query(["parsed"], """
+        SELECT post_id, summary_text, tags, difficulty_classification, reason FROM parsed"""),
+    "summary_store": query(["parsed", "raw_summaries"], f"""
+        SELECT post_id, summary_text, tags, difficulty_classification, {stamp(AS_OF)} AS created_at
+        FROM parsed WHERE reason IS NULL
+          AND post_id NOT IN (SELECT post_id FROM raw_summaries WHERE created_at < {AS_OF}::DATE - 5)"""),
+    "summary_failures": query(["parsed"], f"""
+        SELECT {dead_letter("post_id::VARCHAR", "summarization", "reason")} FROM parsed WHERE reason IS NOT NULL"""),
+    "summarize_posts": query(["described"], """
+        SELECT post_id, CASE WHEN reason IS NULL THEN words || ' words' END AS summary_text,
+               CASE WHEN reason IS NULL THEN 'text,' || level END AS tags,
+               CASE WHEN reason IS NULL THEN level END AS difficulty_classification, reason FROM described"""),
+    "processing_result": query(["described"], """
+        SELECT count(*) AS total_found, count(*) FILTER (reason IS NULL) AS succeeded,
+               count(*) FILTER (reason IS NOT NULL) AS failed, 0::BIGINT AS skipped FROM described"""),
+}
+
+# Dead letters
+
+LETTER_COLUMNS = f"""id, post_reference, failure_stage, failure_reason, retry_count, {stamp('created_at')} AS created_at,
+       {stamp('last_retry_at')} AS last_retry_at, resolved"""
+piece("outcomes", ["dlq", "raw_posts", "raw_summaries", "described"], """
+    SELECT id, failure_stage,
+           CASE failure_stage
+             WHEN 'ingestion' THEN CASE WHEN post_reference NOT IN (SELECT url FROM raw_posts)
+                 THEN 'Post not found in raw_blog_posts for URL: ' || post_reference END
+             WHEN 'generation' THEN CASE WHEN n IS NULL THEN bad_number
+                 WHEN n NOT IN (SELECT id FROM raw_posts) THEN 'Post ' || n || ' not found in mart_posts' END
+             WHEN 'summarization' THEN CASE WHEN n IS NULL THEN bad_number
+                 WHEN n NOT IN (SELECT id FROM raw_posts) THEN 'Post ' || n || ' not found in raw_blog_posts'
+                 ELSE (SELECT reason FROM described WHERE post_id = n) END
+             ELSE 'Unknown failure_stage: ''' || failure_stage || '''' END AS error
+    FROM (SELECT *, TRY_CAST(post_reference AS BIGINT) AS n,
+                 'invalid literal for int() with base 10: ''' || post_reference || '''' AS bad_number
+          FROM dlq WHERE NOT resolved)""")
+
+ORACLES |= {
+    "dlq_failures": query(["dlq"], f"""
+        SELECT {LETTER_COLUMNS} FROM dlq WHERE failure_stage = 'ingestion' AND NOT resolved"""),
+    "dlq_all_failures": query(["dlq"], f"SELECT {LETTER_COLUMNS} FROM dlq"),
+    "dlq_summary": query(["dlq"], """
+        SELECT failure_stage, count(*) AS unresolved, grouping(failure_stage)::INTEGER AS is_total
+        FROM dlq WHERE NOT resolved GROUP BY ROLLUP (failure_stage)"""),
+    "dlq_reprocess_counts": query(["outcomes"], """
+        SELECT failure_stage, count(*) AS attempted, count(*) FILTER (error IS NULL) AS succeeded,
+               count(error) AS failed FROM outcomes GROUP BY failure_stage"""),
+    "dlq_after_reprocess": query(["dlq", "outcomes"], f"""
+        SELECT {LETTER_COLUMNS} FROM (
+          SELECT d.* REPLACE (coalesce(o.error, d.failure_reason) AS failure_reason,
+                              (d.retry_count + (o.id IS NOT NULL)::INTEGER)::INTEGER AS retry_count,
+                              CASE WHEN o.id IS NOT NULL THEN {AS_OF} ELSE d.last_retry_at END AS last_retry_at,
+                              d.resolved OR (o.id IS NOT NULL AND o.error IS NULL) AS resolved)
+          FROM dlq AS d LEFT JOIN outcomes AS o ON d.id = o.id)"""),
+}
+
+# Notes
+
+piece("slugged", ["mart_posts"], f"""
+    SELECT * REPLACE (CASE WHEN shared THEN hashed ELSE base END AS slug,
+                      'posts/' || {title_slug('category')} || '/' || CASE WHEN shared THEN hashed ELSE base END || '.md' AS path)
+    FROM (SELECT *, count(*) OVER (PARTITION BY base) > 1 AS shared, '' AS slug, '' AS path,
+                 concat_ws('-', nullif({slug('title', 73)}, ''), left(md5(title), 6)) AS hashed
+          FROM (SELECT *, {title_slug('title')} AS base FROM mart_posts))""")
+
+
+def _post_note(rows: str) -> str:
+    none = "coalesce({}::VARCHAR, 'None')".format
+    return f"""
+    SELECT id, 'post' AS note_type, path, slug, 0::INTEGER AS part,
+           E'---\\nuid: ' || id || E'\\nsource: "[[' || {none('source_name')} || E']]"\\nauthor: "[[' || author_name
+           || E']]"\\ndate: ' || {none('publication_date')} || E'\\ntags: ['
+           || coalesce(array_to_string(tags, ', '), '') || E']\\ncategory: ' || {none('category')} || E'\\nurl: ' || url
+           || E'\\nstatus: "' || chr(92) || E'U0001F331 Seedling"\\n---\\n\\n# ' || title || E'\\n\\n## AI Summary\\n'
+           || coalesce(nullif(summary_text, ''), '_No summary available yet._') || E'\\n\\n## Topics\\n'
+           || CASE WHEN coalesce(len(tags), 0) = 0 THEN E'_No topics tagged yet._\\n'
+                   ELSE array_to_string(['- [[' || t || E']]\\n' FOR t IN tags], '') END
+           || E'\\n## Source\\n- Blog: [[' || {none('source_name')} || E']]\\n- Author: [[' || author_name
+           || E']]\\n- Original: [Read Full Post](' || url || E')\\n' AS content
+    FROM {rows}"""
+
+
+def _last_post(rows: str) -> str:
+    return (
+        f"(SELECT * FROM {rows} "
+        "QUALIFY row_number() OVER (PARTITION BY path ORDER BY publication_date ASC NULLS LAST, id DESC) = 1)"
+    )
+
+
+def _links(key: str, rows: str, size: int) -> str:
+    return f"""
+    SELECT {key} AS key, (nth // {size})::INTEGER AS part, string_agg('- [[' || title || E']]\\n', '' ORDER BY nth) AS links
+    FROM (SELECT {key}, title,
+                 row_number() OVER (PARTITION BY {key} ORDER BY publication_date DESC NULLS FIRST, id) - 1 AS nth
+          FROM {rows} WHERE {key} IS NOT NULL)
+    GROUP BY {key}, nth // {size}"""
+
+
+def _source_note(links: str) -> str:
+    return f"""
+    SELECT 'source' AS note_type, 'sources/' || slug || '.md' AS path, slug, coalesce(part, 0)::INTEGER AS part,
+           CASE WHEN coalesce(part, 0) > 0 THEN '' ELSE
+             E'---\\nname: ' || name || E'\\ncategory: ' || category || E'\\nrss_url: ' || rss_feed_url
+             || E'\\ntotal_post_count: ' || total_post_count || E'\\nstatus: ' || status || E'\\n---\\n\\n# ' || name
+             || E'\\n\\n## Source Info\\n- Category: ' || category || E'\\n- RSS Feed: ' || rss_feed_url
+             || E'\\n- Total Posts: ' || total_post_count || E'\\n- Latest Post: '
+             || coalesce(latest_post_date::VARCHAR, 'N/A') || E'\\n- Status: ' || status || E'\\n\\n## Posts\\n' END
+           || coalesce(links, E'_No posts from this source yet._\\n') AS content
+    FROM (SELECT *, {title_slug('name')} AS slug FROM mart_sources
+          QUALIFY row_number() OVER (PARTITION BY slug ORDER BY name DESC, id DESC) = 1) AS s
+    LEFT JOIN {links} AS l ON s.id = l.key"""
+
+
+piece("post_notes", ["slugged"], _post_note(_last_post("slugged")))
+piece("source_links", ["mart_posts"], _links("source_id", "mart_posts", 5000))
+piece("source_links_7", ["mart_posts"], _links("source_id", "mart_posts", 7))
+piece("author_links", ["mart_posts"], _links("author_id", "mart_posts", 5000))
+piece("source_notes", ["mart_sources", "source_links"], _source_note("source_links"))
+piece("author_slugs", ["mart_authors"], f"""
+    SELECT *, {title_slug('author_name')} AS slug FROM mart_authors
+    QUALIFY row_number() OVER (PARTITION BY slug ORDER BY author_name DESC) = 1""")
+piece("author_notes", ["author_slugs", "author_links", "mart_posts", "mart_sources"], f"""
+    SELECT 'author' AS note_type, 'authors/' || slug || '.md' AS path, slug, 0::INTEGER AS part,
+           E'---\\nname: ' || author_name || E'\\nprimary_category: ' || coalesce(primary_category, 'Uncategorized')
+           || E'\\npost_count: ' || post_count || E'\\n---\\n\\n# ' || author_name
+           || E'\\n\\n## Author Info\\n- Primary Category: ' || coalesce(primary_category, 'Uncategorized')
+           || E'\\n- Total Posts: ' || post_count
+           || E'\\n- First Seen: ' || coalesce({stamp('first_seen_at')} || '+00:00', 'None')
+           || E'\\n- Last Seen: ' || coalesce({stamp('last_seen_at')} || '+00:00', 'None')
+           || E'\\n\\n## Sources\\n' || coalesce(listed, E'_No sources linked._\\n')
+           || E'\\n## Posts\\n' || coalesce(links, E'_No posts by this author yet._\\n') AS content
+    FROM author_slugs AS a LEFT JOIN author_links AS l ON a.author_id = l.key
+    LEFT JOIN (SELECT author_id, string_agg('- [[' || name || E']]\\n', '' ORDER BY s.id) AS listed
+               FROM (SELECT DISTINCT author_id, source_id FROM mart_posts WHERE author_id IS NOT NULL) AS d
+               JOIN mart_sources AS s ON d.source_id = s.id GROUP BY author_id) AS n ON a.author_id = n.author_id""")
+piece("notes", ["post_notes", "source_notes", "author_notes"], """
+    SELECT note_type, path, slug, part, content FROM post_notes
+    UNION ALL SELECT * FROM source_notes UNION ALL SELECT * FROM author_notes""")
+NOTE_COLUMNS = "note_type, path, slug, part, content"
+
+# Front matter of the rendered notes by line, typed as far as these notes need it.
+YAML_WORDS = {"yes": "True", "on": "True", "true": "True", "no": "False", "off": "False", "false": "False", "null": "None"}
+WORDS = ", ".join(f"'{w}'" for w in YAML_WORDS)
+PRINTED = "CASE t " + " ".join(f"WHEN '{w}' THEN '{v}'" for w, v in YAML_WORDS.items()) + " END"
+
+
+def _tag_failures(rows: str) -> str:
+    return f"""
+    SELECT path, 'tags' AS field, 'tags[' || (i - 1) || '] is empty or not a string: ' || {PRINTED} AS reason
+    FROM (SELECT path, unnest(words) AS t, generate_subscripts(words, 1) AS i
+          FROM (SELECT path, [w FOR w IN string_split(regexp_extract(content, '\\ntags: \\[([^\\n]*)\\]\\n', 1), ', ')] AS words
+                FROM {rows} WHERE note_type = 'post'))
+    WHERE t IN ({WORDS})"""
+
+
+def _link_failures(rows: str, field: str) -> str:
+    target = f"regexp_extract(content, '\\n{field}: \"\\[\\[([^\\]|]*)[^\\n]*\\n', 1)"
+    return f"""
+    SELECT path, '{field}' AS field, 'Wikilink target ''[[' || target || ']]'' has no corresponding note in generated/' AS reason
+    FROM (SELECT path, trim({target}) AS target FROM {rows} WHERE note_type = 'post')
+    WHERE lower(target) <> 'unknown' AND {slug('target')} <> '' AND {slug('target')} NOT IN (SELECT slug FROM notes)"""
+
+
+piece("failures", ["notes"], f"""
+    {_tag_failures('notes')} UNION ALL {_link_failures('notes', 'source')} UNION ALL {_link_failures('notes', 'author')}""")
+piece("damaged", ["notes"], """
+    SELECT * REPLACE (CASE kind
+             WHEN 2 THEN regexp_replace(content, '\\ncategory: [^\\n]*', E'\\ncategory: ')
+             WHEN 3 THEN regexp_replace(content, '\\ntags: [^\\n]*', E'\\ntags: topic')
+             WHEN 4 THEN regexp_replace(content, '\\nsource: [^\\n]*', E'\\nsource: "[[Nowhere Land|home]]"')
+             ELSE content END AS content)
+    FROM (SELECT *, length(path) % 6 AS kind FROM notes)""")
+piece("whole", ["damaged"], "SELECT * FROM damaged WHERE kind > 1")
+
+ORACLES |= {
+    "posts_for_notes": query(["mart_posts"], """
+        SELECT id, source_id, source_name, category, title, url, author_name, author_id, publication_date, summary_text,
+               array_to_string(tags, ',') AS tags, difficulty_classification FROM mart_posts"""),
+    "sources_for_notes": query(["mart_sources"], f"""
+        SELECT id, name, category, rss_feed_url, status, {stamp('last_checked_at')} AS last_checked_at,
+               total_post_count, latest_post_date FROM mart_sources"""),
+    "authors_for_notes": ORACLES["mart_authors"],
+    "note_slugs": query(["slugged"], "SELECT id, title, category, slug, path FROM slugged"),
+    "overwritten_notes": query(["slugged"], """
+        SELECT path, count(*) - 1 AS overwritten FROM slugged GROUP BY path HAVING count(*) > 1"""),
+    "post_notes": query(["post_notes"], f"SELECT {NOTE_COLUMNS} FROM post_notes"),
+    "notes_for_posts": query(["dlq", "mart_posts"], f"""
+        , ids AS (SELECT DISTINCT TRY_CAST(post_reference AS BIGINT) AS id FROM dlq WHERE failure_stage = 'generation')
+        , plain AS (SELECT *, {title_slug('title')} AS slug,
+                           'posts/' || {title_slug('category')} || '/' || {title_slug('title')} || '.md' AS path
+                    FROM mart_posts WHERE id IN (SELECT id FROM ids WHERE id IS NOT NULL))
+        SELECT path, content FROM ({_post_note('plain')})
+        UNION ALL SELECT NULL, 'missing ' || id FROM ids
+        WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM mart_posts)"""),
+    "source_notes": query(["source_notes"], f"SELECT {NOTE_COLUMNS} FROM source_notes"),
+    "source_note_parts": query(["mart_sources", "source_links_7"], _source_note("source_links_7")),
+    "author_notes": query(["author_notes"], f"SELECT {NOTE_COLUMNS} FROM author_notes"),
+    "note_stats": query(["slugged", "mart_sources", "mart_authors"], f"""
+        SELECT coalesce(note_type, 'total') AS note_type, sum(n)::BIGINT AS generated, count(*) AS files
+        FROM (SELECT note_type, path, count(*) AS n
+              FROM (SELECT 'post' AS note_type, path FROM slugged
+                    UNION ALL SELECT 'source', {title_slug('name')} FROM mart_sources
+                    UNION ALL SELECT 'author', {title_slug('author_name')} FROM mart_authors)
+              GROUP BY note_type, path)
+        GROUP BY ROLLUP (note_type)"""),
+    "note_failures": query(["failures"], "SELECT path, field, reason FROM failures"),
+    "note_results": query(["notes", "failures"], """
+        SELECT n.path, n.note_type, coalesce(f.k, 0) = 0 AS passed, coalesce(f.k, 0) AS failures
+        FROM notes AS n LEFT JOIN (SELECT path, count(*) AS k FROM failures GROUP BY path) AS f ON n.path = f.path"""),
+    "note_check_summary": query(["notes", "failures"], """
+        SELECT count(*) AS total, count(*) FILTER (path NOT IN (SELECT path FROM failures)) AS passed,
+               count(*) FILTER (path IN (SELECT path FROM failures)) AS failed FROM notes"""),
+    "damaged_note_failures": query(["whole", "damaged"], f"""
+        SELECT path, 'frontmatter' AS field,
+               CASE kind WHEN 0 THEN 'Note does not begin with ''---'' frontmatter delimiter'
+                         ELSE 'Frontmatter block not properly closed with ''---''' END AS reason
+        FROM damaged WHERE kind < 2
+        UNION ALL SELECT path, 'category', 'Required field ''category'' is null in ' || note_type || ' note frontmatter'
+        FROM whole WHERE kind = 2 AND note_type <> 'author'
+        UNION ALL SELECT path, 'tags', '''tags'' must be a YAML list, got str' FROM whole
+        WHERE kind = 3 AND note_type = 'post'
+        UNION ALL {_tag_failures('whole')} UNION ALL {_link_failures('whole', 'source')}
+        UNION ALL {_link_failures('whole', 'author')}"""),
+    "changed_notes": query(["mart_posts", "earlier_posts", "mart_sources", "post_notes", "source_notes"], f"""
+        , old_posts AS MATERIALIZED (SELECT * FROM mart_posts WHERE id IN (SELECT id FROM earlier_posts))
+        , old_slugged AS MATERIALIZED ({PIECES['slugged'][1].replace('FROM mart_posts', 'FROM old_posts')})
+        , old_links AS MATERIALIZED ({_links('source_id', 'old_posts', 5000)})
+        , old_notes AS MATERIALIZED (
+            SELECT {NOTE_COLUMNS} FROM ({_post_note(_last_post('old_slugged'))}) UNION ALL {_source_note('old_links')})
+        , new_notes AS MATERIALIZED (SELECT {NOTE_COLUMNS} FROM post_notes UNION ALL SELECT * FROM source_notes)
+        SELECT coalesce(n.path, o.path) AS path,
+               CASE WHEN o.path IS NULL THEN 'added' WHEN n.path IS NULL THEN 'removed'
+                    WHEN n.content = o.content THEN 'unchanged' ELSE 'changed' END AS change
+        FROM new_notes AS n FULL JOIN old_notes AS o ON n.path = o.path"""),
+}

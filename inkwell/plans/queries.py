@@ -8,9 +8,22 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from inkwell.operators import (
+    dead_letters,
+    expectations,
+    ingest,
+    newsletter,
+    note_checks,
+    notes,
+    slugs,
+    source_admin,
+    summaries,
+)
 from inkwell.plans import candidates, marts, staging
-from inkwell.sources import tables
-from inkwell.sources.testdata import RawTables, as_of_column
+from inkwell.session import run_dir
+from inkwell.sources import feeds, pages, seeds, tables
+from inkwell.sources.testdata import SNAPSHOT_DAYS, RawTables, as_of_column
+from inkwell.streaming import ingest as stream
 
 ISSUES = [datetime(2024, 1, 8, 8), datetime(2024, 1, 15, 8), datetime(2024, 1, 22, 8), datetime(2024, 1, 29, 8),
           datetime(2024, 2, 5, 8)]
@@ -68,11 +81,250 @@ class Models(RawTables):
         return candidates.newsletter_candidates(self.mart_posts, self.mart_sources, self.as_of)
 
 
+    @cached_property
+    def ingested(self) -> ingest.Ingested:
+        return ingest.ingest_posts(self.entries(), self.earlier_posts(), [F.col("arrival")], self.as_of)
+
+    @cached_property
+    def parsed_feeds(self) -> feeds.ParsedFeeds:
+        return feeds.parse_feeds(self.feeds(), self.as_of)
+
+    @cached_property
+    def parsed_responses(self) -> DataFrame:
+        return summaries.parse_responses(summaries.normalize_envelopes(self.envelopes()))
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        """The text statistics of :func:`describe` for every post without a summary."""
+        todo = summaries.unsummarized_posts(self.posts(), self.summaries())
+        return summaries.summarize(todo, describe, max_concurrent=8)
+
+    @cached_property
+    def reprocessed(self) -> DataFrame:
+        posts, done = self.posts(), self.summaries()
+        jobs = {
+            dead_letters.INGESTION: dead_letters.ingestion_job(posts),
+            dead_letters.GENERATION: dead_letters.generation_job(self.mart_posts),
+            dead_letters.SUMMARIZATION: summaries.summarization_job(
+                posts, done, lambda rows: summaries.summarize(rows, describe, max_concurrent=8)
+            ),
+        }
+        return dead_letters.reprocess(self.dead_letters(), jobs)
+
+    @cached_property
+    def notes(self) -> DataFrame:
+        return notes.all_notes(self.mart_posts, self.mart_sources, self.mart_authors)
+
+    @cached_property
+    def damaged_notes(self) -> DataFrame:
+        """The notes with one of five kinds of damage, by the length of their path; a sixth stay whole."""
+        kind, text = F.length("path") % 6, F.col("content")
+        damaged = (
+            F.when(kind == 0, F.substring(text, 2, 1 << 30))
+            .when(kind == 1, F.substring_index(text, "\n---\n", 1))
+            .when(kind == 2, F.regexp_replace(text, "\ncategory: [^\n]*", "\ncategory: "))
+            .when(kind == 3, F.regexp_replace(text, "\ntags: [^\n]*", "\ntags: topic"))
+            .when(kind == 4, F.regexp_replace(text, "\nsource: [^\n]*", '\nsource: "[[Nowhere Land|home]]"'))
+            .otherwise(text)
+        )
+        return self.notes.withColumn("content", damaged)
+
+    @cached_property
+    def models(self) -> dict[str, DataFrame]:
+        return {
+            "raw_blog_posts": self.posts(), "stg_posts": self.stg_posts, "stg_authors": self.stg_authors,
+            "stg_summaries": self.stg_summaries, "mart_posts": self.mart_posts, "mart_authors": self.mart_authors,
+            "mart_sources": self.mart_sources, "mart_newsletter_candidates": self.candidates,
+        }
+
+    def issue_candidates(self) -> DataFrame:
+        return candidates.issue_candidates(self.mart_posts, self.mart_sources, ISSUES)
+
+
+def describe(prompt: str) -> str:
+    """A summarising function without a service: counts the words of the post it is asked about."""
+    import json
+
+    title, body = prompt.split("\n\nTitle: ", 1)[1].split("\n\nContent:\n", 1)
+    if not title:
+        raise ValueError("post has no title")
+    words = len(body.split(" "))
+    level = "beginner" if words < 100 else "intermediate" if words < 1000 else "advanced"
+    return json.dumps({"summary": f"{words} words", "tags": ["text", level], "difficulty": level})
+
+
 def register(build: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:
     QUERIES[build.__name__] = lambda spark, sf_dir: flat(build(Models(spark, sf_dir)))
     return build
 
 
+# Sources and their administration
+
+
+@register
+def active_sources(m: Models) -> DataFrame:
+    return tables.active_sources(m.catalogue())
+
+
+@register
+def source_by_id(m: Models) -> DataFrame:
+    return tables.source_by_id(m.catalogue(), 42)
+
+
+def _seed(m: Models) -> DataFrame:
+    """The catalogue written as a seed file, with every third source twice, and read back."""
+    path = run_dir(m.spark, "seed")
+    rows = m.catalogue().select(
+        F.concat(F.lit(" "), "name").alias("name"), F.concat("rss_feed_url", F.lit("  ")).alias("rss_feed_url"),
+        F.lit("https://example.com").alias("blog_url"), "category", "quality_rating",
+    )
+    rows.unionAll(rows.filter("quality_rating = 3")).write.option("header", True).option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return seeds.read_source_seed(m.spark, path)
+
+
+def _known_sources(m: Models) -> DataFrame:
+    return m.catalogue().filter(F.col("created_at") < F.date_sub(m.as_of.cast("date"), SNAPSHOT_DAYS))
+
+
+@register
+def source_seed(m: Models) -> DataFrame:
+    added = source_admin.seed_sources(_seed(m), _known_sources(m), [F.col("name")], m.as_of)
+    return added.select("rss_feed_url", "name", "category", "quality_rating", "status", "created_at")
+
+
+@register
+def source_seed_metrics(m: Models) -> DataFrame:
+    seed = _seed(m)
+    return source_admin.seed_metrics(seed, source_admin.seed_sources(seed, _known_sources(m), [F.col("name")], m.as_of))
+
+
+@register
+def add_sources(m: Models) -> DataFrame:
+    changed = source_admin.add_sources(m.source_requests(), m.catalogue(), "request_id", m.as_of)
+    return changed.outcomes.select("request_id", "action", "reason")
+
+
+@register
+def added_sources(m: Models) -> DataFrame:
+    changed = source_admin.add_sources(m.source_requests(), m.catalogue(), "request_id", m.as_of)
+    return changed.table.select("rss_feed_url", "name", "category", "quality_rating", "status", "updated_at")
+
+
+def _status_ids(m: Models) -> DataFrame:
+    return m.table("orders").filter("o_orderstatus = 'P'").select((F.col("o_custkey") + 100).alias("id"))
+
+
+@register
+def deactivate_sources(m: Models) -> DataFrame:
+    return source_admin.set_status(m.catalogue(), _status_ids(m), False, m.as_of).table
+
+
+@register
+def activate_sources_outcomes(m: Models) -> DataFrame:
+    return source_admin.set_status(m.catalogue(), _status_ids(m), True, m.as_of).outcomes
+
+
+@register
+def update_sources(m: Models) -> DataFrame:
+    return source_admin.update_sources(m.catalogue(), m.source_changes(), m.as_of).table
+
+
+@register
+def update_sources_outcomes(m: Models) -> DataFrame:
+    return source_admin.update_sources(m.catalogue(), m.source_changes(), m.as_of).outcomes
+
+
+@register
+def touch_last_checked(m: Models) -> DataFrame:
+    ids = m.feeds().select(F.col("source_id").alias("id"))
+    return source_admin.touch_last_checked(m.sources(), ids, m.as_of)
+
+
+# Feeds, pages, ingestion
+
+
+@register
+def feed_entries(m: Models) -> DataFrame:
+    return m.parsed_feeds.entries
+
+
+@register
+def feed_status(m: Models) -> DataFrame:
+    return m.parsed_feeds.status
+
+
+@register
+def feed_failures(m: Models) -> DataFrame:
+    return m.parsed_feeds.failures.drop("id")
+
+
+@register
+def page_cards(m: Models) -> DataFrame:
+    return pages.extract_cards(m.card_pages(), "https://blog.example.com")
+
+
+@register
+def page_entries(m: Models) -> DataFrame:
+    return pages.extract_entries(m.entry_pages(), "https://blog.example.com")
+
+
+@register
+def page_descriptions(m: Models) -> DataFrame:
+    return pages.first_paragraphs(m.pages(), r"<article(?:\s[^>]*)?>", "</article>")
+
+
+@register
+def ingest_dedup(m: Models) -> DataFrame:
+    return m.ingested.inserted.drop("id")
+
+
+@register
+def ingest_failures(m: Models) -> DataFrame:
+    return m.ingested.failures.drop("id")
+
+
+@register
+def ingest_metrics(m: Models) -> DataFrame:
+    return m.ingested.metrics
+
+
+@register
+def run_metrics(m: Models) -> DataFrame:
+    return ingest.run_metrics(m.ingested.metrics, tables.active_sources(m.sources()), m.feeds())
+
+
+@register
+def backfill_filter(m: Models) -> DataFrame:
+    return ingest.recent_entries(m.entries(), m.as_of, max_age_days=7)
+
+
+@register
+def backfill_counts(m: Models) -> DataFrame:
+    return ingest.age_filter_counts(m.entries(), m.as_of, max_age_days=7)
+
+
+@register
+def stream_ingest(m: Models) -> DataFrame:
+    """Documents arrive as a file stream; the posts table starts with the earlier posts."""
+    base = run_dir(m.spark, "stream")
+    posts_path, letters_path = f"{base}/posts", f"{base}/dead_letters"
+    stream.create_tables(m.spark, m.earlier_posts(), posts_path, letters_path)
+    schema = m.table("documents").schema
+    documents = m.spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(m.sf_dir)
+    query = stream.start_ingest(
+        m.entries(documents), posts_path, letters_path, f"{base}/progress", [F.col("arrival")], m.as_of, max_age_days=7
+    )
+    query.awaitTermination()
+    return stream.read_posts(m.spark, posts_path).select(
+        "source_id", "title", "url", "publication_date", "author_name", "created_at"
+    )
+
+
+# Staging, marts, quality
+
+
 @register
 def stg_posts(m: Models) -> DataFrame:
     return m.stg_posts
@@ -125,3 +377,210 @@ def newsletter_issues(m: Models) -> DataFrame:
     return candidates.issue_candidates(m.mart_posts, m.mart_sources, ISSUES).select(
         "issue_at", "issue_rank", "post_id", "title", "category", "publication_date", "rank_score", "category_rank"
     )
+
+
+@register
+def newsletter_document(m: Models) -> DataFrame:
+    return newsletter.newsletters(m.candidates.withColumn("issue_at", m.as_of))
+
+
+@register
+def newsletter_documents(m: Models) -> DataFrame:
+    return newsletter.newsletters(m.issue_candidates())
+
+
+@register
+def quality_report(m: Models) -> DataFrame:
+    return expectations.run_expectations(m.models)
+
+
+@register
+def duplicate_entry_urls(m: Models) -> DataFrame:
+    return expectations.duplicates(m.entries(), "url")
+
+
+@register
+def duplicate_author_names(m: Models) -> DataFrame:
+    return expectations.duplicates(m.stg_authors, "author_name")
+
+
+@register
+def orphan_summaries(m: Models) -> DataFrame:
+    return expectations.orphans(m.stg_summaries, m.mart_posts, "post_id", "id").select("id", "post_id")
+
+
+# Summaries
+
+
+@register
+def unsummarized_posts(m: Models) -> DataFrame:
+    return summaries.unsummarized_posts(m.posts(), m.summaries())
+
+
+@register
+def post_status(m: Models) -> DataFrame:
+    ids = m.table("events").select(F.col("event_id").alias("id"))
+    return summaries.lookup_status(ids, m.posts(), m.summaries())
+
+
+@register
+def prompts(m: Models) -> DataFrame:
+    return m.posts().select("id", summaries.prompt(F.col("title"), F.col("body")).alias("prompt"))
+
+
+@register
+def response_envelopes(m: Models) -> DataFrame:
+    return summaries.normalize_envelopes(m.envelopes()).select(
+        "post_id",
+        F.get_json_object("raw_api_response", "$.id").alias("response_id"),
+        F.get_json_object("raw_api_response", "$.model").alias("model"),
+        F.get_json_object("raw_api_response", "$.usage.input_tokens").cast("long").alias("input_tokens"),
+        F.get_json_object("raw_api_response", "$.usage.output_tokens").cast("long").alias("output_tokens"),
+        (F.get_json_object("raw_api_response", "$.content[0]") == F.col("response_text")).alias("same_text"),
+    )
+
+
+@register
+def summary_parse(m: Models) -> DataFrame:
+    return m.parsed_responses.select("post_id", "summary_text", "tags", "difficulty_classification", "reason")
+
+
+@register
+def summary_store(m: Models) -> DataFrame:
+    known = m.summaries().filter(F.col("created_at") < F.date_sub(m.as_of.cast("date"), SNAPSHOT_DAYS))
+    return summaries.store_summaries(m.parsed_responses, known, m.as_of).inserted.drop("id", "raw_api_response")
+
+
+@register
+def summary_failures(m: Models) -> DataFrame:
+    return summaries.store_summaries(m.parsed_responses, m.summaries(), m.as_of).failures.drop("id")
+
+
+@register
+def summarize_posts(m: Models) -> DataFrame:
+    return m.attempts.select("post_id", "summary_text", "tags", "difficulty_classification", "reason")
+
+
+@register
+def processing_result(m: Models) -> DataFrame:
+    return summaries.processing_result(summaries.store_summaries(m.attempts, m.summaries(), m.as_of).outcomes)
+
+
+# Dead letters
+
+
+@register
+def dlq_failures(m: Models) -> DataFrame:
+    return dead_letters.list_failures(m.dead_letters(), dead_letters.INGESTION)
+
+
+@register
+def dlq_all_failures(m: Models) -> DataFrame:
+    return dead_letters.list_failures(m.dead_letters(), include_resolved=True)
+
+
+@register
+def dlq_summary(m: Models) -> DataFrame:
+    return dead_letters.failure_summary(m.dead_letters())
+
+
+@register
+def dlq_reprocess_counts(m: Models) -> DataFrame:
+    return dead_letters.reprocess_counts(m.reprocessed)
+
+
+@register
+def dlq_after_reprocess(m: Models) -> DataFrame:
+    return dead_letters.apply_outcomes(m.dead_letters(), m.reprocessed, m.as_of)
+
+
+# Notes
+
+
+@register
+def posts_for_notes(m: Models) -> DataFrame:
+    return tables.posts_for_notes(m.mart_posts)
+
+
+@register
+def sources_for_notes(m: Models) -> DataFrame:
+    return tables.sources_for_notes(m.mart_sources)
+
+
+@register
+def authors_for_notes(m: Models) -> DataFrame:
+    return tables.authors_for_notes(m.mart_authors)
+
+
+@register
+def note_slugs(m: Models) -> DataFrame:
+    return slugs.post_slugs(m.mart_posts.select("id", "title", "category"))
+
+
+@register
+def overwritten_notes(m: Models) -> DataFrame:
+    return slugs.overwritten(slugs.post_slugs(m.mart_posts.select("id", "title", "category")))
+
+
+@register
+def post_notes(m: Models) -> DataFrame:
+    return notes.post_notes(m.mart_posts)
+
+
+@register
+def notes_for_posts(m: Models) -> DataFrame:
+    ids = m.dead_letters().filter("failure_stage = 'generation'").select(
+        F.expr("try_cast(post_reference AS BIGINT)").alias("id")
+    ).filter("id is not null")
+    rendered, missing = notes.post_notes_for(ids, m.mart_posts)
+    lost = missing.select(F.lit(None).cast("string").alias("path"), F.concat(F.lit("missing "), "id").alias("content"))
+    return rendered.select("path", "content").unionByName(lost)
+
+
+@register
+def source_notes(m: Models) -> DataFrame:
+    return notes.source_notes(m.mart_sources, m.mart_posts)
+
+
+@register
+def source_note_parts(m: Models) -> DataFrame:
+    return notes.source_notes(m.mart_sources, m.mart_posts, links_per_part=7)
+
+
+@register
+def author_notes(m: Models) -> DataFrame:
+    return notes.author_notes(m.mart_authors, m.mart_posts, m.mart_sources)
+
+
+@register
+def note_stats(m: Models) -> DataFrame:
+    return notes.note_stats(m.mart_posts, m.mart_sources, m.mart_authors)
+
+
+@register
+def note_failures(m: Models) -> DataFrame:
+    return note_checks.note_failures(m.notes)
+
+
+@register
+def note_results(m: Models) -> DataFrame:
+    return note_checks.check_notes(m.notes).results
+
+
+@register
+def note_check_summary(m: Models) -> DataFrame:
+    return note_checks.check_notes(m.notes).summary
+
+
+@register
+def damaged_note_failures(m: Models) -> DataFrame:
+    return note_checks.note_failures(m.damaged_notes)
+
+
+@register
+def changed_notes(m: Models) -> DataFrame:
+    """Today's notes against those published when the posts table was younger."""
+    earlier = m.mart_posts.join(m.earlier_posts().select("id"), "id", "left_semi")
+    old = notes.post_notes(earlier).unionByName(notes.source_notes(m.mart_sources, earlier))
+    new = notes.post_notes(m.mart_posts).unionByName(notes.source_notes(m.mart_sources, m.mart_posts))
+    return notes.changed_notes(new, old)

@@ -32,21 +32,21 @@ ENTRIES = (
 NOTES = "note_type STRING, path STRING, slug STRING, part INT, content STRING"
 
 # Feed documents. Only the elements that the entry columns are made of are declared, so the parser
-# skips everything else. Namespaced names lose their prefix (option ignoreNamespace).
-# ``author`` is mixed: plain text in RSS, <name> inside in Atom.
-RSS_ITEM = (
-    "STRUCT<title: STRING, link: ARRAY<STRING>, encoded: STRING, summary: STRING, description: STRING, "
-    "author: STRING, creator: STRING, pubDate: STRING, date: STRING, updated: STRING>"
-)
-RSS_CHANNEL = f"channel STRUCT<item: ARRAY<{RSS_ITEM}>>"
-ATOM_TEXT = "STRUCT<_VALUE: STRING, _type: STRING>"
-ATOM_ENTRY = (
-    f"STRUCT<title: {ATOM_TEXT}, link: ARRAY<STRUCT<_href: STRING, _rel: STRING>>, content: ARRAY<{ATOM_TEXT}>, "
-    f"summary: {ATOM_TEXT}, author: ARRAY<STRUCT<name: STRING>>, published: STRING, updated: STRING>"
-)
-ATOM_FEED = f"entry ARRAY<{ATOM_ENTRY}>"
+# skips everything else. Namespaced names lose their prefix (option ignoreNamespace), and an element
+# read as STRING keeps its inner markup. A damaged document is kept in _corrupt_record.
+GUID = "STRUCT<_VALUE: STRING, _isPermaLink: STRING>"
+RSS_ITEM_FIELDS = (
+    f"title STRING, link ARRAY<STRING>, guid {GUID}, encoded STRING, summary STRING, description STRING, "
+    "author STRING, creator STRING, pubDate STRING, date STRING, updated STRING"
+)
+RSS_FEED = f"channel STRUCT<item: ARRAY<STRUCT<{RSS_ITEM_FIELDS}>>>, _corrupt_record STRING"
+ATOM_ENTRY_FIELDS = (
+    "title STRING, link ARRAY<STRUCT<_href: STRING, _rel: STRING>>, content ARRAY<STRING>, summary STRING, "
+    "author ARRAY<STRUCT<name: STRING>>, published STRING, updated STRING"
+)
+ATOM_FEED = f"entry ARRAY<STRUCT<{ATOM_ENTRY_FIELDS}>>, _corrupt_record STRING"
 JSON_FEED = (
     "items ARRAY<STRUCT<url: STRING, external_url: STRING, title: STRING, content_html: STRING, "
     "content_text: STRING, summary: STRING, date_published: STRING, date_modified: STRING, "
-    "author: STRUCT<name: STRING>, authors: ARRAY<STRUCT<name: STRING>>>>"
+    "author: STRUCT<name: STRING>, authors: ARRAY<STRUCT<name: STRING>>>>, _corrupt_record STRING"
 )

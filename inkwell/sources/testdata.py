@@ -24,6 +24,17 @@ def _before(hours: Column) -> Column:
     return F.timestamp_seconds(F.unix_timestamp(as_of_column()) - hours * 3600)
 
 
+def _escaped(name: str) -> Column:
+    """Column text for use in markup."""
+    text = F.replace(F.col(name), F.lit("&"), F.lit("&amp;"))
+    return F.replace(F.replace(text, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _element(name: str, text: Column) -> Column:
+    """An element, or nothing where the text is NULL."""
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), text, F.lit(f"</{name}>")), F.lit(""))
+
+
 class RawTables:
     """Raw tables over one test-data directory."""
 
@@ -50,8 +61,12 @@ class RawTables:
             _before(key * 24).alias("updated_at"),
         )
 
-    def entries(self) -> DataFrame:
-        """One feed entry per document, with ``arrival`` giving the order in which entries came in."""
+    def entries(self, documents: DataFrame | None = None) -> DataFrame:
+        """One feed entry per document, with ``arrival`` giving the order in which entries came in.
+
+        ``documents`` may be a stream of the table instead.
+        """
+        documents = self.table("documents") if documents is None else documents
         doc = F.col("doc_id")
         name = F.col("p_name")
         author = (
@@ -61,7 +76,7 @@ class RawTables:
             .otherwise(F.concat(name, F.lit("  ")))
         )
         published = F.when(doc % 17 != 0, _before(doc % 14 * 24 + doc % 24))
-        joined = self.table("documents").join(self.table("part"), F.col("p_partkey") == doc % 50, "left")
+        joined = documents.join(self.table("part"), F.col("p_partkey") == doc % 50, "left")
         return joined.select(
             doc.alias("arrival"),
             F.regexp_extract("source", r"([0-9]+)$", 1).cast("long").alias("source_id"),
@@ -127,3 +142,148 @@ class RawTables:
 
     def pages(self) -> DataFrame:
         return self.table("pages")
+
+    def feeds(self) -> DataFrame:
+        """Feed documents of up to 100 entries each, in turn RSS, Atom and JSON; some are cut off before
+        their last entry ends. Sources without entries have no payload or no feed row at all."""
+        entries = self.entries().withColumn("batch", F.expr("arrival div 100"))
+        url, title, body, author = (_escaped(c) for c in ("url", "title", "body", "author_name"))
+        published = F.col("publication_date")
+        rss = F.concat(
+            F.lit("<item><title>"), title, F.lit("</title><link>"), url, F.lit("</link><description>"), body,
+            F.lit("</description>"), _element("author", author),
+            _element("pubDate", F.date_format(published, "EEE, d MMM yyyy HH:mm:ss 'GMT'")), F.lit("</item>"),
+        )
+        atom = F.concat(
+            F.lit("<entry><title>"), title, F.lit('</title><link rel="self" href="self"/><link href="'), url,
+            F.lit('"/><content type="html">'), body, F.lit("</content>"),
+            F.coalesce(F.concat(F.lit("<author><name>"), author, F.lit("</name></author>")), F.lit("")),
+            _element("published", F.date_format(published, "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.lit("</entry>"),
+        )
+        json = F.to_json(F.struct(
+            "title", "url", F.col("body").alias("content_text"),
+            F.when(F.col("author_name").isNotNull(), F.array(F.struct(F.col("author_name").alias("name")))).alias("authors"),
+            F.date_format(published, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("date_published"),
+        ))
+        kind = F.col("batch") % 3
+        item = F.when(kind == 0, rss).when(kind == 1, atom).otherwise(json)
+        grouped = entries.select("source_id", "batch", F.struct("arrival", item.alias("item")).alias("e")).groupBy(
+            "source_id", "batch"
+        ).agg(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["item"]).alias("items"))
+        whole = (
+            F.when(kind == 0, F.concat(F.lit('<rss version="2.0"><channel><title>t</title>'),
+                                       F.array_join("items", ""), F.lit("</channel></rss>")))
+            .when(kind == 1, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>'),
+                                      F.array_join("items", ""), F.lit("</feed>")))
+            .otherwise(F.concat(F.lit('{"title": "t", "items": ['), F.array_join("items", ", "), F.lit("]}")))
+        )
+        tail = F.when(kind == 0, len("</item></channel></rss>")).when(kind == 1, len("</entry></feed>")).otherwise(2)
+        payload = F.when(F.col("batch") % 4 == 0, F.left(whole, F.length(whole) - tail)).otherwise(whole)
+        fetched = grouped.select("source_id", "batch", payload.alias("payload"))
+        silent = self.sources().select(F.col("id").alias("source_id")).join(
+            entries.select("source_id").distinct(), "source_id", "left_anti"
+        ).filter("source_id % 2 = 0").select("source_id", F.lit(0).alias("batch"), F.lit(None).cast("string").alias("payload"))
+        return fetched.unionByName(silent).select(
+            "source_id",
+            F.concat(F.lit("https://src"), "source_id", F.lit(".example.com/feed")).alias("rss_feed_url"),
+            _before(F.col("batch")).alias("fetched_at"),
+            "payload",
+        )
+
+    def _listing(self, item: Column) -> DataFrame:
+        """Listing pages of up to 25 entries per source; page_id numbers them."""
+        entries = self.entries().withColumn("batch", F.expr("arrival div 500"))
+        grouped = entries.select("source_id", "batch", F.struct("arrival", item.alias("item")).alias("e")).groupBy(
+            "source_id", "batch"
+        ).agg(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["item"]).alias("items"))
+        page_id = F.col("batch") * 100 + F.col("source_id")
+        html = F.concat(F.lit('<html><body><a class="logo" href="/">Blog</a><p>All posts</p><ul>'),
+                        F.array_join("items", "\n"), F.lit("</ul></body></html>"))
+        return grouped.select(page_id.alias("page_id"), html.alias("html"))
+
+    def card_pages(self) -> DataFrame:
+        label = F.concat(F.lit('<div aria-label="Avatar of '), _escaped("author_name"), F.lit('"></div>'))
+        return self._listing(F.concat(
+            F.lit('<article><a class="card-title" href="/post/'), F.md5("url"), F.lit('?a=1&amp;b=2">'), _escaped("title"),
+            F.lit('</a><div class="avatars">'), F.coalesce(label, F.lit("")), F.lit("</div>"),
+            _element("p", F.date_format("publication_date", "yyyy-MM-dd")),
+            F.lit('<div class="prose"><!-- lead --><b> '), _escaped("body"), F.lit(" </b></div></article>"),
+        ))
+
+    def entry_pages(self) -> DataFrame:
+        article = F.concat(
+            F.lit("<article>"), _element("time", F.date_format("publication_date", "yyyy-MM-dd")),
+            F.lit('<h2><a href="/post/'), F.md5("url"), F.lit('">'), _escaped("title"), F.lit("</a></h2></article>"),
+        )
+        inside = F.when(F.col("arrival") % 10 == 0, F.lit("<p>draft</p>")).otherwise(article)
+        return self._listing(F.concat(F.lit('<li class="wide blog-entry">'), inside, F.lit("</li>")))
+
+    def envelopes(self) -> DataFrame:
+        """Provider messages for the labelled documents, in two layouts; some answers break a rule."""
+        doc = F.col("doc_id")
+        case = doc % 12
+        good = F.to_json(F.struct(
+            F.col("text").alias("summary"), F.array(F.lit("topic"), F.col("lang")).alias("tags"),
+            F.lit("beginner").alias("difficulty"),
+        ))
+        answer = (
+            F.when(case == 1, F.left(good, F.length(good) - 1))
+            .when(case == 2, '{"summary": 5, "tags": ["a"], "difficulty": "beginner"}')
+            .when(case == 3, '{"summary": "s", "tags": [], "difficulty": "beginner"}')
+            .when(case == 4, '{"summary": "s", "tags": ["a"], "difficulty": "expert"}')
+            .when(case == 5, '["summary"]')
+            .when(case == 6, '{"summary": "s", "tags": [1, true, null, "x"], "difficulty": "advanced"}')
+            .when(case == 7, '{"summary": "s", "tags": ["a"]}')
+            .otherwise(good)
+        )
+        usage = F.struct(F.length("text").cast("long").alias("input_tokens"), F.lit(7).cast("long").alias("output_tokens"))
+        message = F.struct(
+            F.concat(F.lit("msg-"), doc).alias("id"), F.lit("m1").alias("model"),
+            F.array(F.struct(F.lit("text").alias("type"), answer.alias("text"))).alias("content"), usage.alias("usage"),
+        )
+        choice = F.struct(
+            F.concat(F.lit("cmpl-"), doc).alias("id"), F.lit("m2").alias("model"),
+            F.array(F.struct(F.struct(answer.alias("content")).alias("message"))).alias("choices"),
+        )
+        joined = self.table("labels").join(self.table("documents"), "doc_id")
+        return joined.select(
+            doc.alias("post_id"), F.when(doc % 2 == 0, F.to_json(message)).otherwise(F.to_json(choice)).alias("envelope")
+        )
+
+    def catalogue(self) -> DataFrame:
+        """A longer list of sources, one per customer."""
+        key = F.col("c_custkey")
+        return self.table("customer").select(
+            key.alias("id"),
+            F.concat(F.lit("https://blog"), key, F.lit(".example.com/feed")).alias("rss_feed_url"),
+            F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("category"),
+            (1 + key % 5).cast("int").alias("quality_rating"),
+            F.when(key % 7 == 6, "inactive").otherwise("active").alias("status"),
+            _before(key % 6 * 24).alias("last_checked_at"),
+            _before(key % 30 * 24).alias("created_at"),
+            _before(key % 30 * 24).alias("updated_at"),
+        )
+
+    def source_requests(self) -> DataFrame:
+        """Requests to add sources, one per order; many repeat a feed URL or break a rule."""
+        key, customer = F.col("o_orderkey"), F.col("o_custkey")
+        return self.table("orders").select(
+            key.alias("request_id"),
+            F.when(key % 13 == 0, "\t ").otherwise(
+                F.concat(F.lit("https://blog"), customer * 2, F.lit(".example.com/feed"))
+            ).alias("rss_feed_url"),
+            F.when(key % 17 == 0, "").otherwise(F.concat(F.lit("Blog "), customer)).alias("name"),
+            F.when(key % 19 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("category"),
+            (key % 12).cast("int").alias("quality_rating"),
+        )
+
+    def source_changes(self) -> DataFrame:
+        """Update requests, one per customer with orders; some name no known source or break a rule."""
+        latest = self.table("orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("k"))
+        key = F.col("k")
+        return latest.select(
+            (F.col("o_custkey") + 100).alias("id"),
+            F.when(key % 5 == 0, "  ").when(key % 5 == 1, F.concat(F.lit("Renamed "), key)).alias("name"),
+            F.when(key % 4 == 0, (key % 12).cast("int")).when(key % 4 == 1, 9).alias("quality_rating"),
+        )
