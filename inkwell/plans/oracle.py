@@ -766,3 +766,10 @@ ORACLES |= {
                     WHEN n.content = o.content THEN 'unchanged' ELSE 'changed' END AS change
         FROM new_notes AS n FULL JOIN old_notes AS o ON n.path = o.path"""),
 }
+
+ORACLES |= {
+    "weekly_run": ORACLES["newsletter_document"],
+    "retry_run": query(["outcomes"], """
+        SELECT failure_stage, count(*) AS attempted, count(*) FILTER (error IS NULL) AS succeeded, count(error) AS failed
+        FROM outcomes WHERE failure_stage IN ('summarization', 'generation') GROUP BY failure_stage"""),
+}

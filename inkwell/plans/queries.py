@@ -19,10 +19,10 @@ from inkwell.operators import (
     source_admin,
     summaries,
 )
-from inkwell.plans import candidates, marts, staging
+from inkwell.plans import candidates, marts, runs, staging
 from inkwell.session import run_dir
 from inkwell.sources import feeds, pages, seeds, tables
-from inkwell.sources.testdata import SNAPSHOT_DAYS, RawTables, as_of_column
+from inkwell.sources.testdata import SNAPSHOT_DAYS, TABLES, RawTables, as_of_column
 from inkwell.streaming import ingest as stream
 
 ISSUES = [datetime(2024, 1, 8, 8), datetime(2024, 1, 15, 8), datetime(2024, 1, 22, 8), datetime(2024, 1, 29, 8),
@@ -111,9 +111,25 @@ class Models(RawTables):
         }
         return dead_letters.reprocess(self.dead_letters(), jobs)
 
+    @cached_property
+    def store(self) -> runs.Store:
+        return runs.Store(self.sources(), self.posts(), self.summaries(), self.dead_letters())
+
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        """The marts as written tables, the way notes and checks read them."""
+        return runs.build_marts(self.store, run_dir(self.spark, "marts"))
+
     @cached_property
     def notes(self) -> DataFrame:
-        return notes.all_notes(self.mart_posts, self.mart_sources, self.mart_authors)
+        path = run_dir(self.spark, "notes")
+        rendered = notes.all_notes(*self.note_tables)
+        notes.write_notes(rendered, path)
+        return self.spark.read.schema(rendered.schema).parquet(path)
+
+    @property
+    def note_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.tables["mart_posts"], self.tables["mart_sources"], self.tables["mart_authors"]
 
     @cached_property
     def damaged_notes(self) -> DataFrame:
@@ -131,11 +147,9 @@ class Models(RawTables):
 
     @cached_property
     def models(self) -> dict[str, DataFrame]:
-        return {
-            "raw_blog_posts": self.posts(), "stg_posts": self.stg_posts, "stg_authors": self.stg_authors,
-            "stg_summaries": self.stg_summaries, "mart_posts": self.mart_posts, "mart_authors": self.mart_authors,
-            "mart_sources": self.mart_sources, "mart_newsletter_candidates": self.candidates,
-        }
+        posts, sources, _ = self.note_tables
+        issue = {"mart_newsletter_candidates": candidates.newsletter_candidates(posts, sources, self.as_of)}
+        return {"raw_blog_posts": self.posts(), **runs.build_models(self.store), **self.tables, **issue}
 
     def issue_candidates(self) -> DataFrame:
         return candidates.issue_candidates(self.mart_posts, self.mart_sources, ISSUES)
@@ -247,7 +261,7 @@ def touch_last_checked(m: Models) -> DataFrame:
 
 @register
 def feed_entries(m: Models) -> DataFrame:
-    return m.parsed_feeds.entries
+    return m.parsed_feeds.entries.drop("fetched_at", "position")
 
 
 @register
@@ -311,7 +325,7 @@ def stream_ingest(m: Models) -> DataFrame:
     base = run_dir(m.spark, "stream")
     posts_path, letters_path = f"{base}/posts", f"{base}/dead_letters"
     stream.create_tables(m.spark, m.earlier_posts(), posts_path, letters_path)
-    schema = m.table("documents").schema
+    schema = TABLES["documents"]
     documents = m.spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(m.sf_dir)
     query = stream.start_ingest(
         m.entries(documents), posts_path, letters_path, f"{base}/progress", [F.col("arrival")], m.as_of, max_age_days=7
@@ -514,17 +528,17 @@ def authors_for_notes(m: Models) -> DataFrame:
 
 @register
 def note_slugs(m: Models) -> DataFrame:
-    return slugs.post_slugs(m.mart_posts.select("id", "title", "category"))
+    return slugs.post_slugs(m.tables["mart_posts"].select("id", "title", "category"))
 
 
 @register
 def overwritten_notes(m: Models) -> DataFrame:
-    return slugs.overwritten(slugs.post_slugs(m.mart_posts.select("id", "title", "category")))
+    return slugs.overwritten(slugs.post_slugs(m.tables["mart_posts"].select("id", "title", "category")))
 
 
 @register
 def post_notes(m: Models) -> DataFrame:
-    return notes.post_notes(m.mart_posts)
+    return notes.post_notes(m.tables["mart_posts"])
 
 
 @register
@@ -532,29 +546,32 @@ def notes_for_posts(m: Models) -> DataFrame:
     ids = m.dead_letters().filter("failure_stage = 'generation'").select(
         F.expr("try_cast(post_reference AS BIGINT)").alias("id")
     ).filter("id is not null")
-    rendered, missing = notes.post_notes_for(ids, m.mart_posts)
+    rendered, missing = notes.post_notes_for(ids, m.tables["mart_posts"])
     lost = missing.select(F.lit(None).cast("string").alias("path"), F.concat(F.lit("missing "), "id").alias("content"))
     return rendered.select("path", "content").unionByName(lost)
 
 
 @register
 def source_notes(m: Models) -> DataFrame:
-    return notes.source_notes(m.mart_sources, m.mart_posts)
+    posts, sources, _ = m.note_tables
+    return notes.source_notes(sources, posts)
 
 
 @register
 def source_note_parts(m: Models) -> DataFrame:
-    return notes.source_notes(m.mart_sources, m.mart_posts, links_per_part=7)
+    posts, sources, _ = m.note_tables
+    return notes.source_notes(sources, posts, links_per_part=7)
 
 
 @register
 def author_notes(m: Models) -> DataFrame:
-    return notes.author_notes(m.mart_authors, m.mart_posts, m.mart_sources)
+    posts, sources, authors = m.note_tables
+    return notes.author_notes(authors, posts, sources)
 
 
 @register
 def note_stats(m: Models) -> DataFrame:
-    return notes.note_stats(m.mart_posts, m.mart_sources, m.mart_authors)
+    return notes.note_stats(*m.note_tables)
 
 
 @register
@@ -580,7 +597,31 @@ def damaged_note_failures(m: Models) -> DataFrame:
 @register
 def changed_notes(m: Models) -> DataFrame:
     """Today's notes against those published when the posts table was younger."""
-    earlier = m.mart_posts.join(m.earlier_posts().select("id"), "id", "left_semi")
-    old = notes.post_notes(earlier).unionByName(notes.source_notes(m.mart_sources, earlier))
-    new = notes.post_notes(m.mart_posts).unionByName(notes.source_notes(m.mart_sources, m.mart_posts))
+    posts, sources, _ = m.note_tables
+    earlier = posts.join(m.earlier_posts().select("id"), "id", "left_semi")
+    old = notes.post_notes(earlier).unionByName(notes.source_notes(sources, earlier))
+    new = notes.post_notes(posts).unionByName(notes.source_notes(sources, posts))
     return notes.changed_notes(new, old)
+
+
+# Whole runs
+
+
+@register
+def daily_run(m: Models) -> DataFrame:
+    """The report of a daily run that starts from the earlier posts and today's feeds."""
+    store = m.store._replace(posts=m.earlier_posts())
+    return runs.run_daily(store, m.feeds(), run_dir(m.spark, "daily"), m.as_of, describe, max_concurrent=8).report
+
+
+@register
+def weekly_run(m: Models) -> DataFrame:
+    posts, sources, _ = m.note_tables
+    return runs.run_weekly(posts, sources, run_dir(m.spark, "weekly"), m.as_of)["newsletter"]
+
+
+@register
+def retry_run(m: Models) -> DataFrame:
+    """Counts of a retry of two stages."""
+    stages = [dead_letters.SUMMARIZATION, dead_letters.GENERATION]
+    return runs.run_retry(m.store, m.mart_posts, run_dir(m.spark, "retry"), m.as_of, describe, stages).report

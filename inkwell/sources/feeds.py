@@ -18,11 +18,16 @@ MISSING, OK, DAMAGED, FAILED = "missing", "ok", "damaged", "failed"
 
 
 class ParsedFeeds(NamedTuple):
-    entries: DataFrame  # source_id, title, body, url, publication_date, author_name
+    entries: DataFrame  # source_id, fetched_at, position in the feed, title, body, url, publication_date, author_name
     failures: DataFrame  # rows for the dead-letter table: one per feed that gave nothing
     status: DataFrame  # source_id, fetched_at, format, feed_status, entries_found
 
 
+def arrival_order() -> list[Column]:
+    """The order in which entries count as having come in: by source, fetch and position in the feed."""
+    return [F.col("source_id"), F.col("fetched_at"), F.col("position")]
+
+
 def _first_text(*candidates: Column) -> Column:
     """The first candidate that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates])
@@ -128,10 +133,14 @@ def parse_feeds(feeds: DataFrame, as_of: Column) -> ParsedFeeds:
     without one complete entry, becomes a failure.
     """
     parsed = _parsed(feeds)
-    rows = parsed.select("source_id", F.explode("found").alias("e")).select("source_id", "e.*")
+    rows = parsed.select("source_id", "fetched_at", F.posexplode("found").alias("position", "e")).select(
+        "source_id", "fetched_at", "position", "e.*"
+    )
     valid = rows.filter((F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
     entries = valid.select(
         "source_id",
+        "fetched_at",
+        "position",
         "title",
         F.coalesce("body", F.lit("")).alias("body"),
         "url",

@@ -5,7 +5,9 @@ Each function reads its whole input tables. ``AS_OF`` stands in for the wall clo
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,6 +15,18 @@ from inkwell.operators.upsert import first_per_key
 from inkwell.session import SETTINGS
 
 AS_OF = datetime(2024, 1, 31, 12, 0, 0)
+# The columns in use, so that opening a table neither infers a schema nor starts a job.
+TABLES = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderpriority STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING",
+    "labels": "doc_id BIGINT, quality INT",
+    "pages": "page_id BIGINT, html STRING",
+}
 SNAPSHOT_DAYS = 5  # age of the "yesterday" tables that incremental operators start from
 
 
@@ -24,6 +38,19 @@ def _before(hours: Column) -> Column:
     return F.timestamp_seconds(F.unix_timestamp(as_of_column()) - hours * 3600)
 
 
+def once(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A method whose DataFrame is built once per object and argument."""
+
+    @wraps(build)
+    def cached(self, *args):
+        key = (build.__name__, args)
+        if key not in self.frames:
+            self.frames[key] = build(self, *args)
+        return self.frames[key]
+
+    return cached
+
+
 def _escaped(name: str) -> Column:
     """Column text for use in markup."""
     text = F.replace(F.col(name), F.lit("&"), F.lit("&amp;"))
@@ -42,10 +69,13 @@ class RawTables:
         spark.conf.set("spark.sql.session.timeZone", SETTINGS["spark.sql.session.timeZone"])
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.frames: dict = {}
 
+    @once
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @once
     def sources(self) -> DataFrame:
         joined = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         key = F.col("n_nationkey").cast("long")
@@ -61,6 +91,7 @@ class RawTables:
             _before(key * 24).alias("updated_at"),
         )
 
+    @once
     def entries(self, documents: DataFrame | None = None) -> DataFrame:
         """One feed entry per document, with ``arrival`` giving the order in which entries came in.
 
@@ -88,12 +119,14 @@ class RawTables:
             _before(doc % 14 * 24).alias("created_at"),
         )
 
+    @once
     def posts(self) -> DataFrame:
         return first_per_key(self.entries(), ["url"], [F.col("arrival")]).select(
             F.col("arrival").alias("id"), "source_id", "title", "body", "url", "publication_date", "author_name",
             "created_at",
         )
 
+    @once
     def summaries(self) -> DataFrame:
         doc = F.col("doc_id")
         joined = self.table("labels").join(self.table("documents"), "doc_id")
@@ -111,6 +144,7 @@ class RawTables:
             _before(doc % 7 * 24).alias("created_at"),
         )
 
+    @once
     def dead_letters(self) -> DataFrame:
         """Failed items: a third per stage, some with a stage or reference nobody can process."""
         event, user = F.col("event_id"), F.col("user_id").cast("string")
@@ -136,6 +170,7 @@ class RawTables:
             (F.col("value") > 30).alias("resolved"),
         )
 
+    @once
     def earlier_posts(self) -> DataFrame:
         """The posts table as it was ``SNAPSHOT_DAYS`` ago; it only holds posts that name an author."""
         return self.posts().filter(F.col("author_name").isNotNull() & (F.col("created_at") < _before(F.lit(SNAPSHOT_DAYS * 24))))
@@ -143,6 +178,7 @@ class RawTables:
     def pages(self) -> DataFrame:
         return self.table("pages")
 
+    @once
     def feeds(self) -> DataFrame:
         """Feed documents of up to 100 entries each, in turn RSS, Atom and JSON; some are cut off before
         their last entry ends. Sources without entries have no payload or no feed row at all."""
@@ -218,6 +254,7 @@ class RawTables:
         inside = F.when(F.col("arrival") % 10 == 0, F.lit("<p>draft</p>")).otherwise(article)
         return self._listing(F.concat(F.lit('<li class="wide blog-entry">'), inside, F.lit("</li>")))
 
+    @once
     def envelopes(self) -> DataFrame:
         """Provider messages for the labelled documents, in two layouts; some answers break a rule."""
         doc = F.col("doc_id")
@@ -250,6 +287,7 @@ class RawTables:
             doc.alias("post_id"), F.when(doc % 2 == 0, F.to_json(message)).otherwise(F.to_json(choice)).alias("envelope")
         )
 
+    @once
     def catalogue(self) -> DataFrame:
         """A longer list of sources, one per customer."""
         key = F.col("c_custkey")
@@ -265,6 +303,7 @@ class RawTables:
             _before(key % 30 * 24).alias("updated_at"),
         )
 
+    @once
     def source_requests(self) -> DataFrame:
         """Requests to add sources, one per order; many repeat a feed URL or break a rule."""
         key, customer = F.col("o_orderkey"), F.col("o_custkey")
@@ -278,6 +317,7 @@ class RawTables:
             (key % 12).cast("int").alias("quality_rating"),
         )
 
+    @once
     def source_changes(self) -> DataFrame:
         """Update requests, one per customer with orders; some name no known source or break a rule."""
         latest = self.table("orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("k"))
