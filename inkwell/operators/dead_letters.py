@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.operators.skew import join_hot_keys
+from inkwell.operators.upsert import present_keys
 from inkwell.schemas import DEAD_LETTERS, column_names
 
 SUMMARIZATION, INGESTION, GENERATION = "summarization", "ingestion", "generation"
@@ -56,15 +57,16 @@ def not_a_number() -> Column:
     return F.concat(F.lit("invalid literal for int() with base 10: '"), "post_reference", F.lit("'"))
 
 
-def _found(table: DataFrame, column: str) -> DataFrame:
-    return table.select(F.col(column), F.lit(True).alias("_found"))
+def _found(table: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    return present_keys(table, [column], wanted).select(column, F.lit(True).alias("_found"))
 
 
 def ingestion_job(posts: DataFrame) -> StageJob:
     """An ingestion failure is settled when its URL is among the posts by now; the feed itself is gone."""
 
     def run(references: DataFrame) -> DataFrame:
-        joined = references.join(_found(posts, "url"), F.col("post_reference") == F.col("url"), "left")
+        urls = references.withColumn("url", F.col("post_reference"))
+        joined = urls.join(_found(posts, "url", urls), "url", "left")
         missing = F.concat(F.lit("Post not found in raw_blog_posts for URL: "), "post_reference")
         return joined.select("post_reference", F.when(F.col("_found").isNull(), missing).alias("error"))
 
@@ -75,8 +77,8 @@ def generation_job(mart_posts: DataFrame) -> StageJob:
     """A note can be written again when its post is in the mart."""
 
     def run(references: DataFrame) -> DataFrame:
-        numbered = numeric_reference(references)
-        joined = numbered.join(_found(mart_posts, "id"), F.col("post_id") == F.col("id"), "left")
+        numbered = numeric_reference(references).withColumn("id", F.col("post_id"))
+        joined = numbered.join(_found(mart_posts, "id", numbered), "id", "left")
         missing = F.concat(F.lit("Post "), "post_id", F.lit(" not found in mart_posts"))
         error = F.when(F.col("post_id").isNull(), not_a_number()).when(F.col("_found").isNull(), missing)
         return joined.select("post_reference", error.alias("error"))

@@ -43,7 +43,7 @@ def wikilink_target(text: Column) -> Column:
 
 
 def _typed_front_matter(heads: DataFrame) -> DataFrame:
-    """Adds the YAML values of ``front_matter`` with their type names; text is what str() prints."""
+    """Adds the YAML values of ``front_matter`` with their type names; text is what str() prints, for tags repr()."""
     try:
         import yaml  # noqa: F401
     except ImportError as error:
@@ -63,9 +63,10 @@ def _typed_front_matter(heads: DataFrame) -> DataFrame:
             values = values if isinstance(values, dict) else {}
             fields = {str(k): {"kind": type(v).__name__, "text": str(v)} for k, v in values.items()}
             tags = values.get("tags")
-            items = [{"kind": type(t).__name__, "text": t if isinstance(t, str) else repr(t)} for t in tags] \
-                if isinstance(tags, list) else None
-            return None, fields, items
+            if not isinstance(tags, list):
+                return None, fields, None
+            kinds = ["blank" if isinstance(t, str) and not t.strip() else type(t).__name__ for t in tags]
+            return None, fields, [{"kind": kind, "text": repr(t)} for kind, t in zip(kinds, tags)]
 
         for batch in batches:
             rows = [typed(source) for source in batch["front_matter"]]
@@ -149,10 +150,8 @@ def _tags() -> Column:
     no_list = _failure(field, F.concat(F.lit("'tags' must be a YAML list, got "), value["kind"]))
 
     def check(item: Column, index: Column) -> Column:
-        is_text = item["kind"] == "str"
-        shown = F.when(is_text, F.concat(F.lit("'"), item["text"], F.lit("'"))).otherwise(item["text"])
-        reason = F.concat(F.lit("tags["), index.cast("string"), F.lit("] is empty or not a string: "), shown)
-        return _failure(field, F.when(~is_text | (strip(item["text"]) == ""), reason))
+        where = F.concat(F.lit("tags["), index.cast("string"), F.lit("] is empty or not a string: "))
+        return _failure(field, F.when(item["kind"] != "str", F.concat(where, item["text"])))
 
     items = F.filter(F.transform("tags", check), lambda f: f["reason"].isNotNull())
     nothing = F.filter(F.array(no_list), lambda f: F.lit(False))

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from inkwell.functions.text import bind
 from inkwell.operators.dead_letters import (
     SUMMARIZATION,
     StageJob,
@@ -14,7 +15,7 @@ from inkwell.operators.dead_letters import (
     not_a_number,
     numeric_reference,
 )
-from inkwell.operators.upsert import insert_if_absent
+from inkwell.operators.upsert import insert_if_absent, present_keys
 from inkwell.schemas import AI_SUMMARIES, BLOG_POSTS, column_names
 from inkwell.session import cut_lineage
 
@@ -48,8 +49,9 @@ def unsummarized_posts(posts: DataFrame, summaries: DataFrame) -> DataFrame:
 
 def lookup_status(ids: DataFrame, posts: DataFrame, summaries: DataFrame) -> DataFrame:
     """For each requested id: not_found, already_summarized or pending."""
-    known = posts.select("id", F.lit(True).alias("_post"))
-    done = summaries.select(F.col("post_id").alias("id"), F.lit(True).alias("_done"))
+    summarized = summaries.select(F.col("post_id").alias("id"))
+    known = present_keys(posts, ["id"], ids).withColumn("_post", F.lit(True))
+    done = present_keys(summarized, ["id"], ids).withColumn("_done", F.lit(True))
     status = (
         F.when(F.col("_post").isNull(), "not_found").when(F.col("_done"), "already_summarized").otherwise("pending")
     )
@@ -97,59 +99,66 @@ def _tag_text(tag: Column) -> Column:
     return F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
-def parse_responses(responses: DataFrame) -> DataFrame:
-    """Adds summary_text, tags, difficulty_classification and ``reason`` to rows with response_text.
+def _kind(value: Column) -> Column:
+    """Type name of a variant; empty for a missing one."""
+    return F.coalesce(F.schema_of_variant(value), F.lit(""))
 
-    A NULL reason marks a good response; otherwise the reason is the first rule it breaks and the
-    three columns are NULL.
-    """
-    json = F.try_parse_json("response_text")
 
-    def part(name: str) -> Column:
-        return F.try_variant_get(F.col("_json"), f"$.{name}", "variant")
+def _parts(json: Column) -> Column:
+    found = [F.try_variant_get(json, f"$.{name}", "variant").alias(name) for name in ("summary", "tags", "difficulty")]
+    return F.struct(json.isNotNull().alias("is_json"), _kind(json).startswith("OBJECT").alias("is_object"), *found)
 
-    def kind(column: str) -> Column:
-        return F.coalesce(F.schema_of_variant(F.col(column)), F.lit(""))
 
-    parts = responses.withColumn("_json", json).select(
-        *responses.columns,
-        F.col("_json"),
-        part("summary").alias("_summary"),
-        part("tags").alias("_tags"),
-        part("difficulty").alias("_difficulty"),
+def _typed(parts: Column) -> Column:
+    """The answer's parts where they have the right type."""
+    summary, tags, difficulty = parts["summary"], parts["tags"], parts["difficulty"]
+    return F.struct(
+        parts["is_json"].alias("is_json"),
+        parts["is_object"].alias("is_object"),
+        F.when(_kind(summary) == "STRING", F.try_variant_get(summary, "$", "string")).alias("summary"),
+        F.when(_kind(tags).startswith("ARRAY"), F.try_variant_get(tags, "$", "array<variant>")).alias("tags"),
+        F.try_variant_get(difficulty, "$", "string").alias("difficulty"),
+        (_kind(difficulty) == "STRING").alias("difficulty_is_text"),
     )
-    texts = parts.select(
-        *responses.columns,
-        F.col("_json").isNotNull().alias("_is_json"),
-        kind("_json").startswith("OBJECT").alias("_is_object"),
-        F.when(kind("_summary") == "STRING", F.try_variant_get("_summary", "$", "string")).alias("_summary"),
-        F.when(kind("_tags").startswith("ARRAY"), F.try_variant_get("_tags", "$", "array<variant>")).alias("_tags"),
-        F.try_variant_get("_difficulty", "$", "string").alias("_difficulty"),
-        (kind("_difficulty") == "STRING").alias("_difficulty_is_text"),
-    )
-    named = F.when(F.col("_difficulty_is_text"), F.concat(F.lit("'"), "_difficulty", F.lit("'"))).otherwise(
-        F.coalesce("_difficulty", F.lit("None"))
-    )
-    rule = (
-        F.when(~F.col("_is_json"), "Invalid JSON response")
-        .when(~F.col("_is_object"), "Response is not a JSON object")
-        .when(F.coalesce("_summary", F.lit("")) == "", "Missing or invalid 'summary' field in response")
-        .when(F.coalesce(F.size("_tags"), F.lit(-1)) < 1, "Missing or invalid 'tags' field in response")
+
+
+def _judged(answer: Column) -> Column:
+    difficulty, is_text = answer["difficulty"], answer["difficulty_is_text"]
+    shown = F.when(is_text, F.concat(F.lit("'"), difficulty, F.lit("'"))).otherwise(F.coalesce(difficulty, F.lit("None")))
+    expected = F.lit(f". Expected one of: {', '.join(DIFFICULTIES)}")
+    broken = (
+        F.when(~answer["is_json"], "Invalid JSON response")
+        .when(~answer["is_object"], "Response is not a JSON object")
+        .when(F.coalesce(answer["summary"], F.lit("")) == "", "Missing or invalid 'summary' field in response")
+        .when(F.coalesce(F.size(answer["tags"]), F.lit(-1)) < 1, "Missing or invalid 'tags' field in response")
         .when(
-            ~(F.col("_difficulty_is_text") & F.col("_difficulty").isin(DIFFICULTIES)),
-            F.concat(F.lit("Invalid 'difficulty' value: "), named,
-                     F.lit(f". Expected one of: {', '.join(DIFFICULTIES)}")),
+            ~(is_text & difficulty.isin(DIFFICULTIES)),
+            F.concat(F.lit("Invalid 'difficulty' value: "), shown, expected),
         )
     )
-    judged = texts.withColumn("reason", F.when(rule.isNotNull(), F.concat(F.lit("SummarizationError: "), rule)))
-    good = F.col("reason").isNull()
-    return judged.select(
-        *responses.columns,
-        F.when(good, F.col("_summary")).alias("summary_text"),
-        F.when(good, F.transform("_tags", _tag_text)).alias("tags"),
-        F.when(good, F.col("_difficulty")).alias("difficulty_classification"),
-        "reason",
+    good = F.struct(
+        answer["summary"].alias("summary_text"),
+        F.transform(answer["tags"], _tag_text).alias("tags"),
+        difficulty.alias("difficulty_classification"),
+        F.lit(None).cast("string").alias("reason"),
     )
+    bad = F.struct(
+        F.lit(None).cast("string").alias("summary_text"),
+        F.lit(None).cast("array<string>").alias("tags"),
+        F.lit(None).cast("string").alias("difficulty_classification"),
+        F.concat(F.lit("SummarizationError: "), broken).alias("reason"),
+    )
+    return F.when(broken.isNull(), good).otherwise(bad)
+
+
+def parse_responses(responses: DataFrame) -> DataFrame:
+    """Adds summary_text, tags, difficulty_classification and ``reason`` to rows with response_text.
+
+    A NULL reason marks a good response; otherwise the reason is the first rule it breaks and the
+    three columns are NULL. The text is parsed once per use of the result, whatever is filtered on.
+    """
+    answer = bind(bind(bind(F.try_parse_json("response_text"), _parts), _typed), _judged)
+    return responses.withColumn("_answer", answer).select(*responses.columns, "_answer.*")
 
 
 def call_for_posts(posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY) -> DataFrame:
@@ -203,7 +212,7 @@ def store_summaries(attempts: DataFrame, summaries: DataFrame, as_of: Column) ->
     ).select(*column_names(AI_SUMMARIES))
     bad = attempts.filter("reason is not null")
     failures = dead_letter_rows(bad, F.col("post_id"), SUMMARIZATION, F.col("reason"), as_of)
-    present = summaries.select("post_id", F.lit(True).alias("_present"))
+    present = present_keys(summaries, ["post_id"], attempts).withColumn("_present", F.lit(True))
     outcome = F.when(F.col("reason").isNotNull(), "failed").when(F.col("_present"), "skipped").otherwise("succeeded")
     outcomes = attempts.join(present, "post_id", "left").select("post_id", outcome.alias("outcome"))
     return Summarized(inserted, failures, outcomes)

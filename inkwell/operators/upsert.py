@@ -15,15 +15,22 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Data
     return ranked.filter("_nth = 1").drop("_nth")
 
 
+def present_keys(table: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The keys among ``wanted`` that the table holds.
+
+    The table is by far the larger side in daily use. While the wanted keys are few, Spark broadcasts
+    them and only scans the table's key columns, without a shuffle; a join that keeps all wanted rows
+    would have to shuffle the table.
+    """
+    return table.select(*keys).join(wanted.select(*keys).distinct(), keys, "left_semi")
+
+
 def insert_if_absent(rows: DataFrame, table: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The rows to append: first per key, key not in the table yet. Running it again yields nothing.
 
-    The table, by far the larger side in daily use, is first cut down to the keys that came in. While
-    those are few, Spark broadcasts them and only scans the table's key columns without a shuffle.
     ``rows`` is read twice, so it should be a written table when it is costly to compute.
     """
-    present = table.select(*keys).join(rows.select(*keys).distinct(), keys, "left_semi")
-    return first_per_key(rows, keys, order).join(present, keys, "left_anti")
+    return first_per_key(rows, keys, order).join(present_keys(table, keys, rows), keys, "left_anti")
 
 
 def apply_changes(

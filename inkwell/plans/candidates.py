@@ -54,18 +54,13 @@ def issue_candidates(mart_posts: DataFrame, mart_sources: DataFrame, issues: lis
     to later issues. The weeks are spelled out by day, so the join is an equi-join on the date
     against a table of eight rows per issue.
     """
-    spark = mart_posts.sparkSession
-    times = spark.createDataFrame([(t.isoformat(sep=" "),) for t in issues], "issue string")
-    days = times.select(
-        F.col("issue").cast("timestamp").alias("issue_at"),
-        F.explode(
-            F.sequence(
-                F.date_sub(F.col("issue").cast("timestamp").cast("date"), scoring.WINDOW_DAYS),
-                F.col("issue").cast("timestamp").cast("date"),
-            )
-        ).alias("publication_date"),
+    times = F.array(*[F.lit(t.isoformat(sep=" ")).cast("timestamp") for t in issues])
+    week = F.sequence(F.date_sub(F.col("issue_at").cast("date"), scoring.WINDOW_DAYS), F.col("issue_at").cast("date"))
+    days = (
+        mart_posts.sparkSession.range(1).select(F.explode(times).alias("issue_at"))
+        .select("issue_at", F.explode(week).alias("publication_date"))
     )
-    weekly = _eligible(mart_posts, mart_sources).join(days, "publication_date")
+    weekly = _eligible(mart_posts, mart_sources).join(F.broadcast(days), "publication_date")
     best = _rank_in_category(weekly, F.col("issue_at"), ["issue_at"])
     nth = F.row_number().over(Window.partitionBy("issue_at").orderBy(F.desc("rank_score"), "post_id"))
     return (

@@ -20,6 +20,7 @@ from inkwell.operators import (
     summaries,
 )
 from inkwell.plans import candidates, marts, runs, staging
+from inkwell.plans.materialize import write_tables
 from inkwell.session import run_dir
 from inkwell.sources import feeds, pages, seeds, tables
 from inkwell.sources.testdata import SNAPSHOT_DAYS, TABLES, RawTables, as_of_column
@@ -101,10 +102,10 @@ class Models(RawTables):
 
     @cached_property
     def reprocessed(self) -> DataFrame:
-        posts, done = self.posts(), self.summaries()
+        _, posts, done, _ = self.store
         jobs = {
             dead_letters.INGESTION: dead_letters.ingestion_job(posts),
-            dead_letters.GENERATION: dead_letters.generation_job(self.mart_posts),
+            dead_letters.GENERATION: dead_letters.generation_job(self.tables["mart_posts"]),
             dead_letters.SUMMARIZATION: summaries.summarization_job(
                 posts, done, lambda rows: summaries.summarize(rows, describe, max_concurrent=8)
             ),
@@ -113,7 +114,10 @@ class Models(RawTables):
 
     @cached_property
     def store(self) -> runs.Store:
-        return runs.Store(self.sources(), self.posts(), self.summaries(), self.dead_letters())
+        """The raw tables, the large ones written, the way runs find them."""
+        raw = {"raw_blog_posts": self.posts(), "raw_ai_summaries": self.summaries()}
+        written = write_tables(raw, run_dir(self.spark, "raw"))
+        return runs.Store(self.sources(), *written.values(), self.dead_letters())
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -149,7 +153,7 @@ class Models(RawTables):
     def models(self) -> dict[str, DataFrame]:
         posts, sources, _ = self.note_tables
         issue = {"mart_newsletter_candidates": candidates.newsletter_candidates(posts, sources, self.as_of)}
-        return {"raw_blog_posts": self.posts(), **runs.build_models(self.store), **self.tables, **issue}
+        return {"raw_blog_posts": self.store.posts, **runs.build_models(self.store), **self.tables, **issue}
 
     def issue_candidates(self) -> DataFrame:
         return candidates.issue_candidates(self.mart_posts, self.mart_sources, ISSUES)
@@ -624,4 +628,4 @@ def weekly_run(m: Models) -> DataFrame:
 def retry_run(m: Models) -> DataFrame:
     """Counts of a retry of two stages."""
     stages = [dead_letters.SUMMARIZATION, dead_letters.GENERATION]
-    return runs.run_retry(m.store, m.mart_posts, run_dir(m.spark, "retry"), m.as_of, describe, stages).report
+    return runs.run_retry(m.store, m.tables["mart_posts"], run_dir(m.spark, "retry"), m.as_of, describe, stages).report

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.functions.dates import feed_timestamp
-from inkwell.functions.text import or_default
+from inkwell.functions.text import bind, or_default
 from inkwell.operators.dead_letters import INGESTION, dead_letter_rows
 from inkwell.schemas import ATOM_ENTRY_FIELDS, ATOM_FEED, JSON_FEED, RSS_FEED, RSS_ITEM_FIELDS
 
@@ -87,43 +87,46 @@ def _format(payload: Column) -> Column:
     )
 
 
-def _parsed(feeds: DataFrame) -> DataFrame:
-    """Feeds with ``found``, the list of entries, and ``feed_status``. Only the parser of the feed's own
-    format runs, and element-wise recovery runs only on damaged documents."""
-    payload, kind = F.col("payload"), F.col("format")
-    parsed = feeds.withColumn("format", _format(payload)).select(
-        "*",
-        F.when(kind == "rss", F.from_xml(payload, RSS_FEED, XML_OPTIONS)).alias("_rss"),
-        F.when(kind == "atom", F.from_xml(payload, ATOM_FEED, XML_OPTIONS)).alias("_atom"),
-        F.when(kind == "json", F.from_json(payload, JSON_FEED)).alias("_json"),
-    )
-    damaged = F.coalesce(*[F.col(f"{d}._corrupt_record") for d in ("_rss", "_atom", "_json")]).isNotNull()
-    rss = F.coalesce(
-        F.transform(F.col("_rss.channel.item"), _rss_entry),
-        # also reached by RSS 1.0, whose items stand outside the channel
-        F.transform(_whole_elements(payload, "item", RSS_ITEM_FIELDS), _rss_entry),
-    )
-    atom = F.coalesce(
-        F.transform(F.col("_atom.entry"), _atom_entry),
-        F.transform(_whole_elements(payload, "entry", ATOM_ENTRY_FIELDS), _atom_entry),
-    )
-    found = (
-        F.when(kind == "rss", rss).when(kind == "atom", atom)
-        .when(kind == "json", F.transform(F.col("_json.items"), _json_entry))
-    )
-    status = (
-        F.when(payload.isNull(), MISSING)
-        .when(~damaged, OK)
-        .when(F.col("entries_found") > 0, DAMAGED)
-        .otherwise(FAILED)
-    )
-    return (
-        parsed.withColumn("found", found)
-        .withColumn("entries_found", F.coalesce(F.size("found"), F.lit(0)))
-        .withColumn("entries_found", F.greatest("entries_found", F.lit(0)))
-        .withColumn("feed_status", status)
-        .drop("_rss", "_atom", "_json")
+def _read(payload: Column, kind: Column) -> Column:
+    """Entries and damage of one document. Only the parser of the feed's own format runs, and element-wise
+    recovery runs only where the document as a whole gave no list."""
+
+    def collect(doc: Column) -> Column:
+        rss = F.coalesce(
+            F.transform(doc["rss"]["channel"]["item"], _rss_entry),
+            # also reached by RSS 1.0, whose items stand outside the channel
+            F.transform(_whole_elements(payload, "item", RSS_ITEM_FIELDS), _rss_entry),
+        )
+        atom = F.coalesce(
+            F.transform(doc["atom"]["entry"], _atom_entry),
+            F.transform(_whole_elements(payload, "entry", ATOM_ENTRY_FIELDS), _atom_entry),
+        )
+        found = F.when(kind == "rss", rss).when(kind == "atom", atom).otherwise(
+            F.transform(doc["json"]["items"], _json_entry)
+        )
+        corrupt = F.coalesce(*[doc[name]["_corrupt_record"] for name in ("rss", "atom", "json")])
+        return F.struct(found.alias("entries"), corrupt.isNotNull().alias("damaged"))
+
+    document = F.struct(
+        F.when(kind == "rss", F.from_xml(payload, RSS_FEED, XML_OPTIONS)).alias("rss"),
+        F.when(kind == "atom", F.from_xml(payload, ATOM_FEED, XML_OPTIONS)).alias("atom"),
+        F.when(kind == "json", F.from_json(payload, JSON_FEED)).alias("json"),
     )
+    return bind(document, collect)
+
+
+def _status(document: Column) -> Column:
+    """Feed status and number of entries, before any entry is judged."""
+    found = F.greatest(F.coalesce(F.size(document["entries"]), F.lit(0)), F.lit(0))
+    status = F.when(~document["damaged"], OK).when(found > 0, DAMAGED).otherwise(FAILED)
+    return F.struct(status.alias("feed_status"), found.alias("entries_found"))
+
+
+def _parsed(feeds: DataFrame) -> DataFrame:
+    """Feeds with their format and the struct ``document`` (entries, damaged), NULL without a payload."""
+    with_format = feeds.withColumn("format", _format(F.col("payload")))
+    document = F.when(F.col("payload").isNotNull(), _read(F.col("payload"), F.col("format")))
+    return with_format.withColumn("document", document)
 
 
 def parse_feeds(feeds: DataFrame, as_of: Column) -> ParsedFeeds:
@@ -133,9 +136,9 @@ def parse_feeds(feeds: DataFrame, as_of: Column) -> ParsedFeeds:
     without one complete entry, becomes a failure.
     """
     parsed = _parsed(feeds)
-    rows = parsed.select("source_id", "fetched_at", F.posexplode("found").alias("position", "e")).select(
-        "source_id", "fetched_at", "position", "e.*"
-    )
+    rows = parsed.select(
+        "source_id", "fetched_at", F.posexplode("document.entries").alias("position", "e")
+    ).select("source_id", "fetched_at", "position", "e.*")
     valid = rows.filter((F.coalesce("url", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
     entries = valid.select(
         "source_id",
@@ -147,9 +150,14 @@ def parse_feeds(feeds: DataFrame, as_of: Column) -> ParsedFeeds:
         feed_timestamp(F.col("published")).alias("publication_date"),
         or_default("author", "Unknown").alias("author_name"),
     )
-    lost = parsed.filter(F.col("feed_status").isin(MISSING, FAILED))
+    nothing = F.struct(F.lit(MISSING).alias("feed_status"), F.lit(0).alias("entries_found"))
+    outcome = F.when(F.col("payload").isNull(), nothing).otherwise(bind(F.col("document"), _status))
+    status = parsed.withColumn("outcome", outcome).select(
+        "source_id", "rss_feed_url", "fetched_at", "format", "outcome.*"
+    )
+    lost = status.filter(F.col("feed_status").isin(MISSING, FAILED))
     reason = F.when(F.col("feed_status") == MISSING, "Feed fetch failed: no payload").otherwise(
         "Feed parse failed with no entries"
     )
     failures = dead_letter_rows(lost, F.col("rss_feed_url"), INGESTION, reason, as_of)
-    return ParsedFeeds(entries, failures, parsed.select("source_id", "fetched_at", "format", "feed_status", "entries_found"))
+    return ParsedFeeds(entries, failures, status.drop("rss_feed_url"))

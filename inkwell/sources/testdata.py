@@ -11,6 +11,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from inkwell.functions.text import bind
 from inkwell.operators.upsert import first_per_key
 from inkwell.session import SETTINGS
 
@@ -131,7 +132,7 @@ class RawTables:
         doc = F.col("doc_id")
         joined = self.table("labels").join(self.table("documents"), "doc_id")
         words = r"([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)"
-        found = F.array(*[F.regexp_extract(F.lower("text"), words, k) for k in (1, 2, 3)])
+        found = bind(F.lower("text"), lambda t: F.array(*[F.regexp_extract(t, words, k) for k in (1, 2, 3)]))
         return joined.select(
             doc.alias("id"),
             doc.alias("post_id"),
