@@ -105,11 +105,10 @@ def reprocess(dead_letters: DataFrame, jobs: dict[str, StageJob], stages: list[s
         if stages is not None and stage not in stages:
             continue
         rows = open_rows.filter(F.col("failure_stage") == stage)
-        weights = rows.groupBy("post_reference").agg(F.count(F.lit(1)).alias("_weight"))
-        results = job(weights.select("post_reference")).join(weights, "post_reference")
-        outcomes.append(
-            join_hot_keys(rows, results, "post_reference", "_weight", "id").select("id", "failure_stage", "error")
-        )
+        counts = rows.groupBy("post_reference").count()
+        results = job(counts.select("post_reference"))
+        joined = join_hot_keys(rows, results, "post_reference", counts, "id")
+        outcomes.append(joined.select("id", "failure_stage", "error"))
     strangers = open_rows.filter(~F.col("failure_stage").isin(list(jobs)))
     outcomes.append(strangers.select("id", "failure_stage", unknown_stage(F.col("failure_stage")).alias("error")))
     result = outcomes[0]

@@ -10,21 +10,21 @@ HOT_KEYS = 256
 SALTS = 64
 
 
-def join_hot_keys(rows: DataFrame, lookup: DataFrame, key: str, weight: str, row_id: str) -> DataFrame:
+def join_hot_keys(rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame, row_id: str) -> DataFrame:
     """Left join with a table that has one row per key, spreading the most frequent keys over salts.
 
-    ``weight`` is the number of rows per key. The heaviest ``HOT_KEYS`` keys are salted, so no other
-    key holds more than one row in ``HOT_KEYS``. The list of hot keys has at most that many rows,
-    which is why it may be broadcast; the lookup itself is repeated only for them.
+    ``counts`` has the number of rows per key (key, count). The ``HOT_KEYS`` heaviest keys are
+    salted, so no other key holds more than one row in ``HOT_KEYS``. The list of hot keys has at most
+    that many rows, which is why it may be broadcast; the lookup is repeated only for them.
     """
-    hot = lookup.orderBy(F.desc(weight), key).limit(HOT_KEYS).select(F.col(key), F.lit(True).alias("_hot"))
+    hot = counts.orderBy(F.desc("count"), key).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot"))
     spread = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
     )
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts))
-    return salted_rows.drop("_hot").join(salted_lookup.drop("_hot", weight), [key, "_salt"], "left").drop("_salt")
+    return salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [key, "_salt"], "left").drop("_salt")
 
 
 def with_position(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

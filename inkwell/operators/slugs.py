@@ -14,8 +14,9 @@ def post_slugs(posts: DataFrame) -> DataFrame:
     over all posts, whatever their category, get a hash suffix."""
     based = posts.withColumn("_base", title_slug("title"))
     # the count combines before its shuffle, and the join back spreads titles with very many posts
-    shared = based.groupBy("_base").agg(F.count(F.lit(1)).alias("_posts")).filter("_posts > 1")
-    marked = join_hot_keys(based, shared.withColumn("_shared", F.lit(True)), "_base", "_posts", "id")
+    shared = based.groupBy("_base").count().filter("count > 1")
+    marks = shared.select("_base", F.lit(True).alias("_shared"))
+    marked = join_hot_keys(based, marks, "_base", shared, "id")
     slug = F.when(F.col("_shared"), hashed_slug("title")).otherwise(F.col("_base"))
     path = F.concat(F.lit("posts/"), title_slug("category"), F.lit("/"), F.col("slug"), F.lit(".md"))
     return marked.withColumn("slug", slug).withColumn("path", path).select(*posts.columns, "slug", "path")

@@ -102,39 +102,53 @@ class Models(RawTables):
 
     @cached_property
     def reprocessed(self) -> DataFrame:
-        _, posts, done, _ = self.store
+        posts, done, letters = (self.kept(t) for t in ("raw_blog_posts", "raw_ai_summaries", "dead_letter_posts"))
         jobs = {
             dead_letters.INGESTION: dead_letters.ingestion_job(posts),
-            dead_letters.GENERATION: dead_letters.generation_job(self.tables["mart_posts"]),
+            dead_letters.GENERATION: dead_letters.generation_job(self.kept("mart_posts")),
             dead_letters.SUMMARIZATION: summaries.summarization_job(
                 posts, done, lambda rows: summaries.summarize(rows, describe, max_concurrent=8)
             ),
         }
-        return dead_letters.reprocess(self.dead_letters(), jobs)
+        return dead_letters.reprocess(letters, jobs)
 
-    @cached_property
-    def store(self) -> runs.Store:
-        """The raw tables, the large ones written, the way runs find them."""
-        raw = {"raw_blog_posts": self.posts(), "raw_ai_summaries": self.summaries()}
-        written = write_tables(raw, run_dir(self.spark, "raw"))
-        return runs.Store(self.sources(), *written.values(), self.dead_letters())
+    def kept(self, name: str) -> DataFrame:
+        """A raw or mart table by name, written on first use, the way runs find it."""
+        if name not in self.frames:
+            path = run_dir(self.spark, "tables")
+            self.frames[name] = write_tables({name: self.kept_builders[name]()}, path)[name]
+        return self.frames[name]
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        """The marts as written tables, the way notes and checks read them."""
-        return runs.build_marts(self.store, run_dir(self.spark, "marts"))
+    def kept_builders(self) -> dict[str, Callable[[], DataFrame]]:
+        def stg_posts() -> DataFrame:
+            return staging.stg_posts(self.kept("raw_blog_posts"), self.sources())
+
+        def stg_authors() -> DataFrame:
+            return staging.stg_authors(self.kept("raw_blog_posts"))
+
+        return {
+            "raw_blog_posts": self.posts,
+            "raw_ai_summaries": self.summaries,
+            "dead_letter_posts": self.dead_letters,
+            "mart_posts": lambda: marts.mart_posts(stg_posts(), self.stg_summaries, stg_authors()),
+            "mart_authors": lambda: marts.mart_authors(stg_authors(), stg_posts()),
+            "mart_sources": lambda: marts.mart_sources(self.sources(), stg_posts()),
+        }
+
+    @property
+    def store(self) -> runs.Store:
+        return runs.Store(
+            self.sources(), self.kept("raw_blog_posts"), self.kept("raw_ai_summaries"), self.kept("dead_letter_posts")
+        )
 
     @cached_property
     def notes(self) -> DataFrame:
         path = run_dir(self.spark, "notes")
-        rendered = notes.all_notes(*self.note_tables)
+        rendered = notes.all_notes(self.kept("mart_posts"), self.kept("mart_sources"), self.kept("mart_authors"))
         notes.write_notes(rendered, path)
         return self.spark.read.schema(rendered.schema).parquet(path)
 
-    @property
-    def note_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.tables["mart_posts"], self.tables["mart_sources"], self.tables["mart_authors"]
-
     @cached_property
     def damaged_notes(self) -> DataFrame:
         """The notes with one of five kinds of damage, by the length of their path; a sixth stay whole."""
@@ -151,9 +165,10 @@ class Models(RawTables):
 
     @cached_property
     def models(self) -> dict[str, DataFrame]:
-        posts, sources, _ = self.note_tables
-        issue = {"mart_newsletter_candidates": candidates.newsletter_candidates(posts, sources, self.as_of)}
-        return {"raw_blog_posts": self.store.posts, **runs.build_models(self.store), **self.tables, **issue}
+        issue = candidates.newsletter_candidates(self.kept("mart_posts"), self.kept("mart_sources"), self.as_of)
+        names = ["raw_blog_posts", "mart_posts", "mart_authors", "mart_sources"]
+        tables = {name: self.kept(name) for name in names}
+        return {**tables, **runs.build_models(self.store), "mart_newsletter_candidates": issue}
 
     def issue_candidates(self) -> DataFrame:
         return candidates.issue_candidates(self.mart_posts, self.mart_sources, ISSUES)
@@ -509,7 +524,7 @@ def dlq_reprocess_counts(m: Models) -> DataFrame:
 
 @register
 def dlq_after_reprocess(m: Models) -> DataFrame:
-    return dead_letters.apply_outcomes(m.dead_letters(), m.reprocessed, m.as_of)
+    return dead_letters.apply_outcomes(m.kept("dead_letter_posts"), m.reprocessed, m.as_of)
 
 
 # Notes
@@ -532,17 +547,17 @@ def authors_for_notes(m: Models) -> DataFrame:
 
 @register
 def note_slugs(m: Models) -> DataFrame:
-    return slugs.post_slugs(m.tables["mart_posts"].select("id", "title", "category"))
+    return slugs.post_slugs(m.kept("mart_posts").select("id", "title", "category"))
 
 
 @register
 def overwritten_notes(m: Models) -> DataFrame:
-    return slugs.overwritten(slugs.post_slugs(m.tables["mart_posts"].select("id", "title", "category")))
+    return slugs.overwritten(slugs.post_slugs(m.kept("mart_posts").select("id", "title", "category")))
 
 
 @register
 def post_notes(m: Models) -> DataFrame:
-    return notes.post_notes(m.tables["mart_posts"])
+    return notes.post_notes(m.kept("mart_posts"))
 
 
 @register
@@ -550,32 +565,31 @@ def notes_for_posts(m: Models) -> DataFrame:
     ids = m.dead_letters().filter("failure_stage = 'generation'").select(
         F.expr("try_cast(post_reference AS BIGINT)").alias("id")
     ).filter("id is not null")
-    rendered, missing = notes.post_notes_for(ids, m.tables["mart_posts"])
+    rendered, missing = notes.post_notes_for(ids, m.kept("mart_posts"))
     lost = missing.select(F.lit(None).cast("string").alias("path"), F.concat(F.lit("missing "), "id").alias("content"))
     return rendered.select("path", "content").unionByName(lost)
 
 
 @register
 def source_notes(m: Models) -> DataFrame:
-    posts, sources, _ = m.note_tables
+    posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
     return notes.source_notes(sources, posts)
 
 
 @register
 def source_note_parts(m: Models) -> DataFrame:
-    posts, sources, _ = m.note_tables
+    posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
     return notes.source_notes(sources, posts, links_per_part=7)
 
 
 @register
 def author_notes(m: Models) -> DataFrame:
-    posts, sources, authors = m.note_tables
-    return notes.author_notes(authors, posts, sources)
+    return notes.author_notes(m.kept("mart_authors"), m.kept("mart_posts"), m.kept("mart_sources"))
 
 
 @register
 def note_stats(m: Models) -> DataFrame:
-    return notes.note_stats(*m.note_tables)
+    return notes.note_stats(m.kept("mart_posts"), m.kept("mart_sources"), m.kept("mart_authors"))
 
 
 @register
@@ -601,8 +615,8 @@ def damaged_note_failures(m: Models) -> DataFrame:
 @register
 def changed_notes(m: Models) -> DataFrame:
     """Today's notes against those published when the posts table was younger."""
-    posts, sources, _ = m.note_tables
-    earlier = posts.join(m.earlier_posts().select("id"), "id", "left_semi")
+    posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
+    earlier = posts.join(m.earlier(m.kept("raw_blog_posts")).select("id"), "id", "left_semi")
     old = notes.post_notes(earlier).unionByName(notes.source_notes(sources, earlier))
     new = notes.post_notes(posts).unionByName(notes.source_notes(sources, posts))
     return notes.changed_notes(new, old)
@@ -614,13 +628,13 @@ def changed_notes(m: Models) -> DataFrame:
 @register
 def daily_run(m: Models) -> DataFrame:
     """The report of a daily run that starts from the earlier posts and today's feeds."""
-    store = m.store._replace(posts=m.earlier_posts())
+    store = m.store._replace(posts=m.earlier(m.kept("raw_blog_posts")))
     return runs.run_daily(store, m.feeds(), run_dir(m.spark, "daily"), m.as_of, describe, max_concurrent=8).report
 
 
 @register
 def weekly_run(m: Models) -> DataFrame:
-    posts, sources, _ = m.note_tables
+    posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
     return runs.run_weekly(posts, sources, run_dir(m.spark, "weekly"), m.as_of)["newsletter"]
 
 
@@ -628,4 +642,4 @@ def weekly_run(m: Models) -> DataFrame:
 def retry_run(m: Models) -> DataFrame:
     """Counts of a retry of two stages."""
     stages = [dead_letters.SUMMARIZATION, dead_letters.GENERATION]
-    return runs.run_retry(m.store, m.tables["mart_posts"], run_dir(m.spark, "retry"), m.as_of, describe, stages).report
+    return runs.run_retry(m.store, m.kept("mart_posts"), run_dir(m.spark, "retry"), m.as_of, describe, stages).report

@@ -171,10 +171,15 @@ class RawTables:
             (F.col("value") > 30).alias("resolved"),
         )
 
-    @once
-    def earlier_posts(self) -> DataFrame:
+    @staticmethod
+    def earlier(posts: DataFrame) -> DataFrame:
         """The posts table as it was ``SNAPSHOT_DAYS`` ago; it only holds posts that name an author."""
-        return self.posts().filter(F.col("author_name").isNotNull() & (F.col("created_at") < _before(F.lit(SNAPSHOT_DAYS * 24))))
+        return posts.filter(
+            F.col("author_name").isNotNull() & (F.col("created_at") < _before(F.lit(SNAPSHOT_DAYS * 24)))
+        )
+
+    def earlier_posts(self) -> DataFrame:
+        return self.earlier(self.posts())
 
     def pages(self) -> DataFrame:
         return self.table("pages")
