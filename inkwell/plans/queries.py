@@ -96,9 +96,9 @@ class Models(RawTables):
 
     @cached_property
     def attempts(self) -> DataFrame:
-        """The text statistics of :func:`describe` for every post without a summary."""
+        """The text statistics of :func:`describer` for every post without a summary."""
         todo = summaries.unsummarized_posts(self.posts(), self.summaries())
-        return summaries.summarize(todo, describe, max_concurrent=8)
+        return summaries.summarize(todo, describer(), max_concurrent=8)
 
     @cached_property
     def reprocessed(self) -> DataFrame:
@@ -107,7 +107,7 @@ class Models(RawTables):
             dead_letters.INGESTION: dead_letters.ingestion_job(posts),
             dead_letters.GENERATION: dead_letters.generation_job(self.kept("mart_posts")),
             dead_letters.SUMMARIZATION: summaries.summarization_job(
-                posts, done, lambda rows: summaries.summarize(rows, describe, max_concurrent=8)
+                posts, done, lambda rows: summaries.summarize(rows, describer(), max_concurrent=8)
             ),
         }
         return dead_letters.reprocess(letters, jobs)
@@ -174,16 +174,23 @@ class Models(RawTables):
         return candidates.issue_candidates(self.mart_posts, self.mart_sources, ISSUES)
 
 
-def describe(prompt: str) -> str:
-    """A summarising function without a service: counts the words of the post it is asked about."""
-    import json
+def describer() -> Callable[[str], str]:
+    """A summarising function without a service: it counts the words of the post it is asked about.
 
-    title, body = prompt.split("\n\nTitle: ", 1)[1].split("\n\nContent:\n", 1)
-    if not title:
-        raise ValueError("post has no title")
-    words = len(body.split(" "))
-    level = "beginner" if words < 100 else "intermediate" if words < 1000 else "advanced"
-    return json.dumps({"summary": f"{words} words", "tags": ["text", level], "difficulty": level})
+    It is made inside a function so that workers get its code and need not import this module.
+    """
+
+    def describe(prompt: str) -> str:
+        import json
+
+        title, body = prompt.split("\n\nTitle: ", 1)[1].split("\n\nContent:\n", 1)
+        if not title:
+            raise ValueError("post has no title")
+        words = len(body.split(" "))
+        level = "beginner" if words < 100 else "intermediate" if words < 1000 else "advanced"
+        return json.dumps({"summary": f"{words} words", "tags": ["text", level], "difficulty": level})
+
+    return describe
 
 
 def register(build: Callable[[Models], DataFrame]) -> Callable[[Models], DataFrame]:
@@ -629,7 +636,7 @@ def changed_notes(m: Models) -> DataFrame:
 def daily_run(m: Models) -> DataFrame:
     """The report of a daily run that starts from the earlier posts and today's feeds."""
     store = m.store._replace(posts=m.earlier(m.kept("raw_blog_posts")))
-    return runs.run_daily(store, m.feeds(), run_dir(m.spark, "daily"), m.as_of, describe, max_concurrent=8).report
+    return runs.run_daily(store, m.feeds(), run_dir(m.spark, "daily"), m.as_of, describer(), max_concurrent=8).report
 
 
 @register
@@ -642,4 +649,4 @@ def weekly_run(m: Models) -> DataFrame:
 def retry_run(m: Models) -> DataFrame:
     """Counts of a retry of two stages."""
     stages = [dead_letters.SUMMARIZATION, dead_letters.GENERATION]
-    return runs.run_retry(m.store, m.kept("mart_posts"), run_dir(m.spark, "retry"), m.as_of, describe, stages).report
+    return runs.run_retry(m.store, m.kept("mart_posts"), run_dir(m.spark, "retry"), m.as_of, describer(), stages).report

@@ -50,6 +50,7 @@ def extract_cards(pages: DataFrame, base_url: str) -> DataFrame:
 def extract_entries(pages: DataFrame, base_url: str) -> DataFrame:
     """One row per ``li.blog-entry`` that holds an article."""
     items = pages.select("page_id", F.posexplode(_chunks(F.col("html"), ENTRY_ITEM)).alias("position", "item"))
+    items = items.withColumn("item", F.substring_index("item", "</li>", 1))
     article = F.regexp_extract("item", r"(?s)<article(?:\s[^>]*)?>(.*?)</article>", 1)
     has_article = F.col("item").rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
     anchor = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
