@@ -7,6 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.functions.text import slug_base, strip
+from inkwell.operators.skew import join_hot_keys
+from inkwell.operators.upsert import present_keys
+from inkwell.session import cut_lineage
 
 # Front-matter fields every note of a kind must have.
 REQUIRED_FIELDS = {
@@ -167,17 +170,23 @@ class Checked(NamedTuple):
 def note_failures(notes: DataFrame) -> DataFrame:
     """All failures of all notes: path, field, reason.
 
-    Everything but the wikilinks is decided within the row. Links are kept when no note has their
-    slug; rows without a link get a key of their own in that join, so they do not meet in one task.
+    Everything but the wikilinks is decided within the row. The findings are checkpointed, so the
+    front matter is parsed once. Links are judged by their distinct targets: those no note has as its
+    slug are joined back to the links, with frequent targets spread over tasks.
     """
     parsed = parse_front_matter(notes)
     broken = F.array(_failure(F.lit("frontmatter"), F.col("error")))
     found = F.when(F.col("error").isNotNull(), broken).otherwise(F.concat(_required(), _wikilinks(), _tags()))
-    rows = parsed.select("path", F.explode(found).alias("f")).select("path", "f.*")
-    slugs = notes.filter("part = 0").select(F.col("slug").alias("_target"), F.lit(True).alias("_exists")).distinct()
-    key = F.coalesce("target", F.concat(F.lit("\n"), "path"))
-    joined = rows.withColumn("_target", key).join(slugs, "_target", "left")
-    return joined.filter("_exists is null").select("path", "field", "reason")
+    findings = cut_lineage(parsed.select("path", F.explode(found).alias("f")).select("path", "f.*"))
+    links = findings.filter("target is not null")
+    targets = links.groupBy("target").count()
+    slugs = notes.filter("part = 0").select(F.col("slug").alias("target"))
+    lost = targets.join(present_keys(slugs, ["target"], targets), "target", "left_anti")
+    marks = lost.select("target", F.lit(True).alias("_lost"))
+    unresolved = join_hot_keys(links, marks, "target", lost, "path").filter("_lost")
+    return findings.filter("target is null").select("path", "field", "reason").unionByName(
+        unresolved.select("path", "field", "reason")
+    )
 
 
 def check_notes(notes: DataFrame) -> Checked:

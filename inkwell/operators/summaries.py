@@ -41,10 +41,11 @@ DIFFICULTIES = ["advanced", "beginner", "intermediate"]
 DEFAULT_CONCURRENCY = 4
 
 
-def unsummarized_posts(posts: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Posts without a summary, by id."""
+def unsummarized_posts(posts: DataFrame, summaries: DataFrame, ordered: bool = True) -> DataFrame:
+    """Posts without a summary, by id. Runs that send them on leave out the order, which is a full sort."""
     done = summaries.select(F.col("post_id").alias("id"))
-    return posts.join(done, "id", "left_anti").select(*column_names(BLOG_POSTS)).orderBy("id")
+    todo = posts.join(done, "id", "left_anti").select(*column_names(BLOG_POSTS))
+    return todo.orderBy("id") if ordered else todo
 
 
 def lookup_status(ids: DataFrame, posts: DataFrame, summaries: DataFrame) -> DataFrame:

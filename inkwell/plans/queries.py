@@ -97,7 +97,7 @@ class Models(RawTables):
     @cached_property
     def attempts(self) -> DataFrame:
         """The text statistics of :func:`describer` for every post without a summary."""
-        todo = summaries.unsummarized_posts(self.posts(), self.summaries())
+        todo = summaries.unsummarized_posts(self.posts(), self.summaries(), ordered=False)
         return summaries.summarize(todo, describer(), max_concurrent=8)
 
     @cached_property

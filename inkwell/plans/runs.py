@@ -85,7 +85,7 @@ def run_daily(
     failures = [parsed.failures, ingested.failures]
     all_summaries = store.summaries
     if summarize_with is not None:
-        todo = summaries.unsummarized_posts(posts, store.summaries)
+        todo = summaries.unsummarized_posts(posts, store.summaries, ordered=False)
         attempts = summaries.summarize(todo, summarize_with, max_concurrent)
         stored = summaries.store_summaries(attempts, store.summaries, as_of)
         written |= write_tables({"new_summaries": stored.inserted, "summary_outcomes": stored.outcomes}, out_dir)
