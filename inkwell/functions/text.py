@@ -34,7 +34,8 @@ def _single_letter_folds() -> tuple[str, str]:
     sources, targets = [], []
     for code in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2300), *range(0xFF01, 0xFF5F)]:
         plain = "".join(ch for ch in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(ch))
-        if len(plain) == 1 and plain.isascii() and chr(code) not in ASCII_SPELLING:
+        plain = ASCII_SPELLING.get(chr(code), plain)
+        if len(plain) == 1 and plain.isascii():
             sources.append(chr(code))
             targets.append(plain)
     # combining marks come last and have no target: translate() drops them
@@ -42,6 +43,7 @@ def _single_letter_folds() -> tuple[str, str]:
 
 
 _FOLD_FROM, _FOLD_TO = _single_letter_folds()
+_SPELLED_OUT = {letter: text for letter, text in ASCII_SPELLING.items() if len(text) > 1}
 
 
 def _column(c: Column | str) -> Column:
@@ -88,7 +90,8 @@ def fold_to_ascii(c: Column | str) -> Column:
     """Latin letters without their accents; other scripts are left alone."""
 
     def fold(text: Column) -> Column:
-        spelled = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), ASCII_SPELLING.items(), text)
+        spelled = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), _SPELLED_OUT.items(), text)
+        spelled = F.when(text.rlike(f"[{''.join(_SPELLED_OUT)}]"), spelled).otherwise(text)
         return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, _FOLD_FROM, _FOLD_TO)).otherwise(text)
 
     return bind(_column(c), fold)

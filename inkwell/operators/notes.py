@@ -190,10 +190,9 @@ def note_stats(mart_posts: DataFrame, mart_sources: DataFrame, mart_authors: Dat
 
 
 def write_notes(notes: DataFrame, path: str) -> None:
-    """Notes to a new folder, one sub-folder per kind; parts of one note stay in order within a file."""
-    notes.repartitionByRange("note_type", "path", "part").sortWithinPartitions("note_type", "path", "part").write.mode(
-        "errorifexists"
-    ).partitionBy("note_type").parquet(path)
+    """Notes to a new folder, one sub-folder per kind. Parts of a long note may be in several files; their
+    number tells the order."""
+    notes.write.mode("errorifexists").partitionBy("note_type").parquet(path)
 
 
 def changed_notes(notes: DataFrame, published: DataFrame) -> DataFrame:
