@@ -308,6 +308,13 @@ def stripped(text: str) -> str:
     return rf"regexp_replace({text}, '^\s+|\s+$', '', 'g')"
 
 
+def unescaped(text: str) -> str:
+    """Resolves the character references that the pages contain; the ampersand comes last."""
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{sign}')"
+    return text
+
+
 def dead_letter(reference: str, stage: str, reason: str) -> str:
     return (
         f"{reference} AS post_reference, '{stage}' AS failure_stage, {reason} AS failure_reason, 0::INTEGER AS retry_count, "
@@ -376,7 +383,7 @@ ORACLES |= {
     "page_descriptions": rf"""
         SELECT page_id, texts[1] AS description
         FROM (SELECT page_id,
-                     [t FOR t IN [array_to_string([{stripped("replace(replace(replace(n, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")}
+                     [t FOR t IN [array_to_string([{stripped(unescaped('n'))}
                                                    FOR n IN string_split_regex(split_part(p, '</p>', 1), '<[^>]*>')], '')
                                   FOR p IN string_split_regex(block, '<p(?:\s[^>]*)?>')[2:]]
                       IF length(t) >= 40 AND NOT (contains(t, 'Check out the') AND contains(t, 'announcement'))] AS texts
