@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 # The characters that str.strip() takes as white space.
 WHITE_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
-# Letters and marks without a canonical decomposition, and their ASCII spelling.
+# Letters and marks that do not decompose to ASCII, and their ASCII spelling. Small
+# letters stand for their capitals, too.
 ASCII_SPELLING = {
-    "ß": "ss", "ẞ": "Ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th", "ø": "o", "Ø": "O",
-    "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ı": "i", "ŋ": "ng", "Ŋ": "NG",
+    "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ŋ": "ng",
     "‘": "'", "’": "'", "‚": ",", "“": '"', "”": '"', "€": "EUR", "©": "(c)", "®": "(r)", "™": "tm",
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m",
+    "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps",
+    "ω": "o",
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l", "м": "m",
+    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
+    "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "є": "ie", "і": "i", "ґ": "g",
 }
 
 # Named character references that occur in feeds and pages.
@@ -29,21 +34,24 @@ NAMED_REFERENCES = {
 }
 
 
-def _single_letter_folds() -> tuple[str, str]:
-    """Every character whose compatibility decomposition is one ASCII character plus marks."""
-    sources, targets = [], []
-    for code in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2300), *range(0xFF01, 0xFF5F)]:
-        plain = "".join(ch for ch in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(ch))
-        plain = ASCII_SPELLING.get(chr(code), plain)
-        if len(plain) == 1 and plain.isascii():
-            sources.append(chr(code))
-            targets.append(plain)
-    # combining marks come last and have no target: translate() drops them
-    return "".join(sources) + "".join(map(chr, range(0x300, 0x370))), "".join(targets)
+def _ascii_letters() -> dict[str, str]:
+    """Every character whose compatibility decomposition, without marks, spells in ASCII."""
+    spelling = {c.upper(): text.capitalize() for c, text in ASCII_SPELLING.items() if len(c.upper()) == 1} | ASCII_SPELLING
+    blocks = [(0xA0, 0x250), (0x370, 0x492), (0x1E00, 0x2300), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
+    letters = {}
+    for code in (code for first, end in blocks for code in range(first, end)):
+        plain = [ch for ch in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(ch)]
+        text = "".join(spelling.get(ch, ch) for ch in plain)
+        if text and text.isascii():
+            letters[chr(code)] = text
+    return letters
 
 
-_FOLD_FROM, _FOLD_TO = _single_letter_folds()
-_SPELLED_OUT = {letter: text for letter, text in ASCII_SPELLING.items() if len(text) > 1}
+_LETTERS = _ascii_letters()
+_SINGLE = {c: text for c, text in _LETTERS.items() if len(text) == 1}
+_LONGER = {c: text for c, text in _LETTERS.items() if len(text) > 1}
+# combining marks come last and have no target: translate() drops them
+_FOLD_FROM, _FOLD_TO = "".join(_SINGLE) + "".join(map(chr, range(0x300, 0x370))), "".join(_SINGLE.values())
 
 
 def _column(c: Column | str) -> Column:
@@ -87,12 +95,16 @@ def preview_slug(title: Column | str) -> Column:
 
 
 def fold_to_ascii(c: Column | str) -> Column:
-    """Latin letters without their accents; other scripts are left alone."""
+    """Latin, Greek and Cyrillic letters as ASCII without accents; other scripts are left alone."""
+    special = "".join(_LONGER)
+    pieces = F.lit(f"([{special}]|[^{special}]+)")
+    spelled = F.create_map(*[F.lit(x) for kv in _LONGER.items() for x in kv])
 
     def fold(text: Column) -> Column:
-        spelled = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), _SPELLED_OUT.items(), text)
-        spelled = F.when(text.rlike(f"[{''.join(_SPELLED_OUT)}]"), spelled).otherwise(text)
-        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, _FOLD_FROM, _FOLD_TO)).otherwise(text)
+        runs = F.regexp_extract_all(text, pieces, F.lit(1))
+        longer = F.array_join(F.transform(runs, lambda r: F.coalesce(F.try_element_at(spelled, r), r)), "")
+        whole = F.when(text.rlike(f"[{special}]"), longer).otherwise(text)
+        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(whole, _FOLD_FROM, _FOLD_TO)).otherwise(text)
 
     return bind(_column(c), fold)
 

@@ -191,7 +191,8 @@ def call_for_posts(posts: DataFrame, fn: Callable[[str], str], max_concurrent: i
 def summarize(posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY) -> DataFrame:
     """Call and check: one row per post with either the summary columns or a reason.
 
-    The responses are checkpointed, so that later steps read them and no post is sent twice.
+    The responses are checkpointed, so that later steps read them instead of calling again; only a task
+    that is lost before it has written its responses repeats its calls.
     """
     parsed = parse_responses(cut_lineage(call_for_posts(posts, fn, max_concurrent)))
     return parsed.withColumn("reason", F.coalesce("error", "reason")).drop("error")

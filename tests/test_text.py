@@ -18,7 +18,11 @@ from inkwell.functions.dates import feed_timestamp
     ("  --  ", "untitled"),
     ("", "untitled"),
     (None, "untitled"),
-    ("Æsir œuvre ﬁn", "aesir-oeuvre-n"),
+    ("Æsir œuvre ﬁn", "aesir-oeuvre-fin"),
+    ("Привет, мир! Ещё объём", "privet-mir-eshche-obem"),
+    ("Ελλάδα Χίος", "ellada-khios"),
+    ("Kernel№5… ØRE ŁÓDŹ", "kernelno5-ore-lodz"),
+    ("日本語", "untitled"),
     ("Ａｂｃ１２３", "abc123"),
     ("a" * 100, "a" * 80),
     ("a" * 79 + " b", "a" * 79),
