@@ -2,6 +2,8 @@ import pytest
 
 from compare import connect, differences
 from __spark_entry__ import entry, oracle_sql, queries
+from inkwell.plans.oracle import ORACLES
+from inkwell.plans.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,8 +19,8 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_query_but_the_whole_run_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"daily_run"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == {"daily_run"}
+    assert set(ORACLES) <= set(QUERIES) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
