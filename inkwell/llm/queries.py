@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from inkwell.llm.chat import OP3_SQL, op3_chat_format
 from inkwell.llm.mixing import OP10_SQL, op10_mix_sources
+from inkwell.llm.pii import op9_pii
+from inkwell.llm.simhash import op4_simhash
 
-QUERIES = {"op3_chat_format": op3_chat_format, "op10_mix_sources": op10_mix_sources}
+QUERIES = {
+    "op3_chat_format": op3_chat_format,
+    "op4_simhash": op4_simhash,
+    "op9_pii": op9_pii,
+    "op10_mix_sources": op10_mix_sources,
+}
 ORACLES = {"op3_chat_format": OP3_SQL, "op10_mix_sources": OP10_SQL}
