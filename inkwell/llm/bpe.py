@@ -9,6 +9,7 @@ ordered aggregation.
 from __future__ import annotations
 
 import base64
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -21,18 +22,44 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from inkwell.llm.common import map_arrow, read
 
 CHUNK_CHARS = 6_000_000  # texts that are encoded together, in characters
-BLOCK_BYTES = 400_000  # bytes of distinct words that one recursive query takes
+BLOCK_BYTES = 600_000  # bytes of distinct words that one recursive query takes
+LONG_WORD = 64  # bytes from which words are contracted at several places in a step
 STATE_ROWS = 6_000_000  # rows that one recursive query may gather; beyond, it ends early and is started again
 DECODE_ROWS = 400_000  # tokens that one decoding query takes
-KEPT_WORDS = 150_000  # words in each of the two generations of the cache
+KEPT_WORDS = 200_000  # words in each of the two generations of the cache
 
 # A blank before a visible character begins a word whatever stands around it, so texts may be cut there first.
 CUT = re.compile(r" (?=\S)")
 
-# One step for all words at once. In a step, a word's pairs of its lowest rank are contracted from left to right without
-# overlap. That equals contracting the leftmost again and again unless a contraction makes a pair of a lower rank than
-# its own; "early" has the pairs that can, and a word stops after the first contraction that stands beside one.
+# A step contracts the leftmost pair of the lowest rank in each word. Rank and position are one number, so one minimum
+# per word finds the pair.
 MERGE_SQL = """
+WITH RECURSIVE state(step, w, pos, tok) AS (
+  SELECT 0, w, pos, tok FROM symbols
+  UNION ALL (
+    WITH p AS (
+      SELECT step, w, pos, tok, lead(tok) OVER o AS nxt, lag(pos) OVER o AS ppos
+      FROM state WHERE step < {steps} WINDOW o AS (PARTITION BY w ORDER BY pos)
+    ), pairs AS MATERIALIZED (
+      SELECT p.*, CAST(m.r AS BIGINT) * 1048576 + pos AS pair
+      FROM p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.nxt
+    ), lows AS MATERIALIZED (
+      SELECT w, min(pair) AS low FROM pairs GROUP BY w HAVING min(pair) IS NOT NULL
+    )
+    SELECT step + 1, pairs.w, pos, CASE WHEN pos = low % 1048576 THEN CAST(low // 1048576 AS INT) ELSE tok END
+    FROM pairs JOIN lows ON lows.w = pairs.w
+    WHERE ppos IS DISTINCT FROM low % 1048576
+  )
+), ends AS (
+  SELECT w, max(step) AS step FROM state GROUP BY w
+)
+SELECT step, w, pos, tok FROM state JOIN ends USING (w, step) ORDER BY w, pos
+"""
+
+# The same result for long words in fewer steps: a step contracts all pairs of a word's lowest rank, from left to right
+# without overlap. That equals contracting the leftmost again and again unless a contraction makes a pair of a lower
+# rank than its own; "early" has the pairs that can, and a word stops after the first contraction that stands beside one.
+LONG_SQL = """
 WITH RECURSIVE state(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM symbols
   UNION ALL (
@@ -98,8 +125,9 @@ class Codec:
         self._table("vocabulary", pa.table({
             "id": pa.array(list(rank.values()), pa.int32()),
             "piece": pa.array([word.decode("latin-1") for word in rank], pa.string())}))
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.whole = {word: np.int32(number).tobytes() for word, number in rank.items()}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("given", rows)
@@ -113,8 +141,8 @@ class Codec:
         finally:
             self.con.unregister(name)
 
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word, by recursive queries until nothing changes."""
+    def _contract(self, words: list[bytes], sql: str) -> list[bytes]:
+        """Token ids of each word (as the bytes of 32-bit numbers), by recursive queries until nothing changes."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
@@ -122,32 +150,38 @@ class Codec:
         settled: list[tuple[np.ndarray, np.ndarray]] = []
         while len(word):
             steps = max(4, STATE_ROWS // len(word))
-            found = self._query(MERGE_SQL.format(steps=steps), "symbols", pa.table({"w": word, "pos": pos, "tok": tok}))
+            found = self._query(sql.format(steps=steps), "symbols", pa.table({"w": word, "pos": pos, "tok": tok}))
             step, word, pos, tok = (found.column(i).to_numpy() for i in range(4))
             open_ = step == steps
             settled.append((word[~open_], tok[~open_]))
             word, pos, tok = word[open_], pos[open_], tok[open_]
         word, tok = (np.concatenate(parts) for parts in zip(*settled))
-        order = np.argsort(word, kind="stable")
-        ends = np.cumsum(np.bincount(word, minlength=len(words)))
-        return np.split(tok[order].astype(np.int32), ends[:-1])
-
-    def _words(self, words: set[str]) -> dict[str, np.ndarray]:
-        """Token ids of each distinct word, from the cache or by contraction."""
-        known = {w: ids for w in words if (ids := self.young.get(w)) is not None or (ids := self.old.get(w)) is not None}
-        block: list[str] = []
-        size = 0
-        fresh = [w for w in words if w not in known]
-        for i, w in enumerate(fresh):
-            block.append(w)
-            size += len(w) * 2
-            if size >= BLOCK_BYTES or i == len(fresh) - 1:
-                known.update(zip(block, self._contract([w.encode("utf-8") for w in block])))
-                block, size = [], 0
+        ids = tok[np.argsort(word, kind="stable")].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Token ids of each distinct word: from the cache, from the vocabulary, or by contraction."""
+        known = {w: ids for w in words if (ids := self.young.get(w) or self.old.get(w))}
+        short, long = [], []
+        for w in words:
+            if w not in known:
+                data = w.encode("utf-8")
+                if (whole := self.whole.get(data)) is not None:
+                    known[w] = whole
+                else:
+                    (short if len(data) < LONG_WORD else long).append((w, data))
+        for group, sql in ((short, MERGE_SQL), (long, LONG_SQL)):
+            start = size = 0
+            for i, (_, data) in enumerate(group):
+                size += len(data)
+                if size >= BLOCK_BYTES or i == len(group) - 1:
+                    block = group[start:i + 1]
+                    known.update(zip((w for w, _ in block), self._contract([d for _, d in block], sql)))
+                    start, size = i + 1, 0
         if len(self.young) + len(known) > KEPT_WORDS:
             self.old, self.young = self.young, {}
-        room = max(0, KEPT_WORDS - len(self.young))
-        self.young.update((w, known[w]) for i, w in enumerate(known) if i < room and len(w) <= 64)
+        self.young.update(itertools.islice(((w, ids) for w, ids in known.items() if len(w) < LONG_WORD), KEPT_WORDS))
         return known
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +193,10 @@ class Codec:
         del cut
         pieces = [self.pattern.findall(p[0] if isinstance(p, tuple) else " " + p) for p in code]
         ids = self._words({w for words in pieces for w in words})
-        empty = np.empty(0, np.int32)
-        of_piece = [np.concatenate([ids[w] for w in words]) if len(words) > 1 else ids[words[0]] if words else empty
-                    for words in pieces]
-        lengths = np.fromiter(map(len, of_piece), np.int64, len(of_piece))
+        of_piece = [b"".join([ids[w] for w in words]) for words in pieces]
+        lengths = np.fromiter(map(len, of_piece), np.int64, len(of_piece)) // 4
         starts = np.cumsum(lengths) - lengths
-        flat = np.concatenate([empty, *of_piece])
+        flat = np.frombuffer(b"".join(of_piece), np.int32)
         at = np.concatenate([np.empty(0, np.int64), *codes])
         counts = np.array([lengths[c].sum() for c in codes], np.int64)
         size = lengths[at]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from inkwell.llm.bpe import op1_bpe
 from inkwell.llm.chat import OP3_SQL, op3_chat_format
 from inkwell.llm.mixing import OP10_SQL, op10_mix_sources
 from inkwell.llm.pii import op9_pii
 from inkwell.llm.simhash import op4_simhash
+from inkwell.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_simhash": op4_simhash,
+    "op7_toxicity": op7_toxicity,
     "op9_pii": op9_pii,
     "op10_mix_sources": op10_mix_sources,
 }
