@@ -295,15 +295,18 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "d
     return map_arrow(rows, run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, decoded binary")
 
 
-def op1_bpe(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+def digests(tokens: DataFrame, *more: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, more columns) of rows with ids and decoded."""
+    return tokens.select(
+        id_col, F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more,
+    )
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, with digests of both."""
     import public_tokenizers
 
-    docs = read(spark, sf_dir, "documents") if docs is None else docs
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    tokens = encode(docs, path, public_tokenizers.PATTERN, decoded=True)
-    return tokens.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return digests(encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True))
