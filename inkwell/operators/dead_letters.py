@@ -16,9 +16,16 @@ SUMMARIZATION, INGESTION, GENERATION = "summarization", "ingestion", "generation
 StageJob = Callable[[DataFrame], DataFrame]
 
 
-def dead_letter_rows(failed: DataFrame, reference: Column, stage: str, reason: Column, as_of: Column) -> DataFrame:
-    """Failed rows in the layout of the dead-letter table, ready to append."""
+def dead_letter_rows(
+    failed: DataFrame, reference: Column, stage: str, reason: Column, as_of: Column, identity: list[Column | str]
+) -> DataFrame:
+    """Failed rows in the layout of the dead-letter table, ready to append.
+
+    ``identity`` are the columns of ``failed`` that tell its rows apart (such as source, fetch and position of a feed
+    entry). They go into the id, so rows that fail alike in one run are letters of their own.
+    """
     rows = failed.select(
+        F.xxhash64(*identity, reference.cast("string"), F.lit(stage), reason, as_of).alias("id"),
         reference.cast("string").alias("post_reference"),
         F.lit(stage).alias("failure_stage"),
         reason.alias("failure_reason"),
@@ -27,8 +34,7 @@ def dead_letter_rows(failed: DataFrame, reference: Column, stage: str, reason: C
         F.lit(None).cast("timestamp").alias("last_retry_at"),
         F.lit(False).alias("resolved"),
     )
-    identity = F.xxhash64("post_reference", "failure_stage", "failure_reason", "created_at")
-    return rows.withColumn("id", identity).select(*column_names(DEAD_LETTERS))
+    return rows.select(*column_names(DEAD_LETTERS))
 
 
 def list_failures(dead_letters: DataFrame, stage: str | None = None, include_resolved: bool = False) -> DataFrame:
@@ -127,8 +133,11 @@ def reprocess_counts(outcomes: DataFrame) -> DataFrame:
 
 
 def apply_outcomes(dead_letters: DataFrame, outcomes: DataFrame, as_of: Column) -> DataFrame:
-    """The next snapshot of the table: every retried entry counts one more, is resolved or has a new reason."""
-    results = outcomes.select("id", F.col("error").alias("_error"), F.lit(True).alias("_tried"))
+    """The next snapshot of the table: every retried entry counts one more, is resolved or has a new reason.
+
+    The table keeps its rows whatever the outcomes hold: several for one id count as one, which succeeded only if all did.
+    """
+    results = outcomes.groupBy("id").agg(F.max("error").alias("_error"), F.lit(True).alias("_tried"))
     tried, failed = F.coalesce("_tried", F.lit(False)), F.col("_error").isNotNull()
     return dead_letters.join(results, "id", "left").select(
         "id",

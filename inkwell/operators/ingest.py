@@ -38,7 +38,7 @@ def ingest_posts(entries: DataFrame, posts: DataFrame, arrival: list[Column], as
     reason = F.concat(
         F.lit("Insert failed for source "), F.col("source_id"), F.lit(": null value in column "), F.col("_missing")
     )
-    failures = dead_letter_rows(failed, F.coalesce("url", F.lit("unknown")), INGESTION, reason, as_of)
+    failures = dead_letter_rows(failed, F.coalesce("url", F.lit("unknown")), INGESTION, reason, as_of, arrival)
     return Ingested(inserted, failures, ingest_metrics(entries, inserted))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from inkwell.functions.text import is_blank
 from inkwell.operators.upsert import apply_changes, insert_if_absent
@@ -51,18 +51,21 @@ def _bad_rating() -> Column:
 def add_sources(requests: DataFrame, sources: DataFrame, request_id: str, as_of: Column) -> Changed:
     """Adds the valid requests with a new feed URL, in the order of ``request_id``.
 
-    Each request ends as inserted, skipped (duplicate) or rejected with the first rule it breaks.
+    Each request ends as inserted, skipped (duplicate) or rejected with the first rule it breaks. Rows that repeat a
+    request id are requests of their own.
     """
     blanks = [(F.col(c), c) for c in ("rss_feed_url", "name", "category")]
     broken = F.coalesce(
         *[F.when(is_blank(column), F.lit(f"{name} must not be empty")) for column, name in blanks],
         F.when(_bad_rating(), F.lit(f"quality_rating must be an integer between {MIN_RATING} and {MAX_RATING}")),
     )
-    checked = requests.withColumn("_broken", broken)
+    copies = Window.partitionBy(request_id, "rss_feed_url").orderBy(*requests.columns)
+    checked = requests.withColumn("_broken", broken).withColumn("_copy", F.row_number().over(copies))
+    request = [request_id, "rss_feed_url", "_copy"]
     winners = insert_if_absent(
-        checked.filter("_broken is null").drop("_broken"), sources, ["rss_feed_url"], [F.col(request_id)]
+        checked.filter("_broken is null").drop("_broken"), sources, ["rss_feed_url"], [F.col(request_id), F.col("_copy")]
     )
-    marked = checked.join(winners.select(request_id, F.lit(True).alias("_won")), request_id, "left")
+    marked = checked.join(winners.select(*request, F.lit(True).alias("_won")), request, "left")
     action = F.when(F.col("_broken").isNotNull(), "rejected").when(F.col("_won"), "inserted").otherwise("skipped")
     outcomes = marked.select(
         request_id,
@@ -76,20 +79,24 @@ def add_sources(requests: DataFrame, sources: DataFrame, request_id: str, as_of:
 def _outcomes(changes: DataFrame, sources: DataFrame, done: str) -> DataFrame:
     known = sources.select("id", F.lit(True).alias("_known"))
     action = F.when(F.col("_known"), done).otherwise("not_found")
-    return changes.select("id").join(known, "id", "left").select("id", action.alias("action"))
+    return changes.join(known, "id", "left").select(*changes.columns, action.alias("action"))
 
 
 def set_status(sources: DataFrame, ids: DataFrame, active: bool, as_of: Column) -> Changed:
     """Activates or deactivates the sources in ``ids`` (column id)."""
     changes = ids.select("id").distinct().withColumn("status", F.lit("active" if active else "inactive"))
     table = apply_changes(sources, changes, "id", {"status"}, {"updated_at": as_of})
-    return Changed(table, _outcomes(changes, sources, "activated" if active else "deactivated"))
+    return Changed(table, _outcomes(changes.select("id"), sources, "activated" if active else "deactivated"))
 
 
-def update_sources(sources: DataFrame, changes: DataFrame, as_of: Column) -> Changed:
-    """Sets the non-NULL columns of ``changes`` (one row per id). Blank text and ratings out of range
-    reject the row; columns that may not be updated raise."""
-    fields = [c for c in changes.columns if c != "id"]
+def update_sources(sources: DataFrame, changes: DataFrame, as_of: Column, request_id: str | None = None) -> Changed:
+    """Sets the non-NULL columns of ``changes``, in the order of the column ``request_id`` if there is one.
+
+    An id may have several changes; each is judged by itself. Blank text and ratings out of range reject the change;
+    columns that may not be updated raise.
+    """
+    names = ["id"] if request_id is None else [request_id, "id"]
+    fields = [c for c in changes.columns if c not in names]
     rules = []
     for name in fields:
         given = F.col(name).isNotNull()
@@ -101,11 +108,11 @@ def update_sources(sources: DataFrame, changes: DataFrame, as_of: Column) -> Cha
     nothing = F.when(F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull(), F.lit("No fields provided to update"))
     checked = changes.withColumn("_broken", F.coalesce(*rules, nothing))
     accepted = checked.filter("_broken is null").drop("_broken")
-    table = apply_changes(sources, accepted, "id", UPDATABLE, {"updated_at": as_of})
+    table = apply_changes(sources, accepted, "id", UPDATABLE, {"updated_at": as_of}, request_id)
     rejected = checked.filter("_broken is not null").select(
-        "id", F.lit("rejected").alias("action"), F.col("_broken").alias("reason")
+        *names, F.lit("rejected").alias("action"), F.col("_broken").alias("reason")
     )
-    done = _outcomes(accepted, sources, "updated").withColumn("reason", F.lit(None).cast("string"))
+    done = _outcomes(accepted.select(*names), sources, "updated").withColumn("reason", F.lit(None).cast("string"))
     return Changed(table, done.unionByName(rejected))
 
 

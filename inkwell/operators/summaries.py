@@ -213,7 +213,9 @@ def store_summaries(attempts: DataFrame, summaries: DataFrame, as_of: Column) ->
         F.col("_raw").alias("raw_api_response"), as_of.alias("created_at"),
     ).select(*column_names(AI_SUMMARIES))
     bad = attempts.filter("reason is not null")
-    failures = dead_letter_rows(bad, F.col("post_id"), SUMMARIZATION, F.col("reason"), as_of)
+    failures = dead_letter_rows(
+        bad, F.col("post_id"), SUMMARIZATION, F.col("reason"), as_of, ["post_id", "response_text"]
+    )
     present = present_keys(summaries, ["post_id"], attempts).withColumn("_present", F.lit(True))
     outcome = F.when(F.col("reason").isNotNull(), "failed").when(F.col("_present"), "skipped").otherwise("succeeded")
     outcomes = attempts.join(present, "post_id", "left").select("post_id", outcome.alias("outcome"))

@@ -34,20 +34,24 @@ def insert_if_absent(rows: DataFrame, table: DataFrame, keys: list[str], order:
 
 
 def apply_changes(
-    table: DataFrame, changes: DataFrame, key: str, updatable: set[str], touched: dict[str, Column]
+    table: DataFrame, changes: DataFrame, key: str, updatable: set[str], touched: dict[str, Column],
+    order: str | None = None,
 ) -> DataFrame:
-    """A new snapshot of ``table``: non-NULL columns of ``changes`` (one row per key) replace the old values.
+    """A new snapshot of ``table``: non-NULL columns of ``changes`` replace the old values.
 
-    ``touched`` gives values, such as the update time, set on every changed row.
+    A key may have several changes: per column the last non-NULL value by the column ``order`` wins, as if the changes
+    were applied one after the other, and the table keeps its number of rows. Without ``order`` the largest change
+    counts as the last. ``touched`` gives values, such as the update time, set on every changed row.
     """
-    fields = [c for c in changes.columns if c != key]
+    fields = [c for c in changes.columns if c not in (key, order)]
     unknown = sorted(set(fields) - updatable)
     if not fields:
         raise ValueError("No fields provided to update")
     if unknown:
         raise ValueError(f"Unknown fields: {unknown}")
-    renamed = changes.select(key, F.lit(True).alias("_changed"), *[F.col(c).alias(f"_new_{c}") for c in fields])
-    joined = table.join(renamed, key, "left")
+    place = F.struct(*([order] if order else []), *fields)
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_new_{c}") for c in fields]
+    joined = table.join(changes.groupBy(key).agg(F.lit(True).alias("_changed"), *latest), key, "left")
 
     def value(name: str) -> Column:
         new = F.coalesce(f"_new_{name}", name) if name in fields else F.col(name)

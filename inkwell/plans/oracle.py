@@ -255,7 +255,11 @@ piece("changes", [], """
                 WHEN k % 4 = 0 AND k % 12 NOT BETWEEN 1 AND 10
                     THEN 'quality_rating must be an integer between 1 and 10'
                 WHEN k % 5 NOT IN (0, 1) AND k % 4 NOT IN (0, 1) THEN 'No fields provided to update' END AS broken
-    FROM (SELECT o_custkey, max(o_orderkey) AS k FROM orders GROUP BY o_custkey)""")
+    FROM (SELECT o_custkey, o_orderkey AS k FROM orders)""")
+piece("last_changes", ["changes"], """
+    SELECT id, arg_max(new_name, k) FILTER (new_name IS NOT NULL) AS new_name,
+           arg_max(new_rating, k) FILTER (new_rating IS NOT NULL) AS new_rating
+    FROM changes WHERE broken IS NULL GROUP BY id""")
 
 ORACLES |= {
     "active_sources": query(["catalogue"], f"SELECT {SOURCE_COLUMNS} FROM catalogue WHERE status = 'active'"),
@@ -284,14 +288,14 @@ ORACLES |= {
     "activate_sources_outcomes": query(["catalogue", "status_ids"], """
         SELECT s.id, CASE WHEN c.id IS NULL THEN 'not_found' ELSE 'activated' END AS action
         FROM status_ids AS s LEFT JOIN catalogue AS c ON c.id = s.id"""),
-    "update_sources": query(["catalogue", "changes"], f"""
+    "update_sources": query(["catalogue", "last_changes"], f"""
         SELECT {SOURCE_COLUMNS} FROM (
           SELECT c.* REPLACE (coalesce(h.new_name, c.name) AS name,
                               coalesce(h.new_rating, c.quality_rating) AS quality_rating,
                               CASE WHEN h.id IS NULL THEN c.updated_at ELSE {AS_OF} END AS updated_at)
-          FROM catalogue AS c LEFT JOIN (SELECT * FROM changes WHERE broken IS NULL) AS h ON c.id = h.id)"""),
+          FROM catalogue AS c LEFT JOIN last_changes AS h ON c.id = h.id)"""),
     "update_sources_outcomes": query(["catalogue", "changes"], """
-        SELECT h.id, CASE WHEN h.broken IS NOT NULL THEN 'rejected' WHEN c.id IS NULL THEN 'not_found'
+        SELECT h.k AS request_id, h.id, CASE WHEN h.broken IS NOT NULL THEN 'rejected' WHEN c.id IS NULL THEN 'not_found'
                           ELSE 'updated' END AS action, h.broken AS reason
         FROM changes AS h LEFT JOIN catalogue AS c ON c.id = h.id"""),
     "touch_last_checked": query(["raw_sources", "entries"], f"""
@@ -398,6 +402,14 @@ ORACLES |= {
         SELECT {dead_letter("url", "ingestion",
                             "'Insert failed for source ' || source_id || ': null value in column author_name'")}
         FROM entries WHERE author_name IS NULL"""),
+    "ingest_failure_ids": query(["entries"], """
+        SELECT count(*) AS letters, count(*) AS ids FROM entries WHERE author_name IS NULL"""),
+    "dlq_after_ingest": query(["entries", "earlier_posts"], f"""
+        SELECT url AS post_reference, 'ingestion' AS failure_stage,
+               CASE WHEN known THEN 'Insert failed for source ' || source_id || ': null value in column author_name'
+                    ELSE 'Post not found in raw_blog_posts for URL: ' || url END AS failure_reason,
+               1::INTEGER AS retry_count, {stamp(AS_OF)} AS created_at, {stamp(AS_OF)} AS last_retry_at, known AS resolved
+        FROM (SELECT *, url IN (SELECT url FROM earlier_posts) AS known FROM entries WHERE author_name IS NULL)"""),
     "ingest_metrics": query(["source_metrics"], "SELECT * FROM source_metrics"),
     "run_metrics": query(["source_metrics", "raw_sources", "entries"], """
         SELECT coalesce(sum(success_count), 0)::BIGINT AS total_success,
@@ -445,19 +457,69 @@ def _documents(candidates: str) -> str:
         GROUP BY issue_at"""
 
 
-def _quality() -> str:
-    from inkwell.operators.expectations import NOT_NULL, UNIQUE
+# The checks as the survey lists them, written out apart from the engine's declarations.
+CHECKED = """
+unique stg_posts id
+unique stg_posts url
+unique stg_authors author_id
+unique stg_authors author_name
+unique stg_summaries id
+unique stg_summaries post_id
+unique mart_posts id
+unique mart_posts url
+unique mart_authors author_id
+unique mart_authors author_name
+unique mart_sources id
+unique mart_newsletter_candidates post_id
+unique dead_letter_posts id
+not_null stg_posts id
+not_null stg_posts source_id
+not_null stg_posts title
+not_null stg_posts url
+not_null stg_posts author_name
+not_null stg_authors author_id
+not_null stg_authors author_name
+not_null stg_authors post_count
+not_null stg_summaries id
+not_null stg_summaries post_id
+not_null stg_summaries summary_text
+not_null mart_posts id
+not_null mart_posts source_id
+not_null mart_posts title
+not_null mart_posts url
+not_null mart_posts author_name
+not_null mart_authors author_id
+not_null mart_authors author_name
+not_null mart_authors post_count
+not_null mart_sources id
+not_null mart_sources name
+not_null mart_sources total_post_count
+not_null mart_newsletter_candidates post_id
+not_null mart_newsletter_candidates title
+not_null mart_newsletter_candidates summary_text
+not_null mart_newsletter_candidates author_name
+not_null mart_newsletter_candidates source_name
+not_null mart_newsletter_candidates category
+not_null mart_newsletter_candidates quality_rating
+not_null mart_newsletter_candidates publication_date
+not_null mart_newsletter_candidates url
+not_null mart_newsletter_candidates rank_score
+not_null mart_newsletter_candidates category_rank
+"""
+
 
-    names = {"mart_newsletter_candidates": "candidates"}
+def _quality() -> str:
+    names = {"mart_newsletter_candidates": "candidates", "dead_letter_posts": "dlq"}
+    checks = [line.split() for line in CHECKED.split("\n") if line]
     rows = [
         f"""SELECT 'unique' AS "check", '{t}' AS "table", '{c}' AS "column",
                    (SELECT count(*) FROM (SELECT {c} FROM {names.get(t, t)} WHERE {c} IS NOT NULL GROUP BY {c}
                                           HAVING count(*) > 1)) AS violations"""
-        for t, columns in UNIQUE.items() for c in columns
+        for kind, t, c in checks if kind == "unique"
     ]
     rows += [
         f"SELECT 'not_null', '{t}', '{c}', (SELECT count(*) FROM {names.get(t, t)} WHERE {c} IS NULL)"
-        for t, columns in NOT_NULL.items() for c in columns
+        for kind, t, c in checks if kind == "not_null"
     ]
     rows += [
         """SELECT 'relationships', 'stg_summaries', 'post_id',
@@ -477,7 +539,7 @@ ORACLES |= {
     "newsletter_document": query(["single_issue"], _documents("single_issue")),
     "newsletter_documents": query(["issue_candidates"], _documents("issue_candidates")),
     "quality_report": query(
-        ["candidates", "mart_posts", "mart_authors", "mart_sources", "stg_posts", "stg_authors", "stg_summaries"],
+        ["candidates", "mart_posts", "mart_authors", "mart_sources", "stg_posts", "stg_authors", "stg_summaries", "dlq"],
         _quality(),
     ),
     "duplicate_entry_urls": query(["entries"], """

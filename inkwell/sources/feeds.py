@@ -159,5 +159,7 @@ def parse_feeds(feeds: DataFrame, as_of: Column) -> ParsedFeeds:
     reason = F.when(F.col("feed_status") == MISSING, "Feed fetch failed: no payload").otherwise(
         "Feed parse failed with no entries"
     )
-    failures = dead_letter_rows(lost, F.col("rss_feed_url"), INGESTION, reason, as_of)
+    failures = dead_letter_rows(
+        lost, F.col("rss_feed_url"), INGESTION, reason, as_of, ["source_id", "fetched_at"]
+    )
     return ParsedFeeds(entries, failures, status.drop("rss_feed_url"))

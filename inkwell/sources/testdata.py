@@ -325,10 +325,10 @@ class RawTables:
 
     @once
     def source_changes(self) -> DataFrame:
-        """Update requests, one per customer with orders; some name no known source or break a rule."""
-        latest = self.table("orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("k"))
-        key = F.col("k")
-        return latest.select(
+        """Update requests, one per order, so most sources have several; some name no known source or break a rule."""
+        key = F.col("o_orderkey")
+        return self.table("orders").select(
+            key.alias("request_id"),
             (F.col("o_custkey") + 100).alias("id"),
             F.when(key % 5 == 0, "  ").when(key % 5 == 1, F.concat(F.lit("Renamed "), key)).alias("name"),
             F.when(key % 4 == 0, (key % 12).cast("int")).when(key % 4 == 1, 9).alias("quality_rating"),

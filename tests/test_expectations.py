@@ -36,3 +36,16 @@ def test_row_cap_duplicates_and_gate(spark):
     assert values(ex.duplicates(rows, "name")) == [("a", 2)]
     assert ex.all_passed(ex.row_cap(rows, "t", 3)) and not ex.all_passed(ex.row_cap(rows, "t", 2))
     assert values(ex.unique(frame(spark).limit(0), "t", "id"), "passed") == [True]
+
+
+def test_each_table_is_read_twice_at_most(spark, tmp_path):
+    tables = {}
+    for name, columns in {**ex.NOT_NULL, "raw_blog_posts": ["id"]}.items():
+        names = sorted({*columns, *ex.UNIQUE.get(name, []), "post_id" if "summaries" in name else "id", "author_id"})
+        path = str(tmp_path / name)
+        spark.createDataFrame([tuple(str(i) for _ in names) for i in range(3)], ", ".join(f"{n} STRING" for n in names)).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    results = ex.run_expectations(tables)
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2 * len(tables)
+    assert all(values(results, "passed"))

@@ -139,3 +139,33 @@ def test_touch_and_reads(spark):
     assert values(active_sources(table), "id") == [1]
     assert values(source_by_id(table, 2), "name") == ["B"]
     assert source_by_id(table, 9).isEmpty()
+
+
+def test_failures_that_look_alike_are_letters_of_their_own(spark):
+    rows = entries(spark, (1, 1, None, "A"), (2, 1, None, "A"), (3, 1, None, "A"), (4, 1, "u", None), (5, 1, "u", None))
+    failures = ingest(spark, rows).failures
+    assert failures.count() == 5
+    assert failures.select("id").distinct().count() == 5
+    assert values(failures, "id") == values(ingest(spark, rows).failures, "id")
+
+
+def test_several_changes_of_one_source_leave_one_row(spark):
+    table = sources(spark, (1, "old", "cat", 3, "active"), (2, "other", "cat", 4, "active"))
+    changes = spark.createDataFrame(
+        [(1, 1, "first", 5), (2, 1, None, 7), (3, 1, "last", None), (4, 1, " ", None), (5, 9, "x", None)],
+        "request_id INT, id BIGINT, name STRING, quality_rating INT",
+    )
+    changed = source_admin.update_sources(table, changes, as_of(), "request_id")
+    assert values(changed.table, "id", "name", "quality_rating") == [(1, "last", 7), (2, "other", 4)]
+    assert values(changed.outcomes, "request_id", "action") == [
+        (1, "updated"), (2, "updated"), (3, "updated"), (4, "rejected"), (5, "not_found")]
+
+
+def test_requests_that_share_an_id_are_requests_of_their_own(spark):
+    requests = spark.createDataFrame(
+        [(1, "https://a", "n", "c", 5), (1, "https://a", "n", "c", 5), (1, "https://b", "n", "c", 5)],
+        "request_id INT, rss_feed_url STRING, name STRING, category STRING, quality_rating INT",
+    )
+    changed = source_admin.add_sources(requests, sources(spark), "request_id", as_of())
+    assert values(changed.table, "rss_feed_url") == ["https://a", "https://b"]
+    assert values(changed.outcomes, "action") == ["inserted", "inserted", "skipped"]

@@ -145,3 +145,11 @@ def test_reprocessing(spark, answer):
     only = dead_letters.reprocess(table, jobs, ["generation"])
     assert values(only, "id") == [10, 8, 9]
     assert values(dead_letters.reprocess(table, jobs, ["publishing"]), "error") == ["Unknown failure_stage: 'publishing'"]
+
+
+def test_outcomes_never_multiply_letters(spark):
+    table = letters(spark, (1, "5", "ingestion", False), (1, "5", "ingestion", False), (1, "6", "ingestion", False))
+    outcomes = spark.createDataFrame([(1, None), (1, "bad"), (1, None)], "id BIGINT, error STRING")
+    after = dead_letters.apply_outcomes(table, outcomes, as_of())
+    assert after.count() == 3
+    assert values(after, "resolved", "retry_count") == [(False, 2)] * 3
