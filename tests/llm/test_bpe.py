@@ -1,0 +1,81 @@
+import base64
+import hashlib
+import random
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+from cases import ODD, SMALL, none, odd, table
+from inkwell.llm import bpe
+from inkwell.llm.queries import QUERIES
+
+PATH = P.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(w): int(n) for w, n in map(bytes.split, open(PATH, "rb").read().splitlines())}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.Codec(bpe._ranks(PATH), P.PATTERN)
+
+
+def ids_of(codec, texts):
+    flat, counts = codec.encode(texts)
+    out, at = [], 0
+    for n in counts.tolist():
+        out.append(flat[at:at + n].tolist())
+        at += n
+    return out
+
+
+def test_encodes_like_the_public_library(codec, reference):
+    rnd = random.Random(5)
+    parts = ["a", "th", "the", " ", "  ", "\n", "\t", "é", "日本", "1", "23", "'s", "'", "!", "=====", "\x85", "\x1c", "ing", "🙂"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 50))) for _ in range(4000)]
+    texts += ["", " ", " a", "x" * 2000, " " * 3000, "=" * 999, "".join(rnd.choice("abcdefghth") for _ in range(3000))]
+    assert ids_of(codec, texts) == [reference.encode_ordinary(t) for t in texts]
+
+
+def test_both_recursions_agree(codec):
+    words = [w.encode() for w in ("thththth", "anananan", "aaaaaaa", "the", "interestingly", "ééé")]
+    assert codec._contract(words, bpe.MERGE_SQL) == codec._contract(words, bpe.LONG_SQL)
+
+
+def test_state_limit_only_restarts_the_recursion(codec, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "STATE_ROWS", 10)
+    word = "recursionisrestartedagain" * 4
+    assert codec._contract([word.encode()], bpe.LONG_SQL)[0] == b"".join(
+        i.to_bytes(4, "little") for i in reference.encode_ordinary(word))
+
+
+def test_odd_rows_round_trip(spark, reference):
+    docs = odd(spark, "ids", "decoded")
+    rows = bpe.encode(docs, PATH, P.PATTERN, decoded=True).collect()
+    assert sorted((r["doc_id"] or -1, r["decoded"]) for r in rows) == sorted((i or -1, (t or "").encode()) for i, t, *_ in ODD)
+    assert all(r["ids"] == reference.encode_ordinary(r["decoded"].decode()) for r in rows)
+    back = bpe.decode(bpe.encode(docs, PATH, P.PATTERN), PATH, P.PATTERN).collect()
+    assert sorted((r["doc_id"] or -1, r["decoded"]) for r in back) == sorted((r["doc_id"] or -1, r["decoded"]) for r in rows)
+
+
+def test_decode_of_null_and_unknown_ids(spark):
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [220, None, 99_999_999, 220])], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(rows, PATH, P.PATTERN).collect()} == {1: b"", 2: b"", 3: b"  "}
+
+
+def test_no_rows(spark):
+    assert bpe.encode(none(spark), PATH, P.PATTERN).count() == 0
+
+
+def test_query_against_the_public_library(spark, reference):
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = set()
+    for row in table("documents"):
+        ids = reference.encode_ordinary(row["text"] or "")
+        want.add((row["doc_id"], len(ids), sha(",".join(map(str, ids)).encode()), sha((row["text"] or "").encode())))
+    got = QUERIES["op1_bpe"](spark, SMALL).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert {tuple(r) for r in got} == want
