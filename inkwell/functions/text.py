@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -23,15 +25,9 @@ ASCII_SPELLING = {
     "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "є": "ie", "і": "i", "ґ": "g",
 }
 
-# Named character references that occur in feeds and pages.
-NAMED_REFERENCES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "copy": "©", "reg": "®",
-    "trade": "™", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "laquo": "«", "raquo": "»", "bull": "•", "middot": "·", "times": "×", "deg": "°", "euro": "€", "pound": "£",
-    "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "eacute": "é",
-    "egrave": "è", "ecirc": "ê", "agrave": "à", "aacute": "á", "acirc": "â", "ccedil": "ç", "ntilde": "ñ",
-    "oacute": "ó", "iacute": "í", "uacute": "ú", "oslash": "ø", "aring": "å", "aelig": "æ",
-}
+# All named character references with their semicolon left out, from the standard library's table.
+NAMED_REFERENCES = json.dumps({name[:-1]: text for name, text in html5.items() if name.endswith(";")})
+LAST_CODE_POINT = 0x10FFFF
 
 
 def _ascii_letters() -> dict[str, str]:
@@ -110,21 +106,25 @@ def fold_to_ascii(c: Column | str) -> Column:
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    number = F.conv(digits, base, 16)
-    return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
+    """The character of a number; NULL beyond the last code point, for surrogates and for 0."""
+    short = F.ltrim(digits, F.lit("0"))
+    number = F.when(F.length(short).between(1, 8), F.conv(short, base, 10).cast("bigint"))
+    valid = number.between(1, LAST_CODE_POINT) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
 def unescape_html(c: Column | str) -> Column:
-    """Resolve character references; unknown names stay as they are."""
-    pattern = F.lit(r"(&#[0-9]{1,6};|&#[xX][0-9a-fA-F]{1,5};|&[a-zA-Z]{2,8};|[^&]+|&)")
-    names = F.create_map(*[F.lit(x) for kv in NAMED_REFERENCES.items() for x in kv])
+    """Resolve character references; unknown names and numbers that are no character stay as they are."""
+    pattern = F.lit(r"(&#[0-9]+;|&#[xX][0-9a-fA-F]+;|&[a-zA-Z][a-zA-Z0-9]*;|[^&]+|&)")
+    # one literal for the optimizer to fold, not thousands
+    names = F.from_json(F.lit(NAMED_REFERENCES), "map<string,string>")
 
     def resolve(piece: Column) -> Column:
-        return (
+        return F.coalesce(
             F.when(piece.rlike("^&#[0-9]+;$"), _code_point(F.regexp_extract(piece, "([0-9]+)", 1), 10))
-            .when(piece.rlike("^&#[xX]"), _code_point(F.regexp_extract(piece, "^&#.([0-9a-fA-F]+)", 1), 16))
-            .when(piece.rlike("^&[a-zA-Z]+;$"), F.coalesce(F.try_element_at(names, F.btrim(piece, F.lit("&;"))), piece))
-            .otherwise(piece)
+            .when(piece.rlike("^&#[xX][0-9a-fA-F]+;$"), _code_point(F.regexp_extract(piece, "^&#.([0-9a-fA-F]+)", 1), 16))
+            .when(piece.rlike("^&[a-zA-Z][a-zA-Z0-9]*;$"), F.try_element_at(names, F.btrim(piece, F.lit("&;")))),
+            piece,
         )
 
     def join(text: Column) -> Column:
@@ -134,26 +134,50 @@ def unescape_html(c: Column | str) -> Column:
     return bind(_column(c), join)
 
 
-def slug_base(text: Column | str, max_length: int = 80) -> Column:
-    """ASCII kebab-case slug; empty when the text has no letter or digit."""
+def _spelled(text: Column | str) -> Column:
+    """The text in ASCII as far as letters can be spelled, character references resolved."""
     dashed = F.regexp_replace(_column(text), "'+", "-")
-    plain = F.lower(fold_to_ascii(unescape_html(fold_to_ascii(dashed))))
-    plain = F.regexp_replace(plain, "'+", "")
+    return F.lower(fold_to_ascii(unescape_html(fold_to_ascii(dashed))))
+
+
+def _kebab(spelled: Column, max_length: int) -> Column:
+    plain = F.regexp_replace(spelled, "'+", "")
     plain = F.regexp_replace(plain, "(?<=[0-9]),(?=[0-9])", "")
     kebab = trim_dashes(F.regexp_replace(F.regexp_replace(plain, "[^-a-z0-9]+", "-"), "-{2,}", "-"))
     return trim_dashes(F.left(kebab, F.lit(max_length)))
 
 
+def slug_base(text: Column | str, max_length: int = 80) -> Column:
+    """ASCII kebab-case slug; empty when the text has no letter or digit that can be spelled in ASCII."""
+    return _kebab(_spelled(text), max_length)
+
+
+def _digest(text: Column) -> Column:
+    return F.left(F.md5(text), F.lit(6))
+
+
 def title_slug(title: Column | str, max_length: int = 80) -> Column:
-    """File slug of a title; titles without a letter or digit (or none at all) are 'untitled'."""
-    return bind(slug_base(title, max_length), lambda slug: or_default(slug, "untitled"))
+    """File slug of a title or name.
+
+    Where letters or digits of other scripts would be lost, the first six hex digits of the name's MD5 keep it apart
+    from others. Titles without any letter or digit (or none at all) are 'untitled'.
+    """
+
+    def slug(pair: Column) -> Column:
+        text, spelled = pair["text"], pair["spelled"]
+        lossy = spelled.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]")
+        base = F.nullif(_kebab(spelled, max_length - 7), F.lit(""))
+        marked = F.concat_ws("-", base, _digest(strip(text)))
+        return F.when(lossy, marked).otherwise(or_default(_kebab(spelled, max_length), "untitled"))
+
+    return bind(F.struct(_column(title).alias("text"), _spelled(title).alias("spelled")), slug)
 
 
 def hashed_slug(title: Column | str, max_length: int = 80) -> Column:
     """Slug with the first six hex digits of the title's MD5, within the same length."""
     text = F.coalesce(_column(title), F.lit(""))
     base = bind(slug_base(text, max_length - 7), lambda slug: F.nullif(slug, F.lit("")))
-    return F.concat_ws("-", base, F.left(F.md5(text), F.lit(6)))
+    return F.concat_ws("-", base, _digest(text))
 
 
 def python_timestamp(c: Column | str) -> Column:

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkwell.functions.text import slug_base, strip
+from inkwell.functions.text import strip, title_slug
 from inkwell.operators.skew import join_hot_keys
 from inkwell.operators.upsert import present_keys
 from inkwell.session import cut_lineage
@@ -140,7 +140,7 @@ def _wikilinks() -> Column:
 
     def check(name: Column) -> Column:
         target = wikilink_target(F.try_element_at("fields", name)["text"])
-        slug = F.when(F.lower(target) != "unknown", F.nullif(slug_base(target), F.lit("")))
+        slug = F.when((F.lower(target) != "unknown") & target.rlike(r"[\p{L}\p{N}]"), title_slug(target))
         reason = F.concat(F.lit("Wikilink target '[["), target, F.lit("]]' has no corresponding note in generated/"))
         return _failure(name, reason, slug)
 

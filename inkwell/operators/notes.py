@@ -1,8 +1,8 @@
-"""Markdown notes for posts, sources and authors, as a table of documents.
+"""Markdown notes for posts, sources and authors, as a table of their pieces.
 
-A note is one row unless it links to more posts than ``links_per_part``: then its text continues in
-rows with part 1, 2, ... and is their contents in that order. So no source or author, however many
-posts it has, has to fit into one row or one task.
+A note's text is the contents of its rows in the order of ``part``: part 0 is the head, and each link of a source or
+author note to one of its posts is a row of its own, from part 1. So the shape never depends on the number of links, and
+no source or author, however many posts it has, has to fit into one row or one task.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from inkwell.operators.slugs import flat_slugs, last_writer, post_slugs
 from inkwell.schemas import NOTES, column_names
 from inkwell.sources.tables import POST_COLUMNS
 
-LINKS_PER_PART = 5_000
-
 
 def _text(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
@@ -76,27 +74,26 @@ def post_notes_for(ids: DataFrame, mart_posts: DataFrame) -> tuple[DataFrame, Da
     return notes, wanted.join(mart_posts.select("id"), "id", "left_anti")
 
 
-def _linked_parts(posts: DataFrame, key: str, links_per_part: int) -> DataFrame:
-    """Titles of each key's posts as link lines, newest first, cut into parts of bounded size."""
-    linked = posts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), "id", "publication_date", "title")
+def _with_links(heads: DataFrame, note_type: str, posts: DataFrame, key: str, empty: str) -> DataFrame:
+    """Heads (key, path, slug, head) as part 0, and a row for each post of the key, newest first.
+
+    Only ids and dates are put in order; titles join the numbered rows. A head without posts ends with ``empty``.
+    """
+    linked = posts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), "id", "publication_date")
     placed = with_position(linked, ["key"], _newest_first())
-    line = F.struct("position", _text("- [[", printed("title"), "]]\n").alias("text"))
-    part = F.floor(F.col("position") / links_per_part).cast("int").alias("part")
-    lines = F.sort_array(F.collect_list(line))
-    return placed.groupBy("key", part).agg(F.array_join(F.transform(lines, lambda x: x["text"]), "").alias("links"))
-
-
-def _with_links(heads: DataFrame, note_type: str, parts: DataFrame, empty: str) -> DataFrame:
-    """Heads (key, path, slug, head) followed by their link parts, or by the text for no links."""
-    part = F.coalesce("part", F.lit(0))
-    first = F.when(part == 0, F.col("head")).otherwise("")
-    return heads.join(parts, "key", "left").select(
-        F.lit(note_type).alias("note_type"), "path", "slug", part.alias("part"),
-        F.concat(first, F.coalesce("links", F.lit(empty))).alias("content"),
+    some = placed.filter("position = 0").select("key", F.lit(True).alias("_some"))
+    first = heads.join(some, "key", "left").select(
+        F.lit(note_type).alias("note_type"), "path", "slug", F.lit(0).alias("part"),
+        F.concat("head", F.when(F.col("_some"), "").otherwise(empty)).alias("content"),
+    )
+    lines = placed.join(posts.select("id", "title"), "id").join(heads.select("key", "path", "slug"), "key").select(
+        F.lit(note_type).alias("note_type"), "path", "slug", (F.col("position") + 1).cast("int").alias("part"),
+        _text("- [[", printed("title"), "]]\n").alias("content"),
     )
+    return first.unionByName(lines)
 
 
-def source_notes(mart_sources: DataFrame, mart_posts: DataFrame, links_per_part: int = LINKS_PER_PART) -> DataFrame:
+def source_notes(mart_sources: DataFrame, mart_posts: DataFrame) -> DataFrame:
     """One note per source name with links to all its posts."""
     slugged = last_writer(
         flat_slugs(mart_sources, "name", "sources"), [F.desc_nulls_first("name"), F.desc("id")]
@@ -119,8 +116,7 @@ def source_notes(mart_sources: DataFrame, mart_posts: DataFrame, links_per_part:
         "\n\n## Posts\n",
     )
     heads = slugged.select(F.col("id").alias("key"), "path", "slug", head.alias("head"))
-    parts = _linked_parts(mart_posts, "source_id", links_per_part)
-    return _with_links(heads, "source", parts, "_No posts from this source yet._\n")
+    return _with_links(heads, "source", mart_posts, "source_id", "_No posts from this source yet._\n")
 
 
 def author_sources(mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
@@ -130,9 +126,7 @@ def author_sources(mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
     return pairs.distinct().join(names, "source_id")
 
 
-def author_notes(
-    mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: DataFrame, links_per_part: int = LINKS_PER_PART
-) -> DataFrame:
+def author_notes(mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
     """One note per author with the sources written for and links to all posts. Nameless authors have none."""
     named = mart_authors.filter(F.coalesce("author_name", F.lit("")) != "")
     slugged = last_writer(flat_slugs(named, "author_name", "authors"), [F.desc("author_name")])
@@ -159,18 +153,15 @@ def author_notes(
     heads = slugged.join(listed, "author_id", "left").select(
         F.col("author_id").alias("key"), "path", "slug", head.alias("head")
     )
-    parts = _linked_parts(mart_posts, "author_id", links_per_part)
-    return _with_links(heads, "author", parts, "_No posts by this author yet._\n")
+    return _with_links(heads, "author", mart_posts, "author_id", "_No posts by this author yet._\n")
 
 
-def all_notes(
-    mart_posts: DataFrame, mart_sources: DataFrame, mart_authors: DataFrame, links_per_part: int = LINKS_PER_PART
-) -> DataFrame:
+def all_notes(mart_posts: DataFrame, mart_sources: DataFrame, mart_authors: DataFrame) -> DataFrame:
     """The notes of all three kinds."""
     return (
         post_notes(mart_posts)
-        .unionByName(source_notes(mart_sources, mart_posts, links_per_part))
-        .unionByName(author_notes(mart_authors, mart_posts, mart_sources, links_per_part))
+        .unionByName(source_notes(mart_sources, mart_posts))
+        .unionByName(author_notes(mart_authors, mart_posts, mart_sources))
         .select(*column_names(NOTES))
     )
 
@@ -190,8 +181,7 @@ def note_stats(mart_posts: DataFrame, mart_sources: DataFrame, mart_authors: Dat
 
 
 def write_notes(notes: DataFrame, path: str) -> None:
-    """Notes to a new folder, one sub-folder per kind. Parts of a long note may be in several files; their
-    number tells the order."""
+    """Notes to a new folder, one sub-folder per kind. Rows of a note may be in several files; part tells their order."""
     notes.write.mode("errorifexists").partitionBy("note_type").parquet(path)
 
 

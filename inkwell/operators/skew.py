@@ -6,25 +6,29 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from inkwell.session import cut_lineage
 
-HOT_KEYS = 256
-SALTS = 64
+ROWS_PER_TASK = 1_000_000
 
 
-def join_hot_keys(rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame, row_id: str) -> DataFrame:
-    """Left join with a table that has one row per key, spreading the most frequent keys over salts.
+def join_hot_keys(
+    rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame, row_id: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Left join with a table that has one row per key, with the rows of frequent keys spread over several tasks.
 
-    ``counts`` has the number of rows per key (key, count). The ``HOT_KEYS`` heaviest keys are
-    salted, so no other key holds more than one row in ``HOT_KEYS``. The list of hot keys has at most
-    that many rows, which is why it may be broadcast; the lookup is repeated only for them.
+    ``counts`` has the number of rows per key (key, count). Every key with more than ``rows_per_task`` rows, the NULL key
+    too, is spread over as many salts as it fills tasks, and the lookup is repeated for those only. The list of such
+    keys is broadcast: it has less than one row for every ``rows_per_task`` rows.
     """
-    hot = counts.orderBy(F.desc("count"), key).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
-    salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    hot = counts.filter(F.col("count") > rows_per_task).select(
+        F.col(key).alias("_key"), F.ceil(F.col("count") / rows_per_task).cast("int").alias("_salts")
     )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts))
-    return salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+
+    def marked(table: DataFrame) -> DataFrame:
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        return table.join(F.broadcast(hot), same, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_key")
+
+    salted_rows = marked(rows).withColumn("_salt", F.pmod(F.xxhash64(row_id), "_salts").cast("int")).drop("_salts")
+    salted_lookup = marked(lookup).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    return salted_rows.join(salted_lookup, [key, "_salt"], "left").drop("_salt")
 
 
 def with_position(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -32,7 +36,7 @@ def with_position(rows: DataFrame, keys: list[str], order: list[Column]) -> Data
 
     Rows are range-partitioned by key and order, so a frequent key spans many partitions. Its rows'
     positions are their index within the partition plus the number of the key's rows in earlier
-    partitions. The partitioning is checkpointed first, since both steps must see the same one.
+    partitions. The partitioning is written first, since both steps must see the same one.
     ``order`` should end in a unique column.
     """
     ranged = rows.repartitionByRange(*[F.col(k) for k in keys], *order).sortWithinPartitions(*keys, *order)

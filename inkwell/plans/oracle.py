@@ -17,9 +17,12 @@ def initcap(text: str) -> str:
     )
 
 
+def spelled(text: str) -> str:
+    return f"lower(strip_accents(replace(regexp_replace({text}, '''+', '-', 'g'), 'ß', 'ss')))"
+
+
 def slug(text: str, size: int = 80) -> str:
-    folded = f"lower(strip_accents(replace(regexp_replace({text}, '''+', '-', 'g'), 'ß', 'ss')))"
-    numbers = folded
+    numbers = spelled(text)
     for _ in range(2):
         numbers = rf"regexp_replace({numbers}, '([0-9]),([0-9])', '\1\2', 'g')"
     kebab = f"trim(regexp_replace(regexp_replace({numbers}, '[^-a-z0-9]+', '-', 'g'), '-+', '-', 'g'), '-')"
@@ -27,7 +30,11 @@ def slug(text: str, size: int = 80) -> str:
 
 
 def title_slug(text: str) -> str:
-    return f"coalesce(nullif({slug(text)}, ''), 'untitled')"
+    lossy = rf"regexp_matches(regexp_replace({spelled(text)}, '[\x00-\x7F]+', '', 'g'), '[\p{{L}}\p{{N}}]')"
+    return (
+        f"CASE WHEN {lossy} THEN concat_ws('-', nullif({slug(text, 73)}, ''), left(md5(trim({text})), 6)) "
+        f"ELSE coalesce(nullif({slug(text)}, ''), 'untitled') END"
+    )
 
 
 # Named pieces, each a query over the pieces before it.
@@ -68,7 +75,9 @@ piece("entries", [], f"""
            'https://' || source || '.example.com/post/' || md5(text) AS url,
            CASE WHEN doc_id % 17 <> 0 THEN {AS_OF} - to_hours((doc_id % 14 * 24 + doc_id % 24)::INTEGER) END
                AS publication_date,
-           CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN upper(p_name)
+           CASE WHEN doc_id % 11 = 0 THEN NULL
+                WHEN doc_id % 23 = 0 THEN ['北京作者', 'كاتب', 'लेखक'][doc_id % 3 + 1]
+                WHEN doc_id % 3 = 0 THEN upper(p_name)
                 WHEN doc_id % 3 = 1 THEN '  ' || p_name ELSE p_name || '  ' END AS author_name,
            {AS_OF} - to_days((doc_id % 14)::INTEGER) AS created_at
     FROM documents LEFT JOIN part ON p_partkey = doc_id % 50""")
@@ -689,52 +698,59 @@ def _last_post(rows: str) -> str:
     )
 
 
-def _links(key: str, rows: str, size: int) -> str:
+def _links(key: str, rows: str) -> str:
     return f"""
-    SELECT {key} AS key, (nth // {size})::INTEGER AS part, string_agg('- [[' || title || E']]\\n', '' ORDER BY nth) AS links
-    FROM (SELECT {key}, title,
-                 row_number() OVER (PARTITION BY {key} ORDER BY publication_date DESC NULLS FIRST, id) - 1 AS nth
-          FROM {rows} WHERE {key} IS NOT NULL)
-    GROUP BY {key}, nth // {size}"""
+    SELECT {key} AS key, '- [[' || title || E']]\\n' AS line,
+           row_number() OVER (PARTITION BY {key} ORDER BY publication_date DESC NULLS FIRST, id)::INTEGER AS part
+    FROM {rows} WHERE {key} IS NOT NULL"""
 
 
-def _source_note(links: str) -> str:
+def _note_rows(kind: str, heads: str, links: str, empty: str) -> str:
+    """Heads (key, path, slug, head) and their link lines as rows."""
     return f"""
-    SELECT 'source' AS note_type, 'sources/' || slug || '.md' AS path, slug, coalesce(part, 0)::INTEGER AS part,
-           CASE WHEN coalesce(part, 0) > 0 THEN '' ELSE
-             E'---\\nname: ' || name || E'\\ncategory: ' || category || E'\\nrss_url: ' || rss_feed_url
-             || E'\\ntotal_post_count: ' || total_post_count || E'\\nstatus: ' || status || E'\\n---\\n\\n# ' || name
-             || E'\\n\\n## Source Info\\n- Category: ' || category || E'\\n- RSS Feed: ' || rss_feed_url
-             || E'\\n- Total Posts: ' || total_post_count || E'\\n- Latest Post: '
-             || coalesce(latest_post_date::VARCHAR, 'N/A') || E'\\n- Status: ' || status || E'\\n\\n## Posts\\n' END
-           || coalesce(links, E'_No posts from this source yet._\\n') AS content
+    SELECT '{kind}' AS note_type, path, slug, 0::INTEGER AS part,
+           head || CASE WHEN key IN (SELECT key FROM {links}) THEN '' ELSE E'{empty}\\n' END AS content
+    FROM {heads}
+    UNION ALL SELECT '{kind}', path, slug, part, line FROM {heads} AS h JOIN {links} AS l ON h.key = l.key"""
+
+
+NO_SOURCE_POSTS, NO_AUTHOR_POSTS = "_No posts from this source yet._", "_No posts by this author yet._"
+piece("source_heads", ["mart_sources"], f"""
+    SELECT id AS key, 'sources/' || slug || '.md' AS path, slug,
+           E'---\\nname: ' || name || E'\\ncategory: ' || category || E'\\nrss_url: ' || rss_feed_url
+           || E'\\ntotal_post_count: ' || total_post_count || E'\\nstatus: ' || status || E'\\n---\\n\\n# ' || name
+           || E'\\n\\n## Source Info\\n- Category: ' || category || E'\\n- RSS Feed: ' || rss_feed_url
+           || E'\\n- Total Posts: ' || total_post_count || E'\\n- Latest Post: '
+           || coalesce(latest_post_date::VARCHAR, 'N/A') || E'\\n- Status: ' || status || E'\\n\\n## Posts\\n' AS head
     FROM (SELECT *, {title_slug('name')} AS slug FROM mart_sources
-          QUALIFY row_number() OVER (PARTITION BY slug ORDER BY name DESC, id DESC) = 1) AS s
-    LEFT JOIN {links} AS l ON s.id = l.key"""
-
-
+          QUALIFY row_number() OVER (PARTITION BY slug ORDER BY name DESC, id DESC) = 1)""")
 piece("post_notes", ["slugged"], _post_note(_last_post("slugged")))
-piece("source_links", ["mart_posts"], _links("source_id", "mart_posts", 5000))
-piece("source_links_7", ["mart_posts"], _links("source_id", "mart_posts", 7))
-piece("author_links", ["mart_posts"], _links("author_id", "mart_posts", 5000))
-piece("source_notes", ["mart_sources", "source_links"], _source_note("source_links"))
+piece("source_links", ["mart_posts"], _links("source_id", "mart_posts"))
+piece("author_links", ["mart_posts"], _links("author_id", "mart_posts"))
+piece("source_notes", ["source_heads", "source_links"], _note_rows("source", "source_heads", "source_links", NO_SOURCE_POSTS))
 piece("author_slugs", ["mart_authors"], f"""
     SELECT *, {title_slug('author_name')} AS slug FROM mart_authors
     QUALIFY row_number() OVER (PARTITION BY slug ORDER BY author_name DESC) = 1""")
-piece("author_notes", ["author_slugs", "author_links", "mart_posts", "mart_sources"], f"""
-    SELECT 'author' AS note_type, 'authors/' || slug || '.md' AS path, slug, 0::INTEGER AS part,
+
+
+def _author_heads(posts: str) -> str:
+    return f"""
+    SELECT a.author_id AS key, 'authors/' || slug || '.md' AS path, slug,
            E'---\\nname: ' || author_name || E'\\nprimary_category: ' || coalesce(primary_category, 'Uncategorized')
            || E'\\npost_count: ' || post_count || E'\\n---\\n\\n# ' || author_name
            || E'\\n\\n## Author Info\\n- Primary Category: ' || coalesce(primary_category, 'Uncategorized')
            || E'\\n- Total Posts: ' || post_count
            || E'\\n- First Seen: ' || coalesce({stamp('first_seen_at')} || '+00:00', 'None')
            || E'\\n- Last Seen: ' || coalesce({stamp('last_seen_at')} || '+00:00', 'None')
-           || E'\\n\\n## Sources\\n' || coalesce(listed, E'_No sources linked._\\n')
-           || E'\\n## Posts\\n' || coalesce(links, E'_No posts by this author yet._\\n') AS content
-    FROM author_slugs AS a LEFT JOIN author_links AS l ON a.author_id = l.key
+           || E'\\n\\n## Sources\\n' || coalesce(listed, E'_No sources linked._\\n') || E'\\n## Posts\\n' AS head
+    FROM author_slugs AS a
     LEFT JOIN (SELECT author_id, string_agg('- [[' || name || E']]\\n', '' ORDER BY s.id) AS listed
-               FROM (SELECT DISTINCT author_id, source_id FROM mart_posts WHERE author_id IS NOT NULL) AS d
-               JOIN mart_sources AS s ON d.source_id = s.id GROUP BY author_id) AS n ON a.author_id = n.author_id""")
+               FROM (SELECT DISTINCT author_id, source_id FROM {posts} WHERE author_id IS NOT NULL) AS d
+               JOIN mart_sources AS s ON d.source_id = s.id GROUP BY author_id) AS n ON a.author_id = n.author_id"""
+
+
+piece("author_heads", ["author_slugs", "mart_posts", "mart_sources"], _author_heads("mart_posts"))
+piece("author_notes", ["author_heads", "author_links"], _note_rows("author", "author_heads", "author_links", NO_AUTHOR_POSTS))
 piece("notes", ["post_notes", "source_notes", "author_notes"], """
     SELECT note_type, path, slug, part, content FROM post_notes
     UNION ALL SELECT * FROM source_notes UNION ALL SELECT * FROM author_notes""")
@@ -751,7 +767,7 @@ def _tag_failures(rows: str) -> str:
     SELECT path, 'tags' AS field, 'tags[' || (i - 1) || '] is empty or not a string: ' || {PRINTED} AS reason
     FROM (SELECT path, unnest(words) AS t, generate_subscripts(words, 1) AS i
           FROM (SELECT path, [w FOR w IN string_split(regexp_extract(content, '\\ntags: \\[([^\\n]*)\\]\\n', 1), ', ')] AS words
-                FROM {rows} WHERE note_type = 'post'))
+                FROM {rows} WHERE note_type = 'post' AND part = 0))
     WHERE t IN ({WORDS})"""
 
 
@@ -760,7 +776,8 @@ def _link_failures(rows: str, field: str) -> str:
     return f"""
     SELECT path, '{field}' AS field, 'Wikilink target ''[[' || target || ']]'' has no corresponding note in generated/' AS reason
     FROM (SELECT path, trim({target}) AS target FROM {rows} WHERE note_type = 'post')
-    WHERE lower(target) <> 'unknown' AND {slug('target')} <> '' AND {slug('target')} NOT IN (SELECT slug FROM notes)"""
+    WHERE lower(target) <> 'unknown' AND regexp_matches(target, '[\\p{{L}}\\p{{N}}]')
+      AND {title_slug('target')} NOT IN (SELECT slug FROM notes)"""
 
 
 piece("failures", ["notes"], f"""
@@ -771,7 +788,7 @@ piece("damaged", ["notes"], """
              WHEN 3 THEN regexp_replace(content, '\\ntags: [^\\n]*', E'\\ntags: topic')
              WHEN 4 THEN regexp_replace(content, '\\nsource: [^\\n]*', E'\\nsource: "[[Nowhere Land|home]]"')
              ELSE content END AS content)
-    FROM (SELECT *, length(path) % 6 AS kind FROM notes)""")
+    FROM (SELECT *, length(path) % 6 AS kind FROM notes WHERE part = 0)""")
 piece("whole", ["damaged"], "SELECT * FROM damaged WHERE kind > 1")
 
 ORACLES |= {
@@ -795,7 +812,7 @@ ORACLES |= {
         UNION ALL SELECT NULL, 'missing ' || id FROM ids
         WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM mart_posts)"""),
     "source_notes": query(["source_notes"], f"SELECT {NOTE_COLUMNS} FROM source_notes"),
-    "source_note_parts": query(["mart_sources", "source_links_7"], _source_note("source_links_7")),
+    "source_note_parts": query(["source_notes"], f"SELECT {NOTE_COLUMNS} FROM source_notes WHERE part > 0"),
     "author_notes": query(["author_notes"], f"SELECT {NOTE_COLUMNS} FROM author_notes"),
     "note_stats": query(["slugged", "mart_sources", "mart_authors"], f"""
         SELECT coalesce(note_type, 'total') AS note_type, sum(n)::BIGINT AS generated, count(*) AS files
@@ -808,10 +825,11 @@ ORACLES |= {
     "note_failures": query(["failures"], "SELECT path, field, reason FROM failures"),
     "note_results": query(["notes", "failures"], """
         SELECT n.path, n.note_type, coalesce(f.k, 0) = 0 AS passed, coalesce(f.k, 0) AS failures
-        FROM notes AS n LEFT JOIN (SELECT path, count(*) AS k FROM failures GROUP BY path) AS f ON n.path = f.path"""),
+        FROM notes AS n LEFT JOIN (SELECT path, count(*) AS k FROM failures GROUP BY path) AS f ON n.path = f.path
+        WHERE n.part = 0"""),
     "note_check_summary": query(["notes", "failures"], """
         SELECT count(*) AS total, count(*) FILTER (path NOT IN (SELECT path FROM failures)) AS passed,
-               count(*) FILTER (path IN (SELECT path FROM failures)) AS failed FROM notes"""),
+               count(*) FILTER (path IN (SELECT path FROM failures)) AS failed FROM notes WHERE part = 0"""),
     "damaged_note_failures": query(["whole", "damaged"], f"""
         SELECT path, 'frontmatter' AS field,
                CASE kind WHEN 0 THEN 'Note does not begin with ''---'' frontmatter delimiter'
@@ -823,17 +841,23 @@ ORACLES |= {
         WHERE kind = 3 AND note_type = 'post'
         UNION ALL {_tag_failures('whole')} UNION ALL {_link_failures('whole', 'source')}
         UNION ALL {_link_failures('whole', 'author')}"""),
-    "changed_notes": query(["mart_posts", "earlier_posts", "mart_sources", "post_notes", "source_notes"], f"""
+    "changed_notes": query(
+        ["mart_posts", "earlier_posts", "source_heads", "author_slugs", "mart_sources", "notes"], f"""
         , old_posts AS MATERIALIZED (SELECT * FROM mart_posts WHERE id IN (SELECT id FROM earlier_posts))
         , old_slugged AS MATERIALIZED ({PIECES['slugged'][1].replace('FROM mart_posts', 'FROM old_posts')})
-        , old_links AS MATERIALIZED ({_links('source_id', 'old_posts', 5000)})
+        , old_source_links AS MATERIALIZED ({_links('source_id', 'old_posts')})
+        , old_author_links AS MATERIALIZED ({_links('author_id', 'old_posts')})
+        , old_author_heads AS MATERIALIZED ({_author_heads('old_posts')})
         , old_notes AS MATERIALIZED (
-            SELECT {NOTE_COLUMNS} FROM ({_post_note(_last_post('old_slugged'))}) UNION ALL {_source_note('old_links')})
-        , new_notes AS MATERIALIZED (SELECT {NOTE_COLUMNS} FROM post_notes UNION ALL SELECT * FROM source_notes)
+            SELECT {NOTE_COLUMNS} FROM ({_post_note(_last_post('old_slugged'))})
+            UNION ALL {_note_rows('source', 'source_heads', 'old_source_links', NO_SOURCE_POSTS)}
+            UNION ALL {_note_rows('author', 'old_author_heads', 'old_author_links', NO_AUTHOR_POSTS)})
+        , new_texts AS (SELECT path, string_agg(content, '' ORDER BY part) AS content FROM notes GROUP BY path)
+        , old_texts AS (SELECT path, string_agg(content, '' ORDER BY part) AS content FROM old_notes GROUP BY path)
         SELECT coalesce(n.path, o.path) AS path,
                CASE WHEN o.path IS NULL THEN 'added' WHEN n.path IS NULL THEN 'removed'
                     WHEN n.content = o.content THEN 'unchanged' ELSE 'changed' END AS change
-        FROM new_notes AS n FULL JOIN old_notes AS o ON n.path = o.path"""),
+        FROM new_texts AS n FULL JOIN old_texts AS o ON n.path = o.path"""),
 }
 
 ORACLES |= {

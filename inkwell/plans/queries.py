@@ -599,8 +599,9 @@ def source_notes(m: Models) -> DataFrame:
 
 @register
 def source_note_parts(m: Models) -> DataFrame:
+    """The link rows of source notes."""
     posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
-    return notes.source_notes(sources, posts, links_per_part=7)
+    return notes.source_notes(sources, posts).filter("part > 0")
 
 
 @register
@@ -636,11 +637,9 @@ def damaged_note_failures(m: Models) -> DataFrame:
 @register
 def changed_notes(m: Models) -> DataFrame:
     """Today's notes against those published when the posts table was younger."""
-    posts, sources = m.kept("mart_posts"), m.kept("mart_sources")
+    posts, sources, authors = m.kept("mart_posts"), m.kept("mart_sources"), m.kept("mart_authors")
     earlier = posts.join(m.earlier(m.kept("raw_blog_posts")).select("id"), "id", "left_semi")
-    old = notes.post_notes(earlier).unionByName(notes.source_notes(sources, earlier))
-    new = notes.post_notes(posts).unionByName(notes.source_notes(sources, posts))
-    return notes.changed_notes(new, old)
+    return notes.changed_notes(m.notes, notes.all_notes(earlier, sources, authors))
 
 
 # Whole runs

@@ -28,6 +28,7 @@ TABLES = {
     "labels": "doc_id BIGINT, quality INT",
     "pages": "page_id BIGINT, html STRING",
 }
+OTHER_SCRIPTS = ["北京作者", "كاتب", "लेखक"]  # author names that have no spelling in ASCII
 SNAPSHOT_DAYS = 5  # age of the "yesterday" tables that incremental operators start from
 
 
@@ -103,6 +104,7 @@ class RawTables:
         name = F.col("p_name")
         author = (
             F.when(doc % 11 == 0, F.lit(None))
+            .when(doc % 23 == 0, F.element_at(F.array(*map(F.lit, OTHER_SCRIPTS)), (doc % 3 + 1).cast("int")))
             .when(doc % 3 == 0, F.upper(name))
             .when(doc % 3 == 1, F.concat(F.lit("  "), name))
             .otherwise(F.concat(name, F.lit("  ")))

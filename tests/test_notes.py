@@ -4,13 +4,21 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from helpers import NOW, mart_authors, mart_post, mart_posts, mart_sources, values
-from inkwell.operators import notes, slugs
+from inkwell.operators import note_checks, notes, slugs
 
 
 def content(df):
     return df.first()["content"]
 
 
+def texts(df):
+    """Path to text: the contents of a note's rows in the order of part."""
+    found = {}
+    for row in df.orderBy("path", "part").collect():
+        found[row["path"]] = found.get(row["path"], "") + row["content"]
+    return found
+
+
 def test_post_note_text(spark):
     note = notes.post_notes(mart_posts(spark, mart_post(7, "Big Data: why?"))).first()
     assert (note["note_type"], note["path"], note["slug"], note["part"]) == (
@@ -81,7 +89,7 @@ def test_source_note_text(spark):
     sources = mart_sources(spark, (1, "Some Blog", 5, "active", 3, NOW, NOW), (2, "Empty", 5, "inactive", 0, NOW, NOW))
     posts = mart_posts(spark, mart_post(1, "Old", publication_date=date(2024, 1, 1)), mart_post(3, "Undated", publication_date=None),
                        mart_post(2, "New"), mart_post(4, "Lost", source_id=None))
-    got = {r["path"]: r["content"] for r in notes.source_notes(sources, posts).collect()}
+    got = texts(notes.source_notes(sources, posts))
     assert got["sources/some-blog.md"] == '''---
 name: Some Blog
 category: Data
@@ -107,21 +115,31 @@ status: active
     assert got["sources/empty.md"].endswith("- Latest Post: N/A\n- Status: inactive\n\n## Posts\n_No posts from this source yet._\n")
 
 
-def test_long_notes_continue_in_parts(spark):
+def test_each_link_is_a_row_of_its_own(spark):
     sources = mart_sources(spark, (1, "Some Blog", 5, "active", 10, NOW, NOW))
     posts = mart_posts(spark, *[mart_post(i, f"P{i}", publication_date=date(2024, 1, 1 + i % 4)) for i in range(10)])
-    whole = content(notes.source_notes(sources, posts))
-    parts = notes.source_notes(sources, posts, links_per_part=4).orderBy("part").collect()
-    assert [r["part"] for r in parts] == [0, 1, 2]
-    assert "".join(r["content"] for r in parts) == whole
-    assert parts[1]["content"].count("- [[") == 4 and parts[1]["content"].startswith("- [[")
+    rows = notes.source_notes(sources, posts).orderBy("part").collect()
+    assert [r["part"] for r in rows] == list(range(11))
+    assert [r["content"] for r in rows[1:]] == [f"- [[P{i}]]\n" for i in (3, 7, 2, 6, 1, 5, 9, 0, 4, 8)]
+
+
+def test_names_in_other_scripts_keep_their_notes_and_links_to_them_are_checked(spark):
+    names = ["北京作者", "كاتب", "लेखक", "作者北京"]
+    authors = mart_authors(spark, *[(f"a{i}", name, 1, "Data") for i, name in enumerate(names)])
+    sources = mart_sources(spark, *[(i, name, 5, "active", 1, NOW, NOW) for i, name in enumerate(names)])
+    posts = mart_posts(spark, mart_post(1, "X", author_name="北京作者", source_name="كاتب"),
+                       mart_post(2, "Y", author_name="不在這裡", source_name="लेखक"))
+    rendered = notes.all_notes(posts, sources, authors)
+    assert rendered.filter("note_type = 'author' and part = 0").select("path").distinct().count() == 4
+    assert rendered.filter("note_type = 'source' and part = 0").select("path").distinct().count() == 4
+    assert values(note_checks.note_failures(rendered), "path", "field") == [("posts/data/y.md", "author")]
 
 
 def test_author_note_text(spark):
     authors = mart_authors(spark, ("a1", "Ann Lee", 2, "Data"), ("a2", "Bo", 1, None), ("a3", "", 1, None), ("a4", None, 1, None))
     sources = mart_sources(spark, (2, "B Blog", 5, "active", 1, NOW, NOW), (1, "Some Blog", 5, "active", 1, NOW, NOW))
     posts = mart_posts(spark, mart_post(1, "X"), mart_post(2, "Y", source_id=2), mart_post(3, "Z", source_id=77))
-    got = {r["path"]: r["content"] for r in notes.author_notes(authors, posts, sources).collect()}
+    got = texts(notes.author_notes(authors, posts, sources))
     assert got["authors/ann-lee.md"] == '''---
 name: Ann Lee
 primary_category: Data

@@ -40,8 +40,17 @@ def test_join_hot_keys_equals_a_left_join(spark):
     rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(600)], "id INT, key STRING")
     lookup = rows.select("key").distinct().filter("key <> 'k3'").withColumn("value", F.upper("key"))
     counts = rows.groupBy("key").count()
-    joined = join_hot_keys(rows, lookup, "key", counts, "id")
-    assert values(joined, "id", "key", "value") == values(rows.join(lookup, "key", "left"), "id", "key", "value")
+    for most in (1_000_000, 50, 1):
+        joined = join_hot_keys(rows, lookup, "key", counts, "id", most)
+        assert values(joined, "id", "key", "value") == values(rows.join(lookup, "key", "left"), "id", "key", "value")
+
+
+def test_every_frequent_key_is_spread_and_null_too(spark):
+    rows = spark.createDataFrame([(i, None if i % 3 == 0 else f"k{i % 400}") for i in range(6000)], "id INT, key STRING")
+    lookup = rows.select("key").distinct().filter("key is not null").withColumn("value", F.upper("key"))
+    counts = rows.groupBy("key").count()
+    joined = join_hot_keys(rows, lookup, "key", counts, "id", 5)
+    assert values(joined, "id", "value") == values(rows.withColumn("value", F.upper("key")), "id", "value")
 
 
 def test_first_per_key_limits_before_the_shuffle(spark):

@@ -22,7 +22,10 @@ from inkwell.functions.dates import feed_timestamp
     ("Привет, мир! Ещё объём", "privet-mir-eshche-obem"),
     ("Ελλάδα Χίος", "ellada-khios"),
     ("Kernel№5… ØRE ŁÓDŹ", "kernelno5-ore-lodz"),
-    ("日本語", "untitled"),
+    ("日本語", hashlib.md5("日本語".encode()).hexdigest()[:6]),
+    (" كاتب ", hashlib.md5("كاتب".encode()).hexdigest()[:6]),
+    ("Spark 入門", "spark-" + hashlib.md5("Spark 入門".encode()).hexdigest()[:6]),
+    ("?!", "untitled"),
     ("Ａｂｃ１２３", "abc123"),
     ("a" * 100, "a" * 80),
     ("a" * 79 + " b", "a" * 79),
@@ -60,6 +63,15 @@ def test_unescape_html(spark):
     assert one(spark, text.unescape_html("t"), t=raw) == "a <b> &lt; ä😀 &unknown; & \xa0"
 
 
+@pytest.mark.parametrize("raw, plain", [
+    ("&#0000039;", "'"), ("&frac12; &rarr; &Eacute;", "½ → É"), ("&#x01F600;", "😀"), ("&CounterClockwiseContourIntegral;", "∳"),
+    ("&#1114112; &#55296; &#0; &#99999999999999999999999;", "&#1114112; &#55296; &#0; &#99999999999999999999999;"),
+    ("&amp &#39", "&amp &#39"),
+])
+def test_unescape_all_references(spark, raw, plain):
+    assert one(spark, text.unescape_html("t"), t=raw) == plain
+
+
 def test_strip_takes_all_white_space(spark):
     assert one(spark, text.strip("t"), t=" \t\n x y \xa0") == "x y"
 
