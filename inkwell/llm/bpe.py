@@ -16,17 +16,18 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkwell.llm.common import map_arrow, read
+from inkwell.llm.common import give_back_memory, read
 
 CHUNK_CHARS = 6_000_000  # texts that are encoded together, in characters
 BLOCK_BYTES = 600_000  # bytes of distinct words that one recursive query takes
 LONG_WORD = 64  # bytes from which words are contracted at several places in a step
 STATE_ROWS = 6_000_000  # rows that one recursive query may gather; beyond, it ends early and is started again
 DECODE_ROWS = 400_000  # tokens that one decoding query takes
-KEPT_WORDS = 200_000  # words in each of the two generations of the cache
+KEPT = 200_000  # pieces from which on the younger generation of the cache becomes the older one
 
 # A blank before a visible character begins a word whatever stands around it, so texts may be cut there first.
 CUT = re.compile(r" (?=\S)")
@@ -108,7 +109,7 @@ FROM tokens JOIN vocabulary ON vocabulary.id = tokens.id GROUP BY doc ORDER BY d
 
 
 class Codec:
-    """One tokenizer in one worker process: its DuckDB tables and the words met lately."""
+    """One tokenizer in one worker process: its DuckDB tables and the pieces of text met lately."""
 
     def __init__(self, ranks: bytes, pattern: str) -> None:
         rank = {base64.b64decode(word): int(number) for word, number in (line.split() for line in ranks.splitlines() if line)}
@@ -117,17 +118,32 @@ class Codec:
             for word, number in rank.items() for i in range(1, len(word)) if word[:i] in rank and word[i:] in rank
         ]
         a, b, r = (pa.array(column, pa.int32()) for column in zip(*pairs)) if pairs else (pa.array([], pa.int32()),) * 3
+        self.tables = {
+            "merges": pa.table({"a": a, "b": b, "r": r}),
+            "vocabulary": pa.table({
+                "id": pa.array(list(rank.values()), pa.int32()),
+                "piece": pa.array([word.decode("latin-1") for word in rank], pa.string())}),
+        }
         self.pattern = regex.compile(pattern)
         self.of_byte = np.array([rank[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
-        self._table("merges", pa.table({"a": a, "b": b, "r": r}))
-        self.con.execute("CREATE TABLE early AS SELECT a, b FROM merges WHERE r < greatest(a, b)")
-        self._table("vocabulary", pa.table({
-            "id": pa.array(list(rank.values()), pa.int32()),
-            "piece": pa.array([word.decode("latin-1") for word in rank], pa.string())}))
         self.whole = {word: np.int32(number).tobytes() for word, number in rank.items()}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.con: duckdb.DuckDBPyConnection | None = None
+
+    def open(self) -> None:
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        for name, rows in self.tables.items():
+            self._table(name, rows)
+        self.con.execute("CREATE TABLE early AS SELECT a, b FROM merges WHERE r < greatest(a, b)")
+
+    def release(self) -> None:
+        """Gives back what an idle worker need not hold; the younger pieces stay for the next task."""
+        if self.con is not None:
+            self.con.close()
+            self.con = None
+        self.old = {}
+        give_back_memory()
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("given", rows)
@@ -135,6 +151,8 @@ class Codec:
         self.con.unregister("given")
 
     def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
+        if self.con is None:
+            self.open()
         self.con.register(name, rows)
         try:
             return self.con.sql(sql).to_arrow_table()
@@ -161,17 +179,20 @@ class Codec:
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
-        """Token ids of each distinct word: from the cache, from the vocabulary, or by contraction."""
-        known = {w: ids for w in words if (ids := self.young.get(w) or self.old.get(w))}
+        """Token ids of each distinct word: known as a piece, from the vocabulary, or by contraction."""
+        known: dict[str, bytes] = {}
         short, long = [], []
         for w in words:
-            if w not in known:
+            ids = self.young.get(w) or self.old.get(w)
+            if ids is None:
                 data = w.encode("utf-8")
-                if (whole := self.whole.get(data)) is not None:
-                    known[w] = whole
-                else:
+                ids = self.whole.get(data)
+                if ids is None:
                     (short if len(data) < LONG_WORD else long).append((w, data))
-        for group, sql in ((short, MERGE_SQL), (long, LONG_SQL)):
+                    continue
+            known[w] = ids
+        # words of like length settle after like numbers of steps
+        for group, sql in ((sorted(short, key=lambda w: len(w[1])), MERGE_SQL), (long, LONG_SQL)):
             start = size = 0
             for i, (_, data) in enumerate(group):
                 size += len(data)
@@ -179,29 +200,40 @@ class Codec:
                     block = group[start:i + 1]
                     known.update(zip((w for w, _ in block), self._contract([d for _, d in block], sql)))
                     start, size = i + 1, 0
-        if len(self.young) + len(known) > KEPT_WORDS:
+        return known
+
+    def _pieces(self, strings: list[str]) -> list[bytes]:
+        """Token ids of each distinct piece of text, from the cache or by those of its words."""
+        known = list(map(self.young.get, strings))
+        missing = []
+        for i, ids in enumerate(known):
+            if ids is None:
+                known[i] = self.old.get(strings[i])
+                if known[i] is None:
+                    missing.append(i)
+        # letters after a blank are one word
+        words = [[p] if p[:1] == " " and p[1:].isalpha() else self.pattern.findall(p) for p in map(strings.__getitem__, missing)]
+        ids_of = self._words({w for parts in words for w in parts})
+        for i, parts in zip(missing, words):
+            known[i] = b"".join([ids_of[w] for w in parts])
+        if len(self.young) > KEPT:
             self.old, self.young = self.young, {}
-        self.young.update(itertools.islice(((w, ids) for w, ids in known.items() if len(w) < LONG_WORD), KEPT_WORDS))
+        room = max(0, 2 * KEPT - len(self.young))
+        self.young.update(itertools.islice(((p, ids) for p, ids in zip(strings, known) if len(p) < LONG_WORD), room))
         return known
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All token ids one after another, and the number of ids of each text."""
-        code = _Codes()
-        cut = [CUT.split(t) for t in texts]
-        # the first piece of a text has no blank before it, so it is a key of its own
-        codes = [np.fromiter([code[(c[0],)], *map(code.__getitem__, c[1:])], np.int64, len(c)) for c in cut]
-        del cut
-        pieces = [self.pattern.findall(p[0] if isinstance(p, tuple) else " " + p) for p in code]
-        ids = self._words({w for words in pieces for w in words})
-        of_piece = [b"".join([ids[w] for w in words]) for words in pieces]
+        codes, strings = cut_texts(texts)
+        of_piece = self._pieces(strings)
         lengths = np.fromiter(map(len, of_piece), np.int64, len(of_piece)) // 4
         starts = np.cumsum(lengths) - lengths
         flat = np.frombuffer(b"".join(of_piece), np.int32)
         at = np.concatenate([np.empty(0, np.int64), *codes])
-        counts = np.array([lengths[c].sum() for c in codes], np.int64)
         size = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, codes)])]
         index = np.arange(size.sum()) + np.repeat(starts[at] - (np.cumsum(size) - size), size)
-        return flat[index], counts
+        return flat[index], np.diff(ends)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each text whose token ids stand one after another in ``ids``; unknown ids have none."""
@@ -216,12 +248,30 @@ class Codec:
         return [b"".join(pieces) for pieces in out]
 
 
-class _Codes(dict):
-    """Numbers its keys in the order in which they are first asked for."""
+def cut_texts(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    """Cuts texts before each blank that a visible character follows: the pieces' numbers for each text, and the pieces.
 
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
+    Cut at every blank first, and texts in which that parts blanks from blanks are cut once more, by the exact rule.
+    """
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    offsets = lists.offsets.to_numpy()
+    encoded = lists.flatten().dictionary_encode()
+    numbers = encoded.indices.to_numpy().astype(np.int64)
+    after_blank = encoded.dictionary.to_pylist()
+    strings = [" " + p for p in after_blank]
+    wrong = np.fromiter((not p or p[0].isspace() for p in after_blank), bool, len(after_blank))[numbers]
+    # the first piece of a text has no blank before it, so it is numbered apart
+    heads: dict[str, int] = {}
+    first = offsets[:-1]
+    wrong[first] = False
+    numbers[first] = [len(strings) + heads.setdefault(after_blank[i], len(heads)) for i in numbers[first].tolist()]
+    strings += heads
+    codes = np.split(numbers, offsets[1:-1])
+    again: dict[str, int] = {}
+    for i in np.unique(np.searchsorted(offsets, np.flatnonzero(wrong), side="right") - 1).tolist():
+        head, *rest = CUT.split(texts[i])
+        codes[i] = np.array([len(strings) + again.setdefault(p, len(again)) for p in (head, *(" " + r for r in rest))], np.int64)
+    return codes, strings + [*again]
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}
@@ -235,15 +285,18 @@ def codec(ranks: bytes, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch of about CHUNK_CHARS characters of text, at least one row each; null texts are empty."""
-    texts = [t or "" for t in batch.column(column).to_pylist()]
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= CHUNK_CHARS or i == len(texts) - 1:
-            yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-            start, size = i + 1, 0
+def chunks(batch: pa.RecordBatch, column: int, rows: int = 2048) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch of up to ``rows`` rows and about CHUNK_CHARS characters of text, at least one row each; null
+    texts are empty."""
+    for first in range(0, batch.num_rows, rows):
+        part = batch.slice(first, rows)
+        texts = [t or "" for t in part.column(column).to_pylist()]
+        start = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= CHUNK_CHARS or i == len(texts) - 1:
+                yield part.slice(start, i + 1 - start), texts[start:i + 1]
+                start, size = i + 1, 0
 
 
 def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -267,32 +320,39 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     """
     ranks = _ranks(ranks_path)
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
-        for part, texts in chunks(batch, 1):
-            ids, counts = own.encode(texts)
-            columns, names = [part.column(0), _lists(ids, counts)], [id_col, "ids"]
-            if decoded:
-                columns, names = [*columns, pa.array(own.decode(ids, counts), pa.binary())], [*names, "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for batch in batches:
+            for part, texts in chunks(batch, 1):
+                ids, counts = own.encode(texts)
+                columns, names = [part.column(0), _lists(ids, counts)], [id_col, "ids"]
+                if decoded:
+                    columns, names = [*columns, pa.array(own.decode(ids, counts), pa.binary())], [*names, "decoded"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        own.release()
 
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` {dict(rows.dtypes)[id_col]}, ids array<int>" + ", decoded binary" * decoded
-    return map_arrow(rows, run, schema, rows=2048)
+    return rows.mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, decoded) per row: the bytes of its token ids. Null or empty ids give no bytes, null and unknown ids in them none."""
     ranks = _ranks(ranks_path)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = [np.array([i for i in x or [] if i is not None], np.int32) for x in batch.column(1).to_pylist()]
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        made = codec(ranks, pattern).decode(np.concatenate([np.empty(0, np.int32), *lists]), counts)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=[id_col, "decoded"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks, pattern)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                lists = [np.array([i for i in x or [] if i is not None], np.int32) for x in part.column(1).to_pylist()]
+                counts = np.fromiter(map(len, lists), np.int64, len(lists))
+                made = own.decode(np.concatenate([np.empty(0, np.int32), *lists]), counts)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=[id_col, "decoded"])
+        own.release()
 
     rows = tokens.select(id_col, F.col(ids_col).cast("array<int>").alias("ids"))
-    return map_arrow(rows, run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, decoded binary")
+    return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, decoded binary")
 
 
 def digests(tokens: DataFrame, *more: str, id_col: str = "doc_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -23,6 +24,15 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back_memory() -> None:
+    """Returns freed memory of an idle Python worker to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]],
               schema: str, rows: int = 512) -> DataFrame:
     """``function`` on slices of at most ``rows`` rows; memory in a task does not grow with its partition."""
@@ -35,6 +45,7 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                     yield made
                 else:
                     yield from made
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
