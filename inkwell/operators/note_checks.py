@@ -45,6 +45,69 @@ def wikilink_target(text: Column) -> Column:
     return F.when(found.rlike(WIKILINK), strip(F.regexp_extract(found, WIKILINK, 1)))
 
 
+# What YAML makes of plain words; each also stands capitalised and in capitals.
+YAML_WORDS = {
+    "true": ("bool", "True"), "yes": ("bool", "True"), "on": ("bool", "True"), "false": ("bool", "False"),
+    "no": ("bool", "False"), "off": ("bool", "False"), "null": ("NoneType", "None"),
+}
+FIELD_LINE = r"^([A-Za-z_][A-Za-z0-9_]*):(?: (.*))?$"
+# Text that YAML reads as a string whatever stands around it: from a letter on, without quotes, comments or colons that end
+# a key, and no blank at the end.
+PLAIN_TEXT = r"\p{L}(?:[\p{L}\p{M}\p{N}._/&+%?=~;()!@*|$-]|:(?=[\p{L}\p{N}/])| (?=[\p{L}\p{M}\p{N}._/&+%?=~;()!@*|$-]))*"
+QUOTED_TEXT = r'"[^"\\]*"'
+PLAIN_ITEM = r"\p{L}[\p{L}\p{M}\p{N}._-]*"
+STATUS = r'"\U0001F331 Seedling"'  # the one escape that rendered notes have
+
+
+def _typed_word(text: Column) -> Column:
+    """Struct(kind, text) of a plain word or text."""
+    words = F.create_map(*[
+        x for word, (kind, printed) in YAML_WORDS.items() for form in (word, word.capitalize(), word.upper())
+        for x in (F.lit(form), F.struct(F.lit(kind).alias("kind"), F.lit(printed).alias("text")))
+    ])
+    return F.coalesce(F.try_element_at(words, text), F.struct(F.lit("str").alias("kind"), text.alias("text")))
+
+
+def _typed_line(line: Column) -> Column:
+    """Struct(key, kind, text, items) of a front-matter line; kind is NULL for YAML beyond plain values and lists."""
+    value = F.coalesce(F.regexp_extract(line, FIELD_LINE, 2), F.lit(""))
+    listed = rf"^\[(?:{PLAIN_ITEM}(?:, {PLAIN_ITEM})*)?\]$"
+    texts = F.filter(F.split(F.regexp_replace(value, r"^\[|\]$", ""), ", "), lambda t: t != "")
+    items = F.transform(texts, _typed_word)
+    shown = F.transform(items, lambda w: F.struct(
+        w["kind"].alias("kind"), F.when(w["kind"] == "str", F.concat(F.lit("'"), w["text"], F.lit("'"))).otherwise(w["text"]).alias("text")))
+    is_list = value.rlike(listed)
+    plain = value.rlike(f"^{PLAIN_TEXT}$")
+    kind = (
+        F.when(~line.rlike(FIELD_LINE), F.lit(None))
+        .when(value == "", "NoneType")
+        .when(value.rlike("^(?:0|[1-9][0-9]{0,17})$"), "int")
+        .when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.when(value.try_cast("date").isNotNull(), "date"))
+        .when((value == STATUS) | value.rlike(f"^{QUOTED_TEXT}$"), "str")
+        .when(is_list, "list")
+        .when(plain, _typed_word(value)["kind"])
+    )
+    text = (
+        F.when(value == "", "None").when(value == STATUS, "\U0001F331 Seedling")
+        .when(value.rlike(f"^{QUOTED_TEXT}$"), F.regexp_replace(value, '^"|"$', ""))
+        .when(is_list, F.concat(F.lit("["), F.array_join(F.transform(shown, lambda w: w["text"]), ", "), F.lit("]")))
+        .when(plain, _typed_word(value)["text"]).otherwise(value)
+    )
+    return F.struct(
+        F.regexp_extract(line, FIELD_LINE, 1).alias("key"), kind.alias("kind"), text.alias("text"),
+        F.when(is_list, shown).alias("items"),
+    )
+
+
+def _typed_plainly(heads: DataFrame) -> DataFrame:
+    """Adds ``lines``, the typed lines of the front matter, NULL where any needs a YAML parser."""
+    lines = F.filter(F.split("front_matter", "\n"), lambda t: t != "")
+    typed = F.transform(lines, _typed_line)
+    keys = F.transform("typed", lambda e: e["key"])
+    simple = F.forall("typed", lambda e: e["kind"].isNotNull()) & (F.size(F.array_distinct(keys)) == F.size("typed"))
+    return heads.withColumn("typed", typed).withColumn("lines", F.when(simple, F.col("typed"))).drop("typed")
+
+
 def _typed_front_matter(heads: DataFrame) -> DataFrame:
     """Adds the YAML values of ``front_matter`` with their type names; text is what str() prints, for tags repr()."""
     try:
@@ -85,8 +148,11 @@ def _typed_front_matter(heads: DataFrame) -> DataFrame:
 
 
 def parse_front_matter(notes: DataFrame) -> DataFrame:
-    """Per note: path, note_type, error, typed fields and tag items. Only the front matter of a note's
-    first part reaches Python."""
+    """Per note: path, note_type, error, typed fields and tag items.
+
+    Front matter of plain values and lists, as notes are rendered, is typed by column expressions; only that of notes
+    with other YAML (their first part, without the text) reaches a parser in Python.
+    """
     first = notes.filter("part = 0").select("path", "content")
     pieces = F.split("content", "---", 3)
     cut = first.select(
@@ -97,7 +163,13 @@ def parse_front_matter(notes: DataFrame) -> DataFrame:
     )
     # notes with a broken frame pass through with an empty (valid) text
     text = F.when(F.col("frame_error").isNull(), F.col("front_matter")).otherwise(F.lit(""))
-    typed = _typed_front_matter(cut.withColumn("front_matter", text))
+    read = _typed_plainly(cut.withColumn("front_matter", text))
+    field = F.transform("lines", lambda e: F.struct(e["key"], F.struct(e["kind"].alias("kind"), e["text"].alias("text"))))
+    tags = F.get(F.filter("lines", lambda e: (e["key"] == "tags") & (e["kind"] == "list")), F.lit(0))["items"]
+    plain = read.filter("lines is not null").select(
+        "path", "frame_error", F.lit(None).cast("string").alias("error"), F.map_from_entries(field).alias("fields"), tags.alias("tags")
+    )
+    typed = plain.unionByName(_typed_front_matter(read.filter("lines is null").drop("lines")))
     return typed.select(
         "path",
         note_type_of(F.col("path")).alias("note_type"),
@@ -163,7 +235,7 @@ def _tags() -> Column:
 
 class Checked(NamedTuple):
     failures: DataFrame  # path, field, reason
-    results: DataFrame  # path, note_type, passed, failures
+    results: DataFrame  # path, note_type, passed, failures; in the order of paths
     summary: DataFrame  # one row: total, passed, failed
 
 
@@ -196,7 +268,7 @@ def check_notes(notes: DataFrame) -> Checked:
     number = F.coalesce("failures", F.lit(0).cast("long"))
     results = notes.filter("part = 0").select("path").join(counts, "path", "left").select(
         "path", note_type_of(F.col("path")).alias("note_type"), (number == 0).alias("passed"), number.alias("failures")
-    )
+    ).orderBy("path")
     return Checked(failures, results, check_summary(results))
 
 

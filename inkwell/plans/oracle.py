@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 AS_OF = "TIMESTAMP '2024-01-31 12:00:00'"
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
@@ -341,7 +343,7 @@ piece("feed_items", ["entries"], """
     FROM (SELECT *, arrival // 100 AS batch FROM entries)""")
 piece("feed_documents", ["feed_items", "raw_sources", "entries"], f"""
     SELECT source_id, batch, kind, damaged,
-           (CASE WHEN NOT damaged THEN count(*) WHEN kind = 2 THEN 0 ELSE count(*) - 1 END)::INTEGER AS entries_found
+           (count(*) - CASE WHEN damaged THEN 1 ELSE 0 END)::INTEGER AS entries_found
     FROM feed_items GROUP BY source_id, batch, kind, damaged
     UNION ALL
     SELECT id, 0, NULL, NULL, 0 FROM raw_sources WHERE id % 2 = 0 AND id NOT IN (SELECT source_id FROM entries)""")
@@ -375,7 +377,7 @@ ORACLES |= {
                      CASE WHEN kind = 2 THEN body ELSE {stripped('body')} END AS body,
                      coalesce(CASE WHEN kind = 2 THEN author_name ELSE {stripped('author_name')} END, 'Unknown')
                          AS author_name
-              FROM feed_items WHERE NOT (damaged AND (kind = 2 OR is_last)))
+              FROM feed_items WHERE NOT (damaged AND is_last))
         WHERE title <> ''"""),
     "feed_status": query(["feed_results"], f"""
         SELECT source_id, {stamp('fetched_at')} AS fetched_at, format, feed_status, entries_found FROM feed_results"""),
@@ -864,5 +866,71 @@ ORACLES |= {
     "weekly_run": ORACLES["newsletter_document"],
     "retry_run": query(["outcomes"], """
         SELECT failure_stage, count(*) AS attempted, count(*) FILTER (error IS NULL) AS succeeded, count(error) AS failed
-        FROM outcomes WHERE failure_stage IN ('summarization', 'generation') GROUP BY failure_stage"""),
+        FROM outcomes GROUP BY failure_stage"""),
+}
+
+# The daily run: the same pieces over the posts as they are after today's feeds.
+
+# entries that the feeds of active sources give, the first per URL in the order of source, fetch and position
+piece("daily_entries", ["feed_items", "raw_sources"], f"""
+    SELECT source_id, batch, arrival, url, publication_date, CASE WHEN kind = 2 THEN title ELSE {stripped('title')} END AS title,
+           CASE WHEN kind = 2 THEN body ELSE {stripped('body')} END AS body,
+           coalesce(CASE WHEN kind = 2 THEN author_name ELSE {stripped('author_name')} END, 'Unknown') AS author_name
+    FROM feed_items
+    WHERE NOT (damaged AND is_last) AND source_id IN (SELECT id FROM raw_sources WHERE status = 'active')
+      AND CASE WHEN kind = 2 THEN title ELSE {stripped('title')} END <> ''""")
+# a later batch was fetched earlier; ids of new posts only have to differ from those of the old ones
+piece("daily_new", ["daily_entries", "earlier_posts"], f"""
+    SELECT 1000000000 + row_number() OVER (ORDER BY url) AS id, source_id, title, body, url, publication_date, author_name,
+           {AS_OF} AS created_at
+    FROM (SELECT * FROM daily_entries
+          QUALIFY row_number() OVER (PARTITION BY url ORDER BY source_id, batch DESC, arrival) = 1)
+    WHERE url NOT IN (SELECT url FROM earlier_posts)""")
+piece("daily_raw_posts", ["daily_new", "earlier_posts"], "SELECT * FROM earlier_posts UNION ALL SELECT * FROM daily_new")
+piece("daily_summaries", ["daily_raw_posts", "raw_summaries"], f"""
+    SELECT id, post_id, summary_text, tags, difficulty_classification, created_at FROM raw_summaries
+    UNION ALL
+    SELECT id, id, words || ' words', ['text', CASE WHEN words < 100 THEN 'beginner' WHEN words < 1000 THEN 'intermediate'
+                                                    ELSE 'advanced' END], '', {AS_OF}
+    FROM (SELECT id, title, length(body) - length(replace(body, ' ', '')) + 1 AS words FROM daily_raw_posts)
+    WHERE title <> '' AND id NOT IN (SELECT post_id FROM raw_summaries)""")
+OF_THE_DAY = {"raw_posts": "daily_raw_posts", "raw_summaries": "daily_summaries"} | {
+    name: f"daily_{name}" for name in (
+        "stg_posts", "stg_authors", "stg_summaries", "mart_posts", "mart_authors", "mart_sources", "candidates", "slugged",
+        "post_notes", "source_heads", "source_links", "source_notes", "author_slugs", "author_links", "author_heads",
+        "author_notes", "notes", "failures")
 }
+
+
+def of_the_day(sql: str) -> str:
+    """The same SQL over the daily pieces: every one of their names as a whole word after FROM, JOIN or a comma."""
+    names = "|".join(sorted(OF_THE_DAY, key=len, reverse=True))
+    return re.sub(rf"\b(FROM|JOIN)(\s+)({names})\b", lambda m: f"{m[1]}{m[2]}{OF_THE_DAY[m[3]]}", sql)
+
+
+for _name, _daily in OF_THE_DAY.items():
+    if _name not in ("raw_posts", "raw_summaries"):
+        piece(_daily, [OF_THE_DAY.get(n, n) for n in PIECES[_name][0]], of_the_day(PIECES[_name][1]))
+
+ORACLES["daily_run"] = query(
+    ["daily_entries", "daily_new", "raw_sources", "entries", "daily_failures", "daily_notes", "daily_candidates",
+     "daily_mart_authors", "daily_mart_sources", "daily_stg_authors", "daily_stg_summaries", "dlq", "feed_results"], f"""
+    SELECT (SELECT count(*) FROM daily_new) AS total_success,
+           (SELECT count(*) FROM daily_entries) - (SELECT count(*) FROM daily_new) AS total_duplicates,
+           0::BIGINT AS total_failures,
+           (SELECT count(*) FROM raw_sources WHERE status = 'active'
+             AND (id IN (SELECT source_id FROM entries) OR id % 2 = 0)) AS sources_processed,
+           (SELECT count(*) FROM raw_sources WHERE status = 'active'
+             AND NOT (id IN (SELECT source_id FROM entries) OR id % 2 = 0)) AS sources_failed,
+           (SELECT count(*) FROM daily_notes WHERE part = 0) AS notes,
+           (SELECT count(*) FROM daily_notes WHERE part = 0 AND path NOT IN (SELECT path FROM daily_failures)) AS notes_passed,
+           (SELECT count(DISTINCT path) FROM daily_failures) AS notes_failed,
+           (SELECT count(*) FROM ({of_the_day(_quality())}) WHERE NOT passed) AS checks_failed,
+           (SELECT count(*) FROM feed_results WHERE feed_status IN ('missing', 'failed')
+             AND source_id IN (SELECT id FROM raw_sources WHERE status = 'active'))
+           + (SELECT count(*) FROM daily_raw_posts WHERE title = '' AND id NOT IN (SELECT post_id FROM raw_summaries))
+             AS new_dead_letters,
+           (SELECT count(*) FROM daily_raw_posts WHERE id NOT IN (SELECT post_id FROM raw_summaries)) AS total_found,
+           (SELECT count(*) FROM daily_raw_posts WHERE title <> '' AND id NOT IN (SELECT post_id FROM raw_summaries)) AS succeeded,
+           (SELECT count(*) FROM daily_raw_posts WHERE title = '' AND id NOT IN (SELECT post_id FROM raw_summaries)) AS failed,
+           0::BIGINT AS skipped""")

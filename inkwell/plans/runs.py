@@ -7,6 +7,7 @@ reads it. Nothing is overwritten: new rows and new snapshots go to new folders.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,6 +34,14 @@ class Run(NamedTuple):
     report: DataFrame  # one row of counts
 
 
+class ChecksFailed(RuntimeError):
+    """A data-quality check failed, so nothing after it ran. ``run`` has what was done and written until then."""
+
+    def __init__(self, run: Run, failed: int) -> None:
+        super().__init__(f"{failed} data-quality checks failed; see the table 'quality' of the run")
+        self.run = run
+
+
 def build_models(store: Store) -> dict[str, DataFrame]:
     """Staging models over the raw tables, as views would be."""
     return {
@@ -64,10 +73,12 @@ def run_daily(
     published_notes: DataFrame | None = None,
     max_age_days: int | None = None,
     max_concurrent: int = summaries.DEFAULT_CONCURRENCY,
+    stop_on_failed_checks: bool = True,
 ) -> Run:
     """Feeds of active sources to posts, summaries, marts, checks and notes.
 
-    ``max_age_days`` limits the entries, as for the first feed of a new source. Without
+    Raises :class:`ChecksFailed` before any note is rendered if a data-quality check has violations, unless
+    ``stop_on_failed_checks`` is off. ``max_age_days`` limits the entries, as for the first feed of a new source. Without
     ``summarize_with`` posts stay unsummarised.
     """
     active = scans.active_sources(store.sources)
@@ -94,6 +105,8 @@ def run_daily(
     new_failures = failures[0]
     for more in failures[1:]:
         new_failures = new_failures.unionByName(more)
+    # a run that is repeated over the same feeds at the same time makes the same letters
+    new_failures = new_failures.join(store.dead_letters.select("id"), "id", "left_anti").select(*store.dead_letters.columns)
     sources = source_admin.touch_last_checked(store.sources, active.select("id"), as_of)
     written |= write_tables({"new_dead_letters": new_failures, "sources": sources}, out_dir)
     after = Store(
@@ -102,8 +115,12 @@ def run_daily(
 
     written |= build_marts(after, out_dir)
     issue = candidates.newsletter_candidates(written["mart_posts"], written["mart_sources"], as_of)
-    checked = {"raw_blog_posts": posts, **build_models(after), **written, "mart_newsletter_candidates": issue}
+    written |= write_tables({"mart_newsletter_candidates": issue}, out_dir)
+    checked = {"raw_blog_posts": posts, "dead_letter_posts": after.dead_letters, **build_models(after), **written}
     written |= write_tables({"quality": expectations.run_expectations(checked)}, out_dir)
+    if stop_on_failed_checks and not expectations.all_passed(written["quality"]):
+        failed = written["quality"].filter(~F.col("passed")).count()
+        raise ChecksFailed(Run(after, written, _report(written, metrics, active, active_feeds)), failed)
 
     rendered = notes.all_notes(written["mart_posts"], written["mart_sources"], written["mart_authors"])
     notes.write_notes(rendered, f"{out_dir}/notes")
@@ -116,26 +133,26 @@ def run_daily(
 
 
 def _report(written: dict[str, DataFrame], metrics: DataFrame, active: DataFrame, feeds: DataFrame) -> DataFrame:
-    """All counts of the run as one row; each part has one row itself."""
+    """All counts of the run as one row; each part has one row itself. A run that was stopped has no counts of notes."""
     parts = [
         ingest.run_metrics(metrics, active, feeds),
-        note_checks.check_summary(written["note_results"]).select(
-            F.col("total").alias("notes"), F.col("passed").alias("notes_passed"), F.col("failed").alias("notes_failed")
-        ),
         written["quality"].agg(F.count_if(~F.col("passed")).alias("checks_failed")),
         written["new_dead_letters"].agg(F.count(F.lit(1)).alias("new_dead_letters")),
     ]
+    if "note_results" in written:
+        parts.append(note_checks.check_summary(written["note_results"]).select(
+            F.col("total").alias("notes"), F.col("passed").alias("notes_passed"), F.col("failed").alias("notes_failed")
+        ))
     if "summary_outcomes" in written:
         parts.append(summaries.processing_result(written["summary_outcomes"]))
     return _side_by_side(parts)
 
 
 def _side_by_side(parts: list[DataFrame]) -> DataFrame:
-    """One-row frames as one row."""
-    row = parts[0].withColumn("_row", F.lit(0))
-    for part in parts[1:]:
-        row = row.join(part.withColumn("_row", F.lit(0)), "_row")
-    return row.drop("_row")
+    """One-row frames as one row: each fills its own columns of a union, which one aggregation folds."""
+    names = [c for part in parts for c in part.columns]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(c).alias(c) for c in names])
 
 
 def run_weekly(mart_posts: DataFrame, mart_sources: DataFrame, out_dir: str, as_of: Column) -> dict[str, DataFrame]:
@@ -143,7 +160,9 @@ def run_weekly(mart_posts: DataFrame, mart_sources: DataFrame, out_dir: str, as_
     issue = candidates.newsletter_candidates(mart_posts, mart_sources, as_of)
     written = write_tables({"candidates": issue}, out_dir)
     document = newsletter.newsletters(written["candidates"].withColumn("issue_at", as_of))
-    return written | write_tables({"newsletter": document}, out_dir)
+    newsletter.write_newsletters(document, f"{out_dir}/newsletter")
+    stored = document.sparkSession.read.schema(document.schema).parquet(f"{out_dir}/newsletter")
+    return written | {"newsletter": stored.select(*document.columns)}
 
 
 def run_retry(

@@ -45,8 +45,9 @@ ATOM_ENTRY_FIELDS = (
     "author ARRAY<STRUCT<name: STRING>>, published STRING, updated STRING"
 )
 ATOM_FEED = f"entry ARRAY<STRUCT<{ATOM_ENTRY_FIELDS}>>, _corrupt_record STRING"
-JSON_FEED = (
-    "items ARRAY<STRUCT<url: STRING, external_url: STRING, title: STRING, content_html: STRING, "
-    "content_text: STRING, summary: STRING, date_published: STRING, date_modified: STRING, "
-    "author: STRUCT<name: STRING>, authors: ARRAY<STRUCT<name: STRING>>>>, _corrupt_record STRING"
+JSON_ITEM = (
+    "STRUCT<url: STRING, external_url: STRING, title: STRING, content_html: STRING, content_text: STRING, "
+    "summary: STRING, date_published: STRING, date_modified: STRING, author: STRUCT<name: STRING>, "
+    "authors: ARRAY<STRUCT<name: STRING>>>"
 )
+JSON_FEED = f"items ARRAY<{JSON_ITEM}>, _corrupt_record STRING"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from inkwell.functions.dates import feed_timestamp
 from inkwell.functions.text import bind, or_default
 from inkwell.operators.dead_letters import INGESTION, dead_letter_rows
-from inkwell.schemas import ATOM_ENTRY_FIELDS, ATOM_FEED, JSON_FEED, RSS_FEED, RSS_ITEM_FIELDS
+from inkwell.schemas import ATOM_ENTRY_FIELDS, ATOM_FEED, JSON_FEED, JSON_ITEM, RSS_FEED, RSS_ITEM_FIELDS
 
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
 ENTRY_FIELDS = ["title", "url", "body", "author", "published"]
@@ -78,6 +78,33 @@ def _whole_elements(payload: Column, name: str, fields: str) -> Column:
     return F.filter(parsed, lambda p: p["_corrupt_record"].isNull())
 
 
+def _whole_objects(payload: Column) -> Column:
+    """The complete objects of ``items`` in a JSON feed that is cut off.
+
+    Strings, brackets and what lies between are taken one after the other; the depth of brackets tells where an object
+    of the list begins and ends.
+    """
+    start = r'(?s)^.*?"items"\s*:\s*\['
+    listed = F.when(payload.rlike(start), F.regexp_replace(payload, start, ""))
+    tokens = F.regexp_extract_all(listed, F.lit(r'(?s)("(?:[^"\\]++|\\.)*+"|[{}\[\]]|[^"{}\[\]]+|")'), F.lit(1))
+    opens, closes = lambda t: t.isin("{", "["), lambda t: t.isin("}", "]")
+    nothing = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.array().cast("array<string>").alias("whole"))
+
+    def step(state: Column, token: Column) -> Column:
+        depth = state["depth"] + F.when(opens(token), 1).when(closes(token), -1).otherwise(0)
+        inside = (state["depth"] > 0) | opens(token)
+        text = F.when(inside, F.concat(state["text"], token)).otherwise("")
+        ended = closes(token) & (depth == 0) & (state["depth"] == 1)
+        return F.struct(
+            depth.alias("depth"), F.when(ended, "").otherwise(text).alias("text"),
+            F.when(ended, F.array_append(state["whole"], text)).otherwise(state["whole"]).alias("whole"),
+        )
+
+    whole = F.aggregate(tokens, nothing, step, lambda state: state["whole"])
+    parsed = F.transform(whole, lambda o: F.from_json(o, JSON_ITEM))
+    return F.filter(parsed, lambda o: o.isNotNull())
+
+
 def _format(payload: Column) -> Column:
     return (
         F.when(payload.isNull(), F.lit(None))
@@ -101,9 +128,9 @@ def _read(payload: Column, kind: Column) -> Column:
             F.transform(doc["atom"]["entry"], _atom_entry),
             F.transform(_whole_elements(payload, "entry", ATOM_ENTRY_FIELDS), _atom_entry),
         )
-        found = F.when(kind == "rss", rss).when(kind == "atom", atom).otherwise(
-            F.transform(doc["json"]["items"], _json_entry)
-        )
+        json = F.when(doc["json"]["_corrupt_record"].isNull(), F.transform(doc["json"]["items"], _json_entry))
+        json = F.coalesce(json, F.transform(_whole_objects(payload), _json_entry))
+        found = F.when(kind == "rss", rss).when(kind == "atom", atom).otherwise(json)
         corrupt = F.coalesce(*[doc[name]["_corrupt_record"] for name in ("rss", "atom", "json")])
         return F.struct(found.alias("entries"), corrupt.isNotNull().alias("damaged"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.functions.text import strip, unescape_html
@@ -26,24 +28,88 @@ def _chunks(html: Column, start: str) -> Column:
     return F.filter(cut, lambda c: c.rlike(f"(?s)^{start}"))
 
 
-TITLE_ANCHOR = r'<a\s[^>]*class="[^"]*title[^"]*"[^>]*>'
-ENTRY_ITEM = r'<li\s[^>]*class="(?:[^"]*\s)?blog-entry(?:\s[^"]*)?"[^>]*>'
 PARAGRAPH = r"<p(?:\s[^>]*)?>"
+# A tag ends at the first > outside quoted attribute values.
+TAG_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+TOKENS = rf"(?s)(<!--.*?-->|</?[a-zA-Z]{TAG_REST}|[^<]+|<)"
+# Elements that never hold others; paragraphs too, as their end tags are often left out.
+FLAT_ELEMENTS = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr|p"
+
+
+def _with_attribute(element: str, name: str, value: str) -> str:
+    """Pattern of a start tag whose attribute, in double, single or no quotes, matches ``value`` as a whole."""
+    quoted = [f'"(?:{value})"'.replace("ANY", '[^"]'), f"'(?:{value})'".replace("ANY", "[^']"),
+              f"(?:{value})(?=[\\s>])".replace("ANY", "[^\\s\"'>]")]
+    return rf"<{element}\s(?:[^>]*\s)?{name}\s*=\s*(?:{'|'.join(quoted)}){TAG_REST}"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, NULL where the tag has none."""
+    pattern = rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.when(tag.rlike(pattern), F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]))
+
+
+PROSE_BLOCK = _with_attribute("div", "class", "ANY*proseANY*")
+ENTRY_ITEM = _with_attribute("li", "class", r"(?:ANY*\s)?blog-entry(?:\sANY*)?")
+
+
+def _nesting(token: Column) -> Column:
+    """1 for a start tag, -1 for an end tag, 0 for anything that does not nest."""
+    flat = token.rlike(rf"(?i)^</?(?:{FLAT_ELEMENTS})[\s/>]") | token.rlike(r"(?s)/>$")
+    return F.when(flat, 0).when(token.rlike("^</[a-zA-Z]"), -1).when(token.rlike("^<[a-zA-Z]"), 1).otherwise(0)
+
+
+def _edge(places: Column, enters: Callable[[Column], Column]) -> Column:
+    """The first of ``places`` at which more elements were left than entered, NULL if there is none."""
+    nothing = F.lit(None).cast("int")
+    start = F.struct(F.lit(0).alias("inside"), nothing.alias("found"))
+
+    def step(state: Column, place: Column) -> Column:
+        inside = state["inside"] + enters(place)
+        found = F.coalesce(state["found"], F.when(inside < 0, place))
+        return F.struct(inside.alias("inside"), found.alias("found"))
+
+    return F.aggregate(places, start, step, lambda state: state["found"])
 
 
 def extract_cards(pages: DataFrame, base_url: str) -> DataFrame:
-    """One row per card of a listing page whose cards start with a title link."""
-    cards = pages.select("page_id", F.posexplode(_chunks(F.col("html"), TITLE_ANCHOR)).alias("position", "card"))
+    """One row per title link of a listing page; its card is the element that holds the link.
+
+    The page is taken apart into tags and text once; from each title link, the nesting of tags tells backwards and
+    forwards where the element around it begins and ends, so the other parts may stand before or after the link.
+    """
+    tokens = pages.select("page_id", F.regexp_extract_all("html", F.lit(TOKENS), F.lit(1)).alias("tokens"))
+    tokens = tokens.withColumn("nesting", F.transform("tokens", _nesting))
+    links = F.filter(
+        F.transform("tokens", lambda t, i: F.when(t.rlike(r"^<a\s") & F.contains(_attribute(t, "class"), F.lit("title")), i)),
+        lambda i: i.isNotNull(),
+    )
+    placed = tokens.select("page_id", "tokens", "nesting", F.posexplode(links).alias("position", "link"))
+    last = F.size("tokens") - 1
+    before = F.when(F.col("link") > 0, F.sequence(F.col("link") - 1, F.lit(0), F.lit(-1)))
+    placed = placed.withColumn("first", F.coalesce(_edge(before, lambda j: -F.get("nesting", j)), F.lit(0)))
+    placed = placed.withColumn(
+        "last", F.coalesce(_edge(F.sequence("link", last), lambda j: F.get("nesting", j)), last)
+    )
+
+    def markup(first: str) -> Column:
+        return F.array_join(F.slice("tokens", F.col(first) + 1, F.col("last") - F.col(first) + 1), "")
+
+    cards = placed.select(
+        "page_id", "position", markup("first").alias("card"), markup("link").alias("from_link"),
+        F.get("tokens", F.col("link")).alias("tag"),
+    )
     card = F.col("card")
-    labels = F.regexp_extract_all(card, F.lit(r'<div\s[^>]*aria-label="([^"]*)"'), F.lit(1))
+    labelled = F.regexp_extract_all(card, F.lit(r"(<div\s(?:[^>]*\s)?aria-label\s*=[^>]*>)"), F.lit(1))
+    labels = F.transform(labelled, lambda t: unescape_html(_attribute(t, "aria-label")))
     return cards.select(
         "page_id",
         "position",
-        visible_text(F.regexp_extract(card, r"(?s)^<a\s[^>]*>(.*?)</a>", 1)).alias("title"),
-        visible_text(_found(card, r'(?s)<div\s[^>]*class="[^"]*prose[^"]*"[^>]*>(.*?)</div>')).alias("description"),
-        F.transform(labels, lambda a: F.replace(unescape_html(a), F.lit("Avatar of "), F.lit(""))).alias("authors"),
+        visible_text(F.regexp_extract("from_link", rf"(?s)^<a{TAG_REST}(.*?)</a>", 1)).alias("title"),
+        visible_text(_found(card, rf"(?s){PROSE_BLOCK}(.*?)</div>")).alias("description"),
+        F.transform(labels, lambda a: F.replace(a, F.lit("Avatar of "), F.lit(""))).alias("authors"),
         visible_text(_found(card, rf"(?s){PARAGRAPH}(.*?)</p>")).alias("posted_date"),
-        F.concat(F.lit(base_url), unescape_html(F.regexp_extract(card, r'^<a\s[^>]*?href="([^"]*)"', 1))).alias("link"),
+        F.concat(F.lit(base_url), unescape_html(F.coalesce(_attribute(F.col("tag"), "href"), F.lit("")))).alias("link"),
     )
 
 
@@ -53,7 +119,7 @@ def extract_entries(pages: DataFrame, base_url: str) -> DataFrame:
     items = items.withColumn("item", F.substring_index("item", "</li>", 1))
     article = F.regexp_extract("item", r"(?s)<article(?:\s[^>]*)?>(.*?)</article>", 1)
     has_article = F.col("item").rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
-    anchor = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+    anchor = rf"(?s)(<a\s(?:[^>]*\s)?href\s*={TAG_REST})(.*?)</a>"
     rows = items.filter(has_article).select("page_id", "position", article.alias("article"))
     inner = F.col("article")
     return rows.select(
@@ -61,7 +127,7 @@ def extract_entries(pages: DataFrame, base_url: str) -> DataFrame:
         "position",
         visible_text(_found(inner, anchor, 2)).alias("title"),
         visible_text(_found(inner, r"(?s)<time(?:\s[^>]*)?>(.*?)</time>")).alias("posted_date"),
-        F.concat(F.lit(base_url), unescape_html(_found(inner, anchor))).alias("link"),
+        F.concat(F.lit(base_url), unescape_html(_attribute(_found(inner, anchor), "href"))).alias("link"),
     )
 
 

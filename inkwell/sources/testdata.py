@@ -221,7 +221,7 @@ class RawTables:
                                       F.array_join("items", ""), F.lit("</feed>")))
             .otherwise(F.concat(F.lit('{"title": "t", "items": ['), F.array_join("items", ", "), F.lit("]}")))
         )
-        tail = F.when(kind == 0, len("</item></channel></rss>")).when(kind == 1, len("</entry></feed>")).otherwise(2)
+        tail = F.when(kind == 0, len("</item></channel></rss>")).when(kind == 1, len("</entry></feed>")).otherwise(len("}]}"))
         payload = F.when(F.col("batch") % 4 == 0, F.left(whole, F.length(whole) - tail)).otherwise(whole)
         fetched = grouped.select("source_id", "batch", payload.alias("payload"))
         silent = self.sources().select(F.col("id").alias("source_id")).join(
@@ -246,12 +246,17 @@ class RawTables:
         return grouped.select(page_id.alias("page_id"), html.alias("html"))
 
     def card_pages(self) -> DataFrame:
+        """Cards in turn with double, single and without quotes; in every other one the date stands before the link."""
+        quote = F.element_at(F.array(F.lit('"'), F.lit("'"), F.lit("")), (F.col("arrival") % 3 + 1).cast("int"))
         label = F.concat(F.lit('<div aria-label="Avatar of '), _escaped("author_name"), F.lit('"></div>'))
+        day = _element("p", F.date_format("publication_date", "yyyy-MM-dd"))
+        first = F.col("arrival") % 2 == 0
         return self._listing(F.concat(
-            F.lit('<article><a class="card-title" href="/post/'), F.md5("url"), F.lit('?a=1&amp;b=2">'), _escaped("title"),
-            F.lit('</a><div class="avatars">'), F.coalesce(label, F.lit("")), F.lit("</div>"),
-            _element("p", F.date_format("publication_date", "yyyy-MM-dd")),
-            F.lit('<div class="prose"><!-- lead --><b> '), _escaped("body"), F.lit(" </b></div></article>"),
+            F.lit("<article>"), F.when(first, day).otherwise(""), F.lit("<a class="), quote, F.lit("card-title"), quote,
+            F.lit(" href="), quote, F.lit("/post/"), F.md5("url"), F.lit("?a=1&amp;b=2"), quote, F.lit(">"), _escaped("title"),
+            F.lit("</a><div class='avatars'>"), F.coalesce(label, F.lit("")), F.lit("</div>"),
+            F.when(first, "").otherwise(day),
+            F.lit("<div class='prose'><!-- lead --><b> "), _escaped("body"), F.lit(" </b></div></article>"),
         ))
 
     def entry_pages(self) -> DataFrame:
@@ -260,7 +265,8 @@ class RawTables:
             F.lit('<h2><a href="/post/'), F.md5("url"), F.lit('">'), _escaped("title"), F.lit("</a></h2></article>"),
         )
         inside = F.when(F.col("arrival") % 10 == 0, F.lit("<p>draft</p>")).otherwise(article)
-        return self._listing(F.concat(F.lit('<li class="wide blog-entry">'), inside, F.lit("</li>")))
+        item = F.when(F.col("arrival") % 2 == 0, '<li class="wide blog-entry">').otherwise("<li class=blog-entry>")
+        return self._listing(F.concat(item, inside, F.lit("</li>")))
 
     @once
     def envelopes(self) -> DataFrame:

@@ -51,10 +51,15 @@ def start_ingest(
         spark = batch.sparkSession
         now = F.current_timestamp() if as_of is None else as_of
         rows = batch if max_age_days is None else recent_entries(batch, now, max_age_days)
-        others = read_posts(spark, posts_path).filter(F.col(BATCH) != number)
-        result = ingest_posts(rows, others, arrival, now)
-        result.inserted.write.mode("overwrite").parquet(f"{posts_path}/{BATCH}={number}")
-        result.failures.write.mode("overwrite").parquet(f"{dead_letters_path}/{BATCH}={number}")
+        # read three times: for the first row per URL, the known URLs and the failures
+        rows = rows.persist()
+        try:
+            others = read_posts(spark, posts_path).filter(F.col(BATCH) != number)
+            result = ingest_posts(rows, others, arrival, now)
+            result.inserted.write.mode("overwrite").parquet(f"{posts_path}/{BATCH}={number}")
+            result.failures.write.mode("overwrite").parquet(f"{dead_letters_path}/{BATCH}={number}")
+        finally:
+            rows.unpersist()
 
     writer = entries.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

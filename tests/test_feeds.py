@@ -75,3 +75,19 @@ def test_damaged_and_missing_feeds(spark):
         ("https://feed/2", "ingestion", "Feed fetch failed: no payload", 0, False),
         ("https://feed/3", "ingestion", "Feed parse failed with no entries", 0, False),
     ]
+
+
+def test_cut_json_feed_keeps_its_complete_entries(spark):
+    items = [{"title": f"T{i} {{[\\\"", "url": f"https://j/{i}", "authors": [{"name": "A"}], "content_text": "]} ,"} for i in range(3)]
+    whole = json.dumps({"title": "{", "items": items})
+    for cut, found in ((3, 2), (20, 2), (1, 3), (0, 3)):
+        parsed = parse(spark, whole[:len(whole) - cut])
+        assert values(parsed.entries, "url") == [f"https://j/{i}" for i in range(found)]
+        assert values(parsed.status, "feed_status", "entries_found") == [("ok" if cut == 0 else "damaged", found)]
+    assert values(parse(spark, '{"items": [{"title": "x"').status, "feed_status") == ["failed"]
+
+
+def test_failed_fetches_of_one_feed_are_letters_of_their_own(spark):
+    rows = [(1, "https://feed", NOW, None), (1, "https://feed", NOW.replace(hour=1), None), (2, "https://feed", NOW, None)]
+    failures = parse_feeds(spark.createDataFrame(rows, FEEDS), as_of()).failures
+    assert failures.select("id").distinct().count() == 3

@@ -86,3 +86,30 @@ def test_rendered_notes_and_totals(spark):
     assert values(checked.results, "path", "passed", "failures")[2:] == [
         ("posts/data/y.md", False, 1), ("posts/data/z.md", False, 1), ("sources/some-blog.md", True, 0)]
     assert values(checked.summary) == [(5, 3, 2)]
+
+
+def test_plain_front_matter_is_typed_as_a_parser_would(spark):
+    """Column expressions give the parser's answer wherever they give one."""
+    values_ = ["", "7", "007", "0", "-3", "1.5", "2024-01-30", "2024-02-31", "None", "null", "Yes", "yEs", "off", "y", "Some Blog",
+               "Some: Blog", "a #b", "a#b", "https://p/7?x=1&y=2", "北京作者", "लेखक", "it's", '"[[A|b]]"', '"a\\tb"', "'q'", "[a, b]",
+               "[]", "[a, true, null]", "[a,b]", "[a, 1]", "{a: b}", "x:", "a: b", "- a", "* a", "&a", "!x", "a, b", "a [b]", "x ", " x",
+               r'"\U0001F331 Seedling"', "2024-01-30T10:00:00", "0x1F", "1_000", "1e5", "~", "=", "a |", "e5", "Infinity", "C++", "ab."]
+    heads = spark.createDataFrame([(f"n{i}", None, f"\nkey: {v}\nother: x\n") for i, v in enumerate(values_)],
+                                  "path STRING, frame_error STRING, front_matter STRING")
+    plain = {r["path"]: r["lines"] for r in note_checks._typed_plainly(heads).collect()}
+    parsed = {r["path"]: r for r in note_checks._typed_front_matter(heads).collect()}
+    for i, value in enumerate(values_):
+        lines = plain[f"n{i}"]
+        if lines is not None:
+            want = parsed[f"n{i}"]["fields"]["key"]
+            assert (lines[0]["kind"], lines[0]["text"]) == (want["kind"], want["text"]), value
+    typed = {v for i, v in enumerate(values_) if plain[f"n{i}"] is not None}
+    assert {"", "7", "2024-01-30", "None", "Yes", "Some Blog", "https://p/7?x=1&y=2", "北京作者", "[a, true, null]"} <= typed
+    assert not {"Some: Blog", "a #b", "it's", "{a: b}", "x:", "- a", "2024-02-31"} & typed
+
+
+def test_tags_of_plain_lists(spark):
+    rows = spark.createDataFrame([("posts/a/b.md", 0, "---\ntags: [a, On, b.c]\n---\nx")], "path STRING, part INT, content STRING")
+    got = note_checks.parse_front_matter(rows).first()
+    assert [tuple(t) for t in got["tags"]] == [("str", "'a'"), ("bool", "True"), ("str", "'b.c'")]
+    assert got["fields"]["tags"]["text"] == "['a', True, 'b.c']"

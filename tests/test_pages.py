@@ -45,3 +45,29 @@ def test_block_end(spark):
     rows = pages(spark, f"<article><p>x</p></article><p>{long}</p>")
     assert values(first_paragraphs(rows, "<article>", "</article>")) == []
     assert len(values(first_paragraphs(rows, "<article>"))) == 1
+
+
+def test_cards_with_parts_before_the_link_and_any_quotes(spark):
+    html = """<ul><li><p>May 1</p><div aria-label='Avatar of Ann'></div><a class='big title' href='/1'>One</a>
+      <div class='prose'>First<br>text</div></li>
+      <li><a href=/2 class=title>Two</a><p>May 2</p></li><!-- <a class="title" href="/no">No</a> -->
+      <li><div class="prose x">Third <img src="a.png"></div><a data-x="1>0" class="title" href="/3">Three</a><p>May 3</p></li></ul>
+      <div class="prose">outside</div>"""
+    rows = extract_cards(pages(spark, html), "https://site").orderBy("position").collect()
+    assert [tuple(r)[2:] for r in rows] == [
+        ("One", "Firsttext", ["Ann"], "May 1", "https://site/1"),
+        ("Two", None, [], "May 2", "https://site/2"),
+        ("Three", "Third", [], "May 3", "https://site/3"),
+    ]
+
+
+def test_title_link_without_an_element_around_it(spark):
+    rows = extract_cards(pages(spark, '<a class="title" href="/1">One</a><p>May 1</p>', "<p>none</p>"), "").collect()
+    assert [tuple(r)[2:] for r in rows] == [("One", None, [], "May 1", "/1")]
+
+
+def test_entries_with_any_quotes(spark):
+    html = """<li class='x blog-entry'><article><time>May 1</time><a href='/p/1'>One</a></article></li>
+      <li class=blog-entry><article><a id=a href=/p/2>Two</a></article></li><li class=blog-entry-not><article></article></li>"""
+    got = values(extract_entries(pages(spark, html), "https://site"), "title", "posted_date", "link")
+    assert got == [("One", "May 1", "https://site/p/1"), ("Two", None, "https://site/p/2")]

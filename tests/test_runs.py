@@ -53,7 +53,7 @@ def test_daily_run(spark, store, answer, tmp_path):
     assert values(run.written["new_dead_letters"], "failure_stage", "failure_reason") == [
         ("ingestion", "Feed parse failed with no entries"), ("summarization", "RuntimeError: no answer")]
     assert values(run.store.posts, "title") == ["Fail here", "Known post", "New post"]
-    assert values(run.written["notes"], "path") == [
+    assert values(run.written["notes"].filter("part = 0"), "path") == [
         "authors/ann-lee.md", "authors/bo.md", "authors/unknown.md", "posts/data/fail-here.md", "posts/data/known-post.md",
         "posts/data/new-post.md", "sources/off.md", "sources/quiet.md", "sources/some-blog.md"]
     assert report["notes_failed"] == 0 and report["checks_failed"] == 0
@@ -68,6 +68,19 @@ def test_daily_run(spark, store, answer, tmp_path):
     assert weekly["newsletter"].first()["candidate_count"] == 2
 
 
+def test_failing_checks_stop_the_run_before_rendering(spark, store, tmp_path):
+    orphan = store._replace(summaries=store.summaries.unionByName(
+        summaries(spark, (77, "Summary of a post that does not exist, long enough.", ["x"]))))
+    feeds = spark.createDataFrame([(1, "https://s1/feed", NOW, feed(("New", "https://n/1", "bo", NOW)))], FEEDS)
+    with pytest.raises(runs.ChecksFailed) as stopped:
+        runs.run_daily(orphan, feeds, str(tmp_path / "stopped"), as_of())
+    run = stopped.value.run
+    assert "notes" not in run.written and not (tmp_path / "stopped" / "notes").exists()
+    assert run.report.first()["checks_failed"] == 2 and values(run.store.posts, "title") == ["Known post", "New"]
+    went_on = runs.run_daily(orphan, feeds, str(tmp_path / "on"), as_of(), stop_on_failed_checks=False)
+    assert went_on.report.first()["checks_failed"] == 2 and went_on.report.first()["notes"] > 0
+
+
 def test_first_feed_of_a_source_is_limited_by_age(spark, store, tmp_path):
     feeds = spark.createDataFrame([(1, "https://s1/feed", NOW, feed(
         ("New", "https://n/1", "bo", NOW), ("Old", "https://n/2", "bo", NOW - timedelta(days=60))))], FEEDS)
