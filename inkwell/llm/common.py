@@ -52,7 +52,8 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
 
 def held_out(key: Column | str) -> Column:
     """True for the rows that no model may learn from: crc32(key as text) mod 3 is 1. A null key counts as ''."""
-    return F.crc32(F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("")).cast("string")) % 3 == 1
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % 3 == 1
 
 
 def bits_for(rows: int, per_bucket: int, most: int = 24) -> int:

@@ -1,20 +1,22 @@
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 
-from cases import SMALL, none, odd, table
+from cases import SMALL, none, odd
 from inkwell.llm import langid
 from inkwell.llm.queries import QUERIES
 
 
 def test_held_out_accuracy(spark):
-    docs = {r["doc_id"]: r for r in table("documents")}
-    rows = QUERIES["op6_langid"](spark, SMALL).collect()
+    folder = SMALL.replace("0.001", "0.01")
+    docs = {r["doc_id"]: r for r in pq.read_table(f"{folder}/documents.parquet").to_pylist()}
+    rows = QUERIES["op6_langid"](spark, folder).collect()
     assert len(rows) == len(docs)
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
     unseen = [r for r in rows if r["held_out"] and docs[r["doc_id"]]["lang"]]
     right = sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in unseen)
-    assert right >= 0.93 * len(unseen)
+    assert right >= 0.97 * len(unseen)
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
@@ -34,7 +36,7 @@ def test_odd_rows(spark):
     found = {r["doc_id"]: r for r in langid.identify(odd(spark, "score", "lang_pred"), model).collect()}
     for i in (1, 2, 3, 7):
         assert (found[i]["lang_pred"], found[i]["score"], found[i]["accepted"]) == ("und", 0.0, False)
-    assert found[6]["lang_pred"] in ("de", "en") and found[None]["lang_pred"] == "en"
+    assert found[6]["lang_pred"] in ("de", "en") and found[None]["lang_pred"] in ("de", "en")
 
 
 def test_nothing_to_learn_from_and_no_rows(spark):
