@@ -242,7 +242,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest id. Rows with a null id stay."""
+    """The rows of ``docs`` that stay: of each group the one with the smallest id. Rows with a null id stay.
+
+    Goes by id: repeated rows of the smallest id all stay, and an id that is gone is gone with all its rows. One row
+    per group, whatever the ids: :func:`inkwell.llm.near_copies.without_near_copies`.
+    """
     found = near_duplicates(docs, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     return docs.join(gone, id_col, "left_anti")
