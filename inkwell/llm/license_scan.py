@@ -31,11 +31,18 @@ TEMPLATES = {
     "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
     "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
     "that the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
     "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
     "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
     "with the distribution.",
+    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
     "cc-by-4.0": "This work is licensed under the Creative Commons Attribution 4.0 International License.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -60,6 +67,86 @@ TEMPLATES = {
     "purpose, commercial or non-commercial, and by any means.",
 }
 
+CC_TERMS = {
+    "by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivs", "by-nc": "Attribution-NonCommercial",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivs",
+}
+CC_VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+GNU = {
+    "gpl-1.0": ("", "1"), "gpl-2.0": ("", "2"), "gpl-3.0": ("", "3"), "lgpl-2.0": ("Library", "2"), "lgpl-2.1": ("Lesser", "2.1"),
+    "lgpl-3.0": ("Lesser", "3"), "agpl-3.0": ("Affero", "3"),
+}
+
+# Words that tell a licence from its relatives: each must stand where the template's words are found, "|" between ways
+# to say it; and words that must not.
+MARKS: dict[str, tuple[str, ...]] = {
+    "apache-2.0": ("apache license", "version 2|v2|license 2"), "apache-2.0-notice": ("apache license", "version 2|v2|license 2"),
+    "bsd-3-clause": ("neither the name",), "isc": ("provided that",), "mit": ("above copyright notice",), "mit-notice": ("mit",),
+    "mpl-2.0": ("mozilla public license", "v 2 0|version 2 0|v2 0|mpl 2 0"),
+}
+MARKS_AGAINST: dict[str, tuple[str, ...]] = {
+    "bsd-2-clause": ("neither the name", "names of its contributors", "all advertising materials"),
+    "bsd-3-clause": ("all advertising materials",),
+}
+AFTER = 48  # words after a span in which words that must not stand there are looked for
+
+
+def _add(name: str, template: str, marks: tuple[str, ...], against: tuple[str, ...] = ()) -> None:
+    """A template under ``name``, or beside the one that has the name; one that is there already only gets the marks."""
+    own = next((n for n, t in TEMPLATES.items() if tokens(t) == tokens(template)), None)
+    if own is None:
+        own = next(n for n in (name, f"{name}-notice", f"{name}-line", f"{name}-short", f"{name}-only") if n not in TEMPLATES)
+        TEMPLATES[own] = template
+    MARKS[own] = marks
+    if against:
+        MARKS_AGAINST[own] = against
+
+
+def _add_families() -> None:
+    for terms, words in CC_TERMS.items():
+        for version, place in CC_VERSIONS.items():
+            names = [words] if "NoDerivs" not in words else [words, words.replace("NoDerivs", "NoDerivatives")]
+            said = "|".join(f"{n} {version}" for n in names)
+            _add(f"cc-{terms}-{version}", f"This work is licensed under the Creative Commons {names[-1] if version == '4.0' else words} "
+                 f"{version} {place} License.", (said,))
+            _add(f"cc-{terms}-{version}", f"Licensed under CC {terms.upper()} {version}.", (f"cc {terms} {version}",))
+    for name, (kind, version) in GNU.items():
+        full = f"GNU {kind} General Public License".replace("  ", " ")
+        short = f"{name.split('-')[0].upper()}"
+        said = f"version {version}|v{version}|license {version}"
+        # version 2 is not version 2.1
+        against = () if "." in version or kind else (f"version {version} 1", f"v{version} 1")
+        _add(name, f"This work is licensed under the {full}, version {version}.", (full, said), against)
+        software = "library" if kind in ("Library", "Lesser") and version != "3" else "program"
+        _add(name, f"This {software} is free software: you can redistribute it and/or modify it under the terms of the {full} as "
+             f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later "
+             "version.", (full, said), against)
+        _add(name, f"Licensed under the GNU {short} v{version}.", (f"{short} v{version}|{short} version {version}|{short} {version}",), against)
+        _add(name, f"redistribute it and/or modify it under the terms of the {full} version {version} as published by the Free "
+             "Software Foundation.", (f"{full} version {version}|{full} v{version}",), against)
+    _add("mit-0", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+         "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+         "persons to whom the Software is furnished to do so.", ("hereby granted",), ("subject to the following", "above copyright notice"))
+    _add("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+         "granted.", ("hereby granted",), ("provided that",))
+    _add("bsd-4-clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+         "following disclaimer in the documentation and/or other materials provided with the distribution. All advertising "
+         "materials mentioning features or use of this software must display the following acknowledgement",
+         ("all advertising materials",))
+    _add("mpl-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not "
+         "use this file except in compliance with the License.", ("mozilla public license", "version 1 1|v1 1"))
+    for version in ("1.0", "2.0"):
+        _add(f"epl-{version}", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+             f"License v{version}", ("eclipse public license", f"v{version}|v {version}|version {version}|license {version}"))
+    _add("bsl-1.0", "Distributed under the Boost Software License, Version 1.0.", ("boost software license",))
+    _add("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+         "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for "
+         "any purpose, including commercial applications, and to alter it and redistribute it freely", ("redistribute it freely",))
+    for name in ("2", "3"):
+        _add(f"bsd-{name}-clause", f"Licensed under the BSD {name}-Clause License.", (f"bsd {name}",))
+
+
 LEAST_MATCH = 4  # words of a stretch that counts as a match
 MOST_GAP = 8  # words between two matches of a chain, in text and template
 LEAST_COVER = 0.6  # share of a template's words that a chain must match
@@ -70,6 +157,9 @@ def tokens(text: str | None) -> list[bytes]:
     return WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
 
 
+_add_families()
+
+
 class SuffixAutomaton:
     """All stretches of the given sequences of numbers. State 0 is empty; ``last`` is where a state's stretch first ended."""
 
@@ -133,6 +223,11 @@ class SuffixAutomaton:
             yield state, length
 
 
+def _stands(phrase: list[bytes], words: list[bytes]) -> bool:
+    size = len(phrase)
+    return any(words[at:at + size] == phrase for at, word in enumerate(words) if word == phrase[0])
+
+
 class Scanner:
     """Templates, phrases and their automaton, built once in each process."""
 
@@ -144,6 +239,16 @@ class Scanner:
         self.phrases = [([self.number.setdefault(w, len(self.number)) for w in tokens(p)], p) for p in PHRASES]
         self.sequences = sequences + [s for s, _ in self.phrases]
         self.automaton = SuffixAutomaton(self.sequences)
+        self.marks = [[[tokens(way) for way in mark.split("|")] for mark in MARKS.get(n, ())] for n in self.names]
+        self.against = [[tokens(mark) for mark in MARKS_AGAINST.get(n, ())] for n in self.names]
+
+    def _marked(self, template: int, words: list[bytes], chain: list[int]) -> bool:
+        """Whether the words that set the template apart stand where its words are, or what lacks of them would be."""
+        end = chain[1] + self.sizes[template] - chain[2]
+        near = words[max(0, chain[0] - chain[4]):end]
+        after = words[chain[0]:end + AFTER]
+        return all(any(_stands(way, near) for way in mark) for mark in self.marks[template]) and not any(
+            _stands(mark, after) for mark in self.against[template])
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[str, int]], list[tuple[str, int, int, float]]]:
         """Places of phrases (phrase, first word), and spans (template, first word, end, share of its words matched)."""
@@ -160,7 +265,7 @@ class Scanner:
         for first, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if end - first >= shortest:
                 self._stretch(codes[first:end], first, phrases, matches)
-        return sorted(phrases, key=lambda p: (p[1], p[0])), self._chains(matches)
+        return sorted(phrases, key=lambda p: (p[1], p[0])), self._chains(matches, words)
 
     def _stretch(self, codes: list[int], first: int, phrases: list, matches: list) -> None:
         """Matches within words that all stand in templates or phrases."""
@@ -181,13 +286,13 @@ class Scanner:
                 if codes[place:place + size] == sequence:
                     phrases.append((phrase, first + place))
 
-    def _chains(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+    def _chains(self, matches: list[tuple[int, int, int, int]], words: list[bytes]) -> list[tuple[str, int, int, float]]:
         found = []
         by_template: dict[int, list[tuple[int, int, int]]] = {}
         for template, at, own, size in matches:
             by_template.setdefault(template, []).append((at, own, size))
         for template, parts in by_template.items():
-            open_chains: list[list[int]] = []  # first word, end, end in template, words matched
+            open_chains: list[list[int]] = []  # first word, end, end in template, words matched, first in template
             for at, own, size in sorted(parts):
                 best = None
                 for chain in open_chains:
@@ -196,7 +301,7 @@ class Scanner:
                         if best is None or chain[3] > best[3]:
                             best = chain
                 if best is None:
-                    open_chains.append([at, at + size, own + size, size])
+                    open_chains.append([at, at + size, own + size, size, own])
                 else:
                     skip = max(0, best[1] - at, best[2] - own)
                     best[1], best[2], best[3] = at + size, own + size, best[3] + size - skip
@@ -204,7 +309,8 @@ class Scanner:
                 open_chains = [c for c in open_chains if at - c[1] <= MOST_GAP]
                 found += [(template, c) for c in done]
             found += [(template, c) for c in open_chains]
-        spans = [(self.names[t], c[0], c[1], min(1.0, c[3] / self.sizes[t])) for t, c in found]
+        spans = [(self.names[t], c[0], c[1], min(1.0, c[3] / self.sizes[t])) for t, c in found
+                 if c[3] >= LEAST_COVER * self.sizes[t] and self._marked(t, words, c)]
         return sorted((s for s in spans if s[3] >= LEAST_COVER), key=lambda s: (s[1], s[0], s[2]))
 
 

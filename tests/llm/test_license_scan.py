@@ -51,3 +51,40 @@ def test_odd_rows_and_none(spark):
     sizes = sorted((r["doc_id"] or -1, r["n_words"]) for r in rows)
     assert sizes == [(-1, 3), (1, 0), (2, 0), (3, 0), (4, 4), (4, 4), (5, 4), (6, 40_001), (7, 2)]
     assert scan.scan(none(spark)).count() == 0
+
+
+NOTICES = {
+    "Licensed under CC BY 4.0": "cc-by-4.0", "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0", "Licensed under CC BY-NC-ND 3.0": "cc-by-nc-nd-3.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "cc-by-nc-sa-4.0",
+    "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.": "lgpl-2.1",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "agpl-3.0",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "gpl-2.0",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+    "License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.": "lgpl-2.1",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free "
+    "Software Foundation.": "gpl-2.0",
+    scan.TEMPLATES["bsd-2-clause"] + " THIS SOFTWARE IS PROVIDED BY THE AUTHOR AS IS": "bsd-2-clause",
+    scan.TEMPLATES["bsd-2-clause"] + " Neither the name of the University nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission.": "bsd-3-clause",
+    "Licensed under CC BY 9.0": None, "This work is licensed under the GNU General Public License, version 9.": None,
+}
+
+
+def test_notices_beside_those_of_the_tables_get_their_own_label_only():
+    own = scan.scanner()
+    for text, licence in NOTICES.items():
+        labels = {name for name, *_ in own.scan(scan.tokens(f"Some words before. {text} Some words after."))[1]}
+        assert bool(labels) == (licence is not None) and all(label.startswith(licence) for label in labels), (text, labels)
+
+
+def test_every_template_has_the_labels_of_its_own_licence_only():
+    def licence(name):
+        for end in ("-notice", "-line", "-short", "-only"):
+            name = name.removesuffix(end)
+        return name
+
+    own = scan.scanner()
+    for name, template in scan.TEMPLATES.items():
+        assert {licence(label) for label, *_ in own.scan(scan.tokens(template))[1]} == {licence(name)}, name
