@@ -5,6 +5,11 @@ not start before slot floor(k*W/w) and must be placed by slot ceil((k+1)*W/w). E
 windows keeps every source within one block of its target at every slot, as long as the source has blocks left.
 Shares are whole numbers, so the schedule repeats after W slots: one period is computed, in a single small row, and
 all blocks find their slot by a lookup.
+
+That row holds all sources and the shares are coarse, so any number of sources is mixed by halves instead: sources are
+the leaves of a binary tree, and each inner node deals its turns to two sides in the proportion of their weights. The
+turn of a side has a closed form, so a block finds its slot from the weights on the way to the root, and no schedule
+is computed at all.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from inkwell.llm.common import bits_for, read
 
 MAX_PERIOD = 100_000
 ROWS_PER_BUCKET = 4096
+SOURCES_PER_GROUP = 512  # about as many leaves of a tree are in one row
 
 
 def period_of(shares: DataFrame) -> DataFrame:
@@ -72,13 +78,66 @@ def tempered_shares(counts: DataFrame, period: int = 1000) -> DataFrame:
     return roots.join(F.broadcast(total)).select("source_key", share.alias("share"))
 
 
+def root_weights(counts: DataFrame) -> DataFrame:
+    """Weights in proportion to the square root of each source's rows, to a thousandth of the root of one row."""
+    return counts.select("source_key", F.floor(F.sqrt(F.col("rows") * 1e6)).alias("share"))
+
+
+_WAY = """filter(transform(if(size(s) > 1, sequence(0, cast(ceil(log2(size(s))) as int) - 1), cast(array() as array<int>)), l ->
+  named_struct(
+    'own', sums[least(size(s), shiftleft(shiftright(at, l) + 1, l))] - sums[shiftleft(shiftright(at, l), l)],
+    'whole', sums[least(size(s), shiftleft(shiftright(at, l + 1) + 1, l + 1))] - sums[shiftleft(shiftright(at, l + 1), l + 1)],
+    'left', shiftright(at, l) % 2 = 0)), p -> p.own < p.whole)"""
+
+
+def _subtrees(nodes: DataFrame) -> DataFrame:
+    """Each group of ``nodes`` (node, share, group) as a tree: (node, share, group, total, way to its root)."""
+    lists = nodes.groupBy("group").agg(F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("less"), "node"))).alias("s"))
+    zero = F.array(F.lit(0).cast("long"))
+    sums = F.aggregate("s", zero, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) - x["less"])))
+    rows = lists.withColumn("sums", sums).select("group", "s", "sums", F.posexplode("s").alias("at", "x"))
+    return rows.select(F.col("x.node").alias("node"), (-F.col("x.less")).alias("share"), "group",
+                       F.element_at("sums", -1).alias("total"), F.expr(_WAY).alias("way"))
+
+
+def ways(shares: DataFrame) -> DataFrame:
+    """(source_key, share, period, way): ``way`` has the weights of a side and of both, from the source to the root.
+
+    ``shares`` as for :func:`period_of`, of any number and sum below 2^63. Sources are dealt to groups by the hash of
+    their key, groups to groups of groups; a row holds one group's weights, about ``SOURCES_PER_GROUP``.
+    """
+    shares = shares.where("share > 0").select("source_key", F.col("share").cast("long").alias("share"))
+    bits, step = bits_for(shares.count(), SOURCES_PER_GROUP), SOURCES_PER_GROUP.bit_length() - 1
+    group = F.shiftright(F.conv(F.substring(F.md5("source_key"), 1, 6), 16, 10).cast("int"), 24 - bits)
+    made = _subtrees(shares.select(F.col("source_key").alias("node"), "share", group.alias("group")))
+    made = made.withColumnRenamed("node", "source_key")
+    while bits > 0:
+        bits -= step
+        above = F.shiftright("node", step) if bits > 0 else F.lit(0)
+        groups = made.groupBy("group").agg(F.max("total").alias("share")).select(F.col("group").alias("node"), "share", above.alias("group"))
+        groups = _subtrees(groups).select(F.col("node").alias("group"), F.col("group").alias("next"), F.col("total").alias("all"),
+                                          F.col("way").alias("rest"))
+        made = made.join(groups, "group").select(
+            "source_key", "share", F.col("next").alias("group"), F.col("all").alias("total"), F.concat("way", "rest").alias("way"))
+    return made.select("source_key", "share", F.col("total").alias("period"), "way")
+
+
+def slot_by_halves(block: str, way: str) -> Column:
+    """The slot of a source's block. Of a node's turns the left side's n-th is floor(n * whole / own); the others are
+    the right side's, whose n-th is ceil((n + 1) * whole / own) - 1."""
+    return F.expr(f"""aggregate({way}, cast({block} as bigint), (n, p) -> if(p.left,
+      (n div p.own) * p.whole + (cast(n % p.own as decimal(19, 0)) * cast(p.whole as decimal(19, 0))) div cast(p.own as decimal(19, 0)),
+      ((n + 1) div p.own) * p.whole + (cast((n + 1) % p.own as decimal(19, 0)) * cast(p.whole as decimal(19, 0))
+        + cast(p.own - 1 as decimal(19, 0))) div cast(p.own as decimal(19, 0)) - 1))""")
+
+
 def source_key(column: str = "source") -> Column:
     """Text by which sources are told apart; a null source is a source of its own."""
     return F.coalesce(F.concat(F.lit("s:"), F.col(column).cast("string")), F.lit("null"))
 
 
 def mix(docs: DataFrame, shares: DataFrame | None = None, *, block_rows: int = 64, period: int = 1000,
-        id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", by_halves: bool = False) -> DataFrame:
     """All rows of ``docs`` with their place in the mix; sorting by (mix_slot, mix_offset) interleaves the sources.
 
     Adds ``mix_share`` and ``mix_period`` (the source's share of the period's slots), ``mix_position`` (in the source,
@@ -91,6 +150,11 @@ def mix(docs: DataFrame, shares: DataFrame | None = None, *, block_rows: int = 6
     rows of their own (which of them comes first is open only where they are equal in the id), an empty table gives
     an empty result. Columns of the input that have names of added ones are replaced.
 
+    ``by_halves`` mixes by :func:`ways` instead of a period: the weights are :func:`root_weights`, unrounded, or
+    ``shares``; ``mix_period`` is their sum. It is also taken where the sum of shares exceeds ``MAX_PERIOD``, which a
+    schedule of one period cannot hold. A node's turns are dealt within one turn of the proportion, and what a source
+    is off is the sum of what its nodes are off, each times the source's part of that node.
+
     A source's rows are numbered without gathering it: rows are counted by source and hash range, and only rows of
     one range (some thousands) are ordered in a window.
     """
@@ -106,21 +170,32 @@ def mix(docs: DataFrame, shares: DataFrame | None = None, *, block_rows: int = 6
     ranges = rows.groupBy("mix_source_", "mix_bucket_").agg(F.count(F.lit(1)).alias("rows"))
     if shares is None:
         counts = ranges.groupBy(F.col("mix_source_").alias("source_key")).agg(F.sum("rows").alias("rows"))
-        shares = tempered_shares(counts, period)
+        shares = root_weights(counts) if by_halves else tempered_shares(counts, period)
+    if not by_halves:
+        by_halves = (shares.where("share > 0").agg(F.sum(F.col("share").cast("long"))).first()[0] or 0) > MAX_PERIOD
     earlier = Window.partitionBy("mix_source_").orderBy("mix_bucket_").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select("mix_source_", "mix_bucket_", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before_"))
     within = Window.partitionBy("mix_source_", "mix_bucket_").orderBy("mix_hash_", id_col)
+    if by_halves:
+        # a way goes to each range of a source, of which there are few, and with the ranges to the rows
+        own = ways(shares).select(F.col("source_key").alias("mix_source_"), F.col("share").alias("mix_share"),
+                                  F.col("period").alias("mix_period"), F.col("way").alias("way_"))
+        offsets = offsets.join(own, "mix_source_", "left")
     placed = rows.withColumn("at_", F.row_number().over(within) - 1).join(offsets, ["mix_source_", "mix_bucket_"])
+    placed = (
+        placed.withColumn("mix_position", F.col("before_") + F.col("at_"))
+        .withColumn("mix_block", F.expr(f"mix_position div {int(block_rows)}"))
+        .withColumn("mix_offset", F.col("mix_position") % block_rows)
+    )
+    if by_halves:
+        return placed.withColumn("mix_slot", slot_by_halves("mix_block", "way_")).select(*docs.columns, *added)
     turns = period_of(shares)
     totals = turns.groupBy(F.col("source_key").alias("mix_source_"), F.col("share").alias("mix_share"),
                            F.col("period").alias("mix_period")).agg(F.count(F.lit(1)).alias("turns_")).drop("turns_")
     slots = turns.select(F.col("source_key").alias("mix_source_"), F.col("turn").alias("turn_"), "turn_slot")
     return (
-        placed.withColumn("mix_position", F.col("before_") + F.col("at_"))
-        .withColumn("mix_block", F.expr(f"mix_position div {int(block_rows)}"))
-        .withColumn("mix_offset", F.col("mix_position") % block_rows)
         # both sides have at most MAX_PERIOD rows, which period_of enforces
-        .join(F.broadcast(totals), "mix_source_", "left")
+        placed.join(F.broadcast(totals), "mix_source_", "left")
         .withColumn("turn_", (F.col("mix_block") % F.col("mix_share")).cast("int"))
         .join(F.broadcast(slots), ["mix_source_", "turn_"], "left")
         .withColumn("mix_slot", F.expr("mix_block div mix_share") * F.col("mix_period") + F.col("turn_slot"))
