@@ -7,6 +7,7 @@ from inkwell.llm.chat import OP3_SQL, op3_chat_format
 from inkwell.llm.hnsw import op2_nearest
 from inkwell.llm.langid import op6_langid
 from inkwell.llm.license_scan import op8_licenses
+from inkwell.llm.line_dedup import OP12_SQL, op12_line_dedup
 from inkwell.llm.mixing import OP10_SQL, op10_mix_sources
 from inkwell.llm.pii import op9_pii
 from inkwell.llm.quality import op5_quality
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_mix_sources": op10_mix_sources,
+    "op12_line_dedup": op12_line_dedup,
 }
-ORACLES = {"op3_chat_format": OP3_SQL, "op10_mix_sources": OP10_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op10_mix_sources": OP10_SQL, "op12_line_dedup": OP12_SQL}
