@@ -78,9 +78,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = frequent.agg(F.sum("n")).first()[0] or 0
     lines = rows.select("row_", F.posexplode(normal_lines(F.col("text_"))).alias("at", "key")).where("key <> ''")
     marked = _marked(lines.select("row_", "at", *_hashes("key")), frequent, max(pairs, 1))
-    # written, so that its size is known: documents are shuffled only where this list is long
-    gone = keep_table(marked.groupBy("row_").agg(F.sort_array(F.collect_list("at")).alias("gone_")), "dropped-lines")
-    joined = rows.join(gone, "row_", "left").select(
+    gone = marked.groupBy("row_").agg(F.sort_array(F.collect_list("at")).alias("gone_"))
+    # the list grows with the corpus, so it is merged with the texts at every size and never broadcast
+    joined = rows.join(gone.hint("merge"), "row_", "left").select(
         "id_", "text_", F.split("text_", "\n").alias("lines_"), "gone_")
     return joined.select(
         F.col("id_").alias(id_col),

@@ -98,7 +98,7 @@ def test_no_variance_and_no_rows(spark):
 
 
 def test_sums_beyond_64_bits(spark):
-    rows = [(i, [float(2 ** 33 * (i % 3)), float(i)]) for i in range(50)]
+    rows = [(i, [float(2 ** 32 * (i % 3)), float(i)]) for i in range(50)]
     got = {(r["vec_id"], r["component"]): r for r in W.whiten(frame(spark, rows)).collect()}
     x = np.array([[math.floor(1024 * float(np.float32(c))) for c in v] for _, v in rows], object)
     centred = (50 * x - x.sum(0)) ** 2
