@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inkwell.functions.text import strip, title_slug
+from inkwell.functions.text import bind, strip, title_slug
 from inkwell.operators.skew import join_hot_keys
 from inkwell.operators.upsert import present_keys
 from inkwell.session import cut_lineage
@@ -51,11 +51,14 @@ YAML_WORDS = {
     "no": ("bool", "False"), "off": ("bool", "False"), "null": ("NoneType", "None"),
 }
 FIELD_LINE = r"^([A-Za-z_][A-Za-z0-9_]*):(?: (.*))?$"
-# Text that YAML reads as a string whatever stands around it: from a letter on, without quotes, comments or colons that end
-# a key, and no blank at the end.
-PLAIN_TEXT = r"\p{L}(?:[\p{L}\p{M}\p{N}._/&+%?=~;()!@*|$-]|:(?=[\p{L}\p{N}/])| (?=[\p{L}\p{M}\p{N}._/&+%?=~;()!@*|$-]))*"
-QUOTED_TEXT = r'"[^"\\]*"'
-PLAIN_ITEM = r"\p{L}[\p{L}\p{M}\p{N}._-]*"
+# Text that YAML reads as a string whatever stands around it: from a letter on, without quotes and comments. Each pattern
+# repeats one class of characters, which Java does in a loop; repeated alternatives would take a stack frame each.
+PLAIN_SIGNS = r"\p{L}\p{M}\p{N}._/&+%?=~;()!@*|$-"
+PLAIN_TEXT = rf"^\p{{L}}[: {PLAIN_SIGNS}]*+\z"
+# In it, a colon that may end a key, and a blank before another, before a colon or at the end.
+UNCLEAR = rf":(?![\p{{L}}\p{{N}}/])| (?![{PLAIN_SIGNS}])"
+QUOTED_TEXT = r'^"[^"\\]*+"\z'
+PLAIN_ITEM = r"^\p{L}[\p{L}\p{M}\p{N}._-]*+\z"
 STATUS = r'"\U0001F331 Seedling"'  # the one escape that rendered notes have
 
 
@@ -68,44 +71,63 @@ def _typed_word(text: Column) -> Column:
     return F.coalesce(F.try_element_at(words, text), F.struct(F.lit("str").alias("kind"), text.alias("text")))
 
 
-def _typed_line(line: Column) -> Column:
-    """Struct(key, kind, text, items) of a front-matter line; kind is NULL for YAML beyond plain values and lists."""
-    value = F.coalesce(F.regexp_extract(line, FIELD_LINE, 2), F.lit(""))
-    listed = rf"^\[(?:{PLAIN_ITEM}(?:, {PLAIN_ITEM})*)?\]$"
-    texts = F.filter(F.split(F.regexp_replace(value, r"^\[|\]$", ""), ", "), lambda t: t != "")
-    items = F.transform(texts, _typed_word)
-    shown = F.transform(items, lambda w: F.struct(
+def _listed(value: Column) -> Column:
+    """The items of a plain list, each a struct(kind, text); NULL for anything else."""
+    in_brackets = value.startswith("[") & value.endswith("]") & (F.length(value) > 1)
+
+    def typed(texts: Column) -> Column:
+        # an empty text between commas is no item, so the list is left to YAML
+        return F.when(F.forall(texts, lambda t: t.rlike(PLAIN_ITEM)), F.transform(texts, _typed_word))
+
+    inner = F.substr(value, F.lit(2), F.length(value) - 2)
+    return F.when(value == "[]", F.array().cast(f"array<{FIELD}>")).when(in_brackets, bind(F.split(inner, ", "), typed))
+
+
+def _quoted_texts(items: Column) -> Column:
+    """The items as a list prints them: texts in quotes."""
+    return F.transform(items, lambda w: F.struct(
         w["kind"].alias("kind"), F.when(w["kind"] == "str", F.concat(F.lit("'"), w["text"], F.lit("'"))).otherwise(w["text"]).alias("text")))
-    is_list = value.rlike(listed)
-    plain = value.rlike(f"^{PLAIN_TEXT}$")
-    kind = (
-        F.when(~line.rlike(FIELD_LINE), F.lit(None))
-        .when(value == "", "NoneType")
-        .when(value.rlike("^(?:0|[1-9][0-9]{0,17})$"), "int")
-        .when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.when(value.try_cast("date").isNotNull(), "date"))
-        .when((value == STATUS) | value.rlike(f"^{QUOTED_TEXT}$"), "str")
-        .when(is_list, "list")
-        .when(plain, _typed_word(value)["kind"])
-    )
-    text = (
-        F.when(value == "", "None").when(value == STATUS, "\U0001F331 Seedling")
-        .when(value.rlike(f"^{QUOTED_TEXT}$"), F.regexp_replace(value, '^"|"$', ""))
-        .when(is_list, F.concat(F.lit("["), F.array_join(F.transform(shown, lambda w: w["text"]), ", "), F.lit("]")))
-        .when(plain, _typed_word(value)["text"]).otherwise(value)
-    )
-    return F.struct(
-        F.regexp_extract(line, FIELD_LINE, 1).alias("key"), kind.alias("kind"), text.alias("text"),
-        F.when(is_list, shown).alias("items"),
+
+
+def _typed_value(value: Column) -> Column:
+    """Struct(kind, text, items) of what stands behind a key; kind is NULL for YAML beyond plain values and lists."""
+
+    def field(kind: str, text: Column | str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), (F.lit(text) if isinstance(text, str) else text).alias("text"))
+
+    single = (
+        F.when(value == "", field("NoneType", "None"))
+        .when(value.rlike("^(?:0|[1-9][0-9]{0,17})$"), field("int", value))
+        .when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.when(value.try_cast("date").isNotNull(), field("date", value)))
+        .when(value == STATUS, field("str", "\U0001F331 Seedling"))
+        .when(value.rlike(QUOTED_TEXT), field("str", F.regexp_replace(value, '^"|"$', "")))
+        .when(value.rlike(PLAIN_TEXT) & ~value.rlike(UNCLEAR), _typed_word(value))
     )
+    listed = bind(_listed(value), lambda items: F.when(items.isNotNull(), F.struct(
+        F.lit("list").alias("kind"),
+        F.concat(F.lit("["), F.array_join(F.transform(_quoted_texts(items), lambda w: w["text"]), ", "), F.lit("]")).alias("text"),
+        _quoted_texts(items).alias("items"))))
+    no_items = F.lit(None).cast(f"array<{FIELD}>")
+    plain = bind(single, lambda v: F.struct(v["kind"].alias("kind"), v["text"].alias("text"), no_items.alias("items")))
+    return F.when(value.startswith("["), listed).otherwise(plain)
+
+
+def _typed_line(line: Column) -> Column:
+    """Struct(key, kind, text, items) of a front-matter line; kind is NULL for YAML beyond plain values and lists."""
+    value = F.when(line.rlike(FIELD_LINE), F.coalesce(F.regexp_extract(line, FIELD_LINE, 2), F.lit("")))
+    return bind(bind(value, _typed_value), lambda v: F.struct(
+        F.regexp_extract(line, FIELD_LINE, 1).alias("key"), v["kind"].alias("kind"), v["text"].alias("text"), v["items"].alias("items")))
 
 
 def _typed_plainly(heads: DataFrame) -> DataFrame:
     """Adds ``lines``, the typed lines of the front matter, NULL where any needs a YAML parser."""
     lines = F.filter(F.split("front_matter", "\n"), lambda t: t != "")
-    typed = F.transform(lines, _typed_line)
-    keys = F.transform("typed", lambda e: e["key"])
-    simple = F.forall("typed", lambda e: e["kind"].isNotNull()) & (F.size(F.array_distinct(keys)) == F.size("typed"))
-    return heads.withColumn("typed", typed).withColumn("lines", F.when(simple, F.col("typed"))).drop("typed")
+
+    def simple(typed: Column) -> Column:
+        keys = F.array_distinct(F.transform(typed, lambda e: e["key"]))
+        return F.when(F.forall(typed, lambda e: e["kind"].isNotNull()) & (F.size(keys) == F.size(typed)), typed)
+
+    return heads.withColumn("lines", bind(F.transform(lines, _typed_line), simple))
 
 
 def _typed_front_matter(heads: DataFrame) -> DataFrame:
@@ -150,8 +172,9 @@ def _typed_front_matter(heads: DataFrame) -> DataFrame:
 def parse_front_matter(notes: DataFrame) -> DataFrame:
     """Per note: path, note_type, error, typed fields and tag items.
 
-    Front matter of plain values and lists, as notes are rendered, is typed by column expressions; only that of notes
-    with other YAML (their first part, without the text) reaches a parser in Python.
+    Front matter of plain values and lists, as notes are rendered, is typed by column expressions, in time proportional
+    to its length; only that of notes with other YAML (their first part, without the text) reaches a parser in Python.
+    What the expressions made is written once, so the notes are read once for both.
     """
     first = notes.filter("part = 0").select("path", "content")
     pieces = F.split("content", "---", 3)
@@ -164,6 +187,7 @@ def parse_front_matter(notes: DataFrame) -> DataFrame:
     # notes with a broken frame pass through with an empty (valid) text
     text = F.when(F.col("frame_error").isNull(), F.col("front_matter")).otherwise(F.lit(""))
     read = _typed_plainly(cut.withColumn("front_matter", text))
+    read = cut_lineage(read.withColumn("front_matter", F.when(F.col("lines").isNull(), F.col("front_matter"))))
     field = F.transform("lines", lambda e: F.struct(e["key"], F.struct(e["kind"].alias("kind"), e["text"].alias("text"))))
     tags = F.get(F.filter("lines", lambda e: (e["key"] == "tags") & (e["kind"] == "list")), F.lit(0))["items"]
     plain = read.filter("lines is not null").select(

@@ -312,7 +312,7 @@ def page_entries(m: Models) -> DataFrame:
 
 @register
 def page_descriptions(m: Models) -> DataFrame:
-    return pages.first_paragraphs(m.pages(), r"<article(?:\s[^>]*)?>", "</article>")
+    return pages.first_paragraphs(m.pages(), "article")
 
 
 @register

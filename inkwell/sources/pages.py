@@ -2,154 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from inkwell.functions.text import strip, unescape_html
+from inkwell.sources.elements import Elements, named
 
 SHORTEST_PARAGRAPH = 40
+CARD = (
+    "page_id BIGINT, position INT, title STRING, description STRING, authors ARRAY<STRING>, posted_date STRING, link STRING")
+ENTRY = "page_id BIGINT, position INT, title STRING, posted_date STRING, link STRING"
+PARAGRAPH = "page_id BIGINT, description STRING"
 
 
-def visible_text(markup: Column) -> Column:
-    """Text of a piece of markup: every text node trimmed, empty ones dropped, joined without a gap."""
-    nodes = F.split(F.regexp_replace(markup, r"(?s)<!--.*?-->", "<>"), "<[^>]*>")
-    return F.array_join(F.transform(nodes, lambda t: strip(unescape_html(t))), "")
+def _from_elements(pages: DataFrame, rows_of: Callable[[Elements], Iterator[tuple]], schema: str) -> DataFrame:
+    """The rows that ``rows_of`` makes of each page's elements, behind its page_id; a page is in memory alone."""
 
+    target = to_arrow_schema(pages.sparkSession.createDataFrame([], schema).schema)
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    """The captured group, or NULL where the pattern does not occur."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+    def run(batches):
+        import pyarrow as pa
 
+        for batch in batches:
+            rows = []
+            for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows.extend((page_id, *row) for row in rows_of(Elements(html.as_py())))
+            columns = list(zip(*rows)) or [()] * len(target)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
 
-def _chunks(html: Column, start: str) -> Column:
-    """The page cut before every match of ``start``; what comes before the first match is dropped."""
-    cut = F.split(html, f"(?s)(?={start})")
-    return F.filter(cut, lambda c: c.rlike(f"(?s)^{start}"))
+    return pages.select("page_id", "html").filter("html is not null").mapInArrow(run, schema)
 
 
-PARAGRAPH = r"<p(?:\s[^>]*)?>"
-# A tag ends at the first > outside quoted attribute values.
-TAG_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-TOKENS = rf"(?s)(<!--.*?-->|</?[a-zA-Z]{TAG_REST}|[^<]+|<)"
-# Elements that never hold others; paragraphs too, as their end tags are often left out.
-FLAT_ELEMENTS = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr|p"
+def _title_link(tag: str, values: dict[str, str]) -> bool:
+    return tag == "a" and "title" in values.get("class", "")
 
 
-def _with_attribute(element: str, name: str, value: str) -> str:
-    """Pattern of a start tag whose attribute, in double, single or no quotes, matches ``value`` as a whole."""
-    quoted = [f'"(?:{value})"'.replace("ANY", '[^"]'), f"'(?:{value})'".replace("ANY", "[^']"),
-              f"(?:{value})(?=[\\s>])".replace("ANY", "[^\\s\"'>]")]
-    return rf"<{element}\s(?:[^>]*\s)?{name}\s*=\s*(?:{'|'.join(quoted)}){TAG_REST}"
-
-
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, NULL where the tag has none."""
-    pattern = rf"""\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.when(tag.rlike(pattern), F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]))
-
-
-PROSE_BLOCK = _with_attribute("div", "class", "ANY*proseANY*")
-ENTRY_ITEM = _with_attribute("li", "class", r"(?:ANY*\s)?blog-entry(?:\sANY*)?")
-
-
-def _nesting(token: Column) -> Column:
-    """1 for a start tag, -1 for an end tag, 0 for anything that does not nest."""
-    flat = token.rlike(rf"(?i)^</?(?:{FLAT_ELEMENTS})[\s/>]") | token.rlike(r"(?s)/>$")
-    return F.when(flat, 0).when(token.rlike("^</[a-zA-Z]"), -1).when(token.rlike("^<[a-zA-Z]"), 1).otherwise(0)
-
-
-def _edge(places: Column, enters: Callable[[Column], Column]) -> Column:
-    """The first of ``places`` at which more elements were left than entered, NULL if there is none."""
-    nothing = F.lit(None).cast("int")
-    start = F.struct(F.lit(0).alias("inside"), nothing.alias("found"))
-
-    def step(state: Column, place: Column) -> Column:
-        inside = state["inside"] + enters(place)
-        found = F.coalesce(state["found"], F.when(inside < 0, place))
-        return F.struct(inside.alias("inside"), found.alias("found"))
+def extract_cards(pages: DataFrame, base_url: str) -> DataFrame:
+    """One row per title link of a listing page; its card is the element that holds the link, or else the page, so the
+    other parts may stand before or after the link."""
 
-    return F.aggregate(places, start, step, lambda state: state["found"])
+    def cards(page: Elements) -> Iterator[tuple]:
+        paragraphs = page.where(named("p"))
+        labelled = page.where(lambda tag, values: tag == "div" and "aria-label" in values)
+        prose = page.where(lambda tag, values: tag == "div" and "prose" in values.get("class", ""))
+        for position, link in enumerate(page.where(_title_link)):
+            card = page.parents[link]
+            authors = [page.attributes[i]["aria-label"].replace("Avatar of ", "") for i in page.inside(card, labelled)]
+            yield (
+                position, page.text(link), page.text(page.first_inside(card, prose)), authors,
+                page.text(page.first_inside(card, paragraphs)), base_url + page.attributes[link].get("href", ""),
+            )
 
+    return _from_elements(pages, cards, CARD)
 
-def extract_cards(pages: DataFrame, base_url: str) -> DataFrame:
-    """One row per title link of a listing page; its card is the element that holds the link.
 
-    The page is taken apart into tags and text once; from each title link, the nesting of tags tells backwards and
-    forwards where the element around it begins and ends, so the other parts may stand before or after the link.
+def extract_entries(pages: DataFrame, base_url: str) -> DataFrame:
+    """One row per ``li.blog-entry`` that holds an article; its parts come from the first one."""
+
+    def entries(page: Elements) -> Iterator[tuple]:
+        articles, times = page.where(named("article")), page.where(named("time"))
+        links = page.where(lambda tag, values: tag == "a" and "href" in values)
+        for position, item in enumerate(page.where(named("li", "blog-entry"))):
+            article = page.first_inside(item, articles)
+            if article is None:
+                continue
+            link = page.first_inside(article, links)
+            yield (
+                position, page.text(link), page.text(page.first_inside(article, times)),
+                None if link is None else base_url + page.attributes[link]["href"],
+            )
+
+    return _from_elements(pages, entries, ENTRY)
+
+
+def first_paragraphs(pages: DataFrame, tag: str, css_class: str | None = None) -> DataFrame:
+    """Per page the first paragraph of the content block that is long enough and no notice of a newer version; pages
+    without one are left out.
+
+    The block is the page's first element with this tag and class. A paragraph ends at its end tag, at the start of the
+    next paragraph or block element, or with the element around it.
     """
-    tokens = pages.select("page_id", F.regexp_extract_all("html", F.lit(TOKENS), F.lit(1)).alias("tokens"))
-    tokens = tokens.withColumn("nesting", F.transform("tokens", _nesting))
-    links = F.filter(
-        F.transform("tokens", lambda t, i: F.when(t.rlike(r"^<a\s") & F.contains(_attribute(t, "class"), F.lit("title")), i)),
-        lambda i: i.isNotNull(),
-    )
-    placed = tokens.select("page_id", "tokens", "nesting", F.posexplode(links).alias("position", "link"))
-    last = F.size("tokens") - 1
-    before = F.when(F.col("link") > 0, F.sequence(F.col("link") - 1, F.lit(0), F.lit(-1)))
-    placed = placed.withColumn("first", F.coalesce(_edge(before, lambda j: -F.get("nesting", j)), F.lit(0)))
-    placed = placed.withColumn(
-        "last", F.coalesce(_edge(F.sequence("link", last), lambda j: F.get("nesting", j)), last)
-    )
-
-    def markup(first: str) -> Column:
-        return F.array_join(F.slice("tokens", F.col(first) + 1, F.col("last") - F.col(first) + 1), "")
-
-    cards = placed.select(
-        "page_id", "position", markup("first").alias("card"), markup("link").alias("from_link"),
-        F.get("tokens", F.col("link")).alias("tag"),
-    )
-    card = F.col("card")
-    labelled = F.regexp_extract_all(card, F.lit(r"(<div\s(?:[^>]*\s)?aria-label\s*=[^>]*>)"), F.lit(1))
-    labels = F.transform(labelled, lambda t: unescape_html(_attribute(t, "aria-label")))
-    return cards.select(
-        "page_id",
-        "position",
-        visible_text(F.regexp_extract("from_link", rf"(?s)^<a{TAG_REST}(.*?)</a>", 1)).alias("title"),
-        visible_text(_found(card, rf"(?s){PROSE_BLOCK}(.*?)</div>")).alias("description"),
-        F.transform(labels, lambda a: F.replace(a, F.lit("Avatar of "), F.lit(""))).alias("authors"),
-        visible_text(_found(card, rf"(?s){PARAGRAPH}(.*?)</p>")).alias("posted_date"),
-        F.concat(F.lit(base_url), unescape_html(F.coalesce(_attribute(F.col("tag"), "href"), F.lit("")))).alias("link"),
-    )
 
+    def paragraphs(page: Elements) -> Iterator[tuple]:
+        blocks = page.where(named(tag, css_class))
+        for paragraph in page.inside(blocks[0], page.where(named("p"))) if blocks else ():
+            text = page.text(paragraph)
+            if len(text) >= SHORTEST_PARAGRAPH and not ("Check out the" in text and "announcement" in text):
+                yield (text,)
+                return
 
-def extract_entries(pages: DataFrame, base_url: str) -> DataFrame:
-    """One row per ``li.blog-entry`` that holds an article."""
-    items = pages.select("page_id", F.posexplode(_chunks(F.col("html"), ENTRY_ITEM)).alias("position", "item"))
-    items = items.withColumn("item", F.substring_index("item", "</li>", 1))
-    article = F.regexp_extract("item", r"(?s)<article(?:\s[^>]*)?>(.*?)</article>", 1)
-    has_article = F.col("item").rlike(r"(?s)<article(?:\s[^>]*)?>.*?</article>")
-    anchor = rf"(?s)(<a\s(?:[^>]*\s)?href\s*={TAG_REST})(.*?)</a>"
-    rows = items.filter(has_article).select("page_id", "position", article.alias("article"))
-    inner = F.col("article")
-    return rows.select(
-        "page_id",
-        "position",
-        visible_text(_found(inner, anchor, 2)).alias("title"),
-        visible_text(_found(inner, r"(?s)<time(?:\s[^>]*)?>(.*?)</time>")).alias("posted_date"),
-        F.concat(F.lit(base_url), unescape_html(_attribute(_found(inner, anchor), "href"))).alias("link"),
-    )
-
-
-def first_paragraphs(pages: DataFrame, block: str, block_end: str | None = None) -> DataFrame:
-    """Per page the first paragraph of the content block that is long enough and no notice of a newer
-    version; pages without one are left out.
-
-    ``block`` is the pattern of the block's start tag and ``block_end`` of the text that ends it, by
-    default the end of the page. A paragraph ends at its end tag or at the next paragraph's start.
-    """
-    content = F.regexp_replace(_found(F.col("html"), f"(?s){block}(.*)$"), r"(?s)<!--.*?-->", "<>")
-    if block_end is not None:
-        content = F.try_element_at(F.split(content, block_end, 2), F.lit(1))
-    pieces = F.split(content, PARAGRAPH)
-
-    def wanted(text: Column) -> Column:
-        notice = F.contains(text, F.lit("Check out the")) & F.contains(text, F.lit("announcement"))
-        return (F.length(text) >= SHORTEST_PARAGRAPH) & ~notice
-
-    texts = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: visible_text(F.substring_index(p, "</p>", 1))
-    )
-    return pages.select("page_id", F.try_element_at(F.filter(texts, wanted), F.lit(1)).alias("description")).filter(
-        "description is not null"
-    )
+    return _from_elements(pages, paragraphs, PARAGRAPH)

@@ -246,27 +246,37 @@ class RawTables:
         return grouped.select(page_id.alias("page_id"), html.alias("html"))
 
     def card_pages(self) -> DataFrame:
-        """Cards in turn with double, single and without quotes; in every other one the date stands before the link."""
+        """Cards in turn with double, single and without quotes; in every other one the date stands before the link,
+        every fifth has its tags in capitals, some leave out the paragraph's end tag."""
         quote = F.element_at(F.array(F.lit('"'), F.lit("'"), F.lit("")), (F.col("arrival") % 3 + 1).cast("int"))
         label = F.concat(F.lit('<div aria-label="Avatar of '), _escaped("author_name"), F.lit('"></div>'))
         day = _element("p", F.date_format("publication_date", "yyyy-MM-dd"))
         first = F.col("arrival") % 2 == 0
-        return self._listing(F.concat(
+        day = F.when(~first & (F.col("arrival") % 7 == 0), F.replace(day, F.lit("</p>"), F.lit(""))).otherwise(day)
+        card = F.concat(
             F.lit("<article>"), F.when(first, day).otherwise(""), F.lit("<a class="), quote, F.lit("card-title"), quote,
             F.lit(" href="), quote, F.lit("/post/"), F.md5("url"), F.lit("?a=1&amp;b=2"), quote, F.lit(">"), _escaped("title"),
             F.lit("</a><div class='avatars'>"), F.coalesce(label, F.lit("")), F.lit("</div>"),
             F.when(first, "").otherwise(day),
             F.lit("<div class='prose'><!-- lead --><b> "), _escaped("body"), F.lit(" </b></div></article>"),
-        ))
+        )
+        capitals = card
+        for tag in ("<a class", " href=", "</a>", "<p>", "</p>", "<div class", "<div aria-label", "</div>", "article>"):
+            capitals = F.replace(capitals, F.lit(tag), F.lit(tag.upper()))
+        return self._listing(F.when(F.col("arrival") % 5 == 0, capitals).otherwise(card))
 
     def entry_pages(self) -> DataFrame:
+        """Every third item has lists of its own before the article, every fourth no end tag, every fifth capitals."""
         article = F.concat(
             F.lit("<article>"), _element("time", F.date_format("publication_date", "yyyy-MM-dd")),
             F.lit('<h2><a href="/post/'), F.md5("url"), F.lit('">'), _escaped("title"), F.lit("</a></h2></article>"),
         )
         inside = F.when(F.col("arrival") % 10 == 0, F.lit("<p>draft</p>")).otherwise(article)
         item = F.when(F.col("arrival") % 2 == 0, '<li class="wide blog-entry">').otherwise("<li class=blog-entry>")
-        return self._listing(F.concat(item, inside, F.lit("</li>")))
+        item = F.when(F.col("arrival") % 5 == 0, F.replace(item, F.lit("<li class"), F.lit("<LI CLASS"))).otherwise(item)
+        tags = F.when(F.col("arrival") % 3 == 0, "<ol><li>one</li><li>two<ul><li>three</ul></ol>").otherwise("")
+        ending = F.when(F.col("arrival") % 4 == 1, "").otherwise("</li>")
+        return self._listing(F.concat(item, tags, inside, ending))
 
     @once
     def envelopes(self) -> DataFrame:

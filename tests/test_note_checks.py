@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,49 @@ def test_tags_of_plain_lists(spark):
     got = note_checks.parse_front_matter(rows).first()
     assert [tuple(t) for t in got["tags"]] == [("str", "'a'"), ("bool", "True"), ("str", "'b.c'")]
     assert got["fields"]["tags"]["text"] == "['a', True, 'b.c']"
+
+
+def typed_lines(spark, front_matters):
+    """(typed by expressions, fields by YAML) per front matter; the first is None where expressions leave it to YAML."""
+    import yaml
+
+    df = spark.createDataFrame(list(enumerate(front_matters)), "i int, front_matter string")
+    out = []
+    for row, text in zip(note_checks._typed_plainly(df).orderBy("i").collect(), front_matters):
+        try:
+            values = yaml.safe_load(text)
+            parsed = {str(k): (type(v).__name__, str(v)) for k, v in values.items()} if isinstance(values, dict) else {}
+        except (yaml.YAMLError, ValueError):
+            parsed = None
+        out.append((row["lines"] and {e["key"]: (e["kind"], e["text"]) for e in row["lines"]}, parsed))
+    return out
+
+
+def test_plain_typing_agrees_with_yaml(spark):
+    values = ["a", "a b", "a  b", "a ", "a: b", "a:b", "a :b", "a :", "a:", "a #b", "a# b", "#a", "é ü", "yes", "No", "a\tb", "a\r",
+              "1", "01", "1.5", "1e3", "2024-01-30", "2024-13-45", "[]", "[a]", "[a, b]", "[a,b]", "[a, ]", "[, a]", "[a b]",
+              "[a, yes, Null]", "[a: b]", "[a", "a]", "[[a]]", "[1, a]", '"a b"', '"a" b', '"a\\n"', "'a'", "a'b", "a - b", "- a",
+              "a, b", "a [b]", "a {b}", "@a", "a@b", "a|b", "a > b", "a & b", "~", "null", "a?b", "a ?", "http://x/y?z=1&k=2", "[a.b, c-d]"]
+    rng = random.Random(1)
+    values += ["".join(rng.choice('ab:  #"-é,[]1') for _ in range(rng.randint(1, 8))) for _ in range(400)]
+    got = typed_lines(spark, [f"name: {v}" for v in values])
+    for value, (plain, parsed) in zip(values, got):
+        assert plain is None or plain == parsed, value
+    by_value = dict(zip(values, got))
+    for value in ("a", "a b", "a:b", "yes", "2024-01-30", "[]", "[a, b]", '"a b"', "http://x/y?z=1&k=2"):
+        assert by_value[value][0] is not None
+    for value in ("a: b", "a ", "a  b", "a #b", "[1, a]", "[a, ]", "[a: b]"):
+        assert by_value[value][0] is None or by_value[value][0] == by_value[value][1]
+
+
+def test_long_values(spark):
+    long = "word " * 200_000 + "end"
+    tags = "[" + ", ".join(f"tag{i}" for i in range(10_000)) + "]"
+    odd_tags = "[" + ", ".join(f"{i}" for i in range(10_000)) + "]"
+    assert failures(spark, note(category=long), note("posts/data/y.md", tags=tags), note("posts/data/z.md", category="x:" * 500_000 + "y"),
+                    note("posts/data/q.md", category='"' + "q " * 500_000 + '"')) == []
+    assert len(failures(spark, note(tags=odd_tags))) == 10_000
+    (field, reason), = reasons(spark, note(category="a: b " * 200_000))
+    assert field == "frontmatter" and reason.startswith("YAML parse error: ")
+    many = "\n".join(f"key{i}: value {i}" for i in range(10_000))
+    assert failures(spark, note(status="new\n" + many)) == []

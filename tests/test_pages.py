@@ -1,4 +1,7 @@
+import time
+
 from helpers import values
+from inkwell.sources.elements import Elements, named
 from inkwell.sources.pages import extract_cards, extract_entries, first_paragraphs
 
 
@@ -36,15 +39,15 @@ def test_first_paragraph(spark):
         f'<div class="vp-doc"><p>short<p>{long}<p>later</div>',
         f"<p>{long}</p>",
         '<div class="vp-doc"><p>tiny</p></div>',
-    ), r'<div\s[^>]*class="[^"]*vp-doc[^"]*"[^>]*>'))
+    ), "div", "vp-doc"))
     assert got == [(0, f"{long} & more"), (1, long)]
 
 
-def test_block_end(spark):
+def test_paragraphs_count_inside_the_block_alone(spark):
     long = "This paragraph is certainly longer than forty characters."
-    rows = pages(spark, f"<article><p>x</p></article><p>{long}</p>")
-    assert values(first_paragraphs(rows, "<article>", "</article>")) == []
-    assert len(values(first_paragraphs(rows, "<article>"))) == 1
+    rows = pages(spark, f"<article><p>x</p></article><p>{long}</p>", f"<ARTICLE><DIV><P>{long}</DIV>tail</ARTICLE>",
+                 f"<article>none</article><article><p>{long}</article>", None, "")
+    assert values(first_paragraphs(rows, "article")) == [(1, long)]
 
 
 def test_cards_with_parts_before_the_link_and_any_quotes(spark):
@@ -71,3 +74,43 @@ def test_entries_with_any_quotes(spark):
       <li class=blog-entry><article><a id=a href=/p/2>Two</a></article></li><li class=blog-entry-not><article></article></li>"""
     got = values(extract_entries(pages(spark, html), "https://site"), "title", "posted_date", "link")
     assert got == [("One", "May 1", "https://site/p/1"), ("Two", None, "https://site/p/2")]
+
+
+def test_tags_in_capitals(spark):
+    html = """<UL><LI CLASS="blog-entry"><ARTICLE><TIME>May 1</TIME><A HREF="/p/1">One</A></ARTICLE></LI></UL>"""
+    got = values(extract_entries(pages(spark, html), "https://site"), "title", "posted_date", "link")
+    assert got == [("One", "May 1", "https://site/p/1")]
+    html = """<DIV><A CLASS="Card title" HREF="/2">Two</A><P>May 2<DIV ARIA-LABEL='Avatar of Ann'></DIV><DIV Class=prose>Text</DIV></DIV>"""
+    rows = extract_cards(pages(spark, html), "https://site").collect()
+    assert [tuple(r)[2:] for r in rows] == [("Two", "Text", ["Ann"], "May 2", "https://site/2")]
+
+
+def test_entries_with_lists_inside_and_without_end_tags(spark):
+    html = """<ul><li class="blog-entry"><ul><li>a</li><li>b<ol><li>c</ol></ul><article><a href="/1">One</a></article>
+      <li class="blog-entry"><article><ul><li>x<li>y</ul><a href="/2">Two</a><time>May 2</time></article>
+      <li>other<article><a href="/no">No</a></article></ul><li class="blog-entry"><article><a href="/3">Three</a>"""
+    got = values(extract_entries(pages(spark, html), ""), "position", "title", "posted_date", "link")
+    assert got == [(0, "One", None, "/1"), (1, "Two", "May 2", "/2"), (2, "Three", None, "/3")]
+
+
+def test_elements_as_intervals():
+    page = Elements("<div id=a><p>one<p>two<span><b><p>three</b></span><table><tr><td>x<td>y<tr><td>z</table></div><br/>end</p><script><p></script>")
+    assert list(zip(page.tags, page.parents, page.lasts)) == [
+        ("div", -1, 11), ("p", 0, 1), ("p", 0, 4), ("span", 2, 4), ("b", 3, 4), ("p", 0, 5), ("table", 0, 11), ("tr", 6, 9),
+        ("td", 7, 8), ("td", 7, 9), ("tr", 6, 11), ("td", 10, 11), ("br", -1, 12), ("script", -1, 13)]
+    assert page.text(0) == "onetwothreexyz" and page.text(2) == "two" and page.texts[-1] == "end"
+    cells = page.where(named("td"))
+    assert page.inside(7, cells) == [8, 9] and page.first_inside(10, cells) == 11 and page.first_inside(11, cells) is None
+
+
+def test_pages_take_linear_time():
+    for piece in ("<div>", "<li>", '<a class="title">', '<a ">', "<p>x</b>", "<!--", "<a ", "<"):
+        start = time.time()
+        Elements(piece * 100_000)
+        assert time.time() - start < 10
+
+
+def test_many_cards_on_one_page(spark):
+    html = "".join(f'<li><a class="title" href="/{i}">T{i}</a><p>D{i}</li>' for i in range(20_000))
+    rows = extract_cards(pages(spark, html), "").orderBy("position").collect()
+    assert len(rows) == 20_000 and rows[-1]["posted_date"] == "D19999"
