@@ -25,6 +25,9 @@ from inkwell.llm.common import give_back_memory, read
 CHUNK_CHARS = 6_000_000  # texts that are encoded together, in characters
 BLOCK_BYTES = 600_000  # bytes of distinct words that one recursive query takes
 LONG_WORD = 64  # bytes from which words are contracted at several places in a step
+WINDOWED = 1024  # bytes from which a word is contracted in windows that are joined afterwards
+WINDOW = 32  # bytes of a window
+FAR = 512  # tokens beside a joint from which on the rest of the word is cut into windows anew
 STATE_ROWS = 6_000_000  # rows that one recursive query may gather; beyond, it ends early and is started again
 DECODE_ROWS = 400_000  # tokens that one decoding query takes
 KEPT = 200_000  # pieces from which on the younger generation of the cache becomes the older one
@@ -126,6 +129,7 @@ class Codec:
         }
         self.pattern = regex.compile(pattern)
         self.of_byte = np.array([rank[bytes([i])] for i in range(256)], np.int32)
+        self.bytes_of = {number: word for word, number in rank.items()}
         self.whole = {word: np.int32(number).tobytes() for word, number in rank.items()}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -178,28 +182,99 @@ class Codec:
         ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _contract_all(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Token ids of each distinct word by contraction alone, in blocks; words of like length settle after like
+        numbers of steps."""
+        known: dict[bytes, bytes] = {}
+        distinct = sorted(set(words), key=len)
+        at = next((i for i, w in enumerate(distinct) if len(w) >= LONG_WORD), len(distinct))
+        for group, sql in ((distinct[:at], MERGE_SQL), (distinct[at:], LONG_SQL)):
+            start = size = 0
+            for i, word in enumerate(group):
+                size += len(word)
+                if size >= BLOCK_BYTES or i == len(group) - 1:
+                    known.update(zip(group[start:i + 1], self._contract(group[start:i + 1], sql)))
+                    start, size = i + 1, 0
+        return known
+
+    def _windowed(self, word: bytes) -> bytes:
+        """Token ids of a very long word: its windows are contracted alone, then made good where they meet.
+
+        Tokens are the contraction of their bytes exactly if each two neighbours are that of theirs. So the pairs at the
+        joints are contracted; around those that come out otherwise, a stretch of tokens on both sides is contracted
+        anew, which leaves joints at its ends, and stretches double until all joints hold. Where that goes far, as in
+        runs of one letter whose windows begin at the wrong one, the rest is cut anew from a token's end, in windows of
+        whole tokens.
+        """
+        tokens, joints = self._in_windows(word, WINDOW)
+        reach = 4
+        while len(joints):
+            bad = joints[~self._holds(tokens, joints)]
+            if not len(bad):
+                break
+            low, high = np.maximum(bad - reach, 0), np.minimum(bad + reach, len(tokens))
+            first = np.r_[True, low[1:] > high[:-1]]
+            ends = high[np.r_[first[1:], True]]
+            if reach > FAR or (ends - low[first]).max() > 8 * FAR:
+                far = slice(max(0, int(bad[0]) - FAR), int(bad[0]) + FAR)
+                new = np.frombuffer(self._contract_all([stretch := self._joined(tokens[far])])[stretch], np.int32)
+                kept, last = new[:-64], new[-64:]
+                sizes = np.cumsum([len(self.bytes_of[t]) for t in last.tolist()])
+                window = int(sizes[np.searchsorted(sizes, min(WINDOW, sizes[-1]))])
+                rest, more = self._in_windows(self._joined(last) + self._joined(tokens[far.stop:]), window)
+                tokens = np.concatenate([tokens[:far.start], kept, rest])
+                start = far.start + len(kept)
+                joints, reach = np.r_[far.start, start, more + start], 4
+            else:
+                low, high = low[first].tolist(), ends.tolist()
+                stretches = [self._joined(tokens[a:b]) for a, b in zip(low, high)]
+                ids_of = self._contract_all(stretches)
+                made, at, joints, size = [], 0, [], 0
+                for a, b, stretch in zip(low, high, stretches):
+                    new = np.frombuffer(ids_of[stretch], np.int32)
+                    made += [tokens[at:a], new]
+                    joints += [size + a - at, size + a - at + len(new)]
+                    size, at = joints[-1], b
+                tokens = np.concatenate([*made, tokens[at:]])
+                reach *= 2
+            joints = np.unique(joints).astype(np.int64)
+            joints = joints[(joints > 0) & (joints < len(tokens))]
+        return tokens.astype(np.int32).tobytes()
+
+    def _joined(self, tokens: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, tokens.tolist()))
+
+    def _in_windows(self, word: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of a word whose windows are contracted alone, and the places where windows meet."""
+        pieces = [word[i:i + window] for i in range(0, len(word), window)]
+        ids_of = self._contract_all(pieces)
+        parts = [np.frombuffer(ids_of[p], np.int32) for p in pieces]
+        return np.concatenate(parts), np.cumsum(list(map(len, parts)))[:-1]
+
+    def _holds(self, tokens: np.ndarray, joints: np.ndarray) -> np.ndarray:
+        """For each joint whether the two tokens beside it are what their bytes are contracted to."""
+        pairs, which = np.unique(np.stack([tokens[joints - 1], tokens[joints]], 1), axis=0, return_inverse=True)
+        joined = [self.bytes_of[a] + self.bytes_of[b] for a, b in pairs.tolist()]
+        ids_of = self._contract_all(joined)
+        return np.array([ids_of[w] == pair.tobytes() for w, pair in zip(joined, pairs)])[which.reshape(-1)]
+
     def _words(self, words: set[str]) -> dict[str, bytes]:
         """Token ids of each distinct word: known as a piece, from the vocabulary, or by contraction."""
         known: dict[str, bytes] = {}
-        short, long = [], []
+        others: dict[str, bytes] = {}
         for w in words:
             ids = self.young.get(w) or self.old.get(w)
             if ids is None:
                 data = w.encode("utf-8")
                 ids = self.whole.get(data)
+                if ids is None and len(data) >= WINDOWED:
+                    ids = self._windowed(data)
                 if ids is None:
-                    (short if len(data) < LONG_WORD else long).append((w, data))
+                    others[w] = data
                     continue
             known[w] = ids
-        # words of like length settle after like numbers of steps
-        for group, sql in ((sorted(short, key=lambda w: len(w[1])), MERGE_SQL), (long, LONG_SQL)):
-            start = size = 0
-            for i, (_, data) in enumerate(group):
-                size += len(data)
-                if size >= BLOCK_BYTES or i == len(group) - 1:
-                    block = group[start:i + 1]
-                    known.update(zip((w for w, _ in block), self._contract([d for _, d in block], sql)))
-                    start, size = i + 1, 0
+        ids_of = self._contract_all(list(others.values()))
+        known.update((w, ids_of[data]) for w, data in others.items())
         return known
 
     def _pieces(self, strings: list[str]) -> list[bytes]:
@@ -316,7 +391,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     """(id, ids) per row, ids the token ids of the whole text; with ``decoded`` also the bytes that they decode to.
 
     Null and empty texts have no ids. Ids of rows may be null or repeat, other columns are ignored, an empty table
-    gives an empty result. Rows never leave their partition; a task holds one chunk of texts, or one longer text.
+    gives an empty result. Rows never leave their partition; a task holds one chunk of texts, or one longer text; words of
+    megabytes are contracted in windows, so their size bounds neither memory of a query nor its steps.
     """
     ranks = _ranks(ranks_path)
 

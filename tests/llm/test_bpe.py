@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -79,3 +80,22 @@ def test_query_against_the_public_library(spark, reference):
         want.add((row["doc_id"], len(ids), sha(",".join(map(str, ids)).encode()), sha((row["text"] or "").encode())))
     got = QUERIES["op1_bpe"](spark, SMALL).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
     assert {tuple(r) for r in got} == want
+
+
+def test_windows_are_joined_exactly(codec, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "WINDOW", 4)
+    rnd = random.Random(6)
+    for case in range(150):
+        alphabet = rnd.choice(["ab", "abc", "theing", "abcdefghijklmnopqrstuvwxyz", "aeéü日", "=", "=-", "tion"])
+        piece = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 9)))
+        size = rnd.randint(20, 600)
+        word = (piece * size)[:size] if case % 3 else "".join(rnd.choice(alphabet) for _ in range(size))
+        assert np.frombuffer(codec._windowed(word.encode()), np.int32).tolist() == reference._encode_single_piece(word.encode())
+
+
+def test_words_of_megabytes(codec, reference):
+    rnd = random.Random(7)
+    words = ["a" * 3_000_005, "no" + "a" * 1_000_000 + "o" + "a" * 1_000_001, "ha" * 500_000 + "h" + "ah" * 300_000, "=" * 5_000_000, "abcde" * 200_000, "".join(rnd.choices("etaoinshrdlu", k=300_000))]
+    assert ids_of(codec, words) == [reference.encode_ordinary(w) for w in words]
+    ids, counts = codec.encode(words)
+    assert codec.decode(ids, counts) == [w.encode() for w in words]
