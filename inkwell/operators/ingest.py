@@ -7,9 +7,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.operators.dead_letters import INGESTION, dead_letter_rows
-from inkwell.operators.upsert import insert_if_absent
+from inkwell.operators.upsert import insert_wide_if_absent
 from inkwell.schemas import BLOG_POSTS, column_names
+from inkwell.session import cut_lineage
 
+ROW_ID = "entry_row"
 REQUIRED = ("title", "body", "url", "author_name")
 
 
@@ -24,12 +26,23 @@ def _missing() -> Column:
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
 
 
+def numbered(entries: DataFrame) -> DataFrame:
+    """The entries with a column ROW_ID that tells them apart, as a written table gives the same one each time."""
+    return entries.withColumn(ROW_ID, F.monotonically_increasing_id())
+
+
 def ingest_posts(entries: DataFrame, posts: DataFrame, arrival: list[Column], as_of: Column) -> Ingested:
     """Entries whose URL is new, once each: the first by ``arrival``. Post ids are hashes of the URL,
-    so a repeated task or run makes the same rows."""
+    so a repeated task or run makes the same rows.
+
+    Bodies are neither sorted nor shuffled to find the new entries. This needs a ROW_ID that stays; entries without one
+    are numbered and written to the shared folder first. Of entries that are alike in URL and arrival any one is taken.
+    """
+    if ROW_ID not in entries.columns:
+        entries = cut_lineage(numbered(entries))
     valid = entries.filter(_missing().isNull())
     inserted = (
-        insert_if_absent(valid, posts, ["url"], arrival)
+        insert_wide_if_absent(valid, posts, ["url"], arrival, ROW_ID)
         .withColumn("id", F.xxhash64("url"))
         .withColumn("created_at", as_of)
         .select(*column_names(BLOG_POSTS))

@@ -33,6 +33,22 @@ def insert_if_absent(rows: DataFrame, table: DataFrame, keys: list[str], order:
     return first_per_key(rows, keys, order).join(present_keys(table, keys, rows), keys, "left_anti")
 
 
+def insert_wide_if_absent(
+    rows: DataFrame, table: DataFrame, keys: list[str], order: list[Column], row_id: str
+) -> DataFrame:
+    """As :func:`insert_if_absent`, for rows with large columns: only keys, order and the column ``row_id`` are sorted and
+    shuffled until the rows to append are known; these are then fetched by their ids.
+
+    ``row_id`` tells the rows apart and stays the same when they are read again, as in a written table. While the ids to
+    append are few they are broadcast, so the large columns are read but never shuffled.
+    """
+    names = [f"_order{i}" for i in range(len(order))]
+    narrow = rows.select(*keys, row_id, *[c.alias(n) for c, n in zip(order, names)])
+    firsts = first_per_key(narrow, keys, [*[F.col(n) for n in names], F.col(row_id)]).select(*keys, row_id)
+    new = firsts.join(present_keys(table, keys, firsts), keys, "left_anti")
+    return rows.join(new.select(row_id), row_id, "left_semi")
+
+
 def apply_changes(
     table: DataFrame, changes: DataFrame, key: str, updatable: set[str], touched: dict[str, Column],
     order: str | None = None,

@@ -84,7 +84,7 @@ def run_daily(
     active = scans.active_sources(store.sources)
     active_feeds = feeds.join(active.select(F.col("id").alias("source_id")), "source_id", "left_semi")
     parsed = feed_source.parse_feeds(active_feeds, as_of)
-    written = write_tables({"entries": parsed.entries}, out_dir)
+    written = write_tables({"entries": ingest.numbered(parsed.entries)}, out_dir)
     entries = written["entries"]
     if max_age_days is not None:
         entries = ingest.recent_entries(entries, as_of, max_age_days)

@@ -169,3 +169,32 @@ def test_requests_that_share_an_id_are_requests_of_their_own(spark):
     changed = source_admin.add_sources(requests, sources(spark), "request_id", as_of())
     assert values(changed.table, "rss_feed_url") == ["https://a", "https://b"]
     assert values(changed.outcomes, "action") == ["inserted", "inserted", "skipped"]
+
+
+def wide_steps(df, column):
+    """Steps of the plan that sort, shuffle, group or number rows which hold the column."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found = []
+    for section in text.split("\n\n"):
+        title = section.strip().split("\n")[0]
+        if any(name in title for name in ("Exchange", "Sort", "Window", "Aggregate")) and title.startswith("("):
+            inputs = [line for line in section.split("\n") if line.startswith("Input") or line.startswith("Arguments")]
+            if any(f"{column}#" in line for line in inputs):
+                found.append(title)
+    return found
+
+
+def test_bodies_are_neither_sorted_nor_shuffled(spark, tmp_path):
+    rows = entries(spark, *[(i, 1, f"u{i % 7}", "A") for i in range(50)])
+    rows.write.parquet(str(tmp_path / "entries"))
+    stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "entries"))
+    posts(spark, (1, 1, "t", NOW, "x")).write.parquet(str(tmp_path / "posts"))
+    got = ingest(spark, stored, spark.read.parquet(str(tmp_path / "posts"))).inserted
+    assert got.count() == 7
+    assert wide_steps(got, "url") and not wide_steps(got, "body")
+
+
+def test_order_of_arrival_with_ties_and_missing_places(spark):
+    rows = entries(spark, (3, 1, "u", "A"), (None, 1, "u", "B"), (1, 1, "v", "C"), (1, 1, "v", "C"))
+    got = ingest(spark, rows).inserted
+    assert values(got, "url", "author_name") == [("u", "B"), ("v", "C")]

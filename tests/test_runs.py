@@ -1,10 +1,11 @@
 import json
+import os
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import NOW, as_of, letters, posts, sources, summaries, values
+from helpers import NOW, as_of, letters, one, posts, sources, summaries, values
 from inkwell.plans import runs
 from inkwell.schemas import BLOG_POSTS, FEEDS
 from inkwell.streaming import ingest as stream
@@ -134,3 +135,52 @@ def test_stream_batch_that_runs_again_replaces_itself(spark, tmp_path):
         entries = spark.readStream.schema(ENTRY).parquet(inbox)
         stream.start_ingest(entries, table, lost, str(tmp_path / attempt), [F.col("n")], as_of()).awaitTermination()
     assert values(stream.read_posts(spark, table), "url") == ["u1"]
+
+
+def test_batch_reads_the_buckets_it_touches_only(spark, tmp_path):
+    table, lost, inbox = (str(tmp_path / name) for name in ("posts", "lost", "inbox"))
+    stream.create_tables(spark, posts(spark, *[(i, 1, f"t{i}", NOW, "x") for i in range(40)]), table, lost, buckets=8)
+    bucket = {u: b for u, b in values(stream.read_posts(spark, table), "url", "bucket")}
+    assert len(set(bucket.values())) > 4
+    known = "https://p/3"
+    others = [b for b in range(8) if b != bucket[known]]
+    some = stream.read_posts(spark, table, [bucket[known]])
+    assert values(some, "url") == sorted(u for u, b in bucket.items() if b == bucket[known])
+    assert all(f"bucket={bucket[known]}/" in path for path in some.inputFiles())
+    for b in others:  # any look into another bucket would fail
+        os.makedirs(f"{table}/bucket={b}/batch_id=-1", exist_ok=True)
+        with open(f"{table}/bucket={b}/batch_id=-1/broken.parquet", "w") as file:
+            file.write("no parquet")
+    same = next(f"n{i}" for i in range(1000) if one(spark, stream.url_bucket(F.col("u"), 8), u=f"n{i}") == bucket[known])
+    spark.createDataFrame([(1, 1, "t", "b", known, NOW, "a"), (2, 1, "t", "b", same, NOW, "a")], ENTRY).write.parquet(inbox)
+    entries = spark.readStream.schema(ENTRY).parquet(inbox)
+    stream.start_ingest(entries, table, lost, str(tmp_path / "progress"), [F.col("n")], as_of()).awaitTermination()
+    assert values(stream.read_posts(spark, table, [bucket[known]]).filter("batch_id = 0"), "url") == [same]
+
+
+def test_buckets_that_do_not_exist_yet(spark, tmp_path):
+    table, lost = str(tmp_path / "posts"), str(tmp_path / "lost")
+    stream.create_tables(spark, posts(spark, (1, 1, "t", NOW, "x")), table, lost, buckets=4)
+    (there,) = values(stream.read_posts(spark, table), "bucket")
+    assert stream.read_posts(spark, table, [b for b in range(4) if b != there]).isEmpty()
+    assert stream.read_posts(spark, table, []).isEmpty()
+    assert stream.read_posts(spark, table, range(4)).count() == 1
+
+
+def test_merged_batches_go_on_where_they_stopped(spark, tmp_path):
+    table, lost, inbox, merged = (str(tmp_path / name) for name in ("posts", "lost", "inbox", "merged"))
+    stream.create_tables(spark, posts(spark, (1, 1, "t", NOW, "x")), table, lost, buckets=2)
+
+    def arrive_and_run(path, *urls):
+        rows = [(i, 1, "t", "b", u, NOW, "a") for i, u in enumerate(urls)]
+        spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("append").parquet(inbox)
+        entries = spark.readStream.schema(ENTRY).parquet(inbox)
+        stream.start_ingest(entries, path, lost, str(tmp_path / "progress"), [F.col("n")], as_of()).awaitTermination()
+
+    for urls in (["u1", "u2"], ["u2", "u3", "u4"], ["u5", "u6", "u7"]):
+        arrive_and_run(table, *urls)
+    stream.merge_batches(spark, table, merged)
+    assert values(stream.read_posts(spark, merged), "url") == values(stream.read_posts(spark, table), "url")
+    assert {b for b in values(stream.read_posts(spark, merged), "batch_id")} == {-1, 2}
+    arrive_and_run(merged, "u1", "u7", "u8")
+    assert values(stream.read_posts(spark, merged), "url") == ["https://p/1", *[f"u{i}" for i in range(1, 9)]]
