@@ -9,7 +9,7 @@ import corpus_pipeline
 from cases import SMALL, none, odd, table
 from inkwell.llm import pii, toxicity
 from inkwell.llm.common import read
-from test_simhash import plain_groups, plain_print
+from test_near_copies import plain_kept
 
 
 def test_against_plain_python(spark):
@@ -17,8 +17,8 @@ def test_against_plain_python(spark):
     model = toxicity.train(read(spark, SMALL, "documents"), read(spark, SMALL, "labels").select("doc_id", "toxic"))
     docs = {r["doc_id"]: r["text"] for r in table("documents")}
     docs = {i: t for i, t in docs.items() if model.score(t) < toxicity.TOXIC_FROM}
-    groups = plain_groups({i: plain_print(t) for i, t in docs.items()})
-    docs = {i: pii.mask(t) for i, t in docs.items() if groups[i] == i}
+    kept = plain_kept(docs)
+    docs = {i: pii.mask(t) for i, t in docs.items() if i in kept}
     ranks = {base64.b64decode(w): int(n) for w, n in map(bytes.split, open(P.path(corpus_pipeline.RANKS), "rb").read().splitlines())}
     coding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
