@@ -7,14 +7,33 @@ no source or author, however many posts it has, has to fit into one row or one t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inkwell.functions.text import or_default, printed, python_timestamp, title_slug
 from inkwell.operators.skew import with_position
 from inkwell.operators.slugs import flat_slugs, last_writer, post_slugs
 from inkwell.schemas import NOTES, column_names
+from inkwell.session import cut_lineage
 from inkwell.sources.tables import POST_COLUMNS
 
+NO_SOURCE_POSTS, NO_AUTHOR_POSTS = "_No posts from this source yet._\n", "_No posts by this author yet._\n"
+
+
+class Marts(NamedTuple):
+    """The models that notes are made from."""
+
+    posts: DataFrame
+    sources: DataFrame
+    authors: DataFrame
+
+
+class NoteChanges(NamedTuple):
+    changes: DataFrame  # path, change: added, removed, changed or unchanged
+    rendered: DataFrame  # the notes that are added or may have changed
+
 
 def _text(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
@@ -33,13 +52,12 @@ def _newest_first() -> list[Column]:
     return [F.desc_nulls_first("publication_date"), F.asc("id")]
 
 
-def render_post(slugged: DataFrame) -> DataFrame:
-    """Note text of posts that have slug and path."""
+def _post_content() -> Column:
     author = or_default("author_name", "Unknown")
     source = printed("source_name")
     tags = F.coalesce(F.col("tags"), F.array().cast("array<string>"))
     # The layout of a post note. The status is the escape sequence, not the sign itself.
-    content = _text(
+    return _text(
         "---\nuid: ", printed("id"),
         '\nsource: "[[', source,
         ']]"\nauthor: "[[', author,
@@ -54,15 +72,23 @@ def render_post(slugged: DataFrame) -> DataFrame:
         "]]\n- Author: [[", author,
         "]]\n- Original: [Read Full Post](", printed("url"), ")\n",
     )
+
+
+def render_post(slugged: DataFrame) -> DataFrame:
+    """Note text of posts that have slug and path."""
     return slugged.select(
-        F.lit("post").alias("note_type"), "path", "slug", F.lit(0).alias("part"), content.alias("content")
+        F.lit("post").alias("note_type"), "path", "slug", F.lit(0).alias("part"), _post_content().alias("content")
     )
 
 
+def _written_last_first() -> list[Column]:
+    return [F.asc_nulls_last("publication_date"), F.desc("id")]
+
+
 def post_notes(mart_posts: DataFrame) -> DataFrame:
     """One note per path; equal titles in one category leave the note of the post written last."""
     slugged = post_slugs(mart_posts.select(*POST_COLUMNS))
-    return render_post(last_writer(slugged, [F.asc_nulls_last("publication_date"), F.desc("id")]))
+    return render_post(last_writer(slugged, _written_last_first()))
 
 
 def post_notes_for(ids: DataFrame, mart_posts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,8 +119,8 @@ def _with_links(heads: DataFrame, note_type: str, posts: DataFrame, key: str, em
     return first.unionByName(lines)
 
 
-def source_notes(mart_sources: DataFrame, mart_posts: DataFrame) -> DataFrame:
-    """One note per source name with links to all its posts."""
+def _source_heads(mart_sources: DataFrame) -> DataFrame:
+    """(key, path, slug, head) of the source notes."""
     slugged = last_writer(
         flat_slugs(mart_sources, "name", "sources"), [F.desc_nulls_first("name"), F.desc("id")]
     )
@@ -115,8 +141,12 @@ def source_notes(mart_sources: DataFrame, mart_posts: DataFrame) -> DataFrame:
         "\n- Status: ", status,
         "\n\n## Posts\n",
     )
-    heads = slugged.select(F.col("id").alias("key"), "path", "slug", head.alias("head"))
-    return _with_links(heads, "source", mart_posts, "source_id", "_No posts from this source yet._\n")
+    return slugged.select(F.col("id").alias("key"), "path", "slug", head.alias("head"))
+
+
+def source_notes(mart_sources: DataFrame, mart_posts: DataFrame) -> DataFrame:
+    """One note per source name with links to all its posts."""
+    return _with_links(_source_heads(mart_sources), "source", mart_posts, "source_id", NO_SOURCE_POSTS)
 
 
 def author_sources(mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
@@ -126,8 +156,8 @@ def author_sources(mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
     return pairs.distinct().join(names, "source_id")
 
 
-def author_notes(mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
-    """One note per author with the sources written for and links to all posts. Nameless authors have none."""
+def _author_heads(mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
+    """(key, path, slug, head) of the author notes."""
     named = mart_authors.filter(F.coalesce("author_name", F.lit("")) != "")
     slugged = last_writer(flat_slugs(named, "author_name", "authors"), [F.desc("author_name")])
     # bounded by the number of sources, like the author's source_ids themselves
@@ -150,10 +180,15 @@ def author_notes(mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: D
         "\n\n## Sources\n", _section(_links(names), "_No sources linked._\n"),
         "\n## Posts\n",
     )
-    heads = slugged.join(listed, "author_id", "left").select(
+    return slugged.join(listed, "author_id", "left").select(
         F.col("author_id").alias("key"), "path", "slug", head.alias("head")
     )
-    return _with_links(heads, "author", mart_posts, "author_id", "_No posts by this author yet._\n")
+
+
+def author_notes(mart_authors: DataFrame, mart_posts: DataFrame, mart_sources: DataFrame) -> DataFrame:
+    """One note per author with the sources written for and links to all posts. Nameless authors have none."""
+    heads = _author_heads(mart_authors, mart_posts, mart_sources)
+    return _with_links(heads, "author", mart_posts, "author_id", NO_AUTHOR_POSTS)
 
 
 def all_notes(mart_posts: DataFrame, mart_sources: DataFrame, mart_authors: DataFrame) -> DataFrame:
@@ -202,3 +237,72 @@ def changed_notes(notes: DataFrame, published: DataFrame) -> DataFrame:
         .when(F.col("_same"), "unchanged").otherwise("changed")
     )
     return per_path.select("path", status.alias("change"))
+
+
+def note_fingerprints(marts: Marts) -> DataFrame:
+    """(note_type, key, path, slug, fingerprint) per note, without rendering any link: equal fingerprints mean equal notes.
+
+    A post's is the digest of its text, made where the post is; of a source or author it is that of the head and of all
+    its posts' ids, dates and titles, summed in any order, as ids and dates decide the order of the links. It may differ
+    though the text does not, for one when a date changes and no place. Kept beside published notes it tells later which
+    of them to render.
+    """
+    digests = marts.posts.select("id", "title", "category", "publication_date", F.md5(_post_content()).alias("fingerprint"))
+    posts = last_writer(post_slugs(digests), _written_last_first()).select(
+        F.lit("post").alias("note_type"), F.col("id").cast("string").alias("key"), "path", "slug", "fingerprint")
+
+    def linked(heads: DataFrame, note_type: str, key: str) -> DataFrame:
+        place = [F.col(c) for c in ("id", "publication_date", "title")]
+        links = marts.posts.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
+            F.count(F.lit(1)).alias("_links"), F.sum(F.xxhash64(*place).cast("decimal(38,0)")).alias("_sum"),
+            F.bit_xor(F.xxhash64(F.lit("second"), *place)).alias("_xor"))
+        digest = F.md5(F.concat_ws("\n", "head", "_links", "_sum", "_xor"))
+        return heads.join(links, "key", "left").select(
+            F.lit(note_type).alias("note_type"), F.col("key").cast("string").alias("key"), "path", "slug", digest.alias("fingerprint"))
+
+    sources = linked(_source_heads(marts.sources), "source", "source_id")
+    return posts.unionByName(sources).unionByName(linked(_author_heads(marts.authors, marts.posts, marts.sources), "author", "author_id"))
+
+
+def notes_at(wanted: DataFrame, marts: Marts) -> DataFrame:
+    """The notes of some rows of :func:`note_fingerprints`; posts and links of other notes are not rendered."""
+
+    def of(note_type: str, kind: str) -> DataFrame:
+        return wanted.filter(F.col("note_type") == note_type).select(F.col("key").cast(kind).alias("key"), "path", "slug")
+
+    placed = of("post", "bigint").withColumnRenamed("key", "id")
+    made = [render_post(marts.posts.select(*POST_COLUMNS).join(placed, "id"))]
+    for note_type, kind, heads, key, empty in (
+        ("source", "bigint", _source_heads(marts.sources), "source_id", NO_SOURCE_POSTS),
+        ("author", "string", _author_heads(marts.authors, marts.posts, marts.sources), "author_id", NO_AUTHOR_POSTS),
+    ):
+        some = of(note_type, kind)
+        posts = marts.posts.join(some.select(F.col("key").alias(key)), key, "left_semi")
+        made.append(_with_links(heads.join(some.select("path"), "path", "left_semi"), note_type, posts, key, empty))
+    return made[0].unionByName(made[1]).unionByName(made[2]).select(*column_names(NOTES))
+
+
+def note_changes(
+    marts: Marts, published: DataFrame, published_notes: Callable[[DataFrame], DataFrame], fingerprints: DataFrame | None = None
+) -> NoteChanges:
+    """What to publish, given the fingerprints of what is ``published``: notes are rendered only where they differ.
+
+    ``published_notes`` gives the published notes at some paths (note_type, key, path, slug), in daily use a semi join
+    with the stored ones; they decide whether a note with another fingerprint has another text. ``fingerprints`` are
+    those of ``marts``, where they are written already.
+    """
+    if fingerprints is None:
+        fingerprints = note_fingerprints(marts)
+    old = published.select("path", F.col("fingerprint").alias("_old"), F.struct("note_type", "key", "slug").alias("_published"))
+    both = fingerprints.join(old, "path", "full_outer")
+    change = (
+        F.when(F.col("_old").isNull(), "added").when(F.col("fingerprint").isNull(), "removed")
+        .when(F.col("fingerprint") == F.col("_old"), "unchanged")
+    )
+    both = cut_lineage(both.select("path", change.alias("change"), "note_type", "key", "slug", "_published"))
+    place = ["note_type", "key", "path", "slug"]
+    rendered = cut_lineage(notes_at(both.filter("change = 'added' or change is null").select(*place), marts))
+    unsure = both.filter("change is null")
+    before = published_notes(unsure.select("_published.note_type", "_published.key", "path", "_published.slug"))
+    decided = changed_notes(rendered.join(unsure.select("path"), "path", "left_semi"), before)
+    return NoteChanges(both.filter("change is not null").select("path", "change").unionByName(decided), rendered)

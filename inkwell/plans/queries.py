@@ -21,7 +21,7 @@ from inkwell.operators import (
 )
 from inkwell.plans import candidates, marts, runs, staging
 from inkwell.plans.materialize import write_tables
-from inkwell.session import run_dir
+from inkwell.session import cut_lineage, run_dir
 from inkwell.sources import feeds, pages, seeds, tables
 from inkwell.sources.testdata import SNAPSHOT_DAYS, TABLES, RawTables, as_of_column
 from inkwell.streaming import ingest as stream
@@ -639,7 +639,8 @@ def changed_notes(m: Models) -> DataFrame:
     """Today's notes against those published when the posts table was younger."""
     posts, sources, authors = m.kept("mart_posts"), m.kept("mart_sources"), m.kept("mart_authors")
     earlier = posts.join(m.earlier(m.kept("raw_blog_posts")).select("id"), "id", "left_semi")
-    return notes.changed_notes(m.notes, notes.all_notes(earlier, sources, authors))
+    before, now = notes.Marts(cut_lineage(earlier), sources, authors), notes.Marts(posts, sources, authors)
+    return notes.note_changes(now, notes.note_fingerprints(before), lambda some: notes.notes_at(some, before)).changes
 
 
 # Whole runs

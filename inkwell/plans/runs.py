@@ -71,6 +71,7 @@ def run_daily(
     as_of: Column,
     summarize_with: Callable[[str], str] | None = None,
     published_notes: DataFrame | None = None,
+    published_fingerprints: DataFrame | None = None,
     max_age_days: int | None = None,
     max_concurrent: int = summaries.DEFAULT_CONCURRENCY,
     stop_on_failed_checks: bool = True,
@@ -78,7 +79,8 @@ def run_daily(
     """Feeds of active sources to posts, summaries, marts, checks and notes.
 
     Raises :class:`ChecksFailed` before any note is rendered if a data-quality check has violations, unless
-    ``stop_on_failed_checks`` is off. ``max_age_days`` limits the entries, as for the first feed of a new source. Without
+    ``stop_on_failed_checks`` is off. With the ``published_notes`` of an earlier run and their ``published_fingerprints``
+    (its table ``note_fingerprints``) only notes whose inputs changed are rendered. ``max_age_days`` limits the entries, as for the first feed of a new source. Without
     ``summarize_with`` posts stay unsummarised.
     """
     active = scans.active_sources(store.sources)
@@ -122,12 +124,23 @@ def run_daily(
         failed = written["quality"].filter(~F.col("passed")).count()
         raise ChecksFailed(Run(after, written, _report(written, metrics, active, active_feeds)), failed)
 
-    rendered = notes.all_notes(written["mart_posts"], written["mart_sources"], written["mart_authors"])
+    models = notes.Marts(written["mart_posts"], written["mart_sources"], written["mart_authors"])
+    written |= write_tables({"note_fingerprints": notes.note_fingerprints(models)}, out_dir)
+    if published_notes is not None and published_fingerprints is not None:
+        found = notes.note_changes(
+            models, published_fingerprints, lambda some: published_notes.join(some.select("path"), "path", "left_semi"),
+            written["note_fingerprints"])
+        written |= write_tables({"note_changes": found.changes}, out_dir)
+        kept = written["note_changes"].filter("change = 'unchanged'").join(found.rendered.select("path"), "path", "left_anti")
+        rendered = found.rendered.unionByName(
+            published_notes.join(kept.select("path"), "path", "left_semi").select(*found.rendered.columns))
+    else:
+        rendered = notes.all_notes(*models)
     notes.write_notes(rendered, f"{out_dir}/notes")
     written["notes"] = rendered.sparkSession.read.schema(rendered.schema).parquet(f"{out_dir}/notes")
     check = note_checks.check_notes(written["notes"])
     written |= write_tables({"note_failures": check.failures, "note_results": check.results}, out_dir)
-    if published_notes is not None:
+    if published_notes is not None and "note_changes" not in written:
         written |= write_tables({"note_changes": notes.changed_notes(written["notes"], published_notes)}, out_dir)
     return Run(after, written, _report(written, metrics, active, active_feeds))
 

@@ -184,3 +184,62 @@ def test_stats_write_and_changes(spark, tmp_path):
     got = dict(values(notes.changed_notes(back, published)))
     assert got["posts/gone.md"] == "removed" and got["posts/data/y.md"] == "changed"
     assert got["sources/some-blog.md"] == "added" and got["authors/ann-lee.md"] == "unchanged"
+
+
+def two_states(spark):
+    """Marts before and after: a new post, a changed summary, a changed date that moves no link, a changed rating, a renamed
+    source, a post that is gone, a title that now collides."""
+    day = date(2024, 1, 10)
+    old_posts = [
+        mart_post(1, "One"), mart_post(2, "Two", publication_date=day), mart_post(3, "Three", source_id=2, author_id="a2", author_name="Bo Li"),
+        mart_post(4, "Four", source_id=2, author_id="a2", author_name="Bo Li"), mart_post(5, "Five", summary_text=""),
+        mart_post(6, "Six", source_id=3, author_id="a3", author_name="Cy Fox"), mart_post(8, "Eight", source_id=4, author_id=None),
+    ]
+    new_posts = [
+        mart_post(1, "One", summary_text="Another."), mart_post(2, "Two", publication_date=date(2024, 1, 11)), old_posts[2],
+        mart_post(5, "Five", summary_text=None), mart_post(6, "Six", source_id=3, author_id="a3", author_name="Cy Fox"),
+        mart_post(7, "Seven", source_id=2, author_id="a2", author_name="Bo Li"), mart_post(8, "Eight", source_id=4, author_id=None),
+        mart_post(9, "eight!", source_id=4, author_id=None),
+    ]
+    sources_ = [(1, "Some Blog", 5, "active", 3, NOW, NOW), (2, "Second", 5, "active", 2, NOW, NOW), (3, "Third", 5, "active", 1, NOW, NOW),
+                (4, "Fourth", 5, "active", 1, NOW, NOW)]
+    new_sources = [sources_[0], sources_[1], (3, "Third Renamed", 5, "active", 1, NOW, NOW), sources_[3]]
+    authors_ = [("a1", "Ann Lee", 3, "Data"), ("a2", "Bo Li", 2, "Data"), ("a3", "Cy Fox", 1, "Data")]
+    before = notes.Marts(mart_posts(spark, *old_posts), mart_sources(spark, *sources_), mart_authors(spark, *authors_))
+    after = notes.Marts(mart_posts(spark, *new_posts), mart_sources(spark, *new_sources), mart_authors(spark, *authors_))
+    return before, after
+
+
+def test_note_changes_by_fingerprints_agree_with_whole_texts(spark):
+    before, after = two_states(spark)
+    asked = []
+
+    def published(some):
+        asked.extend(values(some, "path"))
+        return notes.notes_at(some, before)
+
+    found = notes.note_changes(after, notes.note_fingerprints(before), published)
+    want = notes.changed_notes(notes.all_notes(*after), notes.all_notes(*before))
+    assert values(found.changes) == values(want)
+    kinds = dict(values(want))
+    assert {"added", "removed", "changed", "unchanged"} == set(kinds.values())
+    paths = set(values(found.rendered, "path"))
+    assert {p for p, c in kinds.items() if c in ("added", "changed")} <= paths
+    # rendered and compared although nothing changed: a date that moves no link
+    assert kinds["sources/some-blog.md"] == "unchanged" and "sources/some-blog.md" in asked
+    assert kinds["authors/cy-fox.md"] == "changed"  # it lists the source that has another name now
+    assert not paths & {"posts/data/three.md", "posts/data/five.md", "posts/data/six.md"}
+    whole = notes.all_notes(*after)
+    assert values(found.rendered) == [r for r in values(whole) if r[1] in paths]
+
+
+def test_same_marts_render_nothing(spark):
+    before, _ = two_states(spark)
+    found = notes.note_changes(before, notes.note_fingerprints(before), lambda some: notes.notes_at(some, before))
+    assert found.rendered.isEmpty() and set(values(found.changes, "change")) == {"unchanged"}
+    assert values(notes.note_fingerprints(before), "path") == values(notes.all_notes(*before).filter("part = 0"), "path")
+
+
+def test_notes_at_all_places_are_all_notes(spark):
+    before, _ = two_states(spark)
+    assert values(notes.notes_at(notes.note_fingerprints(before), before)) == values(notes.all_notes(*before))
