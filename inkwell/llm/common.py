@@ -56,6 +56,15 @@ def held_out(key: Column | str) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % 3 == 1
 
 
+def in_sample(share: float, key: Column, *more: Column) -> Column:
+    """True for about ``share`` of the rows, by hashes of ``key`` and, where it is null, of the other columns; those also
+    give the last digits, so that no share, however small, comes out as none of all rows."""
+    text = key.cast("string")
+    coarse = F.pmod(F.xxhash64(F.coalesce(text, *more)), F.lit(1_000_000))
+    fine = F.pmod(F.xxhash64(F.lit("fine"), text, *more), F.lit(1 << 40)) / (1 << 40)
+    return coarse + fine < share * 1_000_000
+
+
 def bits_for(rows: int, per_bucket: int, most: int = 24) -> int:
     """Bits of a hash prefix that make buckets of about ``per_bucket`` rows."""
     return min(most, max(0, math.ceil(math.log2(max(1, rows) / per_bucket))))

@@ -3,14 +3,13 @@ descent in numpy, with calibrated rejection."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkwell.llm.common import held_out, keep_table, map_arrow, read
+from inkwell.llm.common import held_out, in_sample, keep_table, map_arrow, read
 
 SAMPLE = 4_000  # rows with a language that are learned from, in the mean; all, if fewer
 BUCKETS = 1 << 13
@@ -20,7 +19,6 @@ BATCH = 32
 RATE = 0.5
 PRECISION = 0.99  # wanted among accepted predictions
 BLOCK = 1 << 20  # bytes of a text whose subwords are hashed at once
-LETTER = re.compile(r"[^\W\d_]")
 
 # Bytes that are not letters end a word; bytes above 127 belong to letters of other scripts.
 _FOLD = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint32)
@@ -54,7 +52,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its calibrated probability; 'und' and 0 for a text without a letter."""
-        if not text or not self.langs or not LETTER.search(text):
+        if not text or not self.langs or not any(map(str.isalpha, text)):
             return "und", 0.0
         counts = subwords(text)
         logits = counts @ self.table / max(1, counts.sum()) + self.bias
@@ -116,14 +114,15 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langs: li
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from about ``SAMPLE`` rows whose id is not held out and whose text and language are not null.
+    """Learns from about ``SAMPLE`` rows, twice as many at most, whose id is not held out and whose text and language are
+    not null.
 
-    The sample is drawn by a hash of the id. Without such rows the model knows no language and says 'und'.
+    The sample is drawn by a hash of the id, for null ids of the text. Without such rows the model knows no language and says 'und'.
     """
     known = docs.select(id_col, F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(id_col))
     share = min(1.0, SAMPLE / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = known.where(in_sample(share, F.col(id_col), F.col("text")))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at, shares = [], []
@@ -136,8 +135,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             [batch.column(1), pa.array(at, pa.list_(pa.int16())), pa.array(shares, pa.list_(pa.float32()))],
             names=["lang", "at", "shares"])
 
-    made = keep_table(map_arrow(picked.select("text", "lang"), run, "lang string, at array<smallint>, shares array<float>"),
-                      "language-sample")
+    made = map_arrow(picked.select("text", "lang"), run, "lang string, at array<smallint>, shares array<float>")
+    # of very many repeats of one row all are drawn or none
+    made = keep_table(made.limit(2 * SAMPLE), "language-sample")
     table = made.toArrow()
     names = table["lang"].to_pylist()
     if not names:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkwell.llm.common import held_out, keep_table, map_arrow, read
+from inkwell.llm.common import held_out, in_sample, keep_table, map_arrow, read
 
 SAMPLE = 20_000  # labelled rows that are learned from, in the mean; all, if fewer
 PREFIXES = (4, 5, 6)
@@ -227,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
     share = min(1.0, SAMPLE / max(1, n))
-    picked = known.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = known.where(in_sample(share, F.col(id_col)))
     sample = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(picked, id_col)
     sample = keep_table(sample.select("text", "toxic"), "toxic-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

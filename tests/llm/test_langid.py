@@ -3,8 +3,11 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 
+from pyspark.sql import functions as F
+
 from cases import SMALL, none, odd
 from inkwell.llm import langid
+from inkwell.llm.common import read
 from inkwell.llm.queries import QUERIES
 
 
@@ -58,3 +61,23 @@ def test_calibration_rejects_what_is_like_no_language():
     model = langid.fit(rows, np.array(labels), ["a", "b", "c"])
     sure, unsure = model.predict("uno dos tres uno")[1], model.predict("kkkk wwww qqqq")[1]
     assert sure > 0.9 > unsure
+
+
+def test_digits_of_any_kind_are_no_letters(spark):
+    model = langid.train(read(spark, SMALL, "documents"))
+    for text in ("½ ² ① Ⅷ", "12 3.4 _", "١٢", "", None):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("½ the end")[0] != "und"
+
+
+def test_samples_at_any_size(spark):
+    from inkwell.llm.common import in_sample
+
+    rows = spark.range(200_000).selectExpr("CASE WHEN id % 2 = 0 THEN id END AS id", "cast(id AS string) AS text")
+    for share in (0.3, 1e-3):
+        picked = rows.where(in_sample(share, F.col("id"), F.col("text"))).groupBy(F.col("id").isNull().alias("none")).count().collect()
+        for r in picked:  # rows with and without an id alike
+            assert abs(r["count"] - 100_000 * share) < 6 * (100_000 * share) ** 0.5
+    assert rows.where(in_sample(1.0, F.col("id"), F.col("text"))).count() == 200_000
+    tiny = rows.select(in_sample(2e-7, F.lit(5), F.col("text")).alias("x"), F.lit(1).alias("y"))
+    assert tiny.count() == 200_000  # below a millionth the last digits decide, so it never becomes a constant of false
