@@ -40,24 +40,31 @@ def _result(rows: DataFrame) -> DataFrame:
 def check_tables(tables: dict[str, DataFrame], declared: dict[str, Declared]) -> DataFrame:
     """Unique, not_null and row_cap checks of all tables: each table is scanned once, and all share one shuffle.
 
-    Rows are taken apart into (column, value) pairs and counted; of columns that need not be unique only whether they
-    are NULL is kept, so a task sends two rows for each of those. unique counts the values that occur more than once,
-    NULLs aside; not_null counts rows; row_cap is 1 for a table with more rows than ``most_rows``.
+    Rows are taken apart into (column, digest of the value) pairs and counted; of columns that need not be unique only
+    whether they are NULL is kept, so a task sends two rows for each of those, and no text is shuffled. unique counts the
+    values that occur more than once, NULLs aside; not_null counts rows; row_cap is 1 for a table with more rows than
+    ``most_rows``. Digests have 128 bits: among 10^12 values two share one with a chance of some 10^-15.
     """
+
+    def digest(column: str, salt: list[Column]) -> Column:
+        return F.when(F.col(column).isNotNull(), F.xxhash64(*salt, F.col(column).cast("string")))
+
+    def cell(column: str, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(column).alias("column"), first.alias("value"), second.alias("more"))
+
+    zero = F.lit(0).cast("long")
     cells = []
     for table, what in declared.items():
         names = list(dict.fromkeys([*what.unique, *what.not_null]))
         pairs = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.when(F.col(c).isNotNull(), F.col(c).cast("string") if c in what.unique else F.lit("")).alias("value"),
-            )
+            cell(c, digest(c, []), digest(c, [F.lit("more")])) if c in what.unique
+            else cell(c, F.when(F.col(c).isNotNull(), zero), F.when(F.col(c).isNotNull(), zero))
             for c in names
         ]
         # the empty name stands for the table itself
-        pairs.append(F.struct(F.lit("").alias("column"), F.lit("").alias("value")))
+        pairs.append(cell("", zero, zero))
         cells.append(tables[table].select(F.lit(table).alias("table"), F.explode(F.array(*pairs)).alias("c")).select("table", "c.*"))
-    counted = reduce(DataFrame.unionAll, cells).groupBy("table", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = reduce(DataFrame.unionAll, cells).groupBy("table", "column", "value", "more").agg(F.count(F.lit(1)).alias("n"))
     found = counted.groupBy("table", "column").agg(
         F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"),
         F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("repeated"),

@@ -17,7 +17,7 @@ from inkwell.operators.dead_letters import (
 )
 from inkwell.operators.upsert import insert_if_absent, present_keys
 from inkwell.schemas import AI_SUMMARIES, BLOG_POSTS, column_names
-from inkwell.session import cut_lineage
+from inkwell.session import run_dir
 
 # The prompts and the answers they ask for.
 SYSTEM_PROMPT = """\
@@ -39,6 +39,9 @@ Content:
 {body}"""
 DIFFICULTIES = ["advanced", "beginner", "intermediate"]
 DEFAULT_CONCURRENCY = 4
+CALLS_PER_TASK = 500
+PLACES = 1 << 20  # more than there are waves
+ANSWER = "post_id BIGINT, response_text STRING, error STRING"
 
 
 def unsummarized_posts(posts: DataFrame, summaries: DataFrame, ordered: bool = True) -> DataFrame:
@@ -162,11 +165,20 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     return responses.withColumn("_answer", answer).select(*responses.columns, "_answer.*")
 
 
-def call_for_posts(posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY) -> DataFrame:
+def call_for_posts(
+    posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY,
+    calls_per_task: int = CALLS_PER_TASK, answers_dir: str | None = None,
+) -> DataFrame:
     """Calls ``fn(prompt) -> response text`` once per post; at most ``max_concurrent`` calls run at a time.
 
-    Returns (post_id, response_text, error). An exception becomes the row's error and stops nothing.
+    Returns (post_id, response_text, error). An exception becomes the row's error and stops nothing. The backlog is dealt
+    into waves of ``max_concurrent`` tasks with some ``calls_per_task`` posts each, so their number follows the backlog. A
+    wave's answers are added to ``answers_dir`` (a shared folder, by default a fresh one) when it is done: a lost task
+    repeats its own calls, and a run that was stopped goes on from there when it is started again with that folder.
     """
+    spark = posts.sparkSession
+    path = answers_dir or run_dir(spark, "answers")
+    spark.createDataFrame([], ANSWER).write.mode("append").parquet(path)
 
     def run(batches):
         import pandas as pd
@@ -182,19 +194,32 @@ def call_for_posts(posts: DataFrame, fn: Callable[[str], str], max_concurrent: i
                     errors.append(f"{type(error).__name__}: {error}")
             yield pd.DataFrame({"post_id": batch["post_id"], "response_text": texts, "error": errors})
 
-    requests = posts.select(F.col("id").alias("post_id"), prompt(F.col("title"), F.col("body")).alias("prompt"))
-    return requests.repartition(max_concurrent, "post_id").mapInPandas(
-        run, "post_id BIGINT, response_text STRING, error STRING"
-    )
-
-
-def summarize(posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY) -> DataFrame:
+    answered = spark.read.schema(ANSWER).parquet(path).select(F.col("post_id").alias("id"))
+    todo = posts.join(answered, "id", "left_anti")
+    requests = todo.select(F.col("id").alias("post_id"), prompt(F.col("title"), F.col("body")).alias("prompt"))
+    kept = run_dir(spark, "requests")
+    # in the order of a hash, so that a wave reads its stretch of it and the files' statistics rule out the rest
+    requests = requests.withColumn("place", F.pmod(F.xxhash64("post_id"), F.lit(PLACES)))
+    requests.repartitionByRange("place").sortWithinPartitions("place").write.parquet(kept)
+    stored = spark.read.schema("post_id BIGINT, prompt STRING, place BIGINT").parquet(kept)
+    waves = -(-stored.count() // (max_concurrent * calls_per_task))
+    for wave in range(waves):
+        first, last = PLACES * wave // waves, PLACES * (wave + 1) // waves - 1
+        rows = stored.filter(F.col("place").between(first, last)).select("post_id", "prompt")
+        rows.repartition(max_concurrent, "post_id").mapInPandas(run, ANSWER).write.mode("append").parquet(path)
+    return spark.read.schema(ANSWER).parquet(path)
+
+
+def summarize(
+    posts: DataFrame, fn: Callable[[str], str], max_concurrent: int = DEFAULT_CONCURRENCY,
+    calls_per_task: int = CALLS_PER_TASK, answers_dir: str | None = None,
+) -> DataFrame:
     """Call and check: one row per post with either the summary columns or a reason.
 
-    The responses are checkpointed, so that later steps read them instead of calling again; only a task
-    that is lost before it has written its responses repeats its calls.
+    The answers are written by :func:`call_for_posts`, so later steps read them instead of calling again. With an
+    ``answers_dir`` that has answers already, these are among the rows, and their posts are not asked about again.
     """
-    parsed = parse_responses(cut_lineage(call_for_posts(posts, fn, max_concurrent)))
+    parsed = parse_responses(call_for_posts(posts, fn, max_concurrent, calls_per_task, answers_dir))
     return parsed.withColumn("reason", F.coalesce("error", "reason")).drop("error")
 
 

@@ -87,7 +87,7 @@ piece("raw_posts", ["entries"], """
     SELECT arrival AS id, source_id, title, body, url, publication_date, author_name, created_at
     FROM entries QUALIFY row_number() OVER (PARTITION BY url ORDER BY arrival) = 1""")
 piece("raw_summaries", [], f"""
-    SELECT doc_id AS id, doc_id AS post_id, left(text, CASE WHEN quality = 0 THEN 30 ELSE 200 END) AS summary_text,
+    SELECT doc_id AS id, doc_id AS post_id, text AS summary_text,
            CASE WHEN doc_id % 6 = 0 THEN []::VARCHAR[]
                 ELSE [w FOR w IN [regexp_extract(lower(text), '([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)', 1),
                                   regexp_extract(lower(text), '([a-z]+)[^a-z]+([a-z]+)[^a-z]+([a-z]+)', 2),

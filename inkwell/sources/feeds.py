@@ -78,29 +78,23 @@ def _whole_elements(payload: Column, name: str, fields: str) -> Column:
     return F.filter(parsed, lambda p: p["_corrupt_record"].isNull())
 
 
-def _whole_objects(payload: Column) -> Column:
-    """The complete objects of ``items`` in a JSON feed that is cut off.
+JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
+DEEPEST = 12  # objects within objects
 
-    Strings, brackets and what lies between are taken one after the other; the depth of brackets tells where an object
-    of the list begins and ends.
-    """
+
+def _object(depth: int) -> str:
+    """Pattern of a JSON object that holds objects ``depth`` levels deep. No part of it can match in two ways, so a text
+    is read once, in a loop."""
+    inner = f"|{_object(depth - 1)}" if depth else ""
+    return rf'\{{(?:[^{{}}"]++|{JSON_STRING}{inner})*+\}}'
+
+
+def _whole_objects(payload: Column) -> Column:
+    """The complete objects of ``items`` in a JSON feed that is cut off: each begins where the one before it ended, so
+    what lies inside the last, incomplete one is not taken for an item."""
     start = r'(?s)^.*?"items"\s*:\s*\['
     listed = F.when(payload.rlike(start), F.regexp_replace(payload, start, ""))
-    tokens = F.regexp_extract_all(listed, F.lit(r'(?s)("(?:[^"\\]++|\\.)*+"|[{}\[\]]|[^"{}\[\]]+|")'), F.lit(1))
-    opens, closes = lambda t: t.isin("{", "["), lambda t: t.isin("}", "]")
-    nothing = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.array().cast("array<string>").alias("whole"))
-
-    def step(state: Column, token: Column) -> Column:
-        depth = state["depth"] + F.when(opens(token), 1).when(closes(token), -1).otherwise(0)
-        inside = (state["depth"] > 0) | opens(token)
-        text = F.when(inside, F.concat(state["text"], token)).otherwise("")
-        ended = closes(token) & (depth == 0) & (state["depth"] == 1)
-        return F.struct(
-            depth.alias("depth"), F.when(ended, "").otherwise(text).alias("text"),
-            F.when(ended, F.array_append(state["whole"], text)).otherwise(state["whole"]).alias("whole"),
-        )
-
-    whole = F.aggregate(tokens, nothing, step, lambda state: state["whole"])
+    whole = F.regexp_extract_all(listed, F.lit(rf"(?s)\G[\s,]*+({_object(DEEPEST)})"), F.lit(1))
     parsed = F.transform(whole, lambda o: F.from_json(o, JSON_ITEM))
     return F.filter(parsed, lambda o: o.isNotNull())
 

@@ -138,7 +138,7 @@ class RawTables:
         return joined.select(
             doc.alias("id"),
             doc.alias("post_id"),
-            F.left("text", F.when(F.col("quality") == 0, F.lit(30)).otherwise(F.lit(200))).alias("summary_text"),
+            F.col("text").alias("summary_text"),
             F.when(doc % 6 == 0, F.array().cast("array<string>"))
             .otherwise(F.filter(found, lambda w: w != "")).alias("tags"),
             F.when(doc % 3 == 0, "beginner").when(doc % 3 == 1, "intermediate").otherwise("advanced")

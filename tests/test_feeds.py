@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime
 
 from helpers import NOW, as_of, values
@@ -91,3 +92,25 @@ def test_failed_fetches_of_one_feed_are_letters_of_their_own(spark):
     rows = [(1, "https://feed", NOW, None), (1, "https://feed", NOW.replace(hour=1), None), (2, "https://feed", NOW, None)]
     failures = parse_feeds(spark.createDataFrame(rows, FEEDS), as_of()).failures
     assert failures.select("id").distinct().count() == 3
+
+
+def json_item(i, extra=""):
+    return '{"title": "t%d", "url": "https://x/%d", "content_text": "a } \\" { b", "authors": [{"name": "A"}]%s}' % (i, i, extra)
+
+
+def test_items_inside_a_cut_json_item_are_not_entries(spark):
+    nested = ', "attachments": [{"url": "https://no", "title": "no", "meta": {"a": {"b": [{}, {"c": 1}]}}}]'
+    whole = '{"items": [' + ", ".join([json_item(1, nested), json_item(2), json_item(3, nested)])
+    for cut, want in ((len(whole), 3), (len(whole) - 1, 2), (len(whole) - 40, 2)):
+        rows = spark.createDataFrame([(1, "u", NOW, whole[:cut])], FEEDS)
+        got = values(parse_feeds(rows, as_of()).entries, "url")
+        assert got == [f"https://x/{i}" for i in range(1, want + 1)]
+
+
+def test_long_cut_json_feed(spark):
+    payload = '{"items": [' + ",".join(json_item(i, ', "content_html": "%s"' % ("word " * 100)) for i in range(30_000))
+    assert len(payload) > 15_000_000
+    rows = spark.createDataFrame([(1, "u", NOW, payload[:-10])], FEEDS)
+    start = time.time()
+    assert parse_feeds(rows, as_of()).entries.count() == 29_999
+    assert time.time() - start < 60

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,47 @@ def test_calls_are_not_repeated(spark, tmp_path):
     assert open(log).read() == "x" * 6
 
 
+def test_calls_in_waves_go_on_after_a_stop(spark, tmp_path):
+    """A crash that takes a worker down loses its wave; what was answered before is not asked again."""
+    raw = posts(spark, *[(i, 1, f"t{i}", NOW, "x") for i in range(40)])
+    log, broken, answers, good = str(tmp_path / "calls"), str(tmp_path / "broken"), str(tmp_path / "answers"), json.dumps(GOOD)
+    open(broken, "w").close()
+
+    def calls():
+        with open(log) as lines:
+            return lines.read().split()
+
+    def reply(prompt):
+        title = prompt.split("Title: ")[1].split("\n")[0]
+        if title == "t7" and os.path.exists(broken):
+            os._exit(1)
+        with open(log, "a") as out:
+            out.write(title + "\n")
+        return good
+
+    with pytest.raises(Exception, match="Python worker exited|crashed|EOF"):
+        summaries.summarize(raw, reply, 2, calls_per_task=3, answers_dir=answers)
+    before = spark.read.parquet(answers).count()
+    assert before < 40
+    os.remove(broken)
+    seen = calls()
+    done = summaries.summarize(raw, reply, 2, calls_per_task=3, answers_dir=answers)
+    assert done.count() == 40 and done.filter("reason is null").count() == 40
+    assert len(calls()) - len(seen) == 40 - before  # the others were not asked again
+    again = summaries.summarize(raw, reply, 2, calls_per_task=3, answers_dir=answers)
+    assert again.count() == 40 and len(calls()) == len(seen) + 40 - before
+
+
+def test_number_of_waves_follows_the_backlog(spark, tmp_path):
+    answers = str(tmp_path / "answers")
+    raw = posts(spark, *[(i, 1, f"t{i}", NOW, "x") for i in range(60)])
+    made = summaries.call_for_posts(raw, lambda prompt: "x", max_concurrent=2, calls_per_task=5, answers_dir=answers)
+    assert made.count() == 60 and made.select("post_id").distinct().count() == 60
+    files = [f for f in os.listdir(answers) if f.startswith("part-")]
+    assert len(files) >= 10  # six waves of two tasks
+    assert summaries.call_for_posts(raw.limit(0), lambda prompt: "x").count() == 0
+
+
 def test_listing_and_summary_of_dead_letters(spark):
     table = letters(spark, (1, "a", "ingestion", False), (2, "b", "generation", False), (3, "c", "ingestion", True),
                     (4, "d", "ingestion", False))
