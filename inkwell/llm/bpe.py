@@ -30,7 +30,7 @@ WINDOW = 32  # bytes of a window
 FAR = 512  # tokens beside a joint from which on the rest of the word is cut into windows anew
 STATE_ROWS = 6_000_000  # rows that one recursive query may gather; beyond, it ends early and is started again
 DECODE_ROWS = 400_000  # tokens that one decoding query takes
-KEPT = 400_000  # pieces from which on the younger generation of the cache becomes the older one
+KEPT = 300_000  # pieces from which on the younger generation of the cache becomes the older one
 
 # A blank before a visible character begins a word whatever stands around it, so texts may be cut there first.
 CUT = re.compile(r" (?=\S)")
