@@ -91,6 +91,14 @@ MARKS_AGAINST: dict[str, tuple[str, ...]] = {
 AFTER = 48  # words after a span in which words that must not stand there are looked for
 
 
+VARIANTS = re.compile("-(notice|line|short|only|spdx)$")
+
+
+def licence_of(template: str) -> str:
+    """The licence that a template's name stands for; several texts of one licence have names with an ending."""
+    return VARIANTS.sub("", template)
+
+
 def _add(name: str, template: str, marks: tuple[str, ...], against: tuple[str, ...] = ()) -> None:
     """A template under ``name``, or beside the one that has the name; one that is there already only gets the marks."""
     own = next((n for n, t in TEMPLATES.items() if tokens(t) == tokens(template)), None)
@@ -145,6 +153,13 @@ def _add_families() -> None:
          "any purpose, including commercial applications, and to alter it and redistribute it freely", ("redistribute it freely",))
     for name in ("2", "3"):
         _add(f"bsd-{name}-clause", f"Licensed under the BSD {name}-Clause License.", (f"bsd {name}",))
+    for licence in sorted({licence_of(name) for name in TEMPLATES}):
+        own = f"{licence}-spdx"
+        TEMPLATES[own] = f"SPDX-License-Identifier: {licence}"
+        MARKS[own] = (f"license identifier {licence}",)
+        longer = [n for n in TEMPLATES if n.startswith(f"{licence}-") and licence_of(n) != licence]
+        if longer:  # mit is not mit-0
+            MARKS_AGAINST[own] = tuple(sorted({f"license identifier {licence_of(n)}" for n in longer}))
 
 
 LEAST_MATCH = 4  # words of a stretch that counts as a match
@@ -354,12 +369,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence phrases and template spans of every document; the score is the best cover, 1 for a base phrase."""
+    """Licence phrases and template spans of every document; the score is the best cover, 1 for a base phrase. Labels are
+    licences; which of their texts were found is in ``templates``."""
     found = scan(read(spark, sf_dir, "documents"))
     base = F.array_distinct(F.transform("phrases", lambda x: F.element_at(F.create_map(
         *[F.lit(v) for pair in PHRASES.items() for v in pair]), x["phrase"])))
     firsts = F.transform("phrases", lambda x: x["first"])
-    own = F.transform("spans", lambda s: s["template"])
+    templates = F.transform("spans", lambda s: s["template"])
+    own = F.transform(templates, lambda t: F.regexp_replace(t, VARIANTS.pattern, ""))
     covers = F.transform("spans", lambda s: s["cover"])
     return found.withColumn("base", base).select(
         "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
@@ -367,4 +384,5 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.sort_array("base"), ",").alias("base_labels"),
         F.array_join(F.sort_array(F.array_distinct(F.concat("base", own))), ",").alias("labels"),
         F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(covers), F.lit(0.0))).alias("score"),
+        F.array_join(F.sort_array(F.array_distinct(templates)), ",").alias("templates"),
     )

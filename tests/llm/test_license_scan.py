@@ -68,6 +68,9 @@ NOTICES = {
     scan.TEMPLATES["bsd-2-clause"] + " THIS SOFTWARE IS PROVIDED BY THE AUTHOR AS IS": "bsd-2-clause",
     scan.TEMPLATES["bsd-2-clause"] + " Neither the name of the University nor the names of its contributors may be used to endorse or "
     "promote products derived from this software without specific prior written permission.": "bsd-3-clause",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: MIT": "mit-spdx", "SPDX-License-Identifier: MIT-0": "mit-0",
+    "// SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0", "SPDX-License-Identifier: CC-BY-NC-4.0": "cc-by-nc-4.0",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause", "SPDX-License-Identifier: Custom": None,
     "Licensed under CC BY 9.0": None, "This work is licensed under the GNU General Public License, version 9.": None,
 }
 
@@ -81,10 +84,17 @@ def test_notices_beside_those_of_the_tables_get_their_own_label_only():
 
 def test_every_template_has_the_labels_of_its_own_licence_only():
     def licence(name):
-        for end in ("-notice", "-line", "-short", "-only"):
+        for end in ("-notice", "-line", "-short", "-only", "-spdx"):
             name = name.removesuffix(end)
         return name
 
     own = scan.scanner()
     for name, template in scan.TEMPLATES.items():
         assert {licence(label) for label, *_ in own.scan(scan.tokens(template))[1]} == {licence(name)}, name
+
+
+def test_labels_are_licences(spark):
+    rows = QUERIES["op8_licenses"](spark, SMALL).collect()
+    found = {label for r in rows for label in r["labels"].split(",") if label}
+    assert found and found <= {scan.licence_of(n) for n in scan.TEMPLATES} | set(scan.PHRASES.values())
+    assert any(scan.licence_of(t) != t for r in rows for t in r["templates"].split(","))
