@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import NOW, as_of, letters, one, posts, sources, summaries, values
+from inkwell.operators import notes
 from inkwell.plans import runs
 from inkwell.schemas import BLOG_POSTS, FEEDS
 from inkwell.streaming import ingest as stream
@@ -184,3 +185,18 @@ def test_merged_batches_go_on_where_they_stopped(spark, tmp_path):
     assert {b for b in values(stream.read_posts(spark, merged), "batch_id")} == {-1, 2}
     arrive_and_run(merged, "u1", "u7", "u8")
     assert values(stream.read_posts(spark, merged), "url") == ["https://p/1", *[f"u{i}" for i in range(1, 9)]]
+
+
+def test_daily_run_renders_only_what_changed(spark, tmp_path):
+    store = runs.Store(sources(spark, (1, "Some Blog", "Data", 5, "active")), posts(spark, (1, 1, "Old", NOW, "Ann Lee")),
+                       summaries(spark, (1, "text", ["a"])), letters(spark))
+    feeds = spark.createDataFrame([(1, "u", NOW, feed(("New", "https://n/1", "Bo Li", NOW)))], FEEDS)
+    first = runs.run_daily(store, feeds.limit(0), str(tmp_path / "one"), as_of(), stop_on_failed_checks=False)
+    second = runs.run_daily(
+        first.store, feeds, str(tmp_path / "two"), as_of(), published_notes=first.written["notes"],
+        published_fingerprints=first.written["note_fingerprints"], stop_on_failed_checks=False)
+    assert values(second.written["note_changes"]) == [
+        ("authors/ann-lee.md", "unchanged"), ("authors/bo-li.md", "added"), ("posts/data/new.md", "added"),
+        ("posts/data/old.md", "unchanged"), ("sources/some-blog.md", "changed")]
+    whole = notes.all_notes(*[second.written[name] for name in ("mart_posts", "mart_sources", "mart_authors")])
+    assert values(second.written["notes"].select(*whole.columns)) == values(whole)
