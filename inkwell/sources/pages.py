@@ -10,26 +10,41 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from inkwell.sources.elements import Elements, named
 
 SHORTEST_PARAGRAPH = 40
+CHUNK = 1 << 20  # characters, about, of the rows that leave a task together
 CARD = (
     "page_id BIGINT, position INT, title STRING, description STRING, authors ARRAY<STRING>, posted_date STRING, link STRING")
 ENTRY = "page_id BIGINT, position INT, title STRING, posted_date STRING, link STRING"
 PARAGRAPH = "page_id BIGINT, description STRING"
 
 
+def _size(value: str | list[str] | int | None) -> int:
+    """Characters of a value, and some for what else it takes."""
+    return 16 + (len(value) if isinstance(value, str) else sum(map(_size, value)) if isinstance(value, list) else 0)
+
+
 def _from_elements(pages: DataFrame, rows_of: Callable[[Elements], Iterator[tuple]], schema: str) -> DataFrame:
-    """The rows that ``rows_of`` makes of each page's elements, behind its page_id; a page is in memory alone."""
+    """The rows that ``rows_of`` makes of each page's elements, behind its page_id; a page is in memory alone, and so are
+    about ``CHUNK`` characters of rows, however many pages or rows of one page a batch has."""
 
     target = to_arrow_schema(pages.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            rows = []
-            for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows.extend((page_id, *row) for row in rows_of(Elements(html.as_py())))
+        def made(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * len(target)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+
+        for batch in batches:
+            rows, held = [], 0
+            for page_id, html in zip(batch.column(0), batch.column(1)):
+                for row in rows_of(Elements(html.as_py())):
+                    rows.append((page_id.as_py(), *row))
+                    held += sum(map(_size, row))
+                    if held >= CHUNK:
+                        yield made(rows)
+                        rows, held = [], 0
+            yield made(rows)
 
     return pages.select("page_id", "html").filter("html is not null").mapInArrow(run, schema)
 

@@ -1,8 +1,10 @@
 import time
 
+import pyarrow as pa
+
 from helpers import values
 from inkwell.sources.elements import Elements, named
-from inkwell.sources.pages import extract_cards, extract_entries, first_paragraphs
+from inkwell.sources.pages import CHUNK, extract_cards, extract_entries, first_paragraphs
 
 
 def pages(spark, *html):
@@ -114,3 +116,21 @@ def test_many_cards_on_one_page(spark):
     html = "".join(f'<li><a class="title" href="/{i}">T{i}</a><p>D{i}</li>' for i in range(20_000))
     rows = extract_cards(pages(spark, html), "").orderBy("position").collect()
     assert len(rows) == 20_000 and rows[-1]["posted_date"] == "D19999"
+
+
+def test_rows_leave_in_bounded_batches(spark):
+    """Whether many pages or one page has them, rows do not pile up in the task."""
+
+    class Pages:
+        sparkSession = spark
+        select = filter = lambda self, *_: self
+        mapInArrow = lambda self, run, schema: run
+
+    card = '<li><a class="title" href="/{}">T</a><p>D</p><div aria-label="Ann"></div><div class="prose">{}</div></li>'
+    small = "".join(card.format(i, "x" * 2000) for i in range(25))
+    large = "".join(card.format(i, "y" * 2000) for i in range(3000))
+    batch = pa.RecordBatch.from_pydict({"page_id": [*range(60), 60], "html": [small] * 60 + [large]})
+    made = list(extract_cards(Pages(), "")(iter([batch])))
+    assert max(b.nbytes for b in made) < 2 * CHUNK
+    rows = [(r["page_id"], r["position"], r["link"]) for b in made for r in b.to_pylist()]
+    assert rows == [(p, i, f"/{i}") for p in range(60) for i in range(25)] + [(60, i, f"/{i}") for i in range(3000)]
