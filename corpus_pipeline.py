@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard similarity of five-word shingles from 0.8) the document with the smallest id."""
+    """Of each group of near copies (Jaccard similarity of five-word shingles from 0.8) the document with the smallest id;
+    candidates by SimHash, and by min-hash bands where fingerprints are too far apart."""
     return near_copies.without_near_copies(docs)
 
 

@@ -1,14 +1,17 @@
-"""Near copies by the Jaccard similarity of their word shingles.
-
-Texts with the same words are one class. Min-hashes of a class, ``ROWS`` to a band, are its keys: two classes of the
-similarity asked for share a key in some band but for a chance of ``MISS``. Classes that share a key are candidates,
-and a candidate pair is a link if the exact similarity of its shingle sets is high enough. Links are sought in two
-waves: first each class of a key meets the least one; then, at the keys where this has left classes apart, all meet.
-There classes are put in blocks, each block meets each, and within two blocks an exact filter finds the pairs worth
-comparing: sets that are similar enough share one of their rarest shingles.
-
-SimHash itself cannot do this at scale: a similarity of 0.8 is a distance of some 10 of 64 bits, at 14 bits with nine of
-ten pairs within, which no chain of segments tells from chance.
+"""Near copies by SimHash and the Jaccard similarity of their word shingles.
+
+Texts with the same words are one class. Classes are linked in three waves, each with an exact check: a candidate pair
+is a link if the similarity of its shingle sets is high enough.
+
+* SimHash: fingerprints of the shingles that differ in at most ``RADIUS`` bits, all found by the pigeonring of
+  ``RING`` segments (:func:`inkwell.llm.simhash.near_links`).
+* What lies further apart: a similarity of 0.8 is a distance of some 10 of 64 bits, at 14 bits with nine of ten pairs
+  within, which no chain of segments tells from chance. So min-hashes of a class, ``ROWS`` to a band, are its keys: two
+  classes of the similarity asked for share a key in some band but for a chance of ``MISS``. Each class that SimHash has
+  left apart from the least one of a key meets that one.
+* At the keys where this has left classes apart, all meet. There classes are put in blocks, each block meets each, and
+  within two blocks an exact filter finds the pairs worth comparing: sets that are similar enough share one of their
+  rarest shingles.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from inkwell.llm.common import give_back_memory, keep_table, map_arrow
 from inkwell.llm.components import components
-from inkwell.llm.simhash import SEED, shingle_hashes
+from inkwell.llm.simhash import SEED, near_links, print_of, shingle_hashes
 
+RADIUS = 7  # bits in which fingerprints of candidates differ at most
+RING = 8  # segments of a fingerprint
 ROWS = 5
 MISS = 3e-6
 BLOCK = 1024  # classes of a key that meet others in one task
@@ -68,6 +73,18 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if both else 0.0
 
 
+def _alike(classes: DataFrame) -> DataFrame:
+    """Candidates (a, b) among ``classes`` (class, fp) that connect all whose fingerprints differ in at most ``RADIUS`` bits;
+    classes without shingles have no fingerprint."""
+    prints = keep_table(classes.where("fp is not null").groupBy("fp").agg(F.min("class").alias("first")), "near-fingerprints")
+    same = classes.join(prints, "fp").where("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b"))
+    first = prints.select(F.col("fp").alias("a"), F.col("first").alias("class_a"))
+    second = prints.select(F.col("fp").alias("b"), F.col("first").alias("class_b"))
+    links = near_links(prints, RADIUS, RING).distinct().join(first, "a").join(second, "b")
+    links = links.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"))
+    return same.unionByName(links)
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
     """The pairs (a, b) of classes whose texts (class, text) are similar enough."""
 
@@ -207,6 +224,14 @@ def _labels(links: DataFrame) -> DataFrame:
     return keep_table(components(links).select(F.col("node").alias("class"), "label"), "near-labels")
 
 
+def _with_groups(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``shared`` with the groups so far of their class (own) and of the least class of the key (head)."""
+    own = labels.select(F.col("class"), F.col("label").alias("own"))
+    head = labels.select(F.col("class").alias("first"), F.col("label").alias("head"))
+    rows = shared.join(own, "class", "left").join(head, "first", "left")
+    return rows.withColumn("own", F.coalesce("own", "class")).withColumn("head", F.coalesce("head", "first"))
+
+
 def near_groups(rows: DataFrame, width: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Classes and groups of ``rows`` (number, text): (number, class), and (class, label) of the classes with near copies.
 
@@ -222,31 +247,33 @@ def near_groups(rows: DataFrame, width: int = 5, least: float = 0.8) -> tuple[Da
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        keys = [band_keys(shingle_hashes(t, width), numbers) for t in texts]
+        fps, keys = [], []
+        for text in texts:
+            hashes = shingle_hashes(text, width)
+            fps.append(int(np.uint64(print_of(hashes)).astype(np.int64)) if len(hashes) else None)
+            keys.append(band_keys(hashes, numbers))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([class_of(t) for t in texts], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["number", "class", "keys"])
+            [batch.column(0), pa.array([class_of(t) for t in texts], pa.int64()), pa.array(fps, pa.int64()),
+             pa.array(keys, pa.list_(pa.int64()))], names=["number", "class", "fp", "keys"])
 
     prints = keep_table(map_arrow(rows.select("number", F.col("text").cast("string").alias("text")), run,
-                                  "number long, class long, keys array<long>"), "near-prints")
-    firsts = keep_table(prints.groupBy("class").agg(F.min("number").alias("number")), "near-classes")
+                                  "number long, class long, fp long, keys array<long>"), "near-prints")
+    firsts = keep_table(prints.groupBy("class").agg(F.min("number").alias("number"), F.min("fp").alias("fp")), "near-classes")
+    alike = keep_table(_alike(firsts.select("class", "fp")), "near-alike")
     members = prints.join(firsts, ["number", "class"], "left_semi").select("class", F.explode("keys").alias("key"))
     keys = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("first")).where("n > 1")
     shared = keep_table(members.join(keys, "key"), "near-shared")
-    met = shared.select("class").distinct().join(firsts, "class")
+    met = shared.select("class").unionByName(alike.select(F.explode(F.array("a", "b")).alias("class")))
+    met = met.distinct().join(firsts, "class")
     texts = keep_table(rows.join(met, "number").select("class", F.col("text").cast("string").alias("text")), "near-texts")
 
-    first_wave = shared.where("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
-    links = keep_table(_linked(first_wave, texts, width, least), "near-links")
+    links = keep_table(_linked(alike, texts, width, least), "near-links")
+    apart = _with_groups(shared, _labels(links)).where("own <> head")
+    first_wave = apart.select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
+    links = links.unionByName(keep_table(_linked(first_wave, texts, width, least), "near-links"))
     labels = _labels(links)
-    # what the first wave left apart, at the keys where it left something
-    own = labels.select(F.col("class"), F.col("label").alias("own"))
-    head = labels.select(F.col("class").alias("first"), F.col("label").alias("head"))
-    apart = (
-        shared.join(own, "class", "left").join(head, "first", "left")
-        .withColumn("own", F.coalesce("own", "class")).withColumn("head", F.coalesce("head", "first"))
-    )
-    apart = keep_table(apart, "near-apart")
+    # what these left apart, at the keys where they left something
+    apart = keep_table(_with_groups(shared, labels), "near-apart")
     # the keys whose classes are not all in one group
     unsettled = apart.where("own <> head").select("key").distinct()
     again = keep_table(apart.join(unsettled, "key", "left_semi").select("key", "n", "class", "own"), "near-again")

@@ -4,7 +4,8 @@ A fingerprint's 64 bits are four segments of 16 on a ring. If two fingerprints d
 segment on, every chain of l consecutive segments differs in at most l * 3/4 bits in total: 0, 1, 2, 3 for l = 1..4.
 The first two links of that chain are the key of the candidate search (one segment equal, the next at most one bit
 apart: a key per start for what is looked up, 17 for what looks up); the third is checked on the candidates, and only
-what is left gets the full Hamming check.
+what is left gets the full Hamming check. With eight segments of 8 bits the same holds for up to 7 bits: a chain of l
+differs in at most l * 7/8 bits, again 0 and 1 for the links that are the key.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkwell.llm.common import keep_table, map_arrow, read
+from inkwell.llm.common import give_back_memory, keep_table, map_arrow, read
 from inkwell.llm.components import components
 
 SEED = 42
@@ -48,7 +49,11 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 def fingerprint(text: str | None, width: int = 3) -> int:
     """A bit is 1 if set in over half of the shingles' hashes; no words: 0."""
-    hashes = shingle_hashes(text or "", width)
+    return print_of(shingle_hashes(text or "", width))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The fingerprint from the shingles' hashes."""
     if not len(hashes):
         return 0
     ones = np.zeros(64, np.int64)
@@ -69,29 +74,30 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_arrow(rows, run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long")
 
 
-def _segments(fps: np.ndarray) -> np.ndarray:
-    return fps.view(np.uint16).reshape(-1, SEGMENTS)
+def _segments(fps: np.ndarray, segments: int) -> np.ndarray:
+    return fps.view(f"u{8 // segments}").reshape(-1, segments)
 
 
-def chain_keys(fps: np.ndarray) -> np.ndarray:
+def chain_keys(fps: np.ndarray, segments: int = SEGMENTS) -> np.ndarray:
     """The looked-up keys, one per start: start, that segment and the next one, in one number."""
-    s = _segments(fps).astype(np.int64)
-    return np.stack([(i << 32) | (s[:, i] << 16) | s[:, (i + 1) % SEGMENTS] for i in range(SEGMENTS)], axis=1)
-
+    s, bits = _segments(fps, segments).astype(np.int64), 64 // segments
+    return np.stack([(i << 2 * bits) | (s[:, i] << bits) | s[:, (i + 1) % segments] for i in range(segments)], axis=1)
 
-_NEAR = np.array([0] + [1 << b for b in range(16)], np.int64)
 
-
-def passes_chain(a: np.ndarray, b: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Whether the differences along the ring from ``start`` stay within 0, 1, 2, 3 (the last is the full check)."""
-    apart = _BITS[_segments(a ^ b)]
-    rows = np.arange(len(a))
+def passes_chain(a: np.ndarray, b: np.ndarray, start: np.ndarray, most_bits: int = MOST_BITS,
+                 segments: int = SEGMENTS) -> np.ndarray:
+    """Whether the differences along the ring from ``start`` stay within 0, 1, 2, 3 (the last is the full check); for
+    other radii and rings within the whole part of link * ``most_bits`` / ``segments``."""
+    apart = _segments(a ^ b, segments)
+    left = np.arange(len(a))  # the pairs that have passed so far
     total = np.zeros(len(a), np.int16)
-    good = np.ones(len(a), bool)
-    for link in range(SEGMENTS):
-        total = total + apart[rows, (start + link) % SEGMENTS]
-        good &= total <= (link + 1) * MOST_BITS // SEGMENTS
-    return good
+    for link in range(segments):
+        total = total + _BITS[apart[left, (start[left] + link) % segments]]
+        good = total <= (link + 1) * most_bits // segments
+        left, total = left[good], total[good]
+    passed = np.zeros(len(a), bool)
+    passed[left] = True
+    return passed
 
 
 class Forest:
@@ -122,7 +128,7 @@ class Forest:
         self.links = np.stack([nodes[own], nodes[label[own]]], axis=1)
 
 
-def _compare(key: np.ndarray, fp: np.ndarray, asks: np.ndarray, forest: Forest) -> None:
+def _compare(key: np.ndarray, fp: np.ndarray, asks: np.ndarray, forest: Forest, most_bits: int, segments: int) -> None:
     """Adds the links of rows sorted by key; within a key, each asking row meets each looked-up one."""
     if not len(key):
         return
@@ -144,13 +150,15 @@ def _compare(key: np.ndarray, fp: np.ndarray, asks: np.ndarray, forest: Forest)
         a = first[run] + answers[run] + inside // answers[run]
         new = fp[a] < fp[b]
         a, b = a[new], b[new]
-        good = passes_chain(fp[a], fp[b], (key[a] >> 32).astype(np.int64) % SEGMENTS)
+        good = passes_chain(fp[a], fp[b], key[a] >> 128 // segments, most_bits, segments)
         if good.any():
             forest.add(fp[a[good]], fp[b[good]])
 
 
-def near_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that connect all that differ in at most 3 bits.
+def near_links(classes: DataFrame, most_bits: int = MOST_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp) that connect all that differ in at most ``most_bits`` bits,
+    which must be fewer than the ``segments`` of the ring, 4 or 8. A link leads from a fingerprint to the least one of
+    those connected with it in one task.
 
     Of the pairs found in one partition only a spanning forest leaves it, so the links are fewer than the rows
     however large a group of near copies is. Keys with more than ``BLOCK`` looked-up fingerprints are cut into blocks,
@@ -158,20 +166,24 @@ def near_links(classes: DataFrame) -> DataFrame:
     compared, in many tasks.
     """
 
+    if segments not in (4, 8) or not 0 <= most_bits < segments:
+        raise ValueError("a ring has 4 or 8 segments, and the radius is less than that")
+    near = np.array([0] + [1 << b for b in range(64 // segments)], np.int64)
+
     def expand(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        exact = chain_keys(fps)
-        asking = (exact[:, :, None] ^ _NEAR).reshape(-1)
+        exact = chain_keys(fps, segments)
+        asking = (exact[:, :, None] ^ near).reshape(-1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([exact.reshape(-1), asking])),
-             pa.array(np.concatenate([np.repeat(fps, SEGMENTS), np.repeat(fps, SEGMENTS * len(_NEAR))])),
+             pa.array(np.concatenate([np.repeat(fps, segments), np.repeat(fps, segments * len(near))])),
              pa.array(np.concatenate([np.zeros(exact.size, bool), np.ones(len(asking), bool)]))],
             names=["key", "fp", "asks"])
 
     rows = map_arrow(classes.select("fp"), expand, "key long, fp long, asks boolean", rows=4096)
     hot = (
         map_arrow(classes.select("fp"), lambda b: pa.RecordBatch.from_arrays(
-            [pa.array(chain_keys(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)).reshape(-1))], names=["key"]),
+            [pa.array(chain_keys(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), segments).reshape(-1))], names=["key"]),
             "key long", rows=4096)
         .groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
@@ -191,6 +203,10 @@ def near_links(classes: DataFrame) -> DataFrame:
         )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from linked(batches)
+        give_back_memory()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         held: list[tuple[np.ndarray, ...]] = []  # rows of the last key, which may go on in the next batch
         for batch in batches:
@@ -203,10 +219,10 @@ def near_links(classes: DataFrame) -> DataFrame:
                 continue
             key, fp, asks, part = (np.concatenate(c) for c in zip(*held))
             last = (key == key[-1]) & (part == part[-1])
-            _by_part(key[~last], fp[~last], asks[~last], part[~last], forest)
+            _by_part(key[~last], fp[~last], asks[~last], part[~last], forest, most_bits, segments)
             held = [(key[last], fp[last], asks[last], part[last])]
         if held:
-            _by_part(*(np.concatenate(c) for c in zip(*held)), forest)
+            _by_part(*(np.concatenate(c) for c in zip(*held)), forest, most_bits, segments)
         for start in range(0, len(forest.links), 1 << 16):
             part = forest.links[start:start + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], names=["a", "b"])
@@ -215,13 +231,13 @@ def near_links(classes: DataFrame) -> DataFrame:
     return gathered.mapInArrow(compare, "a long, b long")
 
 
-def _by_part(key, fp, asks, part, forest: Forest) -> None:
+def _by_part(key, fp, asks, part, forest: Forest, most_bits: int, segments: int) -> None:
     if not part.any():
-        _compare(key, fp, asks, forest)
+        _compare(key, fp, asks, forest, most_bits, segments)
         return
     for p in np.unique(part):
         at = part == p
-        _compare(key[at], fp[at], asks[at], forest)
+        _compare(key[at], fp[at], asks[at], forest, most_bits, segments)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:

@@ -6,6 +6,7 @@ import corpus_pipeline
 from cases import SCHEMA, SMALL, table
 from inkwell.llm import near_copies
 from inkwell.llm.common import read
+from inkwell.llm.simhash import fingerprint
 
 
 def plain_shingles(text):
@@ -59,6 +60,30 @@ def test_groups_beyond_one_block(spark, monkeypatch):
     assert {i for i, _ in stay(spark, rows)} == plain_kept(texts)
 
 
+def test_fingerprints_alone_find_what_lies_within_the_radius(spark, monkeypatch):
+    """Without the bands, the pairs within 7 bits are linked, all of them, if they are similar enough."""
+    rnd = random.Random(11)
+    texts, near, far = {}, 0, 0
+    for pair in range(60):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+        own = list(words)
+        for _ in range(pair % 6):
+            own[rnd.randrange(len(own))] = f"x{rnd.randrange(10**6)}"
+        texts[2 * pair], texts[2 * pair + 1] = " ".join(words), " ".join(own)
+    kept = set(texts)
+    for i in range(0, len(texts), 2):
+        bits = (fingerprint(texts[i], 5) ^ fingerprint(texts[i + 1], 5)).bit_count()
+        if texts[i] != texts[i + 1] and i + 1 not in plain_kept({k: texts[k] for k in (i, i + 1)}):
+            near, far = near + (bits <= 7), far + (bits > 7)
+        if bits <= 7 and len(plain_kept({k: texts[k] for k in (i, i + 1)})) == 1:
+            kept.discard(i + 1)
+    assert near > 20 and far
+    monkeypatch.setattr(near_copies, "bands_for", lambda least: 0)
+    assert {i for i, _ in stay(spark, [(i, t, "en", "a", len(t)) for i, t in texts.items()])} == kept
+    monkeypatch.undo()
+    assert {i for i, _ in stay(spark, [(i, t, "en", "a", len(t)) for i, t in texts.items()])} == plain_kept(texts)
+
+
 def boilerplate(pairs, shared, own, differ):
     """Pairs of near copies that all share a passage of ``shared`` words; ``own`` words tell the pairs apart, and the
     two texts of a pair differ in ``differ`` further ones."""

@@ -73,6 +73,43 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+def test_wider_radius_on_a_ring_of_eight(spark, monkeypatch):
+    rnd = random.Random(6)
+    prints = set()
+    for _ in range(40):
+        centre = rnd.getrandbits(64)
+        for _ in range(rnd.randint(1, 8)):
+            p = centre
+            for bit in rnd.sample(range(64), rnd.randint(0, 8)):
+                p ^= 1 << bit
+            prints.add(p)
+    prints = sorted(prints)
+    signed = {int(np.uint64(p).astype(np.int64)): p for p in prints}
+    want = components_by(lambda p, q: (p ^ q).bit_count() <= 7, prints)
+    assert want != components_by(lambda p, q: (p ^ q).bit_count() <= 6, prints)
+    rows = spark.createDataFrame([(p,) for p in signed], "fp long")
+    for block in (simhash.BLOCK, 3):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        links = {(signed[r["a"]], signed[r["b"]]) for r in simhash.near_links(rows, 7, 8).collect()}
+        assert components_by(lambda p, q: (p, q) in links or (q, p) in links, prints) == want
+
+
+def components_by(linked, nodes):
+    top = {n: n for n in nodes}
+
+    def find(n):
+        while top[n] != n:
+            n = top[n]
+        return n
+
+    for at, p in enumerate(nodes):
+        for q in nodes[at + 1:]:
+            if linked(p, q):
+                x, y = sorted((find(p), find(q)))
+                top[y] = x
+    return {n: find(n) for n in nodes}
+
+
 def test_links_stay_few_in_a_dense_group(spark):
     centre = 0x123456789ABCDEF0
     prints = {centre ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(40)}
